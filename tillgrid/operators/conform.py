@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillgrid.functions.scalars import pack_columns
 from tillgrid.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS, SALES_FACT
@@ -28,16 +29,19 @@ def _names(cols: Sequence[str]) -> Column:
 
 
 def gate(files: DataFrame, headers: DataFrame, mandatory: Sequence[str] = MANDATORY_COLUMNS) -> DataFrame:
-    """Per file: path, file_name, is_csv, header, missing, extra, accepted, reason.
+    """Per file: path, file_name, is_csv, header_line, header, missing, extra, accepted, reason.
 
     ``files`` is a manifest with ``is_csv``; ``headers`` comes from ``file_headers``. Both have one row per file.
     """
     need = _names(mandatory)
-    joined = files.join(headers.select("path", "header"), "path", "left")
-    missing = F.when(F.col("header").isNull(), need).otherwise(F.array_except(need, F.col("header")))
-    extra = F.when(F.col("header").isNull(), F.array().cast("array<string>")).otherwise(
-        F.array_except(F.col("header"), need)
+    joined = files.join(headers.select("path", "header_line", "header"), "path", "left")
+    none = F.array().cast("array<string>")
+    missing = (
+        F.when(~F.col("is_csv"), none)
+        .when(F.col("header").isNull(), need)
+        .otherwise(F.array_except(need, F.col("header")))
     )
+    extra = F.when(F.col("header").isNull(), none).otherwise(F.array_except(F.col("header"), need))
     reason = (
         F.when(~F.col("is_csv"), F.lit(REASON_NOT_CSV))
         .when(F.col("header").isNull(), F.lit(REASON_EMPTY))
@@ -48,7 +52,7 @@ def gate(files: DataFrame, headers: DataFrame, mandatory: Sequence[str] = MANDAT
         .withColumn("extra", extra)
         .withColumn("reason", reason)
         .withColumn("accepted", F.col("reason").isNull())
-        .select("path", "file_name", "is_csv", "header", "missing", "extra", "accepted", "reason")
+        .select("path", "file_name", "is_csv", "header_line", "header", "missing", "extra", "accepted", "reason")
     )
 
 
@@ -90,8 +94,12 @@ def conform(raw: DataFrame, header: Sequence[str], keep_bad: bool = True) -> Dat
     for field in SALES_FACT.fields:
         if field.name == EXTRA_COLUMN:
             continue
-        text = F.trim(F.col(field.name))
-        value = text.try_cast(field.dataType)
+        raw_text = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            text, value = raw_text, raw_text
+        else:
+            text = F.trim(raw_text)
+            value = text.try_cast(field.dataType)
         typed.append(value.alias(field.name))
         bad.append(F.when(text.isNotNull() & (text != "") & value.isNull(), F.lit(field.name)))
     cols = [*typed, pack_columns(extras).alias(EXTRA_COLUMN)]
@@ -108,8 +116,8 @@ def empty_fact(spark: SparkSession) -> DataFrame:
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by column name."""
+    """UNION ALL by column name; a column missing from one input is NULL in its rows."""
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(f, allowMissingColumns=True)
     return out

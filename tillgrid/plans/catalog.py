@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillgrid.plans import contract
+from tillgrid.plans import contract, roundtrips
 
-QUERIES = dict(contract.QUERIES)
-ORACLE_SQL = dict(contract.ORACLE_SQL)
+QUERIES = {**contract.QUERIES, **roundtrips.QUERIES}
+ORACLE_SQL = {**contract.ORACLE_SQL, **roundtrips.oracle_sql()}

@@ -51,12 +51,15 @@ def header_names(line: str | F.Column) -> F.Column:
     )
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per non-empty file: path, header_line, header (array of names)."""
+def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
+    """One row per non-empty file under ``root`` whose name matches ``glob``: path, header_line, header."""
+    paths = [root] if isinstance(root, str) else list(root)
     if not paths:
-        schema = "path string, header_line string, header array<string>"
-        return spark.createDataFrame([], schema)
-    lines = spark.read.text(list(paths)).select(
+        return spark.createDataFrame([], "path string, header_line string, header array<string>")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = reader.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -70,6 +73,13 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return first.withColumn("header", header_names("header_line"))
 
 
+def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Raw lines of the given files with their path (for the reject store)."""
+    if not paths:
+        return spark.createDataFrame([], "value string, path string")
+    return spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
+
+
 def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
