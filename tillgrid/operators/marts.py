@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrid.functions.scalars import full_name, incentive_from_max, month_key, top_rank_incentive
-from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.schemas import CUSTOMER_MART_COLUMNS, MONEY, SALES_MART_COLUMNS
 
 
@@ -83,12 +82,15 @@ def sales_person_monthly_sales(enriched: DataFrame) -> DataFrame:
     )
 
 
-def with_incentive(monthly: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def with_incentive(monthly: DataFrame) -> DataFrame:
     """Add ``incentive``: 1 % of the total (rounded half-up to cents) for every top seller of a (store, month),
-    0 for the rest, NULL when the whole group has no total."""
+    0 for the rest, NULL when the whole group has no total.
+
+    ``tops`` has one row per (store, month). It is not hinted: proving its size would run the whole aggregation a
+    second time. AQE measures its shuffle output and turns the join into a broadcast when it is small; otherwise it
+    stays a shuffle join in which every monthly row meets exactly one ``tops`` row (AQE splits a hot key).
+    """
     tops = monthly.groupBy("store_id", "sales_month").agg(F.max("total_sales").alias("_top"))
-    # One row per (store, month): bounded by stores x months, checked before it is broadcast.
-    tops = broadcast_if_small(tops, max_broadcast_rows)
     return monthly.join(tops, ["store_id", "sales_month"]).select(
         "store_id",
         "sales_person_id",
@@ -99,9 +101,9 @@ def with_incentive(monthly: DataFrame, max_broadcast_rows: int | None = None) ->
     )
 
 
-def sales_incentive(enriched: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def sales_incentive(enriched: DataFrame) -> DataFrame:
     """Sales-team data mart: store_id, sales_person_id, full_name, sales_month, total_sales, incentive."""
-    return with_incentive(sales_person_monthly_sales(enriched), max_broadcast_rows)
+    return with_incentive(sales_person_monthly_sales(enriched))
 
 
 def rank_within(df: DataFrame, group: list[str], value: str, name: str = "rnk") -> DataFrame:

@@ -181,12 +181,7 @@ lines AS (
          l.l_orderkey, l.l_linenumber, o.o_orderstatus, l.l_returnflag, l.l_linestatus
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON s.s_suppkey = l.l_suppkey)"""
 
-_STAR = (
-    "WITH"
-    + _LINES
-    + ","
-    + _DIMS
-    + """,
+_STAR_TAIL = """,
 star AS (
   SELECT f.customer_id, f.store_id, f.sales_person_id, f.sales_date, f.total_cost,
          c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
@@ -197,7 +192,17 @@ star AS (
                JOIN store st ON f.store_id = st.store_id
                JOIN team t ON f.sales_person_id = t.sales_person_id)
 """
-)
+
+
+def star_sql(line_filter: str = "") -> str:
+    """``WITH lines, cust, store, team, star``; ``line_filter`` is an extra condition on the sale lines."""
+    lines = _LINES
+    if line_filter:
+        lines = lines.replace("s.s_suppkey = l.l_suppkey)", f"s.s_suppkey = l.l_suppkey WHERE {line_filter})")
+    return "WITH" + lines + "," + _DIMS + _STAR_TAIL
+
+
+_STAR = star_sql()
 
 _CUSTOMER_MONTHLY = (
     _STAR
@@ -213,6 +218,18 @@ monthly AS (
          strftime(sales_date, '%Y-%m') AS sales_month, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales
   FROM star GROUP BY ALL)"""
 
+_INCENTIVE_SELECT = """
+SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
+       CAST(CASE WHEN rank() OVER (PARTITION BY store_id, sales_month ORDER BY total_sales DESC NULLS LAST) = 1
+                 THEN round(total_sales * CAST(0.01 AS DECIMAL(3,2)), 2) ELSE 0 END AS DECIMAL(18,2)) AS incentive
+FROM monthly"""
+
+
+def incentive_sql(line_filter: str = "") -> str:
+    """The sales-team mart with incentive over the (optionally filtered) sale lines."""
+    return star_sql(line_filter) + "," + _PERSON_MONTHLY + _INCENTIVE_SELECT
+
+
 ORACLE_SQL: dict[str, str] = {
     "star_join": _STAR + "SELECT * FROM star",
     "customer_mart_rows": _STAR
@@ -230,14 +247,7 @@ SELECT DISTINCT customer_id, first_name || ' ' || last_name AS full_name, addres
          AS total_sales
 FROM star""",
     "sales_person_monthly_sales": _STAR + "," + _PERSON_MONTHLY + " SELECT * FROM monthly",
-    "sales_incentive": _STAR
-    + ","
-    + _PERSON_MONTHLY
-    + """
-SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
-       CAST(CASE WHEN rank() OVER (PARTITION BY store_id, sales_month ORDER BY total_sales DESC NULLS LAST) = 1
-                 THEN round(total_sales * CAST(0.01 AS DECIMAL(3,2)), 2) ELSE 0 END AS DECIMAL(18,2)) AS incentive
-FROM monthly""",
+    "sales_incentive": _STAR + "," + _PERSON_MONTHLY + _INCENTIVE_SELECT,
     "incentive_ties": _STAR
     + """
 , counts AS (

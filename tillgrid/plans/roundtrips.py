@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.operators import marts
-from tillgrid.plans.contract import enriched
+from tillgrid.plans import pipeline
+from tillgrid.plans.contract import enriched, incentive_sql
 from tillgrid.plans.intake import rejected_lines, run_intake
 from tillgrid.schemas import MANDATORY_COLUMNS, SALES_FACT
 from tillgrid.session import scratch_path
@@ -151,6 +152,16 @@ def q_monthly_report_csv(spark, sf_dir):
     return sinks.read_csv_report(spark, path, mart.schema).select(*mart.columns)
 
 
+def q_pipeline_run(spark, sf_dir):
+    """The whole job over the sales drop with the driver tables as dimensions; the sales-team mart it loaded."""
+    dims = pipeline.Dimensions(
+        customer=tables.customers(spark, sf_dir), store=tables.stores(spark, sf_dir), team=tables.sales_team(spark, sf_dir)
+    )
+    result = pipeline.run(spark, sales_drop(spark, sf_dir), dims, scratch_path(spark, "pipeline-run"))
+    mart = marts.sales_incentive(result.enriched)
+    return spark.read.schema(mart.schema).parquet(result.outputs["sales_team_data_mart"]).select(*mart.columns)
+
+
 def q_stream_intake(spark, sf_dir):
     """Two drops of sales lines drained by two availableNow runs of one stream: every line lands once."""
     lines = tables.sales_lines(spark, sf_dir).select(*SALES_FACT.fieldNames()[:-1], "l_orderkey", "l_linenumber")
@@ -209,6 +220,7 @@ UNION ALL SELECT 'notes', 'not a csv file', count(*) FROM orders""",
         "mart_rerun": ORACLE_SQL["sales_incentive"],
         "latest_run_read": ORACLE_SQL["customer_monthly_sales"],
         "monthly_report_csv": ORACLE_SQL["sales_incentive"],
+        "pipeline_run": incentive_sql("o.o_orderstatus IN ('F', 'O')"),
         "stream_intake": """
 SELECT o.o_custkey AS customer_id, CAST(s.s_nationkey AS BIGINT) AS store_id, CAST(NULL AS VARCHAR) AS product_name,
        CAST(o.o_orderdate AS DATE) AS sales_date, l.l_suppkey AS sales_person_id, CAST(NULL AS DECIMAL(18,2)) AS price,
@@ -228,5 +240,6 @@ QUERIES = {
     "mart_rerun": q_mart_rerun,
     "latest_run_read": q_latest_run_read,
     "monthly_report_csv": q_monthly_report_csv,
+    "pipeline_run": q_pipeline_run,
     "stream_intake": q_stream_intake,
 }
