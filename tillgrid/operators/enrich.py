@@ -5,7 +5,7 @@ reference). Dimension columns are renamed *before* the join, so the result has n
 can be addressed without a qualifier. The fact's product, price, quantity and extra columns are not carried into
 the enriched frame (no mart uses them).
 
-Each dimension goes through ``broadcast_if_small``: a bounded row count proves it small before it is broadcast;
+Each dimension goes through ``broadcast_if_small``: an exact row count proves it small before it is broadcast;
 a dimension beyond the bound is left to a shuffle join (with AQE's skew split on the fact side).
 """
 
@@ -71,9 +71,12 @@ def star_join(
 ) -> DataFrame:
     """``fact ⋈ customer ⋈ store ⋈ sales_team`` (inner), columns as in ``ENRICHED_COLUMNS``."""
     facts = fact.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
+    # Inner joins commute; the sales team goes first so that, when neither side is broadcast, a fact already
+    # partitioned on the sales-person key (as the driver tables' fact is, by its supplier lookup) is not shuffled
+    # again for it. Beyond the broadcast bound each join is a sort-merge join on its own key.
     joined = (
-        facts.join(broadcast_if_small(customer_side(customer), max_broadcast_rows), "customer_id")
+        facts.join(broadcast_if_small(team_side(team), max_broadcast_rows), "sales_person_id")
         .join(broadcast_if_small(store_side(store), max_broadcast_rows), "store_id")
-        .join(broadcast_if_small(team_side(team), max_broadcast_rows), "sales_person_id")
+        .join(broadcast_if_small(customer_side(customer), max_broadcast_rows), "customer_id")
     )
     return joined.select(*ENRICHED_COLUMNS)

@@ -1,8 +1,13 @@
 """Size-checked broadcast.
 
-A dimension is broadcast only after a bounded count proves it has at most ``max_rows`` rows; otherwise the join is
-left to Spark (sort-merge with AQE, which can still switch to a broadcast at run time from measured shuffle sizes).
-The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the side turns out to be huge.
+A dimension is broadcast only after an exact row count proves it has at most ``max_rows`` rows; otherwise the join
+is left to Spark (sort-merge with AQE, which can still switch to a broadcast at run time from measured shuffle
+sizes, and splits a hot key of the fact side).
+
+The count is an ordinary distributed aggregate: every task counts its own split and sends one number, so the
+check never funnels rows into one task (``limit(n).count()`` would gather up to n rows from every partition into a
+single task). Only the count is needed, so column pruning leaves Parquet scans reading footers and row groups'
+row counts, not values.
 """
 
 from __future__ import annotations
@@ -22,12 +27,12 @@ def _row_limit(df: DataFrame, max_rows: int | None) -> int:
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has no more than ``max_rows`` rows (exact, distributed count)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when a bounded count proves it small, else ``df`` unchanged."""
+    """``F.broadcast(df)`` when a row count proves it small, else ``df`` unchanged."""
     bound = _row_limit(df, max_rows)
     if bound > 0 and has_at_most(df, bound):
         return F.broadcast(df)

@@ -8,6 +8,7 @@ does not end up in a single task or a single huge file.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 RUN_COLUMN = "run_ts"
+_RUN_IN_PATH = re.compile(rf"/{RUN_COLUMN}=(\d+)/")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -70,12 +72,20 @@ def publish_run(df: DataFrame, base: str, run_ts: int, mode: str = "errorifexist
     return target
 
 
+def run_stamps(spark: SparkSession, base: str) -> list[int]:
+    """Run stamps present under ``base``, from the file listing alone (no data is read)."""
+    found = {int(m.group(1)) for m in map(_RUN_IN_PATH.search, spark.read.parquet(base).inputFiles()) if m}
+    return sorted(found)
+
+
 def read_latest_run(spark: SparkSession, base: str) -> DataFrame:
     """Rows of the newest run under ``base``.
 
-    The newest run is a scalar subquery on the partition column; the scan evaluates it first and prunes every
-    other run's folder (a runtime partition filter), so old runs are listed but never read.
+    The newest stamp comes from the file index's listing (metadata only); the filter on the partition column then
+    prunes every other run's folder, so old runs are listed but never read.
     """
+    stamps = run_stamps(spark, base)
+    if not stamps:
+        raise FileNotFoundError(f"no run under {base}")
     runs = spark.read.parquet(base)
-    newest = runs.select(F.max(RUN_COLUMN)).scalar()
-    return runs.where(F.col(RUN_COLUMN) == newest).drop(RUN_COLUMN)
+    return runs.where(F.col(RUN_COLUMN) == F.lit(stamps[-1])).drop(RUN_COLUMN)
