@@ -26,3 +26,12 @@ def test_broadcast_only_within_bound(spark):
         assert small.count() == big.count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_verdict_follows_new_files(spark, tmp_path):
+    p = str(tmp_path / "dim")
+    spark.range(5).write.parquet(p)
+    assert has_at_most(spark.read.parquet(p), 5)
+    assert has_at_most(spark.read.parquet(p), 5)  # cached verdict, same plan and files
+    spark.range(5).write.mode("append").parquet(p)
+    assert not has_at_most(spark.read.parquet(p), 5)

@@ -12,6 +12,9 @@ row counts, not values.
 
 from __future__ import annotations
 
+import hashlib
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +29,37 @@ def _row_limit(df: DataFrame, max_rows: int | None) -> int:
     return int(conf) if conf else DEFAULT_BROADCAST_ROWS
 
 
+# Verdicts of earlier checks in this process, keyed by application, plan and the exact set of input files.
+_VERDICTS: OrderedDict[tuple, bool] = OrderedDict()
+_MAX_VERDICTS = 256
+
+
+def _verdict_key(df: DataFrame, max_rows: int) -> tuple | None:
+    """A key that changes whenever the plan or any input file changes; None for sources without files."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    digest = hashlib.sha1("\n".join(sorted(files)).encode("utf-8")).hexdigest()
+    return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, digest)
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (exact, distributed count)."""
-    return df.count() <= max_rows
+    """True when ``df`` has no more than ``max_rows`` rows (exact, distributed count).
+
+    A file-based side whose plan and file list were already counted in this application reuses that verdict
+    (Spark's writers never rewrite a file under the same name, so new data means a new file list). Sources without
+    files (JDBC) are counted every time.
+    """
+    key = _verdict_key(df, max_rows)
+    if key is not None and key in _VERDICTS:
+        _VERDICTS.move_to_end(key)
+        return _VERDICTS[key]
+    verdict = df.count() <= max_rows
+    if key is not None:
+        _VERDICTS[key] = verdict
+        if len(_VERDICTS) > _MAX_VERDICTS:
+            _VERDICTS.popitem(last=False)
+    return verdict
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
