@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 # Fixed value: the byte-order mark some tools put in front of a CSV header.
 _BOM = "\ufeff"
+# A comma followed by an even number of quote characters up to the end of the line is outside any quoted name.
+_COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
@@ -43,11 +45,11 @@ def split_by_suffix(files: DataFrame, suffix: str = ".csv") -> DataFrame:
 
 
 def header_names(line: str | F.Column) -> F.Column:
-    """Column names of a CSV header line: split on commas, BOM, quotes and blanks removed."""
+    """Column names of a CSV header line: split on commas outside quotes; BOM, quotes and blanks removed."""
     c = F.col(line) if isinstance(line, str) else line
     return F.transform(
-        F.split(c, ","),
-        lambda x: F.trim(F.regexp_replace(x, f"^{_BOM}|\"", "")),
+        F.split(c, _COMMA_OUTSIDE_QUOTES),
+        lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, f"^{_BOM}", ""), '^\\s*"|"\\s*$', "")),
     )
 
 
