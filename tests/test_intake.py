@@ -48,6 +48,7 @@ def drop(tmp_path_factory):
     _write(root, "notes.txt", "not a sales file\nsecond line\n")
     _write(root, "a/sales.csv", f"{HEADER}\n9,121,tea,2023-07-07,2,5,2,10\n")
     _write(root, "b/sales.csv", f"{HEADER}\n10,121,tea,2023-07-08,2,5,4,20\n")
+    _write(root, "odd dir/50% off.csv", f"{HEADER}\n11,121,tea,2023-07-09,2,5,1,5\n")
     return str(root)
 
 
@@ -66,13 +67,13 @@ def test_manifest_lists_files_only(spark, drop):
     # A zero-byte file holds neither header nor rows; Spark's file scan skips it, so it is not in the manifest.
     assert names == sorted(
         ["plain.csv", "extra.csv", "two_extras.csv", "missing.csv", "reordered.csv", "bom.csv",
-         "notes.txt", "a/sales.csv", "b/sales.csv"]
+         "notes.txt", "a/sales.csv", "b/sales.csv", "odd dir/50% off.csv"]
     )
     assert {_rel(r.path, drop): r.is_csv for r in files}["notes.txt"] is False
 
 
 def test_header_probe_strips_bom_and_quotes(spark, drop):
-    heads = {_rel(r.path, drop): list(r.header) for r in file_source.file_headers(spark, drop).collect()}
+    heads = {_rel(r.file_key, drop): list(r.header) for r in file_source.file_headers(spark, drop).collect()}
     assert heads["bom.csv"] == list(MANDATORY_COLUMNS)
     assert "empty.csv" not in heads
     assert heads["reordered.csv"][0] == "total_cost"
@@ -90,13 +91,14 @@ def test_gate_verdicts(intake, drop):
     assert "empty.csv" not in g
     assert g["reordered.csv"].accepted and g["bom.csv"].accepted
     assert g["a/sales.csv"].accepted and g["b/sales.csv"].accepted
+    assert g["odd dir/50% off.csv"].accepted  # names that need URL encoding match their own lines
 
 
 def test_fact_is_typed_and_matched_by_name(intake):
     fact = intake.fact
     assert [f.name for f in fact.schema.fields[: len(SALES_FACT.fields)]] == SALES_FACT.fieldNames()
     by_customer = {r.customer_id: r for r in fact.collect()}
-    assert sorted(by_customer) == [1, 2, 3, 4, 5, 7, 8, 9, 10]
+    assert sorted(by_customer) == [1, 2, 3, 4, 5, 7, 8, 9, 10, 11]
     r7 = by_customer[7]  # reordered header: values land in the right columns
     assert (r7.store_id, r7.product_name, r7.total_cost, r7.price, r7.quantity) == (
         123, "rice", Decimal("99.50"), Decimal("99.50"), 1,

@@ -2,21 +2,24 @@
 
 * ``gate`` compares each file's header with the mandatory column set (``array_except``), giving missing and extra
   columns, an accept flag and a reject reason per file: one DataFrame, no per-file job.
-* ``conform`` turns one header group (all-text columns, named by the header) into the typed fact: mandatory
-  columns selected by name, extras packed into ``additional_column``, values cast with ``try_cast`` so one bad
-  value becomes NULL in that row (listed in ``_bad_columns``) instead of failing the whole load.
+* ``conform_lines`` turns the raw lines of all accepted files into the typed fact in one scan: each line is parsed
+  positionally and every mandatory column is taken from the position its name has in that file's header; extras
+  are packed into ``additional_column``; values are cast with ``try_cast`` so one bad value becomes NULL in that
+  row (listed in ``_bad_columns``) instead of failing the whole load. ``conform`` does the same for a frame whose
+  text columns are already named.
 * ``union_all`` is ``unionByName`` (UNION ALL, duplicates kept), seeded by an empty typed frame.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillgrid.functions.scalars import pack_columns
+from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS, SALES_FACT
 
 REASON_NOT_CSV = "not a csv file"
@@ -29,12 +32,12 @@ def _names(cols: Sequence[str]) -> Column:
 
 
 def gate(files: DataFrame, headers: DataFrame, mandatory: Sequence[str] = MANDATORY_COLUMNS) -> DataFrame:
-    """Per file: path, file_name, is_csv, header_line, header, missing, extra, accepted, reason.
+    """Per file: path, file_key, file_name, is_csv, header_line, header, missing, extra, accepted, reason.
 
     ``files`` is a manifest with ``is_csv``; ``headers`` comes from ``file_headers``. Both have one row per file.
     """
     need = _names(mandatory)
-    joined = files.join(headers.select("path", "header_line", "header"), "path", "left")
+    joined = files.join(headers.select("file_key", "header_line", "header"), "file_key", "left")
     none = F.array().cast("array<string>")
     missing = (
         F.when(~F.col("is_csv"), none)
@@ -52,7 +55,9 @@ def gate(files: DataFrame, headers: DataFrame, mandatory: Sequence[str] = MANDAT
         .withColumn("extra", extra)
         .withColumn("reason", reason)
         .withColumn("accepted", F.col("reason").isNull())
-        .select("path", "file_name", "is_csv", "header_line", "header", "missing", "extra", "accepted", "reason")
+        .select(
+            "path", "file_key", "file_name", "is_csv", "header_line", "header", "missing", "extra", "accepted", "reason"
+        )
     )
 
 
@@ -61,40 +66,19 @@ def rejects(gated: DataFrame) -> DataFrame:
     return gated.where(~F.col("accepted")).select("path", "file_name", "reason", "missing")
 
 
-def header_groups(gated: DataFrame) -> list[tuple[list[str], list[str]]]:
-    """Accepted files grouped by their exact header: [(header, [paths])].
-
-    Returns one entry per distinct header (a handful), each with the paths Spark's file source needs on the
-    driver anyway to plan the scan.
-    """
-    rows = (
-        gated.where("accepted")
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
-    return sorted(((list(r["header"]), list(r["paths"])) for r in rows), key=lambda hp: hp[1][0])
-
-
 def pack_extras(df: DataFrame, extras: Sequence[str]) -> DataFrame:
     """``additional_column`` = the extras joined with ',' (NULL parts skipped); NULL when there are none."""
     return df.withColumn(EXTRA_COLUMN, pack_columns(list(extras)))
 
 
-def conform(raw: DataFrame, header: Sequence[str], keep_bad: bool = True) -> DataFrame:
-    """Typed fact (``SALES_FACT`` columns) from text columns named by ``header``.
-
-    ``header`` must contain every mandatory column (the gate guarantees it). Extra columns are packed in header
-    order. With ``keep_bad`` a ``_bad_columns`` array lists the mandatory columns whose text did not cast.
-    """
-    mandatory = set(MANDATORY_COLUMNS)
-    extras = [c for c in header if c not in mandatory]
+def _typed_columns(text_of: Callable[[str], Column], extra: Column, keep_bad: bool) -> list[Column]:
+    """``SALES_FACT`` columns from a function giving each mandatory column's text (``try_cast``, bad list)."""
     typed: list[Column] = []
     bad: list[Column] = []
     for field in SALES_FACT.fields:
         if field.name == EXTRA_COLUMN:
             continue
-        raw_text = F.col(field.name)
+        raw_text = text_of(field.name)
         if isinstance(field.dataType, T.StringType):
             text, value = raw_text, raw_text
         else:
@@ -102,14 +86,53 @@ def conform(raw: DataFrame, header: Sequence[str], keep_bad: bool = True) -> Dat
             value = text.try_cast(field.dataType)
         typed.append(value.alias(field.name))
         bad.append(F.when(text.isNotNull() & (text != "") & value.isNull(), F.lit(field.name)))
-    cols = [*typed, pack_columns(extras).alias(EXTRA_COLUMN)]
+    cols = [*typed, extra.alias(EXTRA_COLUMN)]
     if keep_bad:
         cols.append(F.filter(F.array(*bad), lambda x: x.isNotNull()).alias("_bad_columns"))
+    return cols
+
+
+def conform(raw: DataFrame, header: Sequence[str], keep_bad: bool = True) -> DataFrame:
+    """Typed fact (``SALES_FACT`` columns) from a frame of text columns named by ``header``.
+
+    ``header`` must contain every mandatory column (the gate guarantees it). Extra columns are packed in header
+    order. With ``keep_bad`` a ``_bad_columns`` array lists the mandatory columns whose text did not cast.
+    """
+    mandatory = set(MANDATORY_COLUMNS)
+    extras = [c for c in header if c not in mandatory]
+    cols = _typed_columns(F.col, pack_columns(extras), keep_bad)
     if "source_file" in raw.columns:
         cols.append(F.col("source_file"))
     return raw.select(*cols)
 
 
+def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool = True) -> DataFrame:
+    """Typed fact of every accepted file, from its raw text lines, in one scan whatever the number of headers.
+
+    ``lines`` has ``value`` (one text line) and ``file_key``; ``gated`` is the gate's one row per file. Each line is
+    joined to its file's header (the accepted-files table is broadcast once a count proves it small, else a
+    shuffle join on the file key), parsed by the CSV parser into ``width`` positional text fields (quotes honoured),
+    and each mandatory column is taken from the position its name has in that file's header. So columns are
+    matched by name, a reordered header reads correctly, and extras are packed in header order. The header line
+    and blank lines are dropped, as the CSV reader does.
+    """
+    files = gated.where(F.col("accepted")).select("file_key", "path", "header_line", "header", "extra")
+    joined = lines.join(broadcast_if_small(files), "file_key")
+    data = joined.where((F.col("value") != F.col("header_line")) & (F.trim(F.col("value")) != ""))
+    schema = ", ".join(f"_c{i} string" for i in range(max(width, 1)))
+    parsed = F.from_csv(F.col("value"), schema)
+    fields = F.array(*[parsed[f"_c{i}"] for i in range(max(width, 1))])
+
+    def text_of(name: str | Column) -> Column:
+        pos = F.array_position(F.col("header"), name if isinstance(name, Column) else F.lit(name)).cast("int")
+        return F.when(pos > 0, F.try_element_at(fields, pos))
+
+    extra_values = F.transform(F.col("extra"), lambda e: text_of(e))
+    extra = F.when(F.size("extra") > 0, F.concat_ws(",", extra_values))
+    cols = _typed_columns(text_of, extra, keep_bad)
+    return data.select(*cols, F.col("path").alias("source_file"))
+
+
 def empty_fact(spark: SparkSession) -> DataFrame:
     """The empty typed fact (the union seed, and the result when no file passes)."""
     return spark.createDataFrame([], SALES_FACT)

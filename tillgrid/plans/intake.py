@@ -1,8 +1,8 @@
 """Intake of a drop folder of sales files: manifest → header gate → typed fact + rejects.
 
-Spark jobs: one listing, one header pass over the CSV files (one row per file leaves the tasks), then the fact is a
-lazy union with one branch per distinct header (not per file). Rejected files' raw lines can be copied to a reject
-store partitioned by file name.
+Spark jobs: one listing, one header pass over the CSV files (one row per file leaves the tasks), then the fact is one
+lazy scan of all CSV lines parsed against their own file's header (no branch per header or per file, and no file
+list on the driver). Rejected files' raw lines can be copied to a reject store partitioned by file name.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from tillgrid.sources import files as file_source
 
 @dataclass
 class Intake:
-    files: DataFrame  # manifest: path, length, modificationTime, file_name, is_csv
+    files: DataFrame  # manifest: path, file_key, length, modificationTime, file_name, is_csv
     gated: DataFrame  # one row per file with the gate verdict
     fact: DataFrame  # typed sales fact of the accepted files (+ _bad_columns, source_file)
     rejects: DataFrame  # path, file_name, reason, missing
@@ -28,22 +28,28 @@ def run_intake(spark: SparkSession, root: str) -> Intake:
     """Gate every file under ``root`` and conform the accepted ones."""
     files = file_source.split_by_suffix(file_source.manifest(spark, root))
     headers = file_source.file_headers(spark, root)
-    # One row per file; reused by the grouping below and by the reject table.
+    # One row per file; reused by the width, the line conform and the reject table.
     gated = conform.gate(files, headers).cache()
-    parts = [
-        conform.conform(file_source.read_csv_group(spark, paths, header), header)
-        for header, paths in conform.header_groups(gated)
-    ]
-    fact = conform.union_all([conform.empty_fact(spark), *parts])
+    # Widest accepted header: the number of positional fields each line is parsed into (one small aggregate).
+    width = gated.where("accepted").agg(F.max(F.size("header"))).first()[0] or 0
+    lines = file_source.csv_lines(spark, root)
+    if width:
+        fact = conform.conform_lines(lines, gated, width)
+    else:
+        fact = conform.empty_fact(spark).withColumns(
+            {"_bad_columns": F.array().cast("array<string>"), "source_file": F.lit(None).cast("string")}
+        )
     return Intake(files=files, gated=gated, fact=fact, rejects=conform.rejects(gated))
 
 
 def rejected_lines(spark: SparkSession, intake: Intake) -> DataFrame:
     """Raw data lines of every rejected file (its header line excluded): path, file_name, reason, value."""
-    bad = intake.gated.where(~F.col("accepted")).select("path", "file_name", "reason", "header_line")
+    bad = intake.gated.where(~F.col("accepted")).select("path", "file_key", "file_name", "reason", "header_line")
+    # File paths only (metadata): the text source needs them to plan the scan of the rejected files.
     paths = [r["path"] for r in bad.select("path").collect()]
     lines = file_source.text_lines(spark, paths)
-    joined = lines.join(F.broadcast(bad) if len(paths) <= 100_000 else bad, "path")
+    # One row per rejected file; the count of paths just taken bounds its size.
+    joined = lines.join(F.broadcast(bad) if len(paths) <= 100_000 else bad, "file_key")
     is_header = F.col("header_line").isNotNull() & (F.col("value") == F.col("header_line"))
     return joined.where(~is_header).select("path", "file_name", "reason", "value")
 

@@ -5,8 +5,8 @@
 * ``file_headers`` finds the first line of every file in one distributed pass: each task reads the text of the
   splits that start a file and keeps, per file, the line with the smallest row id (a map-side ``min_by``). One row
   per file leaves the tasks; the number of jobs does not grow with the number of files.
-* ``read_csv_group`` reads all files that share one header with that header as an all-string schema, so every
-  file's own header line is dropped and columns are matched by name, not by position.
+* ``csv_lines`` gives every line of the CSV files with its file key; ``operators.conform.conform_lines`` parses them
+  against each file's own header in the same single scan.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed value: the byte-order mark some tools put in front of a CSV header.
 _BOM = "\ufeff"
@@ -24,7 +23,10 @@ _COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
-    """All files under ``root`` (recursively): path, length, modificationTime, file_name.
+    """All files under ``root`` (recursively): path, file_key, length, modificationTime, file_name.
+
+    ``path`` is the plain path (to read the file again); ``file_key`` is the same path as the file scans'
+    ``_metadata.file_path`` spells it (URL-encoded), the key every per-file join uses.
 
     Folders are not files and never appear; names starting with ``_`` or ``.`` are skipped by Spark's file index.
     """
@@ -33,7 +35,7 @@ def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(paths)
-        .select("path", "length", "modificationTime")
+        .select("path", F.col("_metadata.file_path").alias("file_key"), "length", "modificationTime")
     )
     return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
@@ -54,44 +56,38 @@ def header_names(line: str | F.Column) -> F.Column:
 
 
 def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
-    """One row per non-empty file under ``root`` whose name matches ``glob``: path, header_line, header."""
+    """One row per non-empty file under ``root`` whose name matches ``glob``: file_key, header_line, header."""
     paths = [root] if isinstance(root, str) else list(root)
     if not paths:
-        return spark.createDataFrame([], "path string, header_line string, header array<string>")
+        return spark.createDataFrame([], "file_key string, header_line string, header array<string>")
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.text(paths).select(
         "value",
-        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_path").alias("file_key"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_rid"),
     )
     first = (
         lines.where(F.col("_block") == 0)
-        .groupBy("path")
+        .groupBy("file_key")
         .agg(F.min_by("value", "_rid").alias("header_line"))
     )
     return first.withColumn("header", header_names("header_line"))
 
 
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Raw lines of the given files with their path (for the reject store)."""
+    """Raw lines of the given files (plain paths) with their ``file_key`` (for the reject store)."""
     if not paths:
-        return spark.createDataFrame([], "value string, path string")
-    return spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
-
+        return spark.createDataFrame([], "value string, file_key string")
+    return spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file_key"))
 
-def string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
-
-def read_csv_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
-    """Read files that all carry ``header``; values stay text until the conform step casts them."""
-    return (
-        spark.read.schema(string_schema(header))
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .csv(list(paths))
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
+def csv_lines(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
+    """Every text line of the files under ``root`` matching ``glob``, with its file_key (one scan, any headers)."""
+    paths = [root] if isinstance(root, str) else list(root)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.text(paths).select("value", F.col("_metadata.file_path").alias("file_key"))
