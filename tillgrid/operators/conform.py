@@ -116,21 +116,31 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
     matched by name, a reordered header reads correctly, and extras are packed in header order. The header line
     and blank lines are dropped, as the CSV reader does.
     """
-    files = gated.where(F.col("accepted")).select("file_key", "path", "header_line", "header", "extra")
+    names = [f.name for f in SALES_FACT.fields if f.name != EXTRA_COLUMN]
+    # Per file, once: the position of every mandatory column and of each extra column in that file's header.
+    files = gated.where(F.col("accepted")).select(
+        "file_key",
+        "path",
+        "header_line",
+        *[F.array_position("header", F.lit(n)).cast("int").alias(f"_p{i}") for i, n in enumerate(names)],
+        F.transform("extra", lambda e: F.array_position(F.col("header"), e).cast("int")).alias("_pe"),
+    )
     joined = lines.join(broadcast_if_small(files), "file_key")
     data = joined.where((F.col("value") != F.col("header_line")) & (F.trim(F.col("value")) != ""))
-    schema = ", ".join(f"_c{i} string" for i in range(max(width, 1)))
-    parsed = F.from_csv(F.col("value"), schema)
-    fields = F.array(*[parsed[f"_c{i}"] for i in range(max(width, 1))])
-
-    def text_of(name: str | Column) -> Column:
-        pos = F.array_position(F.col("header"), name if isinstance(name, Column) else F.lit(name)).cast("int")
-        return F.when(pos > 0, F.try_element_at(fields, pos))
-
-    extra_values = F.transform(F.col("extra"), lambda e: text_of(e))
-    extra = F.when(F.size("extra") > 0, F.concat_ws(",", extra_values))
-    cols = _typed_columns(text_of, extra, keep_bad)
-    return data.select(*cols, F.col("path").alias("source_file"))
+    n = max(width, 1)
+    # Parse each line once; the array is its own projection so the parser is not re-run for every column read.
+    parsed = data.select("path", "_pe", *[f"_p{i}" for i in range(len(names))],
+                         F.from_csv(F.col("value"), ", ".join(f"_c{i} string" for i in range(n))).alias("_r"))
+    fields = parsed.select("path", "_pe", *[f"_p{i}" for i in range(len(names))],
+                           F.array(*[F.col(f"_r._c{i}") for i in range(n)]).alias("_f"))
+
+    def at(pos: Column) -> Column:
+        return F.when(pos > 0, F.try_element_at(F.col("_f"), pos))
+
+    position = {name: F.col(f"_p{i}") for i, name in enumerate(names)}
+    extra = F.when(F.size("_pe") > 0, F.concat_ws(",", F.transform("_pe", at)))
+    cols = _typed_columns(lambda name: at(position[name]), extra, keep_bad)
+    return fields.select(*cols, F.col("path").alias("source_file"))
 
 
 def empty_fact(spark: SparkSession) -> DataFrame:
