@@ -46,6 +46,7 @@ def drop(tmp_path_factory):
     _write(root, "bom.csv", f"﻿{quoted}\n8,121,salt,2023-06-06,1,20,1,20\n")
     _write(root, "empty.csv", "")
     _write(root, "notes.txt", "not a sales file\nsecond line\n")
+    _write(root, "UPPER.CSV", f"{HEADER}\n12,121,tea,2023-07-09,2,5,1,5\n")
     _write(root, "a/sales.csv", f"{HEADER}\n9,121,tea,2023-07-07,2,5,2,10\n")
     _write(root, "b/sales.csv", f"{HEADER}\n10,121,tea,2023-07-08,2,5,4,20\n")
     _write(root, "odd dir/50% off.csv", f"{HEADER}\n11,121,tea,2023-07-09,2,5,1,5\n")
@@ -67,7 +68,7 @@ def test_manifest_lists_files_only(spark, drop):
     # A zero-byte file holds neither header nor rows; Spark's file scan skips it, so it is not in the manifest.
     assert names == sorted(
         ["plain.csv", "extra.csv", "two_extras.csv", "missing.csv", "reordered.csv", "bom.csv",
-         "notes.txt", "a/sales.csv", "b/sales.csv", "odd dir/50% off.csv"]
+         "notes.txt", "UPPER.CSV", "a/sales.csv", "b/sales.csv", "odd dir/50% off.csv"]
     )
     assert {_rel(r.path, drop): r.is_csv for r in files}["notes.txt"] is False
 
@@ -88,6 +89,7 @@ def test_gate_verdicts(intake, drop):
     assert list(g["missing.csv"].missing) == ["store_id"]
     assert g["missing.csv"].reason == conform.REASON_MISSING
     assert g["notes.txt"].reason == conform.REASON_NOT_CSV
+    assert g["UPPER.CSV"].reason == conform.REASON_NOT_CSV  # the suffix test is case-sensitive
     assert "empty.csv" not in g
     assert g["reordered.csv"].accepted and g["bom.csv"].accepted
     assert g["a/sales.csv"].accepted and g["b/sales.csv"].accepted
@@ -128,18 +130,23 @@ def test_reject_table_and_lines(spark, intake, drop, tmp_path):
     assert rej == {
         "missing.csv": conform.REASON_MISSING,
         "notes.txt": conform.REASON_NOT_CSV,
+        "UPPER.CSV": conform.REASON_NOT_CSV,
     }
     lines = rejected_lines(spark, intake)
     got = sorted((r.file_name, r.value) for r in lines.collect())
-    assert got == [
+    assert got == sorted([
         ("missing.csv", '6,sugar,2023-03-03,"[1, 2, 3]",50,1,50,UPI'),
+        ("UPPER.CSV", HEADER),
+        ("UPPER.CSV", "12,121,tea,2023-07-09,2,5,1,5"),
         ("notes.txt", "not a sales file"),
         ("notes.txt", "second line"),
-    ]
+    ])
     out = str(tmp_path / "rejected")
     store_rejected_lines(lines, out)
     back = spark.read.text(out)
-    assert sorted(r.file_name for r in back.select("file_name").distinct().collect()) == ["missing.csv", "notes.txt"]
+    assert sorted(r.file_name for r in back.select("file_name").distinct().collect()) == [
+        "UPPER.CSV", "missing.csv", "notes.txt",
+    ]
 
 
 def test_empty_drop_gives_empty_typed_fact(spark, tmp_path):

@@ -41,9 +41,10 @@ def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
 
 
 def split_by_suffix(files: DataFrame, suffix: str = ".csv") -> DataFrame:
-    """Add ``is_csv``: the file name ends with ``suffix`` (case-insensitive) and the entry is not a folder."""
-    name = F.lower(F.col("path"))
-    return files.withColumn("is_csv", name.endswith(suffix.lower()) & ~name.endswith("/"))
+    """Add ``is_csv``: the file name ends with ``suffix`` (case-sensitive, like the ``*.csv`` glob of the header
+    probe and the line scan) and the entry is not a folder."""
+    name = F.col("path")
+    return files.withColumn("is_csv", name.endswith(suffix) & ~name.endswith("/"))
 
 
 def header_names(line: str | F.Column) -> F.Column:
