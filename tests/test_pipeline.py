@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tillgrid.operators import ledger
 from tillgrid.plans import pipeline
 from tillgrid.schemas import CUSTOMER, MANDATORY_COLUMNS, SALES_TEAM, STORE
 
@@ -52,8 +54,17 @@ def test_run_writes_marts_rejects_and_ledger(spark, tmp_path):
     state = pipeline.ledger_state(spark, out)
     assert rows(state, "file_name", "status") == [("s1.csv", "I"), ("s2.csv", "I")]
 
+    assert result.leftovers.count() == 0
+
+    # A run that opened s1.csv and stopped: the next run reports it before doing its own work.
+    files = result.intake.files.where(F.col("file_name") == "s1.csv").select("path", "file_name")
+    ledger.ledger_rows(spark, "run-0", files, ledger.ACTIVE, dt.datetime(2020, 1, 1), 0).write.mode("append").parquet(
+        result.outputs["ledger"]
+    )
+
     # Second run over the same files: the monthly marts are replaced, not doubled.
-    pipeline.run(spark, str(drop), _dims(spark), out, run_id="run-2")
+    second = pipeline.run(spark, str(drop), _dims(spark), out, run_id="run-2")
+    assert [r.file_name for r in second.leftovers.collect()] == ["s1.csv"]
     again = spark.read.parquet(result.outputs["sales_team_data_mart"])
     assert rows(again, "sales_person_id", "total_sales") == [(1, Decimal("103.00")), (2, Decimal("60.00"))]
-    assert pipeline.ledger_state(spark, out).count() == 4
+    assert pipeline.ledger_state(spark, out).count() == 5

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tillgrid.operators import ledger, marts
@@ -50,6 +51,7 @@ class RunResult:
     run_ts: int
     intake: Intake
     enriched: DataFrame
+    leftovers: DataFrame  # files on hand left unfinished (A without I) by an earlier run, found before this run
     outputs: dict[str, str] = field(default_factory=dict)
 
 
@@ -60,6 +62,7 @@ def output_paths(out: str) -> dict[str, str]:
         name: f"{base}/{name}"
         for name in (
             "ledger",
+            "leftovers",
             "rejects",
             "rejected_lines",
             "customer_mart",
@@ -89,6 +92,12 @@ def run(
 
     intake = run_intake(spark, incoming)
     accepted = intake.gated.where("accepted").select("path", "file_name")
+    # Restart check, reported as data: files on hand that an earlier run opened and never finished. Written before
+    # this run touches the ledger, so the answer is fixed.
+    unfinished_files(spark, out, intake.files).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(
+        paths["leftovers"]
+    )
+    leftovers = spark.read.parquet(paths["leftovers"]).where(F.col("run_id") == run_id).drop("run_id")
 
     ledger.ledger_rows(spark, run_id, accepted, ledger.ACTIVE, _now(), 0).write.mode("append").parquet(
         paths["ledger"]
@@ -116,10 +125,22 @@ def run(
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 1).write.mode("append").parquet(
         paths["ledger"]
     )
-    return RunResult(run_id=run_id, run_ts=run_ts, intake=intake, enriched=enriched, outputs=paths)
+    return RunResult(
+        run_id=run_id, run_ts=run_ts, intake=intake, enriched=enriched, leftovers=leftovers, outputs=paths
+    )
 
 
 def ledger_state(spark: SparkSession, out: str) -> DataFrame:
     """Current status per (run, file) of the ledger under ``out``."""
     rows = spark.read.parquet(output_paths(out)["ledger"])
     return ledger.current_state(rows, ["run_id", "file_name", "file_location"], "status", ["event_ts", "seq"])
+
+
+def unfinished_files(spark: SparkSession, out: str, on_hand: DataFrame) -> DataFrame:
+    """Files of ``on_hand`` (a manifest) whose latest ledger status under ``out`` is not finished (lazy)."""
+    try:
+        state = ledger_state(spark, out)
+    except AnalysisException:  # no ledger yet: first run
+        return spark.createDataFrame([], "path string, file_name string")
+    open_files = state.where(F.col("status") != F.lit(ledger.FINISHED)).select(F.col("file_location").alias("path"))
+    return on_hand.select("path", "file_name").join(open_files, "path", "left_semi")
