@@ -13,6 +13,8 @@ Everything here is a lazy projection or join over Parquet scans, so filters and
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +33,21 @@ TABLES = (
 )
 
 
+# The driver tables never change while an application runs, so each is listed and its footer read once per
+# application; every query then starts from the same relation (the plan is still built and optimised per query).
+_READS: dict[tuple[str, str], DataFrame] = {}
+_READS_LOCK = threading.Lock()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    with _READS_LOCK:
+        df = _READS.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _READS[key] = spark.read.parquet(path)
+        return df
 
 
 def _pad6(c) -> F.Column:
