@@ -163,3 +163,12 @@ def test_union_all_keeps_duplicates(spark):
         spark.createDataFrame([(1, 121, "x", dt.date(2023, 1, 1), 1, None, 1, Decimal("1"), None)], SALES_FACT)
     )
     assert conform.union_all([one, one]).count() == 2
+
+
+def test_conform_of_named_text_frame(spark):
+    header = ["total_cost", *[c for c in MANDATORY_COLUMNS if c != "total_cost"], "payment_mode"]
+    raw = spark.createDataFrame(
+        [("5.00", "1", "121", "x", "2023-01-02", "1", "2.5", "2", "UPI")], ", ".join(f"`{c}` string" for c in header)
+    )
+    r = conform.conform(raw, header).first()
+    assert (r.customer_id, r.total_cost, r.price, r.additional_column) == (1, Decimal("5.00"), Decimal("2.50"), "UPI")

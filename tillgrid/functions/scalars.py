@@ -33,11 +33,6 @@ def full_name(first: str | Column, last: str | Column) -> Column:
     return F.concat(_c(first), F.lit(" "), _c(last))
 
 
-def money(c: str | Column) -> Column:
-    """Exact DECIMAL(18,2) money value."""
-    return _c(c).cast(MONEY)
-
-
 def top_rank_incentive(rank_col: str | Column, total_col: str | Column) -> Column:
     """Rank 1 earns ``round(total * 1 %, 2)``; every other rank earns 0."""
     rate = F.lit(INCENTIVE_RATE).cast("decimal(3,2)")
