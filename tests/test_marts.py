@@ -176,3 +176,24 @@ def test_incentive_join_form_equals_rank_form(spark, totals):
     by_max = rows(marts.with_incentive(monthly), "sales_person_id", "incentive")
     by_rank = rows(marts.incentive_by_rank(monthly), "sales_person_id", "incentive")
     assert by_max == by_rank
+
+
+_groups = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]),
+        st.one_of(st.none(), st.integers(min_value=0, max_value=6)),
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(_groups, st.integers(min_value=1, max_value=5))
+def test_distributed_rank_equals_window_rank(spark, data, parts):
+    from tillgrid.operators.ranking import rank_desc
+
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(data)], "g string, v long, i long")
+    want = rows(marts.rank_within(df, ["g"], "v"), "i", "rnk")
+    got = rows(rank_desc(df, ["g"], "v", num_partitions=parts), "i", "rnk")
+    assert got == want

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrid.functions.scalars import full_name, incentive_from_max, month_key, top_rank_incentive
+from tillgrid.operators.ranking import rank_desc
 from tillgrid.schemas import CUSTOMER_MART_COLUMNS, MONEY, SALES_MART_COLUMNS
 
 
@@ -109,8 +110,8 @@ def sales_incentive(enriched: DataFrame) -> DataFrame:
 def rank_within(df: DataFrame, group: list[str], value: str, name: str = "rnk") -> DataFrame:
     """``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``: ties share a rank.
 
-    A window puts each group in one task; use it on aggregated rows (one per member of the group), never on raw
-    facts. ``with_incentive`` needs only "is first" and avoids the window entirely.
+    A window puts each group in one task: use it only where a group is known to be small. ``rank_desc`` gives the
+    same ranks without that limit, and ``with_incentive`` needs only "is first" and avoids ranking entirely.
     """
     w = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last())
     return df.withColumn(name, F.rank().over(w))
@@ -118,5 +119,5 @@ def rank_within(df: DataFrame, group: list[str], value: str, name: str = "rnk")
 
 def incentive_by_rank(monthly: DataFrame) -> DataFrame:
     """The incentive through an explicit rank, for callers that also want the rank column."""
-    ranked = rank_within(monthly, ["store_id", "sales_month"], "total_sales")
+    ranked = rank_desc(monthly, ["store_id", "sales_month"], "total_sales")
     return ranked.withColumn("incentive", top_rank_incentive("rnk", "total_sales"))

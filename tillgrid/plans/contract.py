@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillgrid.functions import scalars
 from tillgrid.operators import conform, ledger, marts
 from tillgrid.operators.enrich import star_join
+from tillgrid.operators.ranking import rank_desc
 from tillgrid.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +71,7 @@ def q_incentive_ties(spark, sf_dir):
         .groupBy("store_id", "sales_month", "sales_person_id")
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
-    return marts.rank_within(counts, ["store_id", "sales_month"], "n_lines")
+    return rank_desc(counts, ["store_id", "sales_month"], "n_lines")
 
 
 # ---------------------------------------------------------------------------------------------------------------
