@@ -68,3 +68,29 @@ def test_run_writes_marts_rejects_and_ledger(spark, tmp_path):
     again = spark.read.parquet(result.outputs["sales_team_data_mart"])
     assert rows(again, "sales_person_id", "total_sales") == [(1, Decimal("103.00")), (2, Decimal("60.00"))]
     assert pipeline.ledger_state(spark, out).count() == 5
+
+
+def test_months_add_up_over_runs_and_reruns_change_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first, second = tmp_path / "in1", tmp_path / "in2"
+    first.mkdir()
+    second.mkdir()
+    (first / "day1.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-03,1,100,1,100\n2,121,oats,2023-03-05,2,60,1,60\n")
+    (second / "day2.csv").write_text(f"{HEADER}\n2,121,oats,2023-03-20,2,50,1,50\n1,121,oats,2023-04-01,1,7,1,7\n")
+
+    pipeline.run(spark, str(first), _dims(spark), out)
+    pipeline.run(spark, str(second), _dims(spark), out)
+    result = pipeline.run(spark, str(second), _dims(spark), out)  # the same file again
+    team = spark.read.parquet(result.outputs["sales_team_data_mart"])
+    assert rows(team, "sales_month", "sales_person_id", "total_sales", "incentive") == [
+        ("2023-03", 1, Decimal("100.00"), Decimal("0.00")),
+        ("2023-03", 2, Decimal("110.00"), Decimal("1.10")),
+        ("2023-04", 1, Decimal("7.00"), Decimal("0.07")),
+    ]
+    customers = spark.read.parquet(result.outputs["customers_data_mart"])
+    assert rows(customers, "sales_date_month", "customer_id", "total_sales") == [
+        ("2023-03", 1, Decimal("100.00")),
+        ("2023-03", 2, Decimal("110.00")),
+        ("2023-04", 1, Decimal("7.00")),
+    ]
+    assert rows(result.enriched, "customer_id", "total_cost") == [(1, Decimal("7.00")), (2, Decimal("50.00"))]

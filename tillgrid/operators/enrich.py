@@ -11,6 +11,8 @@ a dimension beyond the bound is left to a shuffle join (with AQE's skew split on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,9 +70,11 @@ def star_join(
     store: DataFrame,
     team: DataFrame,
     max_broadcast_rows: int | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``fact ⋈ customer ⋈ store ⋈ sales_team`` (inner), columns as in ``ENRICHED_COLUMNS``."""
-    facts = fact.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
+    """``fact ⋈ customer ⋈ store ⋈ sales_team`` (inner), columns as in ``ENRICHED_COLUMNS`` plus ``carry`` (fact
+    columns passed through, such as the source file)."""
+    facts = fact.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost", *carry)
     # Inner joins commute; the sales team goes first so that, when neither side is broadcast, a fact already
     # partitioned on the sales-person key (as the driver tables' fact is, by its supplier lookup) is not shuffled
     # again for it. Beyond the broadcast bound each join is a sort-merge join on its own key.
@@ -79,4 +83,4 @@ def star_join(
         .join(broadcast_if_small(store_side(store), max_broadcast_rows), "store_id")
         .join(broadcast_if_small(customer_side(customer), max_broadcast_rows), "customer_id")
     )
-    return joined.select(*ENRICHED_COLUMNS)
+    return joined.select(*ENRICHED_COLUMNS, *carry)

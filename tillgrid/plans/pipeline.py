@@ -6,12 +6,13 @@ Steps and the Spark work behind each:
 2. Ledger open: one ``A`` row per accepted file, appended before any data work (a crash leaves ``A`` rows with no
    ``I``, which ``ledger.incomplete`` reports on the next run).
 3. Rejects: the reject table (path, reason, missing columns) and the raw lines of rejected files.
-4. The enriched fact (fact ⋈ customer ⋈ store ⋈ sales team) is written once as Parquet under
-   ``spark.checkpoint.dir``: the CSV parse and the joins run once, lineage is cut, and the outputs read those
+4. The enriched fact (fact ⋈ customer ⋈ store ⋈ sales team) goes into a sales history partitioned by (month,
+   source file); a file written again replaces its own partitions. The write cuts lineage: the outputs read those
    files (only the columns each needs), which survive the loss of any executor.
-5. Outputs: customer rows published under ``run_ts=<epoch ms>``; sales rows plain and partitioned by
-   (``sales_month``, ``store_id``); both monthly marts loaded by dynamic partition overwrite on the month, so a
-   rerun replaces its months instead of adding a second copy.
+5. Outputs: customer rows and sales rows (plain and partitioned by ``sales_month``, ``store_id``) published
+   under ``run_ts=<epoch ms>``; both monthly marts recomputed from the whole history of every month this run
+   touched and loaded by dynamic partition overwrite on the month, so files of one month arriving in several runs
+   add up and a rerun adds nothing.
 6. Ledger close: one ``I`` row per accepted file with the real end time.
 
 The run takes each file on hand; ``tillgrid.streaming.intake`` is the variant that takes only new files and
@@ -32,10 +33,15 @@ from pyspark.sql import functions as F
 from tillgrid.operators import ledger, marts
 from tillgrid.operators.enrich import star_join
 from tillgrid.plans.intake import Intake, rejected_lines, run_intake, store_rejected_lines
-from tillgrid.session import scratch_path
+from tillgrid.functions.scalars import month_key
+from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.sinks import files as sinks
 
 
+# Partition column of the sales history: a 64-bit hash of the source file's path.
+SOURCE_COLUMN = "src"
+
+
 @dataclass
 class Dimensions:
     """Dimension frames in the reference's column names (see ``tillgrid.schemas``)."""
@@ -65,6 +71,7 @@ def output_paths(out: str) -> dict[str, str]:
             "leftovers",
             "rejects",
             "rejected_lines",
+            "sales_history",
             "customer_mart",
             "sales_mart",
             "sales_mart_partitioned",
@@ -106,21 +113,35 @@ def run(
     intake.rejects.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(paths["rejects"])
     store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"])
 
-    # Cut lineage with a written table in the shared checkpoint folder: the CSV parse and the joins run once, and
-    # each output reads back only the columns it needs (a Parquet scan, unlike an RDD checkpoint's rows).
-    star = star_join(intake.fact, dims.customer, dims.store, dims.team)
-    star_path = scratch_path(spark, f"enriched-{run_id}")
-    sinks.write_parquet(star, star_path)
-    enriched = spark.read.schema(star.schema).parquet(star_path)
+    # The enriched sales of this run go into the sales history, one partition per (month, source file). Writing
+    # a file's partitions again replaces them, so a file processed twice (a crash before the ledger closed) is
+    # never counted twice. The write also cuts lineage: everything below reads these files, pruned to its columns.
+    star = star_join(intake.fact, dims.customer, dims.store, dims.team, carry=["source_file"])
+    history_rows = (
+        star.withColumn("sales_month", month_key("sales_date"))
+        .withColumn(SOURCE_COLUMN, F.xxhash64("source_file"))
+        .drop("source_file")
+    )
+    sinks.overwrite_partitions(history_rows, paths["sales_history"], ["sales_month", SOURCE_COLUMN])
+    history = spark.read.schema(history_rows.schema).parquet(paths["sales_history"])
+    # This run's rows: a semi join on the partition column with one row per accepted file, so the scan reads
+    # only this run's partitions (dynamic partition pruning).
+    run_files = broadcast_if_small(accepted.select(F.xxhash64("path").alias(SOURCE_COLUMN)))
+    enriched = history.join(run_files, SOURCE_COLUMN, "left_semi")
 
-    sinks.publish_run(marts.customer_mart_rows(enriched), paths["customer_mart"], run_ts)
     sales_rows = marts.sales_mart_rows(enriched)
-    sinks.write_parquet(sales_rows, paths["sales_mart"])
-    sinks.write_partitioned(sales_rows, paths["sales_mart_partitioned"], ["sales_month", "store_id"])
+    sinks.publish_run(marts.customer_mart_rows(enriched), paths["customer_mart"], run_ts)
+    sinks.publish_run(sales_rows, paths["sales_mart"], run_ts)
+    sinks.publish_run(sales_rows, paths["sales_mart_partitioned"], run_ts, partition_cols=["sales_month", "store_id"])
+
+    # Monthly marts: every month this run touched is recomputed from the whole history of that month and its
+    # partition replaced, so files of one month arriving over several runs add up, and a rerun changes nothing.
+    months = broadcast_if_small(enriched.select("sales_month").distinct())
+    touched = history.join(months, "sales_month", "left_semi")
     sinks.overwrite_partitions(
-        marts.customer_monthly_sales(enriched), paths["customers_data_mart"], ["sales_date_month"]
+        marts.customer_monthly_sales(touched), paths["customers_data_mart"], ["sales_date_month"]
     )
-    sinks.overwrite_partitions(marts.sales_incentive(enriched), paths["sales_team_data_mart"], ["sales_month"])
+    sinks.overwrite_partitions(marts.sales_incentive(touched), paths["sales_team_data_mart"], ["sales_month"])
 
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 1).write.mode("append").parquet(
         paths["ledger"]

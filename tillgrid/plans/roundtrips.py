@@ -46,6 +46,8 @@ def write_sales_drop(spark: SparkSession, sf_dir: str, root: str) -> None:
     lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumns(
         {"payment_mode": F.col("l_returnflag"), "ship_status": F.col("l_linestatus")}
     )
+    # Like real sales drops, each file covers one stretch of sale dates (a range partitioning on the date).
+    lines = lines.repartitionByRange("sales_date")
     status = F.col("o_orderstatus")
     csv = {"header": "true"}
     lines.where(status == "F").select(*[_text(c) for c in MANDATORY_COLUMNS]).write.options(**csv).csv(f"{root}/F")

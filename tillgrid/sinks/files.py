@@ -65,10 +65,16 @@ def read_csv_report(spark: SparkSession, path: str, schema: StructType | str) ->
     return spark.read.schema(schema).option("header", "true").csv(path)
 
 
-def publish_run(df: DataFrame, base: str, run_ts: int, mode: str = "errorifexists") -> str:
-    """Write one run of a mart under ``<base>/run_ts=<epoch ms>/``; earlier runs stay readable."""
+def publish_run(
+    df: DataFrame, base: str, run_ts: int, mode: str = "errorifexists", partition_cols: Sequence[str] = ()
+) -> str:
+    """Write one run of a mart under ``<base>/run_ts=<epoch ms>/`` (optionally hive-partitioned below that);
+    earlier runs stay readable."""
     target = f"{base.rstrip('/')}/{RUN_COLUMN}={int(run_ts)}"
-    df.write.mode(mode).parquet(target)
+    if partition_cols:
+        write_partitioned(df, target, partition_cols, mode=mode)
+    else:
+        df.write.mode(mode).parquet(target)
     return target
 
 
