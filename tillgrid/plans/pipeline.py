@@ -34,7 +34,6 @@ from tillgrid.operators import ledger, marts
 from tillgrid.operators.enrich import star_join
 from tillgrid.plans.intake import Intake, rejected_lines, run_intake, store_rejected_lines
 from tillgrid.functions.scalars import month_key
-from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.sinks import files as sinks
 
 
@@ -124,10 +123,10 @@ def run(
     )
     sinks.overwrite_partitions(history_rows, paths["sales_history"], ["sales_month", SOURCE_COLUMN])
     history = spark.read.schema(history_rows.schema).parquet(paths["sales_history"])
-    # This run's rows: a semi join on the partition column with one row per accepted file, so the scan reads
-    # only this run's partitions (dynamic partition pruning).
-    run_files = broadcast_if_small(accepted.select(F.xxhash64("path").alias(SOURCE_COLUMN)))
-    enriched = history.join(run_files, SOURCE_COLUMN, "left_semi")
+    # This run's rows: a filter on the partition column, so the scan lists the history but reads only this run's
+    # partitions. The hashes are file metadata, one number per accepted file.
+    run_files = [r[0] for r in accepted.select(F.xxhash64("path")).distinct().collect()]
+    enriched = history.where(F.col(SOURCE_COLUMN).isin(run_files))
 
     sales_rows = marts.sales_mart_rows(enriched)
     sinks.publish_run(marts.customer_mart_rows(enriched), paths["customer_mart"], run_ts)
@@ -136,8 +135,12 @@ def run(
 
     # Monthly marts: every month this run touched is recomputed from the whole history of that month and its
     # partition replaced, so files of one month arriving over several runs add up, and a rerun changes nothing.
-    months = broadcast_if_small(enriched.select("sales_month").distinct())
-    touched = history.join(months, "sales_month", "left_semi")
+    # The months are a handful of values; as a partition filter they keep every other month's files unread.
+    months = [r[0] for r in enriched.select("sales_month").distinct().collect()]
+    in_months = F.col("sales_month").isin([m for m in months if m is not None])
+    if None in months:
+        in_months = in_months | F.col("sales_month").isNull()
+    touched = history.where(in_months)
     sinks.overwrite_partitions(
         marts.customer_monthly_sales(touched), paths["customers_data_mart"], ["sales_date_month"]
     )
