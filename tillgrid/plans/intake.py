@@ -7,6 +7,7 @@ list on the driver). Rejected files' raw lines can be copied to a reject store p
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,8 @@ class Intake:
     rejects: DataFrame  # path, file_name, reason, missing
 
 
-def run_intake(spark: SparkSession, root: str) -> Intake:
-    """Gate every file under ``root`` and conform the accepted ones."""
+def run_intake(spark: SparkSession, root: str | Sequence[str]) -> Intake:
+    """Gate every file under ``root`` (a folder, or a list of folders or files) and conform the accepted ones."""
     files = file_source.split_by_suffix(file_source.manifest(spark, root))
     headers = file_source.file_headers(spark, root)
     # One row per file; reused by the width, the line conform and the reject table.

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -86,12 +87,13 @@ def _now() -> datetime:
 
 def run(
     spark: SparkSession,
-    incoming: str,
+    incoming: str | Sequence[str],
     dims: Dimensions,
     out: str,
     run_id: str | None = None,
 ) -> RunResult:
-    """Process every file under ``incoming`` and write all outputs under ``out``."""
+    """Process every file under ``incoming`` (a folder, or a list of folders or files) and write all outputs under
+    ``out``."""
     run_id = run_id or uuid.uuid4().hex
     run_ts = int(time.time()) * 1000
     paths = output_paths(out)

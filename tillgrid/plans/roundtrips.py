@@ -22,12 +22,13 @@ from tillgrid.operators import marts
 from tillgrid.plans import pipeline
 from tillgrid.plans.contract import enriched, incentive_sql
 from tillgrid.plans.intake import rejected_lines, run_intake
-from tillgrid.schemas import MANDATORY_COLUMNS, SALES_FACT
+from tillgrid.schemas import MANDATORY_COLUMNS, SALES_FACT, SALES_TEAM_MART
 from tillgrid.session import scratch_path
 from tillgrid.sinks import files as sinks
 from tillgrid.sources import files as file_source
 from tillgrid.sources import tables
 from tillgrid.streaming.intake import drain_to_parquet, drop_folder_stream
+from tillgrid.streaming.pipeline import run_stream
 
 _drops: dict[tuple[str, str], str] = {}
 _lock = threading.Lock()
@@ -41,8 +42,10 @@ def _text(c: str) -> F.Column:
     return F.col(c).cast("string").alias(c)
 
 
-def write_sales_drop(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the four-folder sales drop described in the module docstring."""
+def write_sales_drop(
+    spark: SparkSession, sf_dir: str, root: str, parts: tuple[str, ...] = ("F", "O", "P", "notes")
+) -> None:
+    """Write the sales drop described in the module docstring (the folders named in ``parts``)."""
     lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumns(
         {"payment_mode": F.col("l_returnflag"), "ship_status": F.col("l_linestatus")}
     )
@@ -50,14 +53,18 @@ def write_sales_drop(spark: SparkSession, sf_dir: str, root: str) -> None:
     lines = lines.repartitionByRange("sales_date")
     status = F.col("o_orderstatus")
     csv = {"header": "true"}
-    lines.where(status == "F").select(*[_text(c) for c in MANDATORY_COLUMNS]).write.options(**csv).csv(f"{root}/F")
-    lines.where(status == "O").select(*[_text(c) for c in REORDERED_HEADER]).write.options(**csv).csv(f"{root}/O")
-    lines.where(status == "P").select(
-        *[_text(c) for c in MANDATORY_COLUMNS if c != "store_id"], _text("payment_mode")
-    ).write.options(**csv).csv(f"{root}/P")
-    tables.table(spark, sf_dir, "orders").select(
-        F.concat_ws(" ", F.col("o_orderkey").cast("string"), F.col("o_orderpriority")).alias("value")
-    ).write.text(f"{root}/notes")
+    if "F" in parts:
+        lines.where(status == "F").select(*[_text(c) for c in MANDATORY_COLUMNS]).write.options(**csv).csv(f"{root}/F")
+    if "O" in parts:
+        lines.where(status == "O").select(*[_text(c) for c in REORDERED_HEADER]).write.options(**csv).csv(f"{root}/O")
+    if "P" in parts:
+        lines.where(status == "P").select(
+            *[_text(c) for c in MANDATORY_COLUMNS if c != "store_id"], _text("payment_mode")
+        ).write.options(**csv).csv(f"{root}/P")
+    if "notes" in parts:
+        tables.table(spark, sf_dir, "orders").select(
+            F.concat_ws(" ", F.col("o_orderkey").cast("string"), F.col("o_orderpriority")).alias("value")
+        ).write.text(f"{root}/notes")
 
 
 def sales_drop(spark: SparkSession, sf_dir: str) -> str:
@@ -160,8 +167,26 @@ def q_pipeline_run(spark, sf_dir):
         customer=tables.customers(spark, sf_dir), store=tables.stores(spark, sf_dir), team=tables.sales_team(spark, sf_dir)
     )
     result = pipeline.run(spark, sales_drop(spark, sf_dir), dims, scratch_path(spark, "pipeline-run"))
-    mart = marts.sales_incentive(result.enriched)
-    return spark.read.schema(mart.schema).parquet(result.outputs["sales_team_data_mart"]).select(*mart.columns)
+    return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
+
+
+def _read_team_mart(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SALES_TEAM_MART).parquet(path).select(*SALES_TEAM_MART.fieldNames())
+
+
+def q_stream_pipeline(spark, sf_dir):
+    """The job as a stream over a drop that arrives in two parts (finished orders and rejects first, open orders
+    later); each availableNow run processes and archives only the new files, and months add up across runs."""
+    base = scratch_path(spark, "stream-pipeline")
+    drop, out, ckpt, archive = (f"{base}/{p}" for p in ("drop", "out", "checkpoint", "archive"))
+    dims = pipeline.Dimensions(
+        customer=tables.customers(spark, sf_dir), store=tables.stores(spark, sf_dir), team=tables.sales_team(spark, sf_dir)
+    )
+    write_sales_drop(spark, sf_dir, drop, parts=("F", "P"))
+    run_stream(spark, drop, dims, out, ckpt, archive)
+    write_sales_drop(spark, sf_dir, drop, parts=("O", "notes"))
+    run_stream(spark, drop, dims, out, ckpt, archive)
+    return _read_team_mart(spark, pipeline.output_paths(out)["sales_team_data_mart"])
 
 
 def q_stream_intake(spark, sf_dir):
@@ -223,6 +248,7 @@ UNION ALL SELECT 'notes', 'not a csv file', count(*) FROM orders""",
         "latest_run_read": ORACLE_SQL["customer_monthly_sales"],
         "monthly_report_csv": ORACLE_SQL["sales_incentive"],
         "pipeline_run": incentive_sql("o.o_orderstatus IN ('F', 'O')"),
+        "stream_pipeline": incentive_sql("o.o_orderstatus IN ('F', 'O')"),
         "stream_intake": """
 SELECT o.o_custkey AS customer_id, CAST(s.s_nationkey AS BIGINT) AS store_id, CAST(NULL AS VARCHAR) AS product_name,
        CAST(o.o_orderdate AS DATE) AS sales_date, l.l_suppkey AS sales_person_id, CAST(NULL AS DECIMAL(18,2)) AS price,
@@ -243,5 +269,6 @@ QUERIES = {
     "latest_run_read": q_latest_run_read,
     "monthly_report_csv": q_monthly_report_csv,
     "pipeline_run": q_pipeline_run,
+    "stream_pipeline": q_stream_pipeline,
     "stream_intake": q_stream_intake,
 }

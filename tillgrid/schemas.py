@@ -113,3 +113,15 @@ SALES_MART_COLUMNS = (
     "total_cost",
     "sales_month",
 )
+
+# The sales-team data mart (monthly totals with incentive).
+SALES_TEAM_MART = T.StructType(
+    [
+        T.StructField("store_id", T.LongType()),
+        T.StructField("sales_person_id", T.LongType()),
+        T.StructField("full_name", T.StringType()),
+        T.StructField("sales_month", T.StringType()),
+        T.StructField("total_sales", MONEY),
+        T.StructField("incentive", MONEY),
+    ]
+)
