@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillgrid.session import ensure_checkpoint_dir
+
 
 def rank_desc(
     df: DataFrame,
@@ -42,6 +44,7 @@ def rank_desc(
     # The partition numbers are read by two branches below. A recomputed range shuffle could draw other bounds
     # (its sample depends on row order), so the numbered counts are checkpointed into the shared checkpoint folder
     # and both branches read the same files.
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
 
     per_part = ranged.groupBy(*group, "_pid").agg(F.sum("_n").alias("_t"))

@@ -8,6 +8,8 @@ The sales drop used by the intake queries is written once per session and scale
 * ``O/`` - open orders' lines, header reordered (``total_cost`` first) plus ``payment_mode`` and ``ship_status``;
 * ``P/`` - partly shipped orders' lines with ``store_id`` missing (rejected);
 * ``notes/`` - one text line per order (not a CSV file, rejected).
+
+``stream_pipeline`` writes its own copy of the drop, in two parts, because the stream archives (moves) its files.
 """
 
 from __future__ import annotations
