@@ -255,7 +255,7 @@ FROM star""",
   SELECT store_id, strftime(sales_date, '%Y-%m') AS sales_month, sales_person_id, count(*) AS n_lines
   FROM star GROUP BY store_id, strftime(sales_date, '%Y-%m'), sales_person_id)
 SELECT store_id, sales_month, sales_person_id, n_lines,
-       rank() OVER (PARTITION BY store_id, sales_month ORDER BY n_lines DESC) AS rnk
+       CAST(rank() OVER (PARTITION BY store_id, sales_month ORDER BY n_lines DESC) AS INTEGER) AS rnk
 FROM counts""",
     "month_key": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS sales_month,
