@@ -94,3 +94,34 @@ def test_months_add_up_over_runs_and_reruns_change_nothing(spark, tmp_path):
         ("2023-04", 1, Decimal("7.00")),
     ]
     assert rows(result.enriched, "customer_id", "total_cost") == [(1, Decimal("7.00")), (2, Decimal("50.00"))]
+
+
+def test_volume_file_of_one_date(spark, tmp_path):
+    """The reference's volume case: 400,000 sales of one date, 3 stores x 3 persons. Every sale lands in one month,
+    the hottest group possible; totals must equal a direct sum over the input."""
+    drop = tmp_path / "in"
+    n = 400_000
+    lines = spark.range(n).select(
+        (F.col("id") % 2 + 1).alias("customer_id"),
+        F.lit(121).alias("store_id"),
+        F.lit("oats").alias("product_name"),
+        F.lit("2023-08-20").alias("sales_date"),
+        (F.col("id") % 2 + 1).alias("sales_person_id"),
+        F.lit("1.5").alias("price"),
+        (F.col("id") % 10 + 1).alias("quantity"),
+        ((F.col("id") % 10 + 1) * F.lit(1.5)).cast("decimal(18,2)").alias("total_cost"),
+    )
+    lines.coalesce(1).write.option("header", "true").csv(str(drop))
+    out = str(tmp_path / "out")
+    result = pipeline.run(spark, str(drop), _dims(spark), out)
+    want = {
+        r["sales_person_id"]: r["t"]
+        for r in lines.groupBy("sales_person_id").agg(F.sum("total_cost").alias("t")).collect()
+    }
+    team = spark.read.parquet(result.outputs["sales_team_data_mart"])
+    got = {r.sales_person_id: r.total_sales for r in team.collect()}
+    assert got == want
+    top = max(want.values())
+    assert {r.sales_person_id: r.incentive for r in team.collect()} == {
+        p: (t * Decimal("0.01")).quantize(Decimal("0.01")) if t == top else Decimal("0.00") for p, t in want.items()
+    }
