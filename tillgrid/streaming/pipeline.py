@@ -45,8 +45,10 @@ def run_stream(
     archive_dir: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Run the pipeline on each micro-batch of new files; blocks until drained when ``available_now``."""
+    """Run the pipeline on each micro-batch of new files; blocks until drained when ``available_now``, else runs
+    every ``interval`` until stopped."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch is a list of file paths (metadata): the pipeline plans its scans from them.
@@ -59,7 +61,7 @@ def run_stream(
         .writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint_dir)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     query = writer.start()
     if available_now:
         query.awaitTermination()
