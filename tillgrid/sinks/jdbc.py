@@ -11,6 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value: money type of the mart tables in the database (DECIMAL(10,2)).
+TABLE_MONEY = "decimal(10,2)"
 
 
 def write_table(
@@ -34,3 +38,28 @@ def write_table(
         df.write.jdbc(url, table, mode="overwrite", properties=props)
     else:
         df.write.jdbc(url, table, mode="append", properties=props)
+
+
+def customers_table_rows(mart: DataFrame) -> DataFrame:
+    """The customer month mart in the table's types: the ``yyyy-MM`` month becomes the DATE of its first day and
+    the total a DECIMAL(10,2). A total too large for the column raises under ANSI instead of loading a wrong value."""
+    return mart.select(
+        "customer_id",
+        "full_name",
+        "address",
+        "phone_number",
+        F.to_date(F.concat(F.col("sales_date_month"), F.lit("-01"))).alias("sales_date_month"),
+        F.col("total_sales").cast(TABLE_MONEY).alias("total_sales"),
+    )
+
+
+def sales_team_table_rows(mart: DataFrame) -> DataFrame:
+    """The sales-team mart in the table's types (money as DECIMAL(10,2); the month stays ``yyyy-MM`` text)."""
+    return mart.select(
+        "store_id",
+        "sales_person_id",
+        "full_name",
+        "sales_month",
+        F.col("total_sales").cast(TABLE_MONEY).alias("total_sales"),
+        F.col("incentive").cast(TABLE_MONEY).alias("incentive"),
+    )
