@@ -163,12 +163,18 @@ def q_monthly_report_csv(spark, sf_dir):
     return sinks.read_csv_report(spark, path, mart.schema).select(*mart.columns)
 
 
+def _driver_dims(spark: SparkSession, sf_dir: str) -> pipeline.Dimensions:
+    return pipeline.Dimensions(
+        customer=tables.customers(spark, sf_dir),
+        store=tables.stores(spark, sf_dir),
+        team=tables.sales_team(spark, sf_dir),
+    )
+
+
 def q_pipeline_run(spark, sf_dir):
     """The whole job over the sales drop with the driver tables as dimensions; the sales-team mart it loaded."""
-    dims = pipeline.Dimensions(
-        customer=tables.customers(spark, sf_dir), store=tables.stores(spark, sf_dir), team=tables.sales_team(spark, sf_dir)
-    )
-    result = pipeline.run(spark, sales_drop(spark, sf_dir), dims, scratch_path(spark, "pipeline-run"))
+    out = scratch_path(spark, "pipeline-run")
+    result = pipeline.run(spark, sales_drop(spark, sf_dir), _driver_dims(spark, sf_dir), out)
     return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
 
 
@@ -181,9 +187,7 @@ def q_stream_pipeline(spark, sf_dir):
     later); each availableNow run processes and archives only the new files, and months add up across runs."""
     base = scratch_path(spark, "stream-pipeline")
     drop, out, ckpt, archive = (f"{base}/{p}" for p in ("drop", "out", "checkpoint", "archive"))
-    dims = pipeline.Dimensions(
-        customer=tables.customers(spark, sf_dir), store=tables.stores(spark, sf_dir), team=tables.sales_team(spark, sf_dir)
-    )
+    dims = _driver_dims(spark, sf_dir)
     write_sales_drop(spark, sf_dir, drop, parts=("F", "P"))
     run_stream(spark, drop, dims, out, ckpt, archive)
     write_sales_drop(spark, sf_dir, drop, parts=("O", "notes"))
