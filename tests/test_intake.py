@@ -46,6 +46,7 @@ def drop(tmp_path_factory):
     _write(root, "bom.csv", f"﻿{quoted}\n8,121,salt,2023-06-06,1,20,1,20\n")
     _write(root, "empty.csv", "")
     _write(root, "notes.txt", "not a sales file\nsecond line\n")
+    _write(root, "blank_first.csv", f"\n  \n{HEADER}\n13,121,tea,2023-07-10,2,5,1,5\n")
     _write(root, "UPPER.CSV", f"{HEADER}\n12,121,tea,2023-07-09,2,5,1,5\n")
     _write(root, "a/sales.csv", f"{HEADER}\n9,121,tea,2023-07-07,2,5,2,10\n")
     _write(root, "b/sales.csv", f"{HEADER}\n10,121,tea,2023-07-08,2,5,4,20\n")
@@ -68,7 +69,7 @@ def test_manifest_lists_files_only(spark, drop):
     # A zero-byte file holds neither header nor rows; Spark's file scan skips it, so it is not in the manifest.
     assert names == sorted(
         ["plain.csv", "extra.csv", "two_extras.csv", "missing.csv", "reordered.csv", "bom.csv",
-         "notes.txt", "UPPER.CSV", "a/sales.csv", "b/sales.csv", "odd dir/50% off.csv"]
+         "notes.txt", "UPPER.CSV", "blank_first.csv", "a/sales.csv", "b/sales.csv", "odd dir/50% off.csv"]
     )
     assert {_rel(r.path, drop): r.is_csv for r in files}["notes.txt"] is False
 
@@ -93,6 +94,7 @@ def test_gate_verdicts(intake, drop):
     assert "empty.csv" not in g
     assert g["reordered.csv"].accepted and g["bom.csv"].accepted
     assert g["a/sales.csv"].accepted and g["b/sales.csv"].accepted
+    assert g["blank_first.csv"].accepted  # leading blank lines are skipped, as the CSV reader does
     assert g["odd dir/50% off.csv"].accepted  # names that need URL encoding match their own lines
 
 
@@ -100,7 +102,7 @@ def test_fact_is_typed_and_matched_by_name(intake):
     fact = intake.fact
     assert [f.name for f in fact.schema.fields[: len(SALES_FACT.fields)]] == SALES_FACT.fieldNames()
     by_customer = {r.customer_id: r for r in fact.collect()}
-    assert sorted(by_customer) == [1, 2, 3, 4, 5, 7, 8, 9, 10, 11]
+    assert sorted(by_customer) == [1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 13]
     r7 = by_customer[7]  # reordered header: values land in the right columns
     assert (r7.store_id, r7.product_name, r7.total_cost, r7.price, r7.quantity) == (
         123, "rice", Decimal("99.50"), Decimal("99.50"), 1,

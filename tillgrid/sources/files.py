@@ -2,8 +2,9 @@
 
 * ``manifest`` lists files through Spark's own file index (``binaryFile`` with only path, length and modification
   time selected, so file contents are never read).
-* ``file_headers`` finds the first line of every file in one distributed pass: each task reads the text of the
-  splits that start a file and keeps, per file, the line with the smallest row id (a map-side ``min_by``). One row
+* ``file_headers`` finds the first non-blank line of every file in one distributed pass (the CSV reader skips
+  blank lines too): each task reads the text of the splits that start a file and keeps, per file, the line with
+  the smallest row id (a map-side ``min_by``). One row
   per file leaves the tasks; the number of jobs does not grow with the number of files.
 * ``csv_lines`` gives every line of the CSV files with its file key; ``operators.conform.conform_lines`` parses them
   against each file's own header in the same single scan.
@@ -71,7 +72,7 @@ def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str | Non
         F.monotonically_increasing_id().alias("_rid"),
     )
     first = (
-        lines.where(F.col("_block") == 0)
+        lines.where((F.col("_block") == 0) & (F.trim(F.col("value")) != ""))
         .groupBy("file_key")
         .agg(F.min_by("value", "_rid").alias("header_line"))
     )
