@@ -54,7 +54,7 @@ def run_stream(
         # The micro-batch is a list of file paths (metadata): the pipeline plans its scans from them.
         paths = [r["path"] for r in batch.collect()]
         if paths:
-            pipeline.run(spark, paths, dims, out, run_id=f"batch-{batch_id}")
+            pipeline.run(batch.sparkSession, paths, dims, out, run_id=f"batch-{batch_id}")
 
     writer = (
         new_files(spark, incoming, archive_dir, max_files_per_trigger)
