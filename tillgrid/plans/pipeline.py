@@ -151,6 +151,8 @@ def run(
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 1).write.mode("append").parquet(
         paths["ledger"]
     )
+    # Release the cached per-file table: a long-running stream calls this once per micro-batch.
+    intake.gated.unpersist()
     return RunResult(
         run_id=run_id, run_ts=run_ts, intake=intake, enriched=enriched, leftovers=leftovers, outputs=paths
     )
