@@ -36,6 +36,7 @@ from tillgrid.operators.enrich import star_join
 from tillgrid.plans.intake import Intake, rejected_lines, run_intake, store_rejected_lines
 from tillgrid.functions.scalars import month_key
 from tillgrid.sinks import files as sinks
+from tillgrid.sources import jdbc
 
 
 # Partition column of the sales history: a 64-bit hash of the source file's path.
@@ -51,6 +52,23 @@ class Dimensions:
     team: DataFrame
 
 
+def dimensions_from_jdbc(
+    spark: SparkSession,
+    url: str,
+    properties: dict[str, str],
+    customer_table: str = "customer",
+    store_table: str = "store",
+    team_table: str = "sales_team",
+    num_partitions: int = 8,
+) -> Dimensions:
+    """The three dimensions read from database tables that carry the reference's column names."""
+    return Dimensions(
+        customer=jdbc.read_dimension(spark, url, customer_table, properties, "customer_id", num_partitions),
+        store=jdbc.read_dimension(spark, url, store_table, properties, "id", num_partitions),
+        team=jdbc.read_dimension(spark, url, team_table, properties, "id", num_partitions),
+    )
+
+
 @dataclass
 class RunResult:
     run_id: str

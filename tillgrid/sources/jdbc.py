@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(
@@ -42,3 +43,20 @@ def read_table(
         numPartitions=num_partitions,
         properties=props,
     )
+
+
+def read_dimension(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    key: str,
+    num_partitions: int = 8,
+) -> DataFrame:
+    """A dimension table read in ``num_partitions`` key ranges; the bounds come from one ``min``/``max`` query
+    (pushed to the database as an aggregate where the dialect allows it)."""
+    props = {**dict(properties), "pushDownAggregate": "true"}
+    bounds = spark.read.jdbc(url, table, properties=props).agg(F.min(key), F.max(key)).first()
+    if bounds is None or bounds[0] is None:
+        return read_table(spark, url, table, properties)
+    return read_table(spark, url, table, properties, key, int(bounds[0]), int(bounds[1]), num_partitions)
