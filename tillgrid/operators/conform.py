@@ -26,6 +26,9 @@ REASON_NOT_CSV = "not a csv file"
 REASON_EMPTY = "empty file"
 REASON_MISSING = "missing mandatory columns"
 
+# Most accepted files whose per-file table is broadcast to the line scan; beyond it, a shuffle join on the file key.
+MAX_BROADCAST_FILES = 200_000
+
 
 def _names(cols: Sequence[str]) -> Column:
     return F.array(*[F.lit(c) for c in cols])
@@ -125,7 +128,8 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
         *[F.array_position("header", F.lit(n)).cast("int").alias(f"_p{i}") for i, n in enumerate(names)],
         F.transform("extra", lambda e: F.array_position(F.col("header"), e).cast("int")).alias("_pe"),
     )
-    joined = lines.join(broadcast_if_small(files), "file_key")
+    # One row per accepted file, but wide (header text and positions): a lower bound than for dimensions.
+    joined = lines.join(broadcast_if_small(files, MAX_BROADCAST_FILES), "file_key")
     data = joined.where((F.col("value") != F.col("header_line")) & (F.trim(F.col("value")) != ""))
     n = max(width, 1)
     # Parse each line once; the array is its own projection so the parser is not re-run for every column read.
