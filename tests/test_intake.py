@@ -174,3 +174,15 @@ def test_conform_of_named_text_frame(spark):
     )
     r = conform.conform(raw, header).first()
     assert (r.customer_id, r.total_cost, r.price, r.additional_column) == (1, Decimal("5.00"), Decimal("2.50"), "UPI")
+
+
+def test_shuffle_join_path_gives_the_same_fact(spark, drop, intake, monkeypatch):
+    monkeypatch.setattr(conform, "MAX_BROADCAST_FILES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = run_intake(spark, drop).fact
+        plan = again._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan.split("InMemoryRelation")[0]
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, intake.fact.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -197,3 +197,18 @@ def test_distributed_rank_equals_window_rank(spark, data, parts):
     want = rows(marts.rank_within(df, ["g"], "v"), "i", "rnk")
     got = rows(rank_desc(df, ["g"], "v", num_partitions=parts), "i", "rnk")
     assert got == want
+
+
+def test_star_join_without_broadcasts_gives_the_same_rows(spark, dims, enriched):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = _fact(
+            spark,
+            [(1, 121, "2023-03-03", 1, "100.00"), (2, 121, "2023-03-05", 2, "103.00"), (99, 121, "2023-03-07", 1, "5")],
+        )
+        shuffled = star_join(fact, *dims, max_broadcast_rows=0)
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        hinted = star_join(fact, *dims)
+        assert rows(shuffled) == rows(hinted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
