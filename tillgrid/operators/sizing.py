@@ -48,7 +48,8 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
     A file-based side whose plan and file list were already counted in this application reuses that verdict
     (Spark's writers never rewrite a file under the same name, so new data means a new file list). Sources without
-    files (JDBC) are counted every time.
+    files (JDBC) are counted every time. The verdict only chooses between a broadcast and a shuffle join; it never
+    changes a result.
     """
     key = _verdict_key(df, max_rows)
     if key is not None and key in _VERDICTS:
