@@ -49,8 +49,8 @@ def rank_desc(
 
     per_part = ranged.groupBy(*group, "_pid").agg(F.sum("_n").alias("_t"))
     offsets = per_part.select(
-        *group,
-        "_pid",
+        *[F.col(g).alias(f"_og{i}") for i, g in enumerate(group)],
+        F.col("_pid").alias("_opid"),
         F.coalesce(F.sum("_t").over(Window.partitionBy(*group).orderBy("_pid").rowsBetween(before, -1)), F.lit(0))
         .alias("_off"),
     )
@@ -65,10 +65,11 @@ def rank_desc(
             F.lit(0),
         ).alias("_loc"),
     )
-    same_part = [local[g].eqNullSafe(offsets[g]) for g in group] + [local["_pid"] == offsets["_pid"]]
+    same_part = [F.col(g).eqNullSafe(F.col(f"_og{i}")) for i, g in enumerate(group)]
+    same_part.append(F.col("_pid") == F.col("_opid"))
     ranks = local.join(offsets, same_part).select(
-        *[local[g].alias(f"_g{i}") for i, g in enumerate(group)],
-        local[value].alias("_v"),
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.col(value).alias("_v"),
         (F.col("_off") + F.col("_loc") + F.lit(1)).cast("int").alias(name),
     )
     on = [df[g].eqNullSafe(ranks[f"_g{i}"]) for i, g in enumerate(group)] + [df[value].eqNullSafe(ranks["_v"])]
