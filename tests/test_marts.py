@@ -212,3 +212,17 @@ def test_star_join_without_broadcasts_gives_the_same_rows(spark, dims, enriched)
         assert rows(shuffled) == rows(hinted)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_window_form_keeps_sales_without_a_date(spark, dims):
+    fact = _fact(spark, [(1, 121, "2023-03-03", 1, "7.00")]).union(
+        spark.createDataFrame([(1, 121, "p", None, 1, D("1"), 1, D("5.00"), None)], SALES_FACT)
+    )
+    e = star_join(fact, *dims)
+    def got(df):
+        return {r.sales_date_month: r.total_sales for r in df.collect()}
+
+    assert got(marts.customer_monthly_sales_window(e)) == got(marts.customer_monthly_sales(e)) == {
+        "2023-03": D("7.00"),
+        None: D("5.00"),
+    }

@@ -59,11 +59,13 @@ def customer_monthly_sales_window(enriched: DataFrame) -> DataFrame:
         month_key("sales_date").alias("sales_date_month"),
         "total_cost",
     )
-    totals = rows.groupBy("customer_id", "sales_date_month").agg(
-        F.sum("total_cost").cast(MONEY).alias("total_sales")
-    )
+    totals = rows.groupBy(
+        F.col("customer_id").alias("_cid"), F.col("sales_date_month").alias("_month")
+    ).agg(F.sum("total_cost").cast(MONEY).alias("total_sales"))
     variants = rows.select("customer_id", "full_name", "address", "phone_number", "sales_date_month").distinct()
-    return variants.join(totals, ["customer_id", "sales_date_month"]).select(
+    # Null-safe: a sale with no valid date has a NULL month, which is a window partition of its own.
+    same_key = F.col("customer_id").eqNullSafe(F.col("_cid")) & F.col("sales_date_month").eqNullSafe(F.col("_month"))
+    return variants.join(totals, same_key).select(
         "customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales"
     )
 
