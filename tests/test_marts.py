@@ -226,3 +226,14 @@ def test_window_form_keeps_sales_without_a_date(spark, dims):
         "2023-03": D("7.00"),
         None: D("5.00"),
     }
+
+
+def test_incentive_keeps_sales_without_a_date(spark, dims):
+    fact = _fact(spark, [(1, 121, "2023-03-03", 1, "7.00")]).union(
+        spark.createDataFrame([(2, 121, "p", None, 2, D("1"), 1, D("5.00"), None)], SALES_FACT)
+    )
+    mart = marts.sales_incentive(star_join(fact, *dims))
+    got = {(r.sales_month, r.sales_person_id): r.incentive for r in mart.collect()}
+    assert got == {("2023-03", 1): D("0.07"), (None, 2): D("0.05")}
+    by_rank = marts.incentive_by_rank(marts.sales_person_monthly_sales(star_join(fact, *dims)))
+    assert {(r.sales_month, r.sales_person_id): r.incentive for r in by_rank.collect()} == got

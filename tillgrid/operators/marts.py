@@ -93,8 +93,12 @@ def with_incentive(monthly: DataFrame) -> DataFrame:
     second time. AQE measures its shuffle output and turns the join into a broadcast when it is small; otherwise it
     stays a shuffle join in which every monthly row meets exactly one ``tops`` row (AQE splits a hot key).
     """
-    tops = monthly.groupBy("store_id", "sales_month").agg(F.max("total_sales").alias("_top"))
-    return monthly.join(tops, ["store_id", "sales_month"]).select(
+    tops = monthly.groupBy(F.col("store_id").alias("_store"), F.col("sales_month").alias("_month")).agg(
+        F.max("total_sales").alias("_top")
+    )
+    # Null-safe: sales with no valid date form a (store, NULL) group of their own, as in the rank window.
+    same_group = F.col("store_id").eqNullSafe(F.col("_store")) & F.col("sales_month").eqNullSafe(F.col("_month"))
+    return monthly.join(tops, same_group).select(
         "store_id",
         "sales_person_id",
         "full_name",
