@@ -125,3 +125,18 @@ def test_volume_file_of_one_date(spark, tmp_path):
     assert {r.sales_person_id: r.incentive for r in team.collect()} == {
         p: (t * Decimal("0.01")).quantize(Decimal("0.01")) if t == top else Decimal("0.00") for p, t in want.items()
     }
+
+
+def test_sale_with_a_bad_date_is_kept_under_a_null_month(spark, tmp_path):
+    drop = tmp_path / "in"
+    drop.mkdir()
+    (drop / "d.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-03,1,100,1,100\n2,121,oats,2023-13-45,2,60,1,60\n")
+    out = str(tmp_path / "out")
+    result = pipeline.run(spark, str(drop), _dims(spark), out)
+    pipeline.run(spark, str(drop), _dims(spark), out)  # rerun: still one row per group
+    team = spark.read.parquet(result.outputs["sales_team_data_mart"])
+    got = {(r.sales_month, r.sales_person_id): (r.total_sales, r.incentive) for r in team.collect()}
+    assert got == {
+        ("2023-03", 1): (Decimal("100.00"), Decimal("1.00")),
+        (None, 2): (Decimal("60.00"), Decimal("0.60")),
+    }
