@@ -140,3 +140,15 @@ def test_sale_with_a_bad_date_is_kept_under_a_null_month(spark, tmp_path):
         ("2023-03", 1): (Decimal("100.00"), Decimal("1.00")),
         (None, 2): (Decimal("60.00"), Decimal("0.60")),
     }
+
+
+def test_run_with_no_accepted_file(spark, tmp_path):
+    drop = tmp_path / "in"
+    drop.mkdir()
+    (drop / "bad.csv").write_text("customer_id\n1\n")
+    (drop / "readme.txt").write_text("hello\n")
+    out = str(tmp_path / "out")
+    result = pipeline.run(spark, str(drop), _dims(spark), out)
+    assert result.enriched.count() == 0
+    assert spark.read.parquet(result.outputs["rejects"]).count() == 2
+    assert pipeline.ledger_state(spark, out).count() == 0
