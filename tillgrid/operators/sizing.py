@@ -13,6 +13,7 @@ row counts, not values.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections import OrderedDict
 
 from pyspark.sql import DataFrame
@@ -32,6 +33,7 @@ def _row_limit(df: DataFrame, max_rows: int | None) -> int:
 # Verdicts of earlier checks in this process, keyed by application, plan and the exact set of input files.
 _VERDICTS: OrderedDict[tuple, bool] = OrderedDict()
 _MAX_VERDICTS = 256
+_LOCK = threading.Lock()
 
 
 def _verdict_key(df: DataFrame, max_rows: int) -> tuple | None:
@@ -52,14 +54,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     changes a result.
     """
     key = _verdict_key(df, max_rows)
-    if key is not None and key in _VERDICTS:
-        _VERDICTS.move_to_end(key)
-        return _VERDICTS[key]
+    if key is not None:
+        with _LOCK:
+            if key in _VERDICTS:
+                _VERDICTS.move_to_end(key)
+                return _VERDICTS[key]
     verdict = df.count() <= max_rows
     if key is not None:
-        _VERDICTS[key] = verdict
-        if len(_VERDICTS) > _MAX_VERDICTS:
-            _VERDICTS.popitem(last=False)
+        with _LOCK:
+            _VERDICTS[key] = verdict
+            if len(_VERDICTS) > _MAX_VERDICTS:
+                _VERDICTS.popitem(last=False)
     return verdict
 
 
