@@ -186,3 +186,13 @@ def test_shuffle_join_path_gives_the_same_fact(spark, drop, intake, monkeypatch)
         assert sorted(map(tuple, again.collect())) == sorted(map(tuple, intake.fact.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_windows_line_endings_and_no_final_newline(spark, tmp_path):
+    d = tmp_path / "crlf"
+    d.mkdir()
+    (d / "w.csv").write_bytes(f"{HEADER},payment_mode\r\n1,121,tea,2023-07-07,2,5,2,10,cash\r\n".encode())
+    (d / "n.csv").write_text(f"{HEADER}\n2,121,tea,2023-07-08,2,5,1,5")
+    fact = {r.customer_id: r for r in run_intake(spark, str(d)).fact.collect()}
+    assert fact[1].additional_column == "cash" and fact[1].total_cost == Decimal("10.00")
+    assert fact[2].total_cost == Decimal("5.00")
