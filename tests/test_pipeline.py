@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
@@ -15,6 +15,11 @@ from tillgrid.schemas import CUSTOMER, MANDATORY_COLUMNS, SALES_TEAM, STORE
 HEADER = ",".join(MANDATORY_COLUMNS)
 
 
+def _one_percent(total: Decimal) -> Decimal:
+    """1 % of a total, rounded half-up to cents (Spark's ``round``)."""
+    return (total * Decimal("0.01")).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+
 def _dims(spark):
     return pipeline.Dimensions(
         customer=spark.createDataFrame(
@@ -123,7 +128,7 @@ def test_volume_file_of_one_date(spark, tmp_path):
     assert got == want
     top = max(want.values())
     assert {r.sales_person_id: r.incentive for r in team.collect()} == {
-        p: (t * Decimal("0.01")).quantize(Decimal("0.01")) if t == top else Decimal("0.00") for p, t in want.items()
+        p: _one_percent(t) if t == top else Decimal("0.00") for p, t in want.items()
     }
 
 
