@@ -7,7 +7,7 @@ every value), computed as a distributed prefix sum over the distinct (group, val
 1. ``counts``: rows per (group, value), combined map-side (a hot value becomes one row).
 2. The counts are range-partitioned on (group, value DESC). Equal keys always share a range partition, and the
    partitions follow the sort order, so a hot group is spread over consecutive partitions. The numbered counts
-   are checkpointed (reliable checkpoint, shared folder) so that both uses below see the same numbering.
+   are written once as a table in the shared checkpoint folder, so both uses below see the same numbering.
 3. Per (group, partition): the rows it holds. A running sum over those totals, ordered by partition, gives the rows
    of the group in all earlier partitions (a window over at most one row per partition).
 4. Inside a (group, partition) a running sum over the ordered counts gives the rows before each value there (a
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrid.session import ensure_checkpoint_dir
+from tillgrid.session import scratch_path
 
 
 def rank_desc(
@@ -42,10 +42,12 @@ def rank_desc(
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
     ranged = counts.repartitionByRange(n, *[F.col(g).asc_nulls_first() for g in group], F.col(value).desc_nulls_last())
     # The partition numbers are read by two branches below. A recomputed range shuffle could draw other bounds
-    # (its sample depends on row order), so the numbered counts are checkpointed into the shared checkpoint folder
-    # and both branches read the same files.
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    # (its sample depends on row order), so the numbered counts are written once as a table in the shared
+    # checkpoint folder and both branches read the same files.
+    numbered = ranged.withColumn("_pid", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "rank-counts")
+    numbered.write.parquet(path)
+    ranged = df.sparkSession.read.schema(numbered.schema).parquet(path)
 
     per_part = ranged.groupBy(*group, "_pid").agg(F.sum("_n").alias("_t"))
     offsets = per_part.select(
