@@ -55,11 +55,27 @@ def test_every_query_has_an_oracle():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
 
+# Spark type names and the DuckDB type each must come out as.
+_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "double": "DOUBLE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     df = contract.queries()[name](spark, sf_dir)
     got = _canon(df.columns, df.collect())
-    cur = duck.execute(contract.oracle_sql()[name])
-    cols = [d[0] for d in cur.description]
+    rel = duck.sql(contract.oracle_sql()[name])
+    cols = rel.columns
     assert sorted(df.columns) == sorted(cols)
-    assert got == _canon(cols, cur.fetchall())
+    duck_types = dict(zip(cols, (str(t) for t in rel.types)))
+    for f in df.schema.fields:
+        spark_type = f.dataType.simpleString()
+        assert _TYPES.get(spark_type, spark_type.upper()) == duck_types[f.name], (f.name, spark_type)
+    assert got == _canon(cols, rel.fetchall())
