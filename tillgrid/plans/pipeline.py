@@ -7,7 +7,8 @@ Steps and the Spark work behind each:
    ``I``, which ``ledger.incomplete`` reports on the next run).
 3. Rejects: the reject table (path, reason, missing columns) and the raw lines of rejected files.
 4. The enriched fact (fact ⋈ customer ⋈ store ⋈ sales team) goes into a sales history partitioned by (month,
-   source file); a file written again replaces its own partitions. The write cuts lineage: the outputs read those
+   source file); a file written again replaces its own partitions (drop files are immutable: new sales come in new
+   files, so a file's months never shrink between runs). The write cuts lineage: the outputs read those
    files (only the columns each needs), which survive the loss of any executor.
 5. Outputs: customer rows and sales rows (plain and partitioned by ``sales_month``, ``store_id``) published
    under ``run_ts=<epoch ms>``; both monthly marts recomputed from the whole history of every month this run
