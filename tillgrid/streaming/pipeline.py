@@ -7,7 +7,8 @@ its batch has committed. Each micro-batch calls ``tillgrid.plans.pipeline.run``
 idempotent per file (the sales history is keyed by month and source file, the monthly marts are recomputed for the
 months touched), so a micro-batch replayed after a failure writes the same result again. With
 ``trigger(availableNow=True)`` the stream drains the folder and stops, like a scheduled batch job; with a
-processing-time trigger it keeps running.
+processing-time trigger it keeps running. Every micro-batch publishes its own run of the row marts, so the interval
+should follow the cadence of the drops (hourly or daily files), not fire every few seconds.
 """
 
 from __future__ import annotations
