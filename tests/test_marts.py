@@ -237,3 +237,10 @@ def test_incentive_keeps_sales_without_a_date(spark, dims):
     assert got == {("2023-03", 1): D("0.07"), (None, 2): D("0.05")}
     by_rank = marts.incentive_by_rank(marts.sales_person_monthly_sales(star_join(fact, *dims)))
     assert {(r.sales_month, r.sales_person_id): r.incentive for r in by_rank.collect()} == got
+
+
+def test_distributed_rank_of_an_empty_frame(spark):
+    from tillgrid.operators.ranking import rank_desc
+
+    ranked = rank_desc(spark.createDataFrame([], "g string, v long"), ["g"], "v")
+    assert ranked.columns == ["g", "v", "rnk"] and ranked.count() == 0
