@@ -117,7 +117,8 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
     shuffle join on the file key), parsed by the CSV parser into ``width`` positional text fields (quotes honoured),
     and each mandatory column is taken from the position its name has in that file's header. So columns are
     matched by name, a reordered header reads correctly, and extras are packed in header order. The header line
-    and blank lines are dropped, as the CSV reader does.
+    and blank lines are dropped, as the CSV reader does; a line equal to the header further down (files joined
+    with their headers) is dropped too instead of becoming a row of failed casts.
     """
     names = [f.name for f in SALES_FACT.fields if f.name != EXTRA_COLUMN]
     # Per file, once: the position of every mandatory column and of each extra column in that file's header.
