@@ -196,3 +196,12 @@ def test_windows_line_endings_and_no_final_newline(spark, tmp_path):
     fact = {r.customer_id: r for r in run_intake(spark, str(d)).fact.collect()}
     assert fact[1].additional_column == "cash" and fact[1].total_cost == Decimal("10.00")
     assert fact[2].total_cost == Decimal("5.00")
+
+
+def test_repeated_header_lines_are_not_rows(spark, tmp_path):
+    d = tmp_path / "joined"
+    d.mkdir()
+    (d / "j.csv").write_text(f"{HEADER}\n1,121,tea,2023-07-07,2,5,2,10\n{HEADER}\n2,121,tea,2023-07-08,2,5,1,5\n")
+    fact = run_intake(spark, str(d)).fact.collect()
+    assert sorted(r.customer_id for r in fact) == [1, 2]
+    assert all(list(r._bad_columns) == [] for r in fact)
