@@ -108,7 +108,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, list_distinct(CASE
     WHEN len(ws) = 0 THEN []::VARCHAR[]
     WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 1), i -> array_to_string(ws[i:i + 2], ' ')) END) AS sh
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS sh
   FROM w
 ), e AS (SELECT doc_id, unnest(sh) AS h FROM s),
 p AS (
@@ -127,11 +127,11 @@ FROM s JOIN low ON low.v = s.doc_id
 
 _OP2 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS a FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS a FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    list_sum(list_transform(range(1, len(q.a) + 1), i -> q.a[i] * c.a[i]))::BIGINT AS score
+    list_sum(list_transform(range(1, len(q.a) + 1), lambda i: q.a[i] * c.a[i]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
@@ -140,12 +140,12 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 _OP5 = rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
     row_number() OVER () AS r
   FROM documents
 ), m AS (SELECT *, array_to_string(ws, '') AS j FROM w),
 win AS (
-  SELECT r, unnest(range(1, len(ws) - 3)) AS p, unnest(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) AS t
+  SELECT r, unnest(range(1, len(ws) - 3)) AS p, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) AS t
   FROM m WHERE len(ws) >= 5
 ), again AS (SELECT r, p FROM (SELECT *, count(*) OVER (PARTITION BY r, t) AS c FROM win) WHERE c > 1),
 cov AS (SELECT r, count(DISTINCT p + k) AS n FROM again, (SELECT unnest(range(5)) AS k) GROUP BY r),
@@ -156,7 +156,7 @@ f AS (
     len(ls) AS n_lines, length(j) - length(replace(j, '!', '')) AS n_exclaims,
     length(regexp_replace(j, '[^\p{{L}}]', '', 'g')) AS n_letters,
     length(j) - length(regexp_replace(j, '\p{{Lu}}', '', 'g')) AS n_capitals,
-    len(list_filter(range(2, len(ws) + 1), i -> ws[i] = ws[i - 1])) AS n_stutters
+    len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutters
   FROM m LEFT JOIN cov USING (r)
 ), b AS (
   SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END
