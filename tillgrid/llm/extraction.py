@@ -93,20 +93,20 @@ def _is_noise(name: str, attrs: str, landmark: bool) -> bool:
 
 
 def blocks(html: str) -> list[tuple[str, str, int]]:
-    """Blocks of a page that markup does not rule out: (path, text, characters inside links), in page order."""
+    """Blocks of a page that markup does not rule out: (path, text, characters outside links), in page order."""
     out: list[tuple[str, str, int]] = []
     stack: list[tuple[str, bool]] = []  # block elements: (name, noise)
-    noise = landmark = links = linked = 0
+    noise = landmark = links = plain = 0
     parts: list[str] = []
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal plain
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text and not noise:
-                out.append(("/".join(n for n, _ in stack), text, linked))
+                out.append(("/".join(n for n, _ in stack), text, plain))
             parts.clear()
-        linked = 0
+        plain = 0
 
     def pop() -> None:
         nonlocal noise, landmark
@@ -115,13 +115,13 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         landmark -= name in ("article", "main")
 
     def add(raw: str) -> None:
-        nonlocal linked
+        nonlocal plain
         if noise or not raw:
             return
         text = html_entities.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if links:
-            linked += len(text)
+        if not links:
+            plain += len(text.strip())
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -175,8 +175,8 @@ def content_paths(found: list[tuple[str, str, int]], share: float = 0.25, radius
         return within
     number = {p: i for i, p in enumerate(paths)}
     of = np.array([number[p] for p, _, _ in found])
-    text = np.array([len(t) - min(linked, len(t)) for _, t, linked in found], dtype=float)
-    marks = np.array([len(_PUNCTUATION.findall(t)) * (linked < len(t)) for _, t, linked in found], dtype=float)
+    text = np.array([plain for _, _, plain in found], dtype=float)
+    marks = np.array([len(_PUNCTUATION.findall(t)) if plain else 0 for _, t, plain in found], dtype=float)
     n = np.bincount(of, minlength=len(paths))
     kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / max(radius / 2, 0.5)) ** 2)
     kernel /= kernel.sum()

@@ -61,7 +61,7 @@ def train(
     each = sample_rows / len(totals)
     rates = {k: min(1.0, each / n) for k, n in totals.items()}
     spread = 2**63 - 1
-    limit = F.create_map(*[F.lit(x) for k, r in rates.items() for x in (k, int(spread * (2 * r - 1)))])
+    limit = F.create_map(*[F.lit(x) for k, r in rates.items() for x in (k, spread if r >= 1 else int(spread * (2 * r - 1)))])
     sample = usable.where(F.col("lot") <= F.element_at(limit, F.col("lang")))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,16 +170,16 @@ def predicted(rows, df, id_col, text_col, lang_col, order=ORDER, sample_rows=SAM
 
     def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         ppm = shared.value.ready()
+        names = np.asarray(ppm.langs, dtype=object)
         for texts, letters in batches:
-            raw = _texts(texts)
-            best = np.zeros(len(raw), dtype=np.int64)
-            score = np.zeros(len(raw))
-            for a, b in slices([len(t) for t in raw], 1 << 20):
-                logs = ppm.code_lengths(raw[a:b])
+            best = np.zeros(len(texts), dtype=np.int64)
+            score = np.zeros(len(texts))
+            for a, b in slices([0 if t is None else len(t) for t in texts], 1 << 19):
+                logs = ppm.code_lengths(_texts(texts.iloc[a:b]))
                 best[a:b] = logs.argmax(axis=1)
                 score[a:b] = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
             named = letters.to_numpy(dtype=bool)
-            pred = np.where(named, np.asarray(ppm.langs, dtype=object)[best], UNKNOWN)
+            pred = np.where(named, names[best], UNKNOWN)
             yield pd.DataFrame({"lang_pred": pred, "score": np.where(named, score, 0.0)})
 
     udf = F.pandas_udf(judge, "lang_pred string, score double")

@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import SpanHasher, slices, word_spans, written
+from tillgrid.llm.common import SpanHasher, parts, slices, word_spans, written
 from tillgrid.llm.components import components
 
 HASHES = 196
@@ -94,18 +95,20 @@ def signature(shingles: np.ndarray) -> bytes:
 def features(df: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n_shingles, fp, sig): set size, fingerprint of the set and signature (null for an empty set)."""
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for ident, s in zip(batch["doc_id"], shingle_sets(list(batch["text"]), width), strict=True):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts(batches):
+            sizes, fps, sigs = [], [], []
+            for s in shingle_sets(part["text"].to_pylist(), width):
                 full = len(s) > 0
-                fp = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if full else None
-                rows.append((ident, len(s), fp, signature(s) if full else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "fp", "sig"])
+                sizes.append(len(s))
+                fps.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if full else None)
+                sigs.append(signature(s) if full else None)
+            columns = [part["doc_id"], pa.array(sizes, pa.int64()), pa.array(fps, pa.binary()), pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "fp", "sig"])
 
-    texts = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    made = texts.mapInPandas(of, "doc_id string, n_shingles long, fp binary, sig binary")
-    return made.withColumn("doc_id", F.col("doc_id").cast(df.schema[id_col].dataType))
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = df.schema[id_col].dataType.simpleString()
+    return texts.mapInArrow(of, f"doc_id {kind}, n_shingles long, fp binary, sig binary")
 
 
 def _band_keys(sig: Column, bands: int, rows: int) -> Column:
@@ -146,24 +149,26 @@ def _likely(pairs: DataFrame, classes: DataFrame, fewest: list[int]) -> DataFram
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold. ``texts``: (doc_id, text) of whole documents."""
 
-    def check(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            out = []
-            kept: dict[str, np.ndarray] = {}
-            for lo, hi in slices([len(s) + len(t) for s, t in zip(a, b, strict=True)], 1 << 20):
-                xs, ys = list(a[lo:hi]), list(b[lo:hi])
-                fresh = [t for t in dict.fromkeys(ys) if t not in kept]  # a star's centre stands in many rows
-                kept = {t: kept[t] for t in dict.fromkeys(ys) if t in kept}
-                kept.update(zip(fresh, shingle_sets(fresh, width), strict=True))
-                for s, t in zip(shingle_sets(xs, width), ys, strict=True):
-                    common = len(np.intersect1d(s, kept[t], assume_unique=True))
-                    out.append(100 * common >= percent * (len(s) + len(kept[t]) - common))
-            yield pd.Series(out, dtype=bool)
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[tuple, np.ndarray] = {}
+        for part in parts(batches, 64):
+            ys, centres = part["y"].to_pylist(), part["ty"].to_pylist()
+            # A star's centre stands in many rows, one after the other; a text is known by its id and hash.
+            keys = [(y, hash(t)) for y, t in zip(ys, centres, strict=True)]
+            kept = {k: kept[k] for k in dict.fromkeys(keys) if k in kept}
+            fresh = {k: t for k, t in zip(keys, centres, strict=True) if k not in kept}
+            kept.update(zip(fresh, shingle_sets(list(fresh.values()), width), strict=True))
+            good = []
+            for s, k in zip(shingle_sets(part["tx"].to_pylist(), width), keys, strict=True):
+                common = len(np.intersect1d(s, kept[k], assume_unique=True))
+                good.append(100 * common >= percent * (len(s) + len(kept[k]) - common))
+            yield part.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
     ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
     used = texts.join(ids, "doc_id", "left_semi")
     joined = pairs.join(used.toDF("x", "tx"), "x").join(used.toDF("y", "ty"), "y")
-    return joined.where(F.pandas_udf(check, "boolean")("tx", "ty")).select("x", "y").distinct()
+    kind = pairs.schema["x"].dataType.simpleString()
+    return joined.select("x", "y", "tx", "ty").mapInArrow(check, f"x {kind}, y {kind}").distinct()
 
 
 def _across(mixed: DataFrame, classes: DataFrame, fewest: list[int]) -> DataFrame:

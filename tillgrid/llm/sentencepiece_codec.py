@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import written
+from tillgrid.llm.common import parts, written
 
 #: The space's mark inside pieces.
 SPACE = "▁"
 CHUNK = 1 << 14
 FAN = 64
 #: Words kept by a worker; beyond it the table is emptied, which changes no result.
-WORDS = 1 << 20
+WORDS = 1 << 19
 START = (0, "")
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -246,9 +246,19 @@ class Pieces:
                 out.append(((over, piece), before[0] + worth))
         return out
 
+    def entries(self, text: str, start: int) -> list[State]:
+        """The states that a path can have at the chunk's left boundary, from the characters before it.
+
+        Behind a place that no piece crosses all paths are alike, so only what is reached from there remains.
+        """
+        cut = self.cuts(text, 1, start - 1) if start > 1 else None
+        if cut is None:
+            return self.states(text, start)
+        return [s for s, _ in self._exits(text, self.paths(text, cut[1], "", start), start, False)]
+
     def transfer(self, text: str, start: int, end: int, final: bool) -> list[tuple[State, State, float]]:
         """The chunk's matrix: (state before, state after, best value); missing entries are forbidden."""
-        entries = self.states(text, start) if start else [START]
+        entries = self.entries(text, start) if start else [START]
         reach = start + max(o for o, _ in entries)
         # The cut stays before the end: a state names the piece that covers the last character.
         cut = self.cuts(text, reach, end - 1)
@@ -360,11 +370,9 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.pieces()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                packed = [pieces.encode(pieces.normal(t)) for t in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], _id_lists(packed)], ["doc_id", "ids"])
+        for part in parts(batches):
+            packed = [pieces.encode(pieces.normal(t)) for t in part["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], _id_lists(packed)], ["doc_id", "ids"])
 
     kind_of_id = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind_of_id}, ids array<int>"
