@@ -40,7 +40,9 @@ def jump_shards(key: Column, shards: int, grown: int) -> Column:
 
     def step(acc: Column, _: Column) -> Column:
         state = _next(acc["state"])
-        upper = F.floor(state.cast("decimal(38,0)") / F.lit(2**33).cast("decimal(11,0)")).cast("double") + 1.0
+        # The upper 31 bits: an exact difference first, as a decimal quotient would be rounded.
+        low = state % F.lit(2**33).cast("decimal(11,0)")
+        upper = F.round((state - low).cast("double") / float(2**33)) + 1.0
         to = F.floor((acc["at"] + 1).cast("double") * (F.lit(float(2**31)) / upper)).cast("long")
         moved = F.struct(
             state.alias("state"),
@@ -50,14 +52,14 @@ def jump_shards(key: Column, shards: int, grown: int) -> Column:
         )
         return F.when(acc["at"] >= grown, acc).otherwise(moved)
 
-    # The place strictly rises with each jump, so ``grown`` steps always reach the end; the first jump is to 0.
+    # Every key starts at 0, and its place strictly rises with each jump, so ``grown`` steps always reach the end.
     start = F.struct(
         _unsigned(key).alias("state"),
-        F.lit(-1).cast("long").alias("at"),
-        F.lit(-1).cast("long").alias("shard"),
-        F.lit(-1).cast("long").alias("grown"),
+        F.lit(0).cast("long").alias("at"),
+        F.lit(0).cast("long").alias("shard"),
+        F.lit(0).cast("long").alias("grown"),
     )
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(grown + 1)), start, step)
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(grown)), start, step)
     return F.struct(end["shard"].cast("int").alias("shard"), end["grown"].cast("int").alias("grown"))
 
 
