@@ -8,7 +8,7 @@
    posterior probability of reaching the threshold (uniform prior) is under ``miss``.
 4. Survivors are confirmed on the full shingle sets of their whole texts; confirmed links make components.
 5. Buckets that still hold several components compare the members of different ones, block against block inside
-   tasks; only pairs that pass step 3 leave a task, and step 4 confirms them.
+   tasks, by steps 3 and 4; only confirmed links leave a task.
 
 So every pair in a shared bucket is compared unless its ends are already in one component; no bucket is capped.
 
@@ -171,13 +171,16 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return joined.select("x", "y", "tx", "ty").mapInArrow(check, f"x {kind}, y {kind}").distinct()
 
 
-def _across(mixed: DataFrame, classes: DataFrame, fewest: list[int]) -> DataFrame:
-    """Pairs of different components in one bucket that pass the sequential test.
+def _across(
+    mixed: DataFrame, classes: DataFrame, texts: DataFrame, fewest: list[int], rows: int, width: int, percent: int
+) -> DataFrame:
+    """Links (x, y) between different components in one bucket; at most one per two components and cell.
 
-    ``mixed`` has (key, doc_id, label). Members outside their bucket's commonest component (the minor ones) meet all
-    members. Both sides are dealt to blocks of about BLOCK rows; a cell, one task's work, is a block of all members
+    ``mixed`` has (key, band, doc_id, label). Members outside their bucket's commonest component (the minor ones) meet
+    all members. Both sides are dealt to blocks of about BLOCK rows; a cell, one task's work, is a block of all members
     against a block of minor ones. A bucket whose members are nearly all in one component has few minor ones, so few
-    cells.
+    cells. A cell tests its pairs by signature, confirms survivors on full sets, and leaves pairs that share an earlier
+    band to that band's bucket; pairs never leave the task, only links do.
     """
     counts = mixed.groupBy("key", "label").agg(F.count("*").alias("n"))
     sizes = counts.groupBy("key").agg(
@@ -185,26 +188,47 @@ def _across(mixed: DataFrame, classes: DataFrame, fewest: list[int]) -> DataFram
         F.ceil(F.sum("n") / BLOCK).cast("int").alias("all_blocks"),
         F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("minor_blocks"),
     )
-    dealt = mixed.join(sizes, "key").join(classes.select("doc_id", "sig"), "doc_id")
+    own = texts.join(mixed.select("doc_id").distinct(), "doc_id", "left_semi")
+    content = own.groupBy("doc_id").agg(F.first("text").alias("text")).join(classes.select("doc_id", "sig"), "doc_id")
+    dealt = mixed.join(sizes, "key").join(content, "doc_id")
 
-    def cells(rows: DataFrame, own: str, other: str, mine: str, theirs: str, minor: bool) -> DataFrame:
-        block = F.pmod(F.xxhash64("doc_id"), F.col(mine)).cast("int").alias(own)
-        across = F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(other)
-        cols = ["doc_id", "label", "sig", F.lit(minor).alias("minor")]
-        return rows.select("key", block, across, *cols).select("key", "i", "j", "doc_id", "label", "sig", "minor")
+    def cells(side: DataFrame, mine: str, other: str, my_blocks: str, other_blocks: str, minor: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("doc_id"), F.col(my_blocks)).cast("int").alias(mine)
+        across = F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other)
+        cols = ["key", "i", "j", "band", "doc_id", "label", "sig", "text", "minor"]
+        return side.select("key", "band", block, across, "doc_id", "label", "sig", "text", F.lit(minor).alias("minor")).select(*cols)
 
     all_rows = cells(dealt, "i", "j", "all_blocks", "minor_blocks", False)
     minor_rows = cells(dealt.where("label <> major"), "j", "i", "minor_blocks", "all_blocks", True)
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found: list[tuple] = []
         first, second = cell[cell["minor"]], cell[~cell["minor"]]
         if len(first) and len(second):
-            sigs, ids, labels = _matrix(second["sig"]), second["doc_id"].to_numpy(), second["label"].to_numpy()
-            for sig, ident, label in zip(_matrix(first["sig"]), first["doc_id"], first["label"], strict=True):
+            band = int(cell["band"].iloc[0])
+            left, right = _matrix(first["sig"]), _matrix(second["sig"])
+            ids, labels = second["doc_id"].to_numpy(), second["label"].to_numpy()
+            earlier = right[:, : band * rows].reshape(len(right), band, rows)
+            sets: dict[int, np.ndarray] = {}
+            linked = set()
+            texts_of = list(second["text"])
+            for k, (ident, label) in enumerate(zip(first["doc_id"], first["label"], strict=True)):
                 other = np.flatnonzero(labels != label)
-                passed = other[_survivors(np.broadcast_to(sig, (len(other), HASHES)), sigs[other], fewest)]
-                found += [(max(ident, o), min(ident, o)) for o in ids[passed]]
+                other = other[_survivors(np.broadcast_to(left[k], (len(other), HASHES)), right[other], fewest)]
+                seen = (earlier[other] == left[k, : band * rows].reshape(1, band, rows)).all(axis=2).any(axis=1)
+                other = other[~seen]
+                if not len(other):
+                    continue
+                fresh = [o for o in other if o not in sets]
+                sets.update(zip(fresh, shingle_sets([texts_of[o] for o in fresh], width), strict=True))
+                mine = next(shingle_sets([first["text"].iloc[k]], width))
+                for o in other:
+                    if (label, labels[o]) in linked:
+                        continue
+                    common = len(np.intersect1d(mine, sets[o], assume_unique=True))
+                    if 100 * common >= percent * (len(mine) + len(sets[o]) - common):
+                        linked |= {(label, labels[o]), (labels[o], label)}
+                        found.append((max(ident, ids[o]), min(ident, ids[o])))
         return pd.DataFrame(found, columns=["x", "y"])
 
     kind = mixed.schema["doc_id"].dataType.simpleString()
@@ -228,7 +252,7 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")),
         "dup-classes",
     )
-    keyed = classes.select("doc_id", F.explode(_band_keys(F.col("sig"), bands, rows)).alias("key"))
+    keyed = classes.select("doc_id", F.posexplode(_band_keys(F.col("sig"), bands, rows)).alias("band", "key"))
     heads = keyed.groupBy("key").agg(F.min("doc_id").alias("y"), F.max("doc_id").alias("top")).where("y < top")
     members = written(keyed.join(heads.select("key", "y"), "key"), "dup-members")
     stars = members.where("doc_id > y").select(F.col("doc_id").alias("x"), "y").distinct()
@@ -241,15 +265,13 @@ def near_duplicates(
 
     # What the stars left apart: buckets that hold more than one component.
     named = members.join(labels.toDF("doc_id", "label"), "doc_id", "left").select(
-        "key", "doc_id", F.coalesce("label", "doc_id").alias("label")
+        "key", "band", "doc_id", F.coalesce("label", "doc_id").alias("label")
     )
     spread = named.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("n"))
     # A bucket of two was compared in full by its star.
     apart = spread.where("a < b and n > 2").select("key")
-    mixed = named.join(apart, "key", "left_semi")
-    tested = likely.unionByName(likely.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    across = written(_across(mixed, classes, fewest).join(tested, ["x", "y"], "left_anti"), "dup-across")
-    more = written(_confirmed(across, texts, width, percent), "dup-more")
+    mixed = written(named.join(apart, "key", "left_semi"), "dup-mixed")
+    more = written(_across(mixed, classes, texts, fewest, rows, width, percent), "dup-more")
     if not more.isEmpty():
         labels = written(components(labels.select(F.col("v").alias("x"), F.col("label").alias("y")).union(more)), "dup-labels")
 
