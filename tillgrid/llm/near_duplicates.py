@@ -164,9 +164,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
                 good.append(100 * common >= percent * (len(s) + len(kept[k]) - common))
             yield part.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    used = texts.join(ids, "doc_id", "left_semi")
-    joined = pairs.join(used.toDF("x", "tx"), "x").join(used.toDF("y", "ty"), "y")
+    joined = pairs.join(texts.toDF("x", "tx"), "x").join(texts.toDF("y", "ty"), "y")
     kind = pairs.schema["x"].dataType.simpleString()
     return joined.select("x", "y", "tx", "ty").mapInArrow(check, f"x {kind}, y {kind}").distinct()
 
@@ -188,15 +186,13 @@ def _across(
         F.ceil(F.sum("n") / BLOCK).cast("int").alias("all_blocks"),
         F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("minor_blocks"),
     )
-    own = texts.join(mixed.select("doc_id").distinct(), "doc_id", "left_semi")
-    content = own.groupBy("doc_id").agg(F.first("text").alias("text")).join(classes.select("doc_id", "sig"), "doc_id")
-    dealt = mixed.join(sizes, "key").join(content, "doc_id")
+    dealt = mixed.join(sizes, "key")
 
     def cells(side: DataFrame, mine: str, other: str, my_blocks: str, other_blocks: str, minor: bool) -> DataFrame:
         block = F.pmod(F.xxhash64("doc_id"), F.col(my_blocks)).cast("int").alias(mine)
         across = F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other)
-        cols = ["key", "i", "j", "band", "doc_id", "label", "sig", "text", "minor"]
-        return side.select("key", "band", block, across, "doc_id", "label", "sig", "text", F.lit(minor).alias("minor")).select(*cols)
+        cols = ["key", "i", "j", "band", "doc_id", "label", "minor"]
+        return side.select("key", "band", block, across, "doc_id", "label", F.lit(minor).alias("minor")).select(*cols)
 
     all_rows = cells(dealt, "i", "j", "all_blocks", "minor_blocks", False)
     minor_rows = cells(dealt.where("label <> major"), "j", "i", "minor_blocks", "all_blocks", True)
@@ -232,7 +228,8 @@ def _across(
         return pd.DataFrame(found, columns=["x", "y"])
 
     kind = mixed.schema["doc_id"].dataType.simpleString()
-    met = all_rows.union(minor_rows).groupBy("key", "i", "j").applyInPandas(compare, f"x {kind}, y {kind}")
+    full = all_rows.union(minor_rows).join(classes.select("doc_id", "sig"), "doc_id").join(texts, "doc_id")
+    met = full.groupBy("key", "i", "j").applyInPandas(compare, f"x {kind}, y {kind}")
     return met.distinct()
 
 
@@ -256,9 +253,10 @@ def near_duplicates(
     heads = keyed.groupBy("key").agg(F.min("doc_id").alias("y"), F.max("doc_id").alias("top")).where("y < top")
     members = written(keyed.join(heads.select("key", "y"), "key"), "dup-members")
     stars = members.where("doc_id > y").select(F.col("doc_id").alias("x"), "y").distinct()
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(
-        "text is not null"
-    )
+    # Texts are moved by id once, and only those that share a bucket are kept for the steps below.
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.where("text is not null").join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = written(texts.dropDuplicates(["doc_id", "text"]), "dup-texts")
     likely = written(_likely(stars, classes, fewest), "dup-likely")
     links = written(_confirmed(likely, texts, width, percent), "dup-links")
     labels = written(components(links), "dup-labels")
