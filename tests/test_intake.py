@@ -205,3 +205,17 @@ def test_repeated_header_lines_are_not_rows(spark, tmp_path):
     fact = run_intake(spark, str(d)).fact.collect()
     assert sorted(r.customer_id for r in fact) == [1, 2]
     assert all(list(r._bad_columns) == [] for r in fact)
+
+
+def test_same_named_and_blank_extras_and_glob_characters_in_names(spark, tmp_path):
+    from tillgrid.plans.intake import run_intake
+    from tillgrid.sources.files import text_lines
+
+    head = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+    (tmp_path / "a.csv").write_text(f"{head},note,note,,\n1,2,p,2023-03-01,3,1.00,2,2.00,n1,n2,b1,b2\n")
+    got = run_intake(spark, str(tmp_path)).fact.select("additional_column").collect()
+    assert [r[0] for r in got] == ["n1,n2,b1,b2"]
+    (tmp_path / "bad[1].csv").write_text("x\n1\n")
+    (tmp_path / "bad1.csv").write_text("y\n2\n")
+    lines = text_lines(spark, [str(tmp_path / "bad[1].csv")]).collect()
+    assert [r.value for r in lines] == ["x", "1"]

@@ -23,14 +23,14 @@ def _one_percent(total: Decimal) -> Decimal:
 def _dims(spark):
     return pipeline.Dimensions(
         customer=spark.createDataFrame(
-            [(1, "Saanvi", "Krishna", "Delhi", "122009", "9173121081", None),
-             (2, "Dhanush", "Sahni", "Delhi", "122009", "9155328165", None)],
+            [(1, "Cora", "Lind", "Ahlen", "100001", "555-0101", None),
+             (2, "Didier", "Moss", "Ahlen", "100002", "555-0102", None)],
             CUSTOMER,
         ),
-        store=spark.createDataFrame([(121, "Delhi", "122009", "Manish", None, "Great")], STORE),
+        store=spark.createDataFrame([(121, "Ahlen", "100003", "Edda", None, "fine")], STORE),
         team=spark.createDataFrame(
-            [(1, "Rahul", "Verma", 10, "N", "Delhi", "122007", None),
-             (2, "Priya", "Singh", 10, "N", "Delhi", "122007", None)],
+            [(1, "Finn", "Oster", 10, "N", "Ahlen", "100004", None),
+             (2, "Gita", "Pell", 10, "N", "Ahlen", "100005", None)],
             SALES_TEAM,
         ),
     )

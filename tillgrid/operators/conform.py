@@ -47,7 +47,10 @@ def gate(files: DataFrame, headers: DataFrame, mandatory: Sequence[str] = MANDAT
         .when(F.col("header").isNull(), need)
         .otherwise(F.array_except(need, F.col("header")))
     )
-    extra = F.when(F.col("header").isNull(), none).otherwise(F.array_except(F.col("header"), need))
+    # Every position of the header that no mandatory name takes, so same-named and blank columns all stay.
+    extra = F.when(F.col("header").isNull(), none).otherwise(
+        F.filter("header", lambda h: ~F.coalesce(F.array_contains(need, h), F.lit(False)))
+    )
     reason = (
         F.when(~F.col("is_csv"), F.lit(REASON_NOT_CSV))
         .when(F.col("header").isNull(), F.lit(REASON_EMPTY))
@@ -127,7 +130,10 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
         "path",
         "header_line",
         *[F.array_position("header", F.lit(n)).cast("int").alias(f"_p{i}") for i, n in enumerate(names)],
-        F.transform("extra", lambda e: F.array_position(F.col("header"), e).cast("int")).alias("_pe"),
+        F.filter(
+            F.sequence(F.lit(1), F.size("header")),
+            lambda i: ~F.coalesce(F.array_contains(_names(names), F.element_at("header", i)), F.lit(False)),
+        ).alias("_pe"),
     )
     # One row per accepted file, but wide (header text and positions): a lower bound than for dimensions.
     joined = lines.join(broadcast_if_small(files, MAX_BROADCAST_FILES), "file_key")

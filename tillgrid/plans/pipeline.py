@@ -101,7 +101,7 @@ def output_paths(out: str) -> dict[str, str]:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def run(

@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,11 @@ _BOM = "\ufeff"
 _COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
+def plain_path(path: str) -> str:
+    """A listed path as a reader's argument: characters that mean a pattern there are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     """All files under ``root`` (recursively): path, file_key, length, modificationTime, file_name.
 
@@ -31,7 +37,7 @@ def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
 
     Folders are not files and never appear; names starting with ``_`` or ``.`` are skipped by Spark's file index.
     """
-    paths = [root] if isinstance(root, str) else list(root)
+    paths = [root] if isinstance(root, str) else [plain_path(p) for p in root]
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -59,7 +65,7 @@ def header_names(line: str | F.Column) -> F.Column:
 
 def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
     """One row per non-empty file under ``root`` whose name matches ``glob``: file_key, header_line, header."""
-    paths = [root] if isinstance(root, str) else list(root)
+    paths = [root] if isinstance(root, str) else [plain_path(p) for p in root]
     if not paths:
         return spark.createDataFrame([], "file_key string, header_line string, header array<string>")
     reader = spark.read.option("recursiveFileLookup", "true")
@@ -83,12 +89,12 @@ def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Raw lines of the given files (plain paths) with their ``file_key`` (for the reject store)."""
     if not paths:
         return spark.createDataFrame([], "value string, file_key string")
-    return spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file_key"))
+    return spark.read.text([plain_path(p) for p in paths]).select("value", F.col("_metadata.file_path").alias("file_key"))
 
 
 def csv_lines(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
     """Every text line of the files under ``root`` matching ``glob``, with its file_key (one scan, any headers)."""
-    paths = [root] if isinstance(root, str) else list(root)
+    paths = [root] if isinstance(root, str) else [plain_path(p) for p in root]
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
