@@ -41,49 +41,77 @@ def _rows(blobs, dim: int) -> np.ndarray:
 
 
 class Block:
-    """Vectors of a block with squared norms and distances to the pivots."""
+    """Vectors of a block with squared norms and distances to the pivots, one contiguous row per pivot."""
 
     def __init__(self, vectors: np.ndarray, pivots: np.ndarray) -> None:
         self.vectors = vectors
-        wide = vectors.astype(np.float64)
-        self.norms = (wide * wide).sum(axis=1)
-        gap = self.norms[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2.0 * (wide @ pivots.T)
+        self.wide = vectors.astype(np.float64)
+        self.largest = float(np.abs(self.wide).max(initial=0.0))
+        self.norms = (self.wide * self.wide).sum(axis=1)
+        gap = self.norms[None, :] + (pivots * pivots).sum(axis=1)[:, None] - 2.0 * (pivots @ self.wide.T)
         self.table = np.sqrt(np.maximum(gap, 0.0))
 
 
 def upper_bounds(query: int, queries: Block, candidates: Block) -> np.ndarray:
     """Upper bounds of one query's inner products with all candidates; never below the exact score."""
-    low = np.zeros(len(candidates.norms))
-    for p in range(candidates.table.shape[1]):
-        np.maximum(low, np.abs(candidates.table[:, p] - queries.table[query, p]), out=low)
+    low, gap = np.zeros(len(candidates.norms)), np.empty(len(candidates.norms))
+    for p in range(len(candidates.table)):
+        np.subtract(candidates.table[p], queries.table[p, query], out=gap)
+        np.abs(gap, out=gap)
+        np.maximum(low, gap, out=low)
     both = queries.norms[query] + candidates.norms
     slack = 1e-9 * both + 1e-6  # rounding of squares and roots
     return 0.5 * (both - low * low) + slack
 
 
-def search_block(ids_q, queries: Block, ids_c, candidates: Block, k: int) -> list[tuple[int, int, int]]:
-    """(query row, candidate row, score) of each query's k best in the block, ties to the smaller id."""
-    out = []
+def _scores(query: int, queries: Block, candidates: Block, part: np.ndarray) -> np.ndarray:
+    """Exact inner products: in doubles where every partial sum is a whole number below 2^53, else in integers."""
+    if queries.largest * candidates.largest * candidates.vectors.shape[1] >= 2.0**53:
+        return candidates.vectors[part] @ queries.vectors[query]
+    if 2 * len(part) > len(candidates.wide):
+        return (candidates.wide @ queries.wide[query])[part].astype(np.int64)
+    return (candidates.wide[part] @ queries.wide[query]).astype(np.int64)
+
+
+def _best(scores: np.ndarray, chosen: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best in order, ties to the smaller id; only rows at or above the k-th score are sorted."""
+    if len(scores) > k:
+        top = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        scores, chosen = scores[top], chosen[top]
+    order = np.lexsort((ids[chosen], -scores))[:k]
+    return scores[order], chosen[order]
+
+
+def search_block(ids_q, queries: Block, ids_c, candidates: Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query rows, candidate rows and scores of each query's k best in the block, ties to the smaller id.
+
+    Candidates are scored in runs of falling bounds; after each run those whose bound is below the k-th score are
+    eliminated, and a query stops when none is left.
+    """
     ids_c = np.asarray(ids_c)
+    rows, found, values = [], [], []
     for q in range(len(ids_q)):
         bounds = upper_bounds(q, queries, candidates)
-        bounds[ids_c == ids_q[q]] = -np.inf
-        order = np.argsort(-bounds, kind="stable")
-        order = order[: np.searchsorted(-bounds[order], np.inf)]  # its own rows stand last
-        scores = np.zeros(0, dtype=np.int64)
-        chosen = np.zeros(0, dtype=np.int64)
-        at, step = 0, max(_STEP, k)
-        while at < len(order):
-            if len(scores) >= k and bounds[order[at]] < scores[-1]:
-                break
-            part = order[at : at + step]
-            fresh = candidates.vectors[part] @ queries.vectors[q]
-            scores, chosen = np.concatenate([scores, fresh]), np.concatenate([chosen, part])
-            best = np.lexsort((ids_c[chosen], -scores))[:k]
-            scores, chosen = scores[best], chosen[best]
-            at, step = at + step, step * 2
-        out += [(q, int(c), int(s)) for c, s in zip(chosen, scores, strict=True)]
-    return out
+        alive = np.flatnonzero(ids_c != ids_q[q])
+        scores, chosen = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        step = max(_STEP, k)
+        while len(alive):
+            if len(alive) > step:
+                split = np.argpartition(bounds[alive], len(alive) - step)
+                part, alive = alive[split[-step:]], alive[split[:-step]]
+            else:
+                part, alive = alive, alive[:0]
+            fresh = _scores(q, queries, candidates, part)
+            scores, chosen = _best(np.concatenate([scores, fresh]), np.concatenate([chosen, part]), ids_c, k)
+            if len(scores) >= k:
+                alive = alive[bounds[alive] >= scores[-1]]
+            step *= 4
+        rows.append(np.full(len(chosen), q))
+        found.append(chosen)
+        values.append(scores)
+    if not rows:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(values)
 
 
 def top_k(
@@ -139,11 +167,8 @@ def top_k(
                 ids_c = np.frombuffer(row.ids, np.int64).reshape(-1, 2)[:, 0]
                 q = Block(np.frombuffer(row.q_vectors, "<i8").reshape(-1, dim), table)
                 c = Block(np.frombuffer(row.vectors, "<i8").reshape(-1, dim), table)
-                found = search_block(ids_q, q, ids_c, c, k)
-                yield pd.DataFrame(
-                    [(places[a], ids_q[a], ids_c[b], s) for a, b, s in found],
-                    columns=["place", "query_id", "vec_id", "score"],
-                ).astype("int64")
+                a, b, score = search_block(ids_q, q, ids_c, c, k)
+                yield pd.DataFrame({"place": places[a], "query_id": ids_q[a], "vec_id": ids_c[b], "score": score})
 
     met = meets.join(candidates, "b").select("q_ids", "q_vectors", "ids", "vectors")
     met = met.repartition(max(1, min(n_blocks * q_blocks, 4096)))  # pairs of blocks, spread evenly
