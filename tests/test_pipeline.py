@@ -157,3 +157,50 @@ def test_run_with_no_accepted_file(spark, tmp_path):
     assert result.enriched.count() == 0
     assert spark.read.parquet(result.outputs["rejects"]).count() == 2
     assert pipeline.ledger_state(spark, out).count() == 0
+
+
+def test_renamed_person_and_moved_customer_keep_one_total(spark, tmp_path):
+    """Person 1 and customer 1 change between two runs of a month: totals stay by key, and person 1 wins with 120."""
+    out = str(tmp_path / "out")
+    first, second = tmp_path / "in1", tmp_path / "in2"
+    first.mkdir()
+    second.mkdir()
+    (first / "a.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-03,1,60,1,60\n2,121,oats,2023-03-04,2,100,1,100\n")
+    (second / "b.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-20,1,60,1,60\n")
+    dims = _dims(spark)
+    pipeline.run(spark, str(first), dims, out)
+    dims.team = dims.team.withColumn(
+        "last_name", F.when(F.col("id") == 1, "Quist").otherwise(F.col("last_name"))
+    )
+    dims.customer = dims.customer.withColumn(
+        "address", F.when(F.col("customer_id") == 1, "Borg").otherwise(F.col("address"))
+    )
+    result = pipeline.run(spark, str(second), dims, out)
+    team = spark.read.parquet(result.outputs["sales_team_data_mart"])
+    assert rows(team, "sales_person_id", "full_name", "total_sales", "incentive") == [
+        (1, "Finn Quist", Decimal("120.00"), Decimal("1.20")),
+        (2, "Gita Pell", Decimal("100.00"), Decimal("0.00")),
+    ]
+    customers = spark.read.parquet(result.outputs["customers_data_mart"])
+    assert rows(customers, "customer_id", "address", "total_sales") == [
+        (1, "Borg", Decimal("120.00")),
+        (2, "Ahlen", Decimal("100.00")),
+    ]
+
+
+def test_rows_with_bad_values_are_reported(spark, tmp_path):
+    drop = tmp_path / "in"
+    drop.mkdir()
+    good, bad_id, bad_two = (
+        "1,121,oats,2023-03-03,1,100,1,100",
+        "abc,121,oats,2023-03-03,1,7,1,7",
+        "1,121,oats,2023-13-45,1,5,x,5",
+    )
+    (drop / "d.csv").write_text("\n".join([HEADER, good, bad_id, bad_two]) + "\n")
+    result = pipeline.run(spark, str(drop), _dims(spark), str(tmp_path / "out"), run_id="r")
+    got = spark.read.parquet(result.outputs["bad_rows"]).select("run_id", "bad_columns", "line").collect()
+    assert sorted((r.run_id, sorted(r.bad_columns), r.line) for r in got) == [
+        ("r", ["customer_id"], bad_id),
+        ("r", ["quantity", "sales_date"], bad_two),
+    ]
+    assert spark.read.parquet(result.outputs["customer_mart"]).count() == 2

@@ -121,7 +121,8 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
     and each mandatory column is taken from the position its name has in that file's header. So columns are
     matched by name, a reordered header reads correctly, and extras are packed in header order. The header line
     and blank lines are dropped, as the CSV reader does; a line equal to the header further down (files joined
-    with their headers) is dropped too instead of becoming a row of failed casts.
+    with their headers) is dropped too instead of becoming a row of failed casts. With ``keep_bad``, ``_bad_line`` is
+    the raw line of a row in which a cast failed, else NULL.
     """
     names = [f.name for f in SALES_FACT.fields if f.name != EXTRA_COLUMN]
     # Per file, once: the position of every mandatory column and of each extra column in that file's header.
@@ -140,9 +141,9 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
     data = joined.where((F.col("value") != F.col("header_line")) & (F.trim(F.col("value")) != ""))
     n = max(width, 1)
     # Parse each line once; the array is its own projection so the parser is not re-run for every column read.
-    parsed = data.select("path", "_pe", *[f"_p{i}" for i in range(len(names))],
+    parsed = data.select("path", "value", "_pe", *[f"_p{i}" for i in range(len(names))],
                          F.from_csv(F.col("value"), ", ".join(f"_c{i} string" for i in range(n))).alias("_r"))
-    fields = parsed.select("path", "_pe", *[f"_p{i}" for i in range(len(names))],
+    fields = parsed.select("path", "value", "_pe", *[f"_p{i}" for i in range(len(names))],
                            F.array(*[F.col(f"_r._c{i}") for i in range(n)]).alias("_f"))
 
     def at(pos: Column) -> Column:
@@ -151,7 +152,10 @@ def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool
     position = {name: F.col(f"_p{i}") for i, name in enumerate(names)}
     extra = F.when(F.size("_pe") > 0, F.concat_ws(",", F.transform("_pe", at)))
     cols = _typed_columns(lambda name: at(position[name]), extra, keep_bad)
-    return fields.select(*cols, F.col("path").alias("source_file"))
+    typed = fields.select(*cols, F.col("path").alias("source_file"), F.col("value").alias("_line"))
+    if not keep_bad:
+        return typed.drop("_line")
+    return typed.withColumn("_bad_line", F.when(F.size("_bad_columns") > 0, F.col("_line"))).drop("_line")
 
 
 def empty_fact(spark: SparkSession) -> DataFrame:

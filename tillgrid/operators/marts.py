@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrid.functions.scalars import full_name, incentive_from_max, month_key, top_rank_incentive
+from tillgrid.operators.enrich import customer_side, team_side
 from tillgrid.operators.ranking import rank_desc
+from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.schemas import CUSTOMER_MART_COLUMNS, MONEY, SALES_MART_COLUMNS
 
 
@@ -113,6 +115,44 @@ def sales_incentive(enriched: DataFrame) -> DataFrame:
     return with_incentive(sales_person_monthly_sales(enriched))
 
 
+def _known(fact: DataFrame, key: str, dimension: DataFrame, id_col: str) -> DataFrame:
+    """Sales whose ``key`` is in the dimension. A semi join: it carries keys only and never multiplies a sale."""
+    return fact.join(broadcast_if_small(dimension.select(F.col(id_col).alias(key))), key, "left_semi")
+
+
+def customer_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
+    """The columns of ``customer_monthly_sales``, summed by (customer, month) before any attribute is joined.
+
+    Sales pass slim semi joins on the keys, partial sums are shuffled, and the attributes meet one row per (customer,
+    month). The total belongs to the customer id, so attributes that changed between loads never split it; an id
+    with two dimension rows gives two rows with the whole total."""
+    keyed = _known(_known(fact, "store_id", store, "id"), "sales_person_id", team, "id")
+    totals = keyed.groupBy("customer_id", month_key("sales_date").alias("sales_date_month")).agg(
+        F.sum("total_cost").cast(MONEY).alias("total_sales")
+    )
+    return totals.join(broadcast_if_small(customer_side(customer)), "customer_id").select(
+        "customer_id",
+        full_name("first_name", "last_name").alias("full_name"),
+        "address",
+        "phone_number",
+        "sales_date_month",
+        "total_sales",
+    )
+
+
+def sales_incentive_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
+    """The columns of ``sales_incentive``, summed by (store, sales person, month) before names are joined, so a
+    renamed sales person keeps one total and one place in the ranking."""
+    keyed = _known(_known(fact, "store_id", store, "id"), "customer_id", customer, "customer_id")
+    totals = keyed.groupBy("store_id", "sales_person_id", month_key("sales_date").alias("sales_month")).agg(
+        F.sum("total_cost").cast(MONEY).alias("total_sales")
+    )
+    named = totals.join(broadcast_if_small(team_side(team)), "sales_person_id").withColumn(
+        "full_name", full_name("sales_person_first_name", "sales_person_last_name")
+    )
+    return with_incentive(named)
+
+
 def rank_within(df: DataFrame, group: list[str], value: str, name: str = "rnk") -> DataFrame:
     """``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``: ties share a rank.
 

@@ -21,7 +21,7 @@ from tillgrid.sources import files as file_source
 class Intake:
     files: DataFrame  # manifest: path, file_key, length, modificationTime, file_name, is_csv
     gated: DataFrame  # one row per file with the gate verdict
-    fact: DataFrame  # typed sales fact of the accepted files (+ _bad_columns, source_file)
+    fact: DataFrame  # typed sales fact of the accepted files (+ _bad_columns, source_file, _bad_line)
     rejects: DataFrame  # path, file_name, reason, missing
 
 
@@ -38,7 +38,11 @@ def run_intake(spark: SparkSession, root: str | Sequence[str]) -> Intake:
         fact = conform.conform_lines(lines, gated, width)
     else:
         fact = conform.empty_fact(spark).withColumns(
-            {"_bad_columns": F.array().cast("array<string>"), "source_file": F.lit(None).cast("string")}
+            {
+                "_bad_columns": F.array().cast("array<string>"),
+                "source_file": F.lit(None).cast("string"),
+                "_bad_line": F.lit(None).cast("string"),
+            }
         )
     return Intake(files=files, gated=gated, fact=fact, rejects=conform.rejects(gated))
 

@@ -6,13 +6,13 @@ Steps and the Spark work behind each:
 2. Ledger open: one ``A`` row per accepted file, appended before any data work (a crash leaves ``A`` rows with no
    ``I``, which ``ledger.incomplete`` reports on the next run).
 3. Rejects: the reject table (path, reason, missing columns) and the raw lines of rejected files.
-4. The enriched fact (fact ⋈ customer ⋈ store ⋈ sales team) goes into a sales history partitioned by (month,
+4. The conformed fact (keys and values, no attributes) goes into a sales history partitioned by (month,
    source file); a file written again replaces its own partitions (drop files are immutable: new sales come in new
    files, so a file's months never shrink between runs). The write cuts lineage: the outputs read those
    files (only the columns each needs), which survive the loss of any executor.
-5. Outputs: customer rows and sales rows (plain and partitioned by ``sales_month``, ``store_id``) published
-   under ``run_ts=<epoch ms>``; both monthly marts recomputed from the whole history of every month this run
-   touched and loaded by dynamic partition overwrite on the month, so files of one month arriving in several runs
+5. Outputs: rows with values that did not cast (with the raw line), customer rows and sales rows (plain and
+   partitioned by ``sales_month``, ``store_id``) published under ``run_ts=<epoch ms>``; both monthly marts recomputed from the whole history of every month this run
+   touched, summed by key before attributes are joined, and loaded by dynamic partition overwrite on the month, so files of one month arriving in several runs
    add up and a rerun adds nothing.
 6. Ledger close: one ``I`` row per accepted file with the real end time.
 
@@ -90,7 +90,8 @@ def output_paths(out: str) -> dict[str, str]:
             "leftovers",
             "rejects",
             "rejected_lines",
-            "sales_history",
+            "sales_facts",
+            "bad_rows",
             "customer_mart",
             "sales_mart",
             "sales_mart_partitioned",
@@ -133,39 +134,58 @@ def run(
     intake.rejects.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(paths["rejects"])
     store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"])
 
-    # The enriched sales of this run go into the sales history, one partition per (month, source file). Writing
+    # The conformed sales of this run go into the sales history, one partition per (month, source file). Writing
     # a file's partitions again replaces them, so a file processed twice (a crash before the ledger closed) is
     # never counted twice. The write also cuts lineage: everything below reads these files, pruned to its columns.
-    star = star_join(intake.fact, dims.customer, dims.store, dims.team, carry=["source_file"])
     history_rows = (
-        star.withColumn("sales_month", month_key("sales_date"))
+        intake.fact.withColumn("sales_month", month_key("sales_date"))
         .withColumn(SOURCE_COLUMN, F.xxhash64("source_file"))
-        .drop("source_file")
     )
-    sinks.overwrite_partitions(history_rows, paths["sales_history"], ["sales_month", SOURCE_COLUMN])
-    history = spark.read.schema(history_rows.schema).parquet(paths["sales_history"])
+    sinks.overwrite_partitions(history_rows, paths["sales_facts"], ["sales_month", SOURCE_COLUMN])
+    history = spark.read.schema(history_rows.schema).parquet(paths["sales_facts"])
     # This run's rows: a filter on the partition column, so the scan lists the history but reads only this run's
     # partitions. The hashes are file metadata, one number per accepted file.
     run_files = [r[0] for r in accepted.select(F.xxhash64("path")).distinct().collect()]
-    enriched = history.where(F.col(SOURCE_COLUMN).isin(run_files))
+    facts = history.where(F.col(SOURCE_COLUMN).isin(run_files))
+
+    # Rows in which a value did not cast: they keep their other values, and are reported here with the raw line.
+    bad_rows = facts.where(F.size("_bad_columns") > 0).select(
+        F.lit(run_id).alias("run_id"),
+        "source_file",
+        F.col("_bad_columns").alias("bad_columns"),
+        F.col("_bad_line").alias("line"),
+    )
+    sinks.publish_run(bad_rows, paths["bad_rows"], run_ts)
 
-    sales_rows = marts.sales_mart_rows(enriched)
+    enriched = star_join(facts, dims.customer, dims.store, dims.team)
     sinks.publish_run(marts.customer_mart_rows(enriched), paths["customer_mart"], run_ts)
-    sinks.publish_run(sales_rows, paths["sales_mart"], run_ts)
-    sinks.publish_run(sales_rows, paths["sales_mart_partitioned"], run_ts, partition_cols=["sales_month", "store_id"])
+    sales_rows = marts.sales_mart_rows(enriched)
+    published = sinks.publish_run(sales_rows, paths["sales_mart"], run_ts)
+    sinks.publish_run(
+        spark.read.schema(sales_rows.schema).parquet(published),
+        paths["sales_mart_partitioned"],
+        run_ts,
+        partition_cols=["sales_month", "store_id"],
+    )
 
     # Monthly marts: every month this run touched is recomputed from the whole history of that month and its
     # partition replaced, so files of one month arriving over several runs add up, and a rerun changes nothing.
+    # Totals are by key; names and addresses are joined afterwards, as the dimensions hold them now.
     # The months are a handful of values; as a partition filter they keep every other month's files unread.
-    months = [r[0] for r in enriched.select("sales_month").distinct().collect()]
+    months = [r[0] for r in facts.select("sales_month").distinct().collect()]
     in_months = F.col("sales_month").isin([m for m in months if m is not None])
     if None in months:
         in_months = in_months | F.col("sales_month").isNull()
-    touched = history.where(in_months)
+    touched = history.where(in_months).select(
+        "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost"
+    )
+    sides = (dims.customer, dims.store, dims.team)
+    sinks.overwrite_partitions(
+        marts.customer_monthly_by_key(touched, *sides), paths["customers_data_mart"], ["sales_date_month"]
+    )
     sinks.overwrite_partitions(
-        marts.customer_monthly_sales(touched), paths["customers_data_mart"], ["sales_date_month"]
+        marts.sales_incentive_by_key(touched, *sides), paths["sales_team_data_mart"], ["sales_month"]
     )
-    sinks.overwrite_partitions(marts.sales_incentive(touched), paths["sales_team_data_mart"], ["sales_month"])
 
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 1).write.mode("append").parquet(
         paths["ledger"]
