@@ -144,8 +144,10 @@ def test_reject_table_and_lines(spark, intake, drop, tmp_path):
         ("notes.txt", "second line"),
     ])
     out = str(tmp_path / "rejected")
-    store_rejected_lines(lines, out)
-    back = spark.read.text(out)
+    store_rejected_lines(lines, out, "r1")
+    store_rejected_lines(lines, out, "r1")  # the same run again replaces its lines
+    back = spark.read.parquet(out)
+    assert back.count() == 5 and all(r.path.endswith(r.file_name) for r in back.collect())
     assert sorted(r.file_name for r in back.select("file_name").distinct().collect()) == [
         "UPPER.CSV", "missing.csv", "notes.txt",
     ]

@@ -204,3 +204,70 @@ def test_rows_with_bad_values_are_reported(spark, tmp_path):
         ("r", ["quantity", "sales_date"], bad_two),
     ]
     assert spark.read.parquet(result.outputs["customer_mart"]).count() == 2
+
+
+def test_a_repeated_run_replaces_its_own_rows(spark, tmp_path):
+    drop = tmp_path / "in"
+    drop.mkdir()
+    (drop / "a.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-03,1,60,1,60\nabc,121,oats,2023-03-04,2,9,1,9\n")
+    for folder in ("n", "s"):
+        (drop / folder).mkdir()
+        (drop / folder / "bad.csv").write_text(f"customer_id\n{folder}\n")
+    out = str(tmp_path / "out")
+    first = pipeline.run(spark, str(drop), _dims(spark), out, run_id="r")
+    again = pipeline.run(spark, str(drop), _dims(spark), out, run_id="r")
+    assert again.run_ts == first.run_ts
+    counts = {n: spark.read.parquet(first.outputs[n]).count()
+              for n in ("rejects", "rejected_lines", "bad_rows", "customer_mart", "sales_mart_partitioned", "runs")}
+    assert counts == {"rejects": 2, "rejected_lines": 2, "bad_rows": 1, "customer_mart": 1,
+                      "sales_mart_partitioned": 1, "runs": 1}
+    lines = spark.read.parquet(first.outputs["rejected_lines"]).collect()
+    assert sorted((r.path[-9:], r.value) for r in lines) == [("n/bad.csv", "n"), ("s/bad.csv", "s")]
+    team = spark.read.parquet(first.outputs["sales_team_data_mart"])
+    assert rows(team, "sales_person_id", "total_sales") == [(1, Decimal("60.00"))]
+
+
+def test_new_files_only_and_closed_runs_only(spark, tmp_path):
+    drop = tmp_path / "in"
+    drop.mkdir()
+    (drop / "a.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-03,1,60,1,60\n")
+    out = str(tmp_path / "out")
+    first = pipeline.run(spark, str(drop), _dims(spark), out, only_new=True)
+    nothing = pipeline.run(spark, str(drop), _dims(spark), out, only_new=True)
+    assert nothing.enriched.count() == 0
+    # A run that broke off after it wrote a row mart is not the latest one.
+    spark.read.parquet(first.outputs["customer_mart"]).drop("run_ts").limit(0).write.parquet(
+        f"{first.outputs['customer_mart']}/run_ts={first.run_ts + 10**9}"
+    )
+    for name in ("customer_mart", "sales_mart", "sales_mart_partitioned"):
+        assert rows(pipeline.read_latest(spark, out, name), "total_cost") == [(Decimal("60.00"),)]
+    (drop / "b.csv").write_text(f"{HEADER}\n2,121,oats,2023-03-04,2,7,1,7\n")
+    pipeline.run(spark, str(drop), _dims(spark), out, only_new=True)
+    assert rows(pipeline.read_latest(spark, out, "customer_mart"), "total_cost") == [(Decimal("7.00"),)]
+    team = spark.read.parquet(first.outputs["sales_team_data_mart"])
+    assert rows(team, "sales_person_id", "total_sales") == [(1, Decimal("60.00")), (2, Decimal("7.00"))]
+    report = spark.read.option("header", "true").csv(first.outputs["monthly_report"])
+    assert rows(report, "sales_person_id", "total_sales") == [("1", "60.00"), ("2", "7.00")]
+
+
+def test_sales_of_a_run_that_broke_off_count_once_a_run_finishes_their_file(spark, tmp_path):
+    drop = tmp_path / "in"
+    drop.mkdir()
+    (drop / "a.csv").write_text(f"{HEADER}\n1,121,oats,2023-03-03,1,60,1,60\n")
+    out = str(tmp_path / "out")
+    first = pipeline.run(spark, str(drop), _dims(spark), out, run_id="good")
+    # As a broken-off run leaves it: an opened file and a copy of its sales under another run id.
+    files = first.intake.files.select("path", "file_name")
+    ledger.ledger_rows(spark, "broken", files, ledger.ACTIVE, dt.datetime(2090, 1, 1), 0).write.mode("append").parquet(
+        first.outputs["ledger"]
+    )
+    facts = spark.read.parquet(first.outputs["sales_facts"]).where("run_id = 'good'").cache()
+    facts.withColumn("run_id", F.lit("broken")).write.mode("append").partitionBy("run_id", "sales_month").parquet(
+        first.outputs["sales_facts"]
+    )
+    other = tmp_path / "in2"
+    other.mkdir()
+    (other / "b.csv").write_text(f"{HEADER}\n2,121,oats,2023-03-04,2,7,1,7\n")
+    pipeline.run(spark, str(other), _dims(spark), out)
+    team = spark.read.parquet(first.outputs["sales_team_data_mart"])
+    assert rows(team, "sales_person_id", "total_sales") == [(1, Decimal("60.00")), (2, Decimal("7.00"))]

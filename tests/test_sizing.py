@@ -35,3 +35,11 @@ def test_verdict_follows_new_files(spark, tmp_path):
     assert has_at_most(spark.read.parquet(p), 5)  # cached verdict, same plan and files
     spark.range(5).write.mode("append").parquet(p)
     assert not has_at_most(spark.read.parquet(p), 5)
+
+
+def test_bytes_are_bounded_too(spark):
+    from pyspark.sql import functions as F
+
+    wide = spark.range(10).withColumn("address", F.repeat(F.lit("x"), 1000)).withColumn("tags", F.array(F.lit("a")))
+    assert has_at_most(wide, 10, 20_000) and not has_at_most(wide, 10, 9_000)
+    assert has_at_most(spark.range(0), 0)

@@ -41,6 +41,7 @@ def parse_args(argv: Sequence[str]) -> argparse.Namespace:
     p.add_argument("--team", help="Parquet sales-team dimension")
     p.add_argument("--jdbc-url", help="read the dimensions from this database instead")
     p.add_argument("--jdbc-properties", help="file of key=value JDBC properties (user, password, driver)")
+    p.add_argument("--all-files", action="store_true", help="take files again that an earlier run finished")
     p.add_argument("--stream", action="store_true", help="take only new files and archive them")
     p.add_argument("--checkpoint", help="stream checkpoint folder (with --stream)")
     p.add_argument("--archive", help="folder for processed files (with --stream)")
@@ -67,11 +68,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName("tillgrid").getOrCreate()
     ensure_checkpoint_dir(spark)
-    dims = dimensions(spark, args)
     if args.stream:
-        run_stream(spark, args.incoming, dims, args.out, args.checkpoint, args.archive)
+        run_stream(spark, args.incoming, lambda: dimensions(spark, args), args.out, args.checkpoint, args.archive)
     else:
-        result = pipeline.run(spark, args.incoming, dims, args.out)
+        result = pipeline.run(
+            spark, args.incoming, dimensions(spark, args), args.out, only_new=not args.all_files
+        )
         print(f"run {result.run_id}: outputs under {args.out}")
     return 0
 

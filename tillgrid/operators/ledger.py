@@ -81,3 +81,22 @@ def incomplete(on_hand: DataFrame, state: DataFrame, key: str, status_col: str =
     """Rows of ``on_hand`` whose key the ledger knows and whose latest status is not ``final``."""
     open_keys = state.where(F.col(status_col) != F.lit(final)).select(key)
     return on_hand.join(open_keys, key, "left_semi")
+
+
+def finished_files(rows: DataFrame) -> DataFrame:
+    """``path`` of every file that some run finished."""
+    return rows.where(F.col("status") == FINISHED).select(F.col("file_location").alias("path")).distinct()
+
+
+def superseded(rows: DataFrame, run_id: str) -> DataFrame:
+    """(run_id, source_file) pairs whose sales do not count: another run holds the file's valid copy, or none does yet.
+
+    The valid copy of a file is that of the current run ``run_id``, else of the last run that finished the file.
+    """
+    valid = rows.where((F.col("run_id") == run_id) | (F.col("status") == FINISHED))
+    order = F.struct(F.col("run_id") == run_id, F.col("event_ts"), F.col("seq"))
+    winners = valid.groupBy("file_location").agg(F.max_by("run_id", order).alias("_winner"))
+    pairs = rows.select("run_id", "file_location").distinct().join(winners, "file_location", "left")
+    return pairs.where(~F.col("run_id").eqNullSafe(F.col("_winner"))).select(
+        "run_id", F.col("file_location").alias("source_file")
+    )

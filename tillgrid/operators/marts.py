@@ -51,8 +51,8 @@ def customer_monthly_sales(enriched: DataFrame) -> DataFrame:
 
 def customer_monthly_sales_window(enriched: DataFrame) -> DataFrame:
     """The reference's window form: the total is over (customer_id, month) only, and every distinct attribute set
-    of that key gets the combined total. Built as distinct attribute sets ⋈ key totals; both sides are aggregated
-    map-side before their shuffle, and the join is one-to-few on the key."""
+    of that key gets the combined total. Built from one pass: sums per attribute set (combined map-side), then per key
+    the sum of those sums with the list of its attribute sets, which is as long as the dimension has rows of one id."""
     rows = enriched.select(
         "customer_id",
         full_name("first_name", "last_name").alias("full_name"),
@@ -61,14 +61,13 @@ def customer_monthly_sales_window(enriched: DataFrame) -> DataFrame:
         month_key("sales_date").alias("sales_date_month"),
         "total_cost",
     )
-    totals = rows.groupBy(
-        F.col("customer_id").alias("_cid"), F.col("sales_date_month").alias("_month")
-    ).agg(F.sum("total_cost").cast(MONEY).alias("total_sales"))
-    variants = rows.select("customer_id", "full_name", "address", "phone_number", "sales_date_month").distinct()
-    # Null-safe: a sale with no valid date has a NULL month, which is a window partition of its own.
-    same_key = F.col("customer_id").eqNullSafe(F.col("_cid")) & F.col("sales_date_month").eqNullSafe(F.col("_month"))
-    return variants.join(totals, same_key).select(
-        "customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales"
+    attributes = ["full_name", "address", "phone_number"]
+    sums = rows.groupBy("customer_id", "sales_date_month", *attributes).agg(F.sum("total_cost").alias("_sum"))
+    totals = sums.groupBy("customer_id", "sales_date_month").agg(
+        F.sum("_sum").cast(MONEY).alias("total_sales"), F.collect_list(F.struct(*attributes)).alias("_sets")
+    )
+    return totals.withColumn("_set", F.explode("_sets")).select(
+        "customer_id", *[F.col(f"_set.{a}") for a in attributes], "sales_date_month", "total_sales"
     )
 
 
@@ -140,17 +139,31 @@ def customer_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFra
     )
 
 
-def sales_incentive_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
-    """The columns of ``sales_incentive``, summed by (store, sales person, month) before names are joined, so a
-    renamed sales person keeps one total and one place in the ranking."""
+def sales_person_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
+    """The columns of ``sales_person_monthly_sales``, summed by (store, sales person, month) before names are joined, so
+    a renamed sales person keeps one total."""
     keyed = _known(_known(fact, "store_id", store, "id"), "customer_id", customer, "customer_id")
     totals = keyed.groupBy("store_id", "sales_person_id", month_key("sales_date").alias("sales_month")).agg(
         F.sum("total_cost").cast(MONEY).alias("total_sales")
     )
-    named = totals.join(broadcast_if_small(team_side(team)), "sales_person_id").withColumn(
-        "full_name", full_name("sales_person_first_name", "sales_person_last_name")
+    return totals.join(broadcast_if_small(team_side(team)), "sales_person_id").select(
+        "store_id",
+        "sales_person_id",
+        full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
+        "sales_month",
+        "total_sales",
     )
-    return with_incentive(named)
+
+
+def sales_incentive_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
+    """The columns of ``sales_incentive`` from totals by key: a renamed sales person keeps one place in the ranking."""
+    return with_incentive(sales_person_monthly_by_key(fact, customer, store, team))
+
+
+def known_sales(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
+    """Sales whose customer, store and sales person are all known: the star's rows, without its attributes."""
+    keyed = _known(_known(fact, "store_id", store, "id"), "customer_id", customer, "customer_id")
+    return _known(keyed, "sales_person_id", team, "id")
 
 
 def rank_within(df: DataFrame, group: list[str], value: str, name: str = "rnk") -> DataFrame:

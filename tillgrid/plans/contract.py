@@ -6,6 +6,7 @@ SQL states the same result independently, straight from the tables. Column names
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from tillgrid.functions import scalars
 from tillgrid.operators import conform, ledger, marts
 from tillgrid.operators.enrich import star_join
 from tillgrid.operators.ranking import rank_desc
+from tillgrid.session import scratch_path
+from tillgrid.sinks import files as sinks
 from tillgrid.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +50,18 @@ def q_sales_mart_rows(spark, sf_dir):
     return marts.sales_mart_rows(enriched(spark, sf_dir))
 
 
+def _fact_and_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """The conformed fact and the three dimensions, for the forms that sum by key before attributes are joined."""
+    return (
+        tables.sales_fact(spark, sf_dir),
+        tables.customers(spark, sf_dir),
+        tables.stores(spark, sf_dir),
+        tables.sales_team(spark, sf_dir),
+    )
+
+
 def q_customer_monthly_sales(spark, sf_dir):
-    return marts.customer_monthly_sales(enriched(spark, sf_dir))
+    return marts.customer_monthly_by_key(*_fact_and_sides(spark, sf_dir))
 
 
 def q_customer_monthly_sales_window(spark, sf_dir):
@@ -56,22 +69,26 @@ def q_customer_monthly_sales_window(spark, sf_dir):
 
 
 def q_sales_person_monthly_sales(spark, sf_dir):
-    return marts.sales_person_monthly_sales(enriched(spark, sf_dir))
+    return marts.sales_person_monthly_by_key(*_fact_and_sides(spark, sf_dir))
 
 
 def q_sales_incentive(spark, sf_dir):
-    return marts.sales_incentive(enriched(spark, sf_dir))
+    return marts.sales_incentive_by_key(*_fact_and_sides(spark, sf_dir))
 
 
 def q_incentive_ties(spark, sf_dir):
-    """Rank of each sales person by number of sale lines within (store, month); ties share a rank."""
-    e = enriched(spark, sf_dir)
+    """Rank of each sales person by number of sale lines within (store, month); ties share a rank.
+
+    The monthly counts are written once, as the rank reads them twice: the sales are scanned and counted one time."""
+    known = marts.known_sales(*_fact_and_sides(spark, sf_dir))
     counts = (
-        e.select("store_id", "sales_person_id", scalars.month_key("sales_date").alias("sales_month"))
+        known.select("store_id", "sales_person_id", scalars.month_key("sales_date").alias("sales_month"))
         .groupBy("store_id", "sales_month", "sales_person_id")
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
-    return rank_desc(counts, ["store_id", "sales_month"], "n_lines")
+    path = scratch_path(spark, "line-counts")
+    sinks.write_parquet(counts, path)
+    return rank_desc(spark.read.schema(counts.schema).parquet(path), ["store_id", "sales_month"], "n_lines")
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -103,6 +120,12 @@ def q_run_stamp(spark, sf_dir):
     )
 
 
+def q_event_stamp(spark, sf_dir):
+    """Stamps of instants with a time of day and fractions of seconds (cut off)."""
+    e = tables.table(spark, sf_dir, "events")
+    return e.select("event_id", scalars.stamp_text("ts").alias("stamp"), scalars.epoch_millis("ts").alias("epoch_ms"))
+
+
 def q_pack_extra_columns(spark, sf_dir):
     li = tables.table(spark, sf_dir, "lineitem")
     extras = [F.nullif(F.col("l_returnflag"), F.lit("N")), F.col("l_linestatus")]
@@ -111,7 +134,7 @@ def q_pack_extra_columns(spark, sf_dir):
 
 def q_union_facts(spark, sf_dir):
     """Finished orders' lines with no extras UNION ALL the other lines with return flag and line status packed."""
-    lines = tables.sales_lines(spark, sf_dir)
+    lines = tables.sales_lines(spark, sf_dir, with_product=True)
     fact_cols = [c for c in conform.SALES_FACT.fieldNames() if c != conform.EXTRA_COLUMN]
     done = lines.where(F.col("o_orderstatus") == "F").select(*fact_cols)
     other = lines.where(F.col("o_orderstatus") != "F")
@@ -151,6 +174,54 @@ def q_ledger_incomplete(spark, sf_dir):
     return ledger.incomplete(c, state, "customer_id", "status", "F")
 
 
+def _order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sales file per order, as a manifest would list it."""
+    name = F.concat(F.lit("order-"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    orders = tables.table(spark, sf_dir, "orders")
+    return orders.select(F.concat(F.lit("/drop/"), name).alias("path"), name.alias("file_name"), "o_orderstatus")
+
+
+def _file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after a run that opened every order's file and broke off after the finished orders (F); a second run
+    then took the partly shipped ones (P) to the end."""
+    files = _order_files(spark, sf_dir)
+    status = F.col("o_orderstatus")
+
+    def at(minute: int) -> dt.datetime:
+        return dt.datetime(2024, 1, 1, 0, minute, tzinfo=dt.timezone.utc)
+
+    return conform.union_all(
+        [
+            ledger.ledger_rows(spark, "run-1", files, ledger.ACTIVE, at(0), 0),
+            ledger.ledger_rows(spark, "run-1", files.where(status == "F"), ledger.FINISHED, at(1), 1),
+            ledger.ledger_rows(spark, "run-2", files.where(status == "P"), ledger.ACTIVE, at(2), 0),
+            ledger.ledger_rows(spark, "run-2", files.where(status == "P"), ledger.FINISHED, at(2), 1),
+        ]
+    )
+
+
+def q_file_ledger_state(spark, sf_dir):
+    """Current status per run and file of a ledger written by ``ledger_rows``."""
+    rows = _file_ledger(spark, sf_dir)
+    return ledger.current_state(rows, ["run_id", "file_name"], "status", ["event_ts", "seq"])
+
+
+def q_file_restart_check(spark, sf_dir):
+    """Files on hand that some run opened and never finished."""
+    rows = _file_ledger(spark, sf_dir)
+    state = ledger.current_state(rows, ["run_id", "file_location"], "status", ["event_ts", "seq"])
+    on_hand = _order_files(spark, sf_dir).select("path", "file_name")
+    return ledger.incomplete(on_hand, state.withColumnRenamed("file_location", "path"), "path")
+
+
+def q_file_valid_copies(spark, sf_dir):
+    """(run, file) copies whose sales do not count for a third run, which takes the open orders (O) again."""
+    files = _order_files(spark, sf_dir).where(F.col("o_orderstatus") == "O")
+    start = dt.datetime(2024, 1, 1, 1, tzinfo=dt.timezone.utc)
+    rows = _file_ledger(spark, sf_dir).union(ledger.ledger_rows(spark, "run-3", files, ledger.ACTIVE, start, 0))
+    return ledger.superseded(rows, "run-3")
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Oracle SQL (DuckDB)
 # ---------------------------------------------------------------------------------------------------------------
@@ -182,6 +253,13 @@ lines AS (
          l.l_orderkey, l.l_linenumber, o.o_orderstatus, l.l_returnflag, l.l_linestatus
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON s.s_suppkey = l.l_suppkey)"""
 
+# The same lines with the product's name and price.
+_PRICED_LINES = (
+    _LINES.replace("CAST(NULL AS VARCHAR)", "p.p_name")
+    .replace("CAST(NULL AS DECIMAL(18,2))", "CAST(p.p_retailprice AS DECIMAL(18,2))")
+    .replace("s.s_suppkey = l.l_suppkey)", "s.s_suppkey = l.l_suppkey LEFT JOIN part p ON p.p_partkey = l.l_partkey)")
+)
+
 _STAR_TAIL = """,
 star AS (
   SELECT f.customer_id, f.store_id, f.sales_person_id, f.sales_date, f.total_cost,
@@ -219,7 +297,7 @@ monthly AS (
          strftime(sales_date, '%Y-%m') AS sales_month, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales
   FROM star GROUP BY ALL)"""
 
-_INCENTIVE_SELECT = """
+INCENTIVE_SELECT = """
 SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
        CAST(CASE WHEN rank() OVER (PARTITION BY store_id, sales_month ORDER BY total_sales DESC NULLS LAST) = 1
                  THEN round(total_sales * CAST(0.01 AS DECIMAL(3,2)), 2) ELSE 0 END AS DECIMAL(18,2)) AS incentive
@@ -228,7 +306,7 @@ FROM monthly"""
 
 def incentive_sql(line_filter: str = "") -> str:
     """The sales-team mart with incentive over the (optionally filtered) sale lines."""
-    return star_sql(line_filter) + "," + _PERSON_MONTHLY + _INCENTIVE_SELECT
+    return star_sql(line_filter) + "," + _PERSON_MONTHLY + INCENTIVE_SELECT
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -248,7 +326,7 @@ SELECT DISTINCT customer_id, first_name || ' ' || last_name AS full_name, addres
          AS total_sales
 FROM star""",
     "sales_person_monthly_sales": _STAR + "," + _PERSON_MONTHLY + " SELECT * FROM monthly",
-    "sales_incentive": _STAR + "," + _PERSON_MONTHLY + _INCENTIVE_SELECT,
+    "sales_incentive": _STAR + "," + _PERSON_MONTHLY + INCENTIVE_SELECT,
     "incentive_ties": _STAR
     + """
 , counts AS (
@@ -268,8 +346,21 @@ FROM orders""",
     "pack_extra_columns": """
 SELECT l_orderkey, l_linenumber, concat_ws(',', nullif(l_returnflag, 'N'), l_linestatus) AS additional_column
 FROM lineitem""",
+    "event_stamp": """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, CAST(floor(epoch(ts)) AS BIGINT) * 1000 AS epoch_ms
+FROM events""",
+    "file_ledger_state": """
+SELECT 'run-1' AS run_id, 'order-' || o_orderkey || '.csv' AS file_name,
+       CASE WHEN o_orderstatus = 'F' THEN 'I' ELSE 'A' END AS status FROM orders
+UNION ALL SELECT 'run-2', 'order-' || o_orderkey || '.csv', 'I' FROM orders WHERE o_orderstatus = 'P'""",
+    "file_restart_check": """
+SELECT '/drop/order-' || o_orderkey || '.csv' AS path, 'order-' || o_orderkey || '.csv' AS file_name
+FROM orders WHERE o_orderstatus <> 'F'""",
+    "file_valid_copies": """
+SELECT 'run-1' AS run_id, '/drop/order-' || o_orderkey || '.csv' AS source_file
+FROM orders WHERE o_orderstatus <> 'F'""",
     "union_facts": "WITH"
-    + _LINES
+    + _PRICED_LINES
     + """
 SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
        CAST(NULL AS VARCHAR) AS additional_column FROM lines WHERE o_orderstatus = 'F'
@@ -298,9 +389,13 @@ QUERIES: dict[str, Query] = {
     "month_key": q_month_key,
     "full_name": q_full_name,
     "run_stamp": q_run_stamp,
+    "event_stamp": q_event_stamp,
     "pack_extra_columns": q_pack_extra_columns,
     "union_facts": q_union_facts,
     "ledger_lookup": q_ledger_lookup,
     "ledger_state": q_ledger_state,
     "ledger_incomplete": q_ledger_incomplete,
+    "file_ledger_state": q_file_ledger_state,
+    "file_restart_check": q_file_restart_check,
+    "file_valid_copies": q_file_valid_copies,
 }

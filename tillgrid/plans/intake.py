@@ -2,7 +2,8 @@
 
 Spark jobs: one listing, one header pass over the CSV files (one row per file leaves the tasks), then the fact is one
 lazy scan of all CSV lines parsed against their own file's header (no branch per header or per file, and no file
-list on the driver). Rejected files' raw lines can be copied to a reject store partitioned by file name.
+list on the driver). Rejected files' raw lines can be copied to a reject store, one row per line with the full path
+of its file, so files of the same name in two folders stay apart.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.operators import conform
+from tillgrid.sinks import files as sinks
 from tillgrid.sources import files as file_source
 
 
@@ -23,11 +25,17 @@ class Intake:
     gated: DataFrame  # one row per file with the gate verdict
     fact: DataFrame  # typed sales fact of the accepted files (+ _bad_columns, source_file, _bad_line)
     rejects: DataFrame  # path, file_name, reason, missing
+    any_accepted: bool
 
 
-def run_intake(spark: SparkSession, root: str | Sequence[str]) -> Intake:
-    """Gate every file under ``root`` (a folder, or a list of folders or files) and conform the accepted ones."""
+def run_intake(spark: SparkSession, root: str | Sequence[str], skip: DataFrame | None = None) -> Intake:
+    """Gate every file under ``root`` (a folder, or a list of folders or files) and conform the accepted ones.
+
+    Files whose path is in ``skip`` (column ``path``) are left out, as if they were not there.
+    """
     files = file_source.split_by_suffix(file_source.manifest(spark, root))
+    if skip is not None:
+        files = files.join(skip.select("path"), "path", "left_anti")
     headers = file_source.file_headers(spark, root)
     # One row per file; reused by the width, the line conform and the reject table.
     gated = conform.gate(files, headers).cache()
@@ -44,7 +52,7 @@ def run_intake(spark: SparkSession, root: str | Sequence[str]) -> Intake:
                 "_bad_line": F.lit(None).cast("string"),
             }
         )
-    return Intake(files=files, gated=gated, fact=fact, rejects=conform.rejects(gated))
+    return Intake(files=files, gated=gated, fact=fact, rejects=conform.rejects(gated), any_accepted=width > 0)
 
 
 def rejected_lines(spark: SparkSession, intake: Intake) -> DataFrame:
@@ -59,8 +67,8 @@ def rejected_lines(spark: SparkSession, intake: Intake) -> DataFrame:
     return joined.where(~is_header).select("path", "file_name", "reason", "value")
 
 
-def store_rejected_lines(lines: DataFrame, path: str) -> None:
-    """Copy rejected raw lines to ``<path>/file_name=<name>/`` as text (one folder per rejected file)."""
-    lines.select("file_name", F.concat_ws("\t", "reason", "value").alias("value")).hint(
-        "rebalance", "file_name"
-    ).write.mode("append").partitionBy("file_name").text(path)
+def store_rejected_lines(lines: DataFrame, path: str, run_id: str) -> None:
+    """Write rejected raw lines (path, file_name, reason, value) as the partition ``run_id`` of the Parquet table at
+    ``path``; the same run again replaces its lines."""
+    rows = lines.select("path", "file_name", "reason", "value", F.lit(run_id).alias("run_id"))
+    sinks.overwrite_partitions(rows, path, ["run_id"])

@@ -2,22 +2,26 @@
 
 Steps and the Spark work behind each:
 
-1. ``run_intake``: one listing, one header pass, one lazy scan of all CSV lines conformed against their headers.
-2. Ledger open: one ``A`` row per accepted file, appended before any data work (a crash leaves ``A`` rows with no
+1. ``run_intake``: the manifest, one header pass, one lazy scan of all CSV lines conformed against their headers. With
+   ``only_new``, files that an earlier run finished are left out.
+2. Rejects: the reject table (path, reason, missing columns) and the raw lines of rejected files. If no file is
+   accepted the run ends here, and the outputs of earlier runs stay the latest ones.
+3. Ledger open: one ``A`` row per accepted file, appended before any data work (a crash leaves ``A`` rows with no
    ``I``, which ``ledger.incomplete`` reports on the next run).
-3. Rejects: the reject table (path, reason, missing columns) and the raw lines of rejected files.
-4. The conformed fact (keys and values, no attributes) goes into a sales history partitioned by (month,
-   source file); a file written again replaces its own partitions (drop files are immutable: new sales come in new
-   files, so a file's months never shrink between runs). The write cuts lineage: the outputs read those
-   files (only the columns each needs), which survive the loss of any executor.
+4. The conformed fact (keys and values, no attributes) goes into a sales history partitioned by (run, month). The write
+   cuts lineage: the outputs read those files (only the columns each needs), which survive the loss of any executor.
+   Of a file taken by several runs one copy counts: this run's, else that of the last run that finished it. The ledger
+   says which, so no list of files is collected.
 5. Outputs: rows with values that did not cast (with the raw line), customer rows and sales rows (plain and
-   partitioned by ``sales_month``, ``store_id``) published under ``run_ts=<epoch ms>``; both monthly marts recomputed from the whole history of every month this run
-   touched, summed by key before attributes are joined, and loaded by dynamic partition overwrite on the month, so files of one month arriving in several runs
-   add up and a rerun adds nothing.
-6. Ledger close: one ``I`` row per accepted file with the real end time.
-
-The run takes each file on hand; ``tillgrid.streaming.intake`` is the variant that takes only new files and
-archives them.
+   partitioned by ``sales_month``, ``store_id``) published under ``run_ts=<epoch ms>``; both monthly marts and the CSV
+   report recomputed from the whole history of every month this run touched, summed by key before attributes are
+   joined, and loaded by dynamic partition overwrite on the month, so files of one month arriving in several runs add
+   up and a rerun adds nothing.
+6. Ledger close: one ``I`` row per accepted file with the real end time, and the run's stamp in ``runs``. Readers of
+   row marts (``read_latest``) see closed runs only.
+
+``run_id`` names one set of files. A run repeated under its id keeps its stamp and replaces its own rows in every
+output; the ledger, a log of events, keeps both openings and closings.
 """
 
 from __future__ import annotations
@@ -31,17 +35,19 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillgrid.operators import ledger, marts
 from tillgrid.operators.enrich import star_join
+from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.plans.intake import Intake, rejected_lines, run_intake, store_rejected_lines
 from tillgrid.functions.scalars import month_key
+from tillgrid.schemas import LEDGER, SALES_TEAM_MART
 from tillgrid.sinks import files as sinks
 from tillgrid.sources import jdbc
 
-
-# Partition column of the sales history: a 64-bit hash of the source file's path.
-SOURCE_COLUMN = "src"
+RUNS = "run_id string, run_ts long"
+LEFTOVERS = "path string, file_name string, run_id string"
 
 
 @dataclass
@@ -97,6 +103,8 @@ def output_paths(out: str) -> dict[str, str]:
             "sales_mart_partitioned",
             "customers_data_mart",
             "sales_team_data_mart",
+            "monthly_report",
+            "runs",
         )
     }
 
@@ -105,66 +113,93 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The Parquet table at ``path``, empty if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run(
     spark: SparkSession,
     incoming: str | Sequence[str],
     dims: Dimensions,
     out: str,
     run_id: str | None = None,
+    only_new: bool = False,
 ) -> RunResult:
-    """Process every file under ``incoming`` (a folder, or a list of folders or files) and write all outputs under
-    ``out``."""
+    """Process the files under ``incoming`` (a folder, or a list of folders or files) and write all outputs under
+    ``out``; with ``only_new``, those that no earlier run under ``out`` finished."""
     run_id = run_id or uuid.uuid4().hex
-    run_ts = int(time.time()) * 1000
     paths = output_paths(out)
+    done = ledger.finished_files(_table(spark, paths["ledger"], LEDGER)) if only_new else None
+    intake = run_intake(spark, incoming, skip=done)
+    try:
+        return _run(spark, intake, dims, out, run_id)
+    finally:
+        # Release the cached per-file table: a long-running stream comes here once per micro-batch.
+        intake.gated.unpersist()
+
+
+def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id: str) -> RunResult:
+    paths = output_paths(out)
+    mine = F.col("run_id") == run_id
+    earlier = _table(spark, paths["runs"], RUNS).where(mine).first()
+    run_ts = earlier["run_ts"] if earlier else time.time_ns() // 1_000_000
 
-    intake = run_intake(spark, incoming)
     accepted = intake.gated.where("accepted").select("path", "file_name")
     # Restart check, reported as data: files on hand that an earlier run opened and never finished. Written before
     # this run touches the ledger, so the answer is fixed.
-    unfinished_files(spark, out, intake.files).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(
-        paths["leftovers"]
+    sinks.overwrite_partitions(
+        unfinished_files(spark, out, intake.files).withColumn("run_id", F.lit(run_id)), paths["leftovers"], ["run_id"]
     )
-    leftovers = spark.read.parquet(paths["leftovers"]).where(F.col("run_id") == run_id).drop("run_id")
+    leftovers = _table(spark, paths["leftovers"], LEFTOVERS).where(mine).drop("run_id")
+
+    sinks.overwrite_partitions(intake.rejects.withColumn("run_id", F.lit(run_id)), paths["rejects"], ["run_id"])
+    store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"], run_id)
+    result = RunResult(
+        run_id=run_id,
+        run_ts=run_ts,
+        intake=intake,
+        enriched=star_join(intake.fact, dims.customer, dims.store, dims.team),
+        leftovers=leftovers,
+        outputs=paths,
+    )
+    if not intake.any_accepted:
+        return result
 
     ledger.ledger_rows(spark, run_id, accepted, ledger.ACTIVE, _now(), 0).write.mode("append").parquet(
         paths["ledger"]
     )
 
-    intake.rejects.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(paths["rejects"])
-    store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"])
-
-    # The conformed sales of this run go into the sales history, one partition per (month, source file). Writing
-    # a file's partitions again replaces them, so a file processed twice (a crash before the ledger closed) is
-    # never counted twice. The write also cuts lineage: everything below reads these files, pruned to its columns.
-    history_rows = (
-        intake.fact.withColumn("sales_month", month_key("sales_date"))
-        .withColumn(SOURCE_COLUMN, F.xxhash64("source_file"))
-    )
-    sinks.overwrite_partitions(history_rows, paths["sales_facts"], ["sales_month", SOURCE_COLUMN])
+    # The conformed sales of this run go into the sales history, one partition per (run, month); the run repeated
+    # under its id replaces them. The write also cuts lineage: everything below reads these files, pruned to its columns.
+    history_rows = intake.fact.withColumn("run_id", F.lit(run_id)).withColumn("sales_month", month_key("sales_date"))
+    sinks.overwrite_partitions(history_rows, paths["sales_facts"], ["run_id", "sales_month"])
     history = spark.read.schema(history_rows.schema).parquet(paths["sales_facts"])
-    # This run's rows: a filter on the partition column, so the scan lists the history but reads only this run's
-    # partitions. The hashes are file metadata, one number per accepted file.
-    run_files = [r[0] for r in accepted.select(F.xxhash64("path")).distinct().collect()]
-    facts = history.where(F.col(SOURCE_COLUMN).isin(run_files))
+    facts = history.where(mine)
 
     # Rows in which a value did not cast: they keep their other values, and are reported here with the raw line.
     bad_rows = facts.where(F.size("_bad_columns") > 0).select(
-        F.lit(run_id).alias("run_id"),
+        "run_id",
         "source_file",
         F.col("_bad_columns").alias("bad_columns"),
         F.col("_bad_line").alias("line"),
     )
-    sinks.publish_run(bad_rows, paths["bad_rows"], run_ts)
+    sinks.publish_run(bad_rows, paths["bad_rows"], run_ts, mode="overwrite")
 
-    enriched = star_join(facts, dims.customer, dims.store, dims.team)
-    sinks.publish_run(marts.customer_mart_rows(enriched), paths["customer_mart"], run_ts)
-    sales_rows = marts.sales_mart_rows(enriched)
-    published = sinks.publish_run(sales_rows, paths["sales_mart"], run_ts)
+    result.enriched = star_join(facts, dims.customer, dims.store, dims.team)
+    sinks.publish_run(marts.customer_mart_rows(result.enriched), paths["customer_mart"], run_ts, mode="overwrite")
+    sales_rows = marts.sales_mart_rows(result.enriched)
+    published = sinks.publish_run(sales_rows, paths["sales_mart"], run_ts, mode="overwrite")
     sinks.publish_run(
         spark.read.schema(sales_rows.schema).parquet(published),
         paths["sales_mart_partitioned"],
         run_ts,
+        mode="overwrite",
         partition_cols=["sales_month", "store_id"],
     )
 
@@ -176,8 +211,13 @@ def run(
     in_months = F.col("sales_month").isin([m for m in months if m is not None])
     if None in months:
         in_months = in_months | F.col("sales_month").isNull()
-    touched = history.where(in_months).select(
-        "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost"
+    # Copies that do not count: none unless a file came twice or a run broke off, so the pairs are few and the sales
+    # pass them in a broadcast; beyond its bound they meet in a shuffle join.
+    void = ledger.superseded(_table(spark, paths["ledger"], LEDGER), run_id)
+    touched = (
+        history.where(in_months)
+        .select("run_id", "source_file", "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
+        .join(broadcast_if_small(void), ["run_id", "source_file"], "left_anti")
     )
     sides = (dims.customer, dims.store, dims.team)
     sinks.overwrite_partitions(
@@ -186,28 +226,41 @@ def run(
     sinks.overwrite_partitions(
         marts.sales_incentive_by_key(touched, *sides), paths["sales_team_data_mart"], ["sales_month"]
     )
+    team_mart = _table(spark, paths["sales_team_data_mart"], SALES_TEAM_MART).where(in_months)
+    sinks.write_csv_report(team_mart, paths["monthly_report"])
 
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 1).write.mode("append").parquet(
         paths["ledger"]
     )
-    # Release the cached per-file table: a long-running stream calls this once per micro-batch.
-    intake.gated.unpersist()
-    return RunResult(
-        run_id=run_id, run_ts=run_ts, intake=intake, enriched=enriched, leftovers=leftovers, outputs=paths
-    )
+    if earlier is None:
+        spark.createDataFrame([(run_id, run_ts)], RUNS).write.mode("append").parquet(paths["runs"])
+    return result
+
+
+def read_latest(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Rows of a row mart (or ``bad_rows``) of the latest closed run under ``out``.
+
+    The stamp comes from the ``runs`` table, so a run that broke off, or that had nothing to do, is never the latest.
+    """
+    paths = output_paths(out)
+    latest = _table(spark, paths["runs"], RUNS).agg(F.max("run_ts")).first()[0]
+    if latest is None:
+        raise FileNotFoundError(f"no closed run under {out}")
+    folder = f"{sinks.RUN_COLUMN}={latest}"
+    if name != "sales_mart_partitioned":
+        return spark.read.parquet(f"{paths[name]}/{folder}")
+    # A run without known sales leaves no partition, so the columns are those of the plain form.
+    schema = spark.read.parquet(f"{paths['sales_mart']}/{folder}").schema
+    return spark.read.schema(schema).parquet(f"{paths[name]}/{folder}")
 
 
 def ledger_state(spark: SparkSession, out: str) -> DataFrame:
     """Current status per (run, file) of the ledger under ``out``."""
-    rows = spark.read.parquet(output_paths(out)["ledger"])
+    rows = _table(spark, output_paths(out)["ledger"], LEDGER)
     return ledger.current_state(rows, ["run_id", "file_name", "file_location"], "status", ["event_ts", "seq"])
 
 
 def unfinished_files(spark: SparkSession, out: str, on_hand: DataFrame) -> DataFrame:
     """Files of ``on_hand`` (a manifest) whose latest ledger status under ``out`` is not finished (lazy)."""
-    try:
-        state = ledger_state(spark, out)
-    except AnalysisException:  # no ledger yet: first run
-        return spark.createDataFrame([], "path string, file_name string")
-    open_files = state.where(F.col("status") != F.lit(ledger.FINISHED)).select(F.col("file_location").alias("path"))
-    return on_hand.select("path", "file_name").join(open_files, "path", "left_semi")
+    state = ledger_state(spark, out).withColumnRenamed("file_location", "path")
+    return ledger.incomplete(on_hand.select("path", "file_name"), state, "path")

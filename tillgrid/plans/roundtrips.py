@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tillgrid.operators import marts
 from tillgrid.plans import pipeline
-from tillgrid.plans.contract import enriched, incentive_sql
-from tillgrid.plans.intake import rejected_lines, run_intake
+from tillgrid.plans.contract import INCENTIVE_SELECT, enriched, incentive_sql, star_sql
+from tillgrid.plans.intake import rejected_lines, run_intake, store_rejected_lines
 from tillgrid.schemas import MANDATORY_COLUMNS, SALES_FACT, SALES_TEAM_MART
 from tillgrid.session import scratch_path
 from tillgrid.sinks import files as sinks
@@ -45,14 +45,19 @@ def _text(c: str) -> F.Column:
 
 
 def write_sales_drop(
-    spark: SparkSession, sf_dir: str, root: str, parts: tuple[str, ...] = ("F", "O", "P", "notes")
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    parts: tuple[str, ...] = ("F", "O", "P", "notes"),
+    by_date: bool = True,
 ) -> None:
-    """Write the sales drop described in the module docstring (the folders named in ``parts``)."""
+    """Write the sales drop described in the module docstring (the folders named in ``parts``).
+
+    With ``by_date`` each file covers one stretch of sale dates, else every file has sales of any date."""
     lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumns(
         {"payment_mode": F.col("l_returnflag"), "ship_status": F.col("l_linestatus")}
     )
-    # Like real sales drops, each file covers one stretch of sale dates (a range partitioning on the date).
-    lines = lines.repartitionByRange("sales_date")
+    lines = lines.repartitionByRange("sales_date") if by_date else lines.repartition("l_orderkey")
     status = F.col("o_orderstatus")
     csv = {"header": "true"}
     if "F" in parts:
@@ -116,6 +121,50 @@ def q_rejected_rows(spark, sf_dir):
     return lines.groupBy(_source().alias("source"), "reason").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def q_rejected_line_texts(spark, sf_dir):
+    """Every raw line of the rejected files, read back from the reject store."""
+    intake = run_intake(spark, sales_drop(spark, sf_dir))
+    store = scratch_path(spark, "rejected-lines")
+    store_rejected_lines(rejected_lines(spark, intake), store, "run")
+    return spark.read.parquet(store).select(_source().alias("source"), "reason", "value")
+
+
+def _text_drop(spark: SparkSession, df: DataFrame, header: tuple[str, ...], name: str) -> str:
+    """CSV files of ``df`` with the columns named ``header``: names that differ in blanks only are the same name."""
+    root = scratch_path(spark, name)
+    df.toDF(*header).write.options(header="true", emptyValue="").csv(f"{root}/in")
+    return root
+
+
+def q_bad_rows(spark, sf_dir):
+    """Rows of CSV files with a broken customer id, date or amount: their raw line and the columns that did not cast."""
+    lines = tables.sales_lines(spark, sf_dir, with_product=True)
+    broken = {
+        "customer_id": F.col("l_linenumber") == 1,
+        "sales_date": F.col("l_returnflag") == "R",
+        "total_cost": (F.col("l_linenumber") == 2) & (F.col("l_returnflag") != "N"),
+    }
+
+    def cell(c: str) -> F.Column:
+        text = F.col(c).cast("string")
+        return F.when(broken[c], F.concat(F.lit("x"), text)).otherwise(text) if c in broken else text
+
+    cells = [cell(c).alias(c) for c in MANDATORY_COLUMNS]
+    root = _text_drop(spark, lines.select(*cells, _text("l_orderkey")), (*MANDATORY_COLUMNS, "order_key"), "bad-drop")
+    fact = run_intake(spark, root).fact.where(F.size("_bad_columns") > 0)
+    bad = F.concat_ws(",", F.array_sort("_bad_columns")).alias("bad_columns")
+    return fact.select(bad, F.col("_bad_line").alias("line"))
+
+
+def q_extra_columns_in_files(spark, sf_dir):
+    """Extra columns with the same name twice and with blank names: all four are packed, in header order."""
+    lines = tables.sales_lines(spark, sf_dir, with_product=True)
+    extras = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+    cells = [_text(c) for c in (*MANDATORY_COLUMNS, *extras)]
+    root = _text_drop(spark, lines.select(*cells), (*MANDATORY_COLUMNS, "note", "note ", " ", "  "), "extras-drop")
+    return run_intake(spark, root).fact.select(*SALES_FACT.fieldNames())
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Sinks
 # ---------------------------------------------------------------------------------------------------------------
@@ -178,6 +227,23 @@ def q_pipeline_run(spark, sf_dir):
     return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
 
 
+def q_pipeline_incremental(spark, sf_dir):
+    """Two runs of the same months over files with mixed dates; between them sales people are renamed and customers
+    move. A person keeps one total and one place in the ranking; months that the second run touches show the new name."""
+    base = scratch_path(spark, "pipeline-incremental")
+    out, dims = f"{base}/out", _driver_dims(spark, sf_dir)
+    write_sales_drop(spark, sf_dir, f"{base}/first", parts=("F",), by_date=False)
+    pipeline.run(spark, f"{base}/first", dims, out)
+    renamed = F.when(F.col("id") % 7 == 0, F.concat("last_name", F.lit(" new"))).otherwise(F.col("last_name"))
+    moved = F.when(F.col("customer_id") % 7 == 0, F.lit("moved")).otherwise(F.col("address"))
+    dims = pipeline.Dimensions(
+        dims.customer.withColumn("address", moved), dims.store, dims.team.withColumn("last_name", renamed)
+    )
+    write_sales_drop(spark, sf_dir, f"{base}/second", parts=("O", "P"), by_date=False)
+    result = pipeline.run(spark, f"{base}/second", dims, out)
+    return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
+
+
 def _read_team_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SALES_TEAM_MART).parquet(path).select(*SALES_TEAM_MART.fieldNames())
 
@@ -197,7 +263,7 @@ def q_stream_pipeline(spark, sf_dir):
 
 def q_stream_intake(spark, sf_dir):
     """Two drops of sales lines drained by two availableNow runs of one stream: every line lands once."""
-    lines = tables.sales_lines(spark, sf_dir).select(*SALES_FACT.fieldNames()[:-1], "l_orderkey", "l_linenumber")
+    lines = tables.sales_lines(spark, sf_dir, with_product=True).select(*SALES_FACT.fieldNames()[:-1], "l_orderkey", "l_linenumber")
     base = scratch_path(spark, "stream-intake")
     drop, archive, sink, ckpt = (f"{base}/{p}" for p in ("drop", "archive", "sink", "checkpoint"))
     done = F.col("sales_date") < F.lit("1998-01-01").cast("date")
@@ -217,7 +283,8 @@ WITH lines AS (
   SELECT o.o_custkey AS customer_id, CAST(s.s_nationkey AS BIGINT) AS store_id, p.p_name AS product_name,
          CAST(o.o_orderdate AS DATE) AS sales_date, l.l_suppkey AS sales_person_id,
          CAST(p.p_retailprice AS DECIMAL(18,2)) AS price, CAST(l.l_quantity AS INTEGER) AS quantity,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_cost, o.o_orderstatus, l.l_returnflag, l.l_linestatus
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_cost, o.o_orderstatus, l.l_returnflag, l.l_linestatus,
+         l.l_orderkey, l.l_linenumber
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON s.s_suppkey = l.l_suppkey
        LEFT JOIN part p ON p.p_partkey = l.l_partkey)
 """
@@ -246,6 +313,29 @@ FROM lines WHERE o_orderstatus IN ('F', 'O')""",
         + """
 SELECT 'P' AS source, 'missing mandatory columns' AS reason, count(*) AS n_lines FROM lines WHERE o_orderstatus = 'P'
 UNION ALL SELECT 'notes', 'not a csv file', count(*) FROM orders""",
+        "rejected_line_texts": _PRODUCT_LINES
+        + """
+SELECT 'P' AS source, 'missing mandatory columns' AS reason,
+       concat(customer_id, ',', product_name, ',', sales_date, ',', sales_person_id, ',', price, ',', quantity, ',',
+              total_cost, ',', l_returnflag) AS value
+FROM lines WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'notes', 'not a csv file', concat(o_orderkey, ' ', o_orderpriority) FROM orders""",
+        "bad_rows": _PRODUCT_LINES
+        + """
+, marked AS (
+  SELECT *, l_linenumber = 1 AS bad_id, l_returnflag = 'R' AS bad_date,
+         l_linenumber = 2 AND l_returnflag <> 'N' AS bad_total FROM lines)
+SELECT concat_ws(',', CASE WHEN bad_id THEN 'customer_id' END, CASE WHEN bad_date THEN 'sales_date' END,
+                 CASE WHEN bad_total THEN 'total_cost' END) AS bad_columns,
+       concat(CASE WHEN bad_id THEN 'x' END, customer_id, ',', store_id, ',', product_name, ',',
+              CASE WHEN bad_date THEN 'x' END, sales_date, ',', sales_person_id, ',', price, ',', quantity, ',',
+              CASE WHEN bad_total THEN 'x' END, total_cost, ',', l_orderkey) AS line
+FROM marked WHERE bad_id OR bad_date OR bad_total""",
+        "extra_columns_in_files": _PRODUCT_LINES
+        + """
+SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
+       concat_ws(',', l_orderkey, l_linenumber, l_returnflag, l_linestatus) AS additional_column
+FROM lines""",
         "parquet_roundtrip": ORACLE_SQL["customer_mart_rows"],
         "partition_pruned_read": "SELECT * FROM ("
         + ORACLE_SQL["sales_mart_rows"]
@@ -254,13 +344,25 @@ UNION ALL SELECT 'notes', 'not a csv file', count(*) FROM orders""",
         "latest_run_read": ORACLE_SQL["customer_monthly_sales"],
         "monthly_report_csv": ORACLE_SQL["sales_incentive"],
         "pipeline_run": incentive_sql("o.o_orderstatus IN ('F', 'O')"),
+        "pipeline_incremental": star_sql("o.o_orderstatus IN ('F', 'O')")
+        + """,
+touched AS (SELECT DISTINCT strftime(sales_date, '%Y-%m') AS m FROM lines WHERE o_orderstatus = 'O'),
+totals AS (
+  SELECT store_id, sales_person_id, sales_person_first_name || ' ' || sales_person_last_name AS old_name,
+         strftime(sales_date, '%Y-%m') AS sales_month, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales
+  FROM star GROUP BY ALL),
+monthly AS (
+  SELECT store_id, sales_person_id, sales_month, total_sales,
+         CASE WHEN sales_person_id % 7 = 0 AND m IS NOT NULL THEN old_name || ' new' ELSE old_name END AS full_name
+  FROM totals LEFT JOIN touched ON m = sales_month)
+"""
+        + INCENTIVE_SELECT,
         "stream_pipeline": incentive_sql("o.o_orderstatus IN ('F', 'O')"),
-        "stream_intake": """
-SELECT o.o_custkey AS customer_id, CAST(s.s_nationkey AS BIGINT) AS store_id, CAST(NULL AS VARCHAR) AS product_name,
-       CAST(o.o_orderdate AS DATE) AS sales_date, l.l_suppkey AS sales_person_id, CAST(NULL AS DECIMAL(18,2)) AS price,
-       CAST(l.l_quantity AS INTEGER) AS quantity, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_cost,
-       l.l_orderkey, l.l_linenumber
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON s.s_suppkey = l.l_suppkey""",
+        "stream_intake": _PRODUCT_LINES
+        + """
+SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost, l_orderkey,
+       l_linenumber
+FROM lines""",
     }
 
 
@@ -269,12 +371,16 @@ QUERIES = {
     "header_gate": q_header_gate,
     "csv_fact_scan": q_csv_fact_scan,
     "rejected_rows": q_rejected_rows,
+    "rejected_line_texts": q_rejected_line_texts,
+    "bad_rows": q_bad_rows,
+    "extra_columns_in_files": q_extra_columns_in_files,
     "parquet_roundtrip": q_parquet_roundtrip,
     "partition_pruned_read": q_partition_pruned_read,
     "mart_rerun": q_mart_rerun,
     "latest_run_read": q_latest_run_read,
     "monthly_report_csv": q_monthly_report_csv,
     "pipeline_run": q_pipeline_run,
+    "pipeline_incremental": q_pipeline_incremental,
     "stream_pipeline": q_stream_pipeline,
     "stream_intake": q_stream_intake,
 }

@@ -44,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        # Unset: a test or single-machine run. A cluster always names a shared folder here.
+        # Unset: a test or single-machine run. On a cluster no folder of this machine would do.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tillgrid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

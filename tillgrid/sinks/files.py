@@ -56,8 +56,10 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 
 
 def write_csv_report(df: DataFrame, path: str, partition_cols: Sequence[str] = ("sales_month",)) -> None:
-    """CSV report with a header line, one folder per month."""
-    write_partitioned(df, path, list(partition_cols), mode="overwrite", fmt="csv", header="true")
+    """CSV report with a header line, one folder per month; months not in ``df`` keep their folders."""
+    write_partitioned(
+        df, path, list(partition_cols), mode="overwrite", fmt="csv", header="true", partitionOverwriteMode="dynamic"
+    )
 
 
 def read_csv_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -69,10 +71,10 @@ def publish_run(
     df: DataFrame, base: str, run_ts: int, mode: str = "errorifexists", partition_cols: Sequence[str] = ()
 ) -> str:
     """Write one run of a mart under ``<base>/run_ts=<epoch ms>/`` (optionally hive-partitioned below that);
-    earlier runs stay readable."""
+    earlier runs stay readable. With mode ``overwrite`` a repeated run replaces its own folder as a whole."""
     target = f"{base.rstrip('/')}/{RUN_COLUMN}={int(run_ts)}"
     if partition_cols:
-        write_partitioned(df, target, partition_cols, mode=mode)
+        write_partitioned(df, target, partition_cols, mode=mode, partitionOverwriteMode="static")
     else:
         df.write.mode(mode).parquet(target)
     return target

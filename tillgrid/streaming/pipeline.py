@@ -4,8 +4,7 @@ exactly those files, and archives them.
 The file source (``binaryFile``, content never read: only ``path`` is selected) remembers in its checkpoint which
 files it has handed out, so a file is processed by one micro-batch only; ``cleanSource=archive`` moves a file once
 its batch has committed. Each micro-batch calls ``tillgrid.plans.pipeline.run`` on its own file list, which is
-idempotent per file (the sales history is keyed by month and source file, the monthly marts are recomputed for the
-months touched), so a micro-batch replayed after a failure writes the same result again. With
+named by the stream's id and the batch number, so a micro-batch replayed after a failure replaces its own rows. With
 ``trigger(availableNow=True)`` the stream drains the folder and stops, like a scheduled batch job; with a
 processing-time trigger it keeps running. Every micro-batch publishes its own run of the row marts, so the interval
 should follow the cadence of the drops (hourly or daily files), not fire every few seconds.
@@ -13,6 +12,9 @@ should follow the cadence of the drops (hourly or daily files), not fire every f
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,7 +42,7 @@ def new_files(
 def run_stream(
     spark: SparkSession,
     incoming: str,
-    dims: pipeline.Dimensions,
+    dims: pipeline.Dimensions | Callable[[], pipeline.Dimensions],
     out: str,
     checkpoint_dir: str,
     archive_dir: str | None = None,
@@ -49,13 +51,20 @@ def run_stream(
     interval: str = "1 minute",
 ) -> StreamingQuery:
     """Run the pipeline on each micro-batch of new files; blocks until drained when ``available_now``, else runs
-    every ``interval`` until stopped."""
+    every ``interval`` until stopped.
+
+    A function as ``dims`` is called once per micro-batch, so dimension rows added while the stream runs are seen.
+    """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch is a list of file paths (metadata): the pipeline plans its scans from them.
         paths = [r["path"] for r in batch.collect()]
         if paths:
-            pipeline.run(batch.sparkSession, paths, dims, out, run_id=f"batch-{batch_id}")
+            session = batch.sparkSession
+            # The stream's id as its checkpoint holds it: another stream into the same ``out`` has other run ids.
+            meta = session.read.text(f"{checkpoint_dir}/metadata").first()["value"]
+            run_id = f"{json.loads(meta)['id']}-batch-{batch_id}"
+            pipeline.run(session, paths, dims() if callable(dims) else dims, out, run_id=run_id)
 
     writer = (
         new_files(spark, incoming, archive_dir, max_files_per_trigger)
