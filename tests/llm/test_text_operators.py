@@ -383,6 +383,22 @@ def test_suffix_tree_states_and_sums(spark):
         assert (10 ** tree._places(codes)).sum() == pytest.approx(1.0)
 
 
+def test_lm_scores_come_from_the_tree(spark):
+    rng = random.Random(3)
+    trains = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    words = "the cat sat on a mat and ran off".split()
+    rows = [(i, "the cat sat on a mat and ran off " * 20 + f"rare{i}") for i in trains]
+    mixed = words * 20
+    rng.shuffle(mixed)
+    rows += [(held[0], " ".join(words * 20)), (held[1], " ".join(mixed)), (held[2], "matcat"), (held[3], "qxzjvk")]
+    got = {r.doc_id: r for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ordered, shuffled, like, unlike = (got[held[k]] for k in range(4))
+    assert ordered.base_score == pytest.approx(shuffled.base_score) and ordered.n_known == ordered.n_tokens
+    assert ordered.score > 0.5 * shuffled.score and ordered.score > 0.5 * ordered.base_score  # order is the tree's alone
+    assert like.n_known == unlike.n_known == 1 and like.text_score > unlike.text_score + 2
+
+
 def _verdict(url):
     text = _lower(url or "")
     hit = lambda t: re.search(rf"(?<![a-z0-9]){re.escape(t)}(?![a-z0-9])", text) is not None

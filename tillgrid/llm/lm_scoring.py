@@ -4,13 +4,15 @@ A text is read as its lower-cased (A-Z) words, a space after each, then an end s
 of every byte after every context of up to ``depth`` bytes over all training texts. A context becomes a state if its
 share of all places is at least ``min_share`` and its next-byte distribution diverges from that of the context one byte
 shorter by more than describing it costs (occurrences times Kullback-Leibler divergence against half a log of the
-occurrences per distinct next byte). Next bytes are smoothed: seen ones get n / (occurrences + kinds), the others share
-the rest evenly, so a state's probabilities sum to 1. Scoring uses the state of the longest suffix at each place.
+occurrences per distinct next byte). At each place the states of all its suffixes are used, shortest first: a state
+gives a next byte (n + kinds * shorter) / (occurrences + kinds), where shorter is the probability by the next shorter
+state (1/256 before the root), so a state's probabilities sum to 1.
 
-The symbols of a text are, as for the baseline, the known tokens and one class of unknown ones. The class has the
-training tokens' share of words seen once (Good and Turing's estimate of what is still unseen). A known token mixes
-the tree's probability of its bytes and closing space, given the bytes before, with the token's share of the training
-tokens, in the proportion of distinct to all training tokens.
+``text_score`` is the text's log10 probability: the sum over all its bytes, unknown words spelled like any others.
+``score`` uses the baseline's symbols, so that the two compare: the known tokens and one class of unknown ones. The
+class has the training tokens' share of words seen once (Good and Turing's estimate of what is still unseen); a known
+token has the rest times the tree's probability of its bytes and closing space, given the bytes before. The counts of
+words enter ``base_score`` alone.
 
 ``min_share`` bounds the states (1 / min_share per depth) whatever the corpus; a state lists next bytes with at least a
 sixteenth of that share, so its entries are bounded as well (MAX_ENTRIES per depth). That table alone is broadcast. The
@@ -41,7 +43,6 @@ BATCH_BYTES = 4 << 20
 #: Hash that stands for the end token in word counts.
 _END_WORD = np.uint64(0)
 _DEPTH_SHIFT = np.uint64(56)
-_LN10 = np.log(10.0)
 
 
 def _stream(text: str | None) -> bytes:
@@ -123,14 +124,12 @@ class SuffixTree:
         self.depth = depth
         k = table["k"].to_numpy(np.uint64)
         gram = table["gram"].to_numpy(np.int64).astype(np.uint64)
-        n, total, kinds = (table[c].to_numpy(float) for c in ("n", "total", "kinds"))
+        n = table["n"].to_numpy(float)
         self.grams = gram | (k << _DEPTH_SHIFT)
-        self.logs = np.log10(n / (total + kinds))
-        self.contexts, first, of = np.unique((gram >> np.uint64(8)) | (k << _DEPTH_SHIFT), return_index=True, return_inverse=True)
-        listed = np.bincount(of, weights=n, minlength=len(self.contexts))
-        many = np.bincount(of, minlength=len(self.contexts))
-        top = (total + kinds)[first]
-        self.rest = np.log10((top - listed) / top / np.maximum(256 - many, 1)) if len(first) else np.zeros(0)
+        self.contexts, of = np.unique((gram >> np.uint64(8)) | (k << _DEPTH_SHIFT), return_inverse=True)
+        self.kinds = np.bincount(of, minlength=len(self.contexts)).astype(float)
+        self.tops = np.bincount(of, weights=n, minlength=len(self.contexts)) + self.kinds
+        self.n = n
 
     def ready(self) -> SuffixTree:
         if not hasattr(self, "_gram_at"):
@@ -147,23 +146,17 @@ class SuffixTree:
         return np.add.reduceat(logs, np.concatenate([[0], closing[:-1] + 1]))
 
     def _places(self, codes: np.ndarray) -> np.ndarray:
-        logs = np.full(len(codes), -np.log10(256.0))  # without any training place
-        todo = np.arange(len(codes))
-        for k in range(self.depth, -1, -1):
+        chance = np.full(len(codes), 1 / 256)  # without any training place
+        for k in range(self.depth + 1):
             tag = np.uint64(k) << _DEPTH_SHIFT
-            at = self._gram_at((codes & low_bytes(k + 1)) | tag)
-            found = at >= 0
-            logs[todo[found]] = self.logs[at[found]]
-            todo, codes = todo[~found], codes[~found]
-            if not len(todo):
-                break
             context = self._context_at(((codes & low_bytes(k + 1)) >> np.uint64(8)) | tag)
-            state = context >= 0  # the state is here, the byte is one of the rest
-            logs[todo[state]] = self.rest[context[state]]
-            todo, codes = todo[~state], codes[~state]
-            if not len(todo):
-                break
-        return logs
+            state = np.flatnonzero(context >= 0)
+            context = context[state]
+            at = self._gram_at((codes[state] & low_bytes(k + 1)) | tag)
+            n = np.zeros(len(state))
+            n[at >= 0] = self.n[at[at >= 0]]
+            chance[state] = (n + self.kinds[context] * chance[state]) / self.tops[context]
+        return np.log10(chance)
 
 
 def _word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +240,7 @@ def score(
     depth: int = DEPTH,
     min_share: float = MIN_SHARE,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and text_score of every row.
 
     Rows whose crc32 modulo ``folds`` is ``fold`` are held out; all others train both models.
     """
@@ -277,11 +270,9 @@ def score(
         model = tree.value.ready()
         spelled = np.concatenate([model.tokens(raw[a:b]) for a, b in slices([len(r) for r in raw], 1 << 20)])
         if tokens:
-            share = np.log(np.maximum(c, 1) / (tokens + vocabulary))[at]
-            mixed = np.logaddexp(spelled * _LN10 + np.log(vocabulary / (tokens + vocabulary)), share) / _LN10
-            spelled = np.where((c > 0)[at], mixed + np.log10(1 - novel), np.log10(novel))
+            classed = np.where((c > 0)[at], spelled + np.log10(1 - novel), np.log10(novel))
         else:
-            spelled = np.zeros(len(at))  # all is unknown, and surely so
+            classed = np.zeros(len(at))  # all is unknown, and surely so
         return pd.DataFrame(
             {
                 "doc_id": docs["doc_id"],
@@ -290,13 +281,14 @@ def score(
                 "n_known": np.add.reduceat((c > 0)[at].astype(np.int64), first),
                 "train_tokens": tokens,
                 "base_score": np.add.reduceat(logs, first),
-                "score": np.add.reduceat(spelled, first),
+                "score": np.add.reduceat(classed, first),
+                "text_score": np.add.reduceat(spelled, first),
             }
         )
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = (
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long,"
-        " base_score double, score double"
+        " base_score double, score double, text_score double"
     )
     return rows.groupBy("batch").cogroup(counts.groupBy("batch")).applyInPandas(judged, schema)
