@@ -399,6 +399,50 @@ def test_lm_scores_come_from_the_tree(spark):
     assert like.n_known == unlike.n_known == 1 and like.text_score > unlike.text_score + 2
 
 
+def test_rare_contexts_stay_in_large_corpora(spark):
+    grams = {b"aaa": 10**9, b"qya": 10**6, b"qyb": 1, b"xyz": 20}
+    counts = spark.createDataFrame([(int.from_bytes(g, "big"), n) for g, n in grams.items()], "code long, n long")
+    table = {(r.k, r.gram.to_bytes(r.k + 1, "big")): r.n for r in lm_scoring.states(counts, 2).collect()}
+    assert table[2, b"xyz"] == 20 and table[1, b"yb"] == 1 and table[0, b"z"] == 20
+
+
+def test_states_equal_brute_force(spark, texts):
+    raw = [lm_scoring._stream(t) for t in texts]
+    grams = collections.Counter()
+    for stream in raw:
+        padded = b"\xff" * 7 + stream
+        grams.update(padded[i - k : i + 1] for i in range(7, len(padded)) for k in range(8))
+    after = collections.defaultdict(dict)
+    for g, n in grams.items():
+        after[g[:-1]][g[-1]] = n
+    want = {}
+    for context, seen in after.items():
+        total, shorter = sum(seen.values()), after[context[1:]]
+        if context:
+            gain = sum(n * math.log(n / total * sum(shorter.values()) / shorter[b]) for b, n in seen.items())
+            if total < lm_scoring.LEAST or gain < 0.5 * len(seen) * math.log(total) - 1e-9:
+                continue
+        want |= {context + bytes([b]): (n, total, len(seen)) for b, n in seen.items()}
+    counts = lm_scoring.byte_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), 7, 5)
+    got = lm_scoring.states(counts, 7, buckets=4).collect()
+    assert {(r.gram % 2**64).to_bytes(8, "big")[7 - r.k :]: (r.n, r.total, r.kinds) for r in got} == want
+
+
+def test_dealt_states_give_the_scores_of_the_whole_tree(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BATCH_BYTES", 2000)
+    monkeypatch.setattr(lm_scoring, "BUCKET_ENTRIES", 150)
+    rows = docs.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]).cache()
+    got = {r.doc_id: r for r in lm_scoring.score(rows).collect()}
+    trains = [not got[r.doc_id].held_out for r in rows.collect()]
+    trained = spark.createDataFrame([r for r, t in zip(rows.collect(), trains, strict=True) if t], rows.schema)
+    table = lm_scoring.states(lm_scoring.byte_counts(trained, lm_scoring.DEPTH), lm_scoring.DEPTH).toPandas()
+    tree = lm_scoring.SuffixTree(table, lm_scoring.DEPTH).ready()
+    assert len(table) > 10 * 150 and table["k"].max() == lm_scoring.DEPTH
+    for r in rows.collect():
+        codes = lm_scoring._places([lm_scoring._stream(r.text)], lm_scoring.DEPTH)
+        assert got[r.doc_id].text_score == pytest.approx(tree._places(codes).sum(), rel=1e-5)
+
+
 def _verdict(url):
     text = _lower(url or "")
     hit = lambda t: re.search(rf"(?<![a-z0-9]){re.escape(t)}(?![a-z0-9])", text) is not None

@@ -1,8 +1,8 @@
 """Language-model scores by a probabilistic suffix tree over bytes, beside a word unigram baseline.
 
 A text is read as its lower-cased (A-Z) words, a space after each, then an end symbol. The tree learns the counts
-of every byte after every context of up to ``depth`` bytes over all training texts. A context becomes a state if its
-share of all places is at least ``min_share`` and its next-byte distribution diverges from that of the context one byte
+of every byte after every context of up to ``depth`` bytes over all training texts. A context becomes a state if it
+occurs at least ``least`` times and its next-byte distribution diverges from that of the context one byte
 shorter by more than describing it costs (occurrences times Kullback-Leibler divergence against half a log of the
 occurrences per distinct next byte). At each place the states of all its suffixes are used, shortest first: a state
 gives a next byte (n + kinds * shorter) / (occurrences + kinds), where shorter is the probability by the next shorter
@@ -14,10 +14,12 @@ class has the training tokens' share of words seen once (Good and Turing's estim
 token has the rest times the tree's probability of its bytes and closing space, given the bytes before. The counts of
 words enter ``base_score`` alone.
 
-``min_share`` bounds the states (1 / min_share per depth) whatever the corpus; a state lists next bytes with at least a
-sixteenth of that share, so its entries are bounded as well (MAX_ENTRIES per depth). That table alone is broadcast. The
-baseline's word counts grow with the corpus and are never gathered: texts are dealt to batches of bounded bytes, each
-batch sends its distinct words to buckets, and gets their corpus counts back.
+The states and their next bytes grow with the corpus, as do the word counts, and neither is gathered. Texts are dealt to
+batches of bounded bytes. Each batch sends its distinct words and its distinct places (a byte and the ``depth`` before
+it) to buckets, and gets corpus counts and log probabilities back. A place's bucket follows from the last ``TAIL`` bytes
+before it, so all longer states it may use are in that bucket; the shorter ones (at most 256^TAIL entries, whatever the
+corpus) are broadcast. There are as many buckets as states need, and a bucket's places are answered for a bounded number
+of batches at a time.
 
 Defined results: a null or empty text has the end symbol alone; repeated rows are scored alike (and all train);
 without training rows every count is 0; an empty table gives no rows.
@@ -25,24 +27,34 @@ without training rows every count is 0; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import SpanHasher, slices, text_id, word_spans, written
+from tillgrid.llm.common import SpanHasher, mixed, text_id, word_spans, written
 from tillgrid.llm.ngrams import END, Lookup, low_bytes, segments
 
-DEPTH = 4
-MIN_SHARE = 1e-5
-#: Bound of the table's entries per depth.
-MAX_ENTRIES = int(16 / MIN_SHARE)
+DEPTH = 7
+#: Occurrences that a context needs, whatever the corpus.
+LEAST = 8
+#: Gains this close to the bound count as equal to it, in whatever order they were summed.
+TIE = 1e-9
+#: Longer contexts are counted where those meet that share their last bytes.
+STEM = 4
+#: States of fewer bytes are broadcast; longer ones are dealt by so many last bytes of their context.
+TAIL = 3
+#: States' entries per bucket, on average.
+BUCKET_ENTRIES = 100_000
 BATCH_BYTES = 4 << 20
 #: Hash that stands for the end token in word counts.
 _END_WORD = np.uint64(0)
 _DEPTH_SHIFT = np.uint64(56)
+_SPREAD = 2654435761
 
 
 def _stream(text: str | None) -> bytes:
@@ -50,9 +62,32 @@ def _stream(text: str | None) -> bytes:
     return b" ".join([*words, bytes([END])])
 
 
-def byte_counts(texts: DataFrame, depth: int) -> DataFrame:
+def _packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers as compressed byte planes: sorted codes share their first bytes."""
+    planes = numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
+    run = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return run.compress(planes) + run.flush()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
+
+def _split(bucket: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of each distinct number of ``bucket``, in their order."""
+    order = np.argsort(bucket, kind="stable")
+    return iter(np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else [])
+
+
+def byte_counts(texts: DataFrame, depth: int, buckets: int = 1) -> DataFrame:
     """(code, n): how often each byte follows each ``depth`` bytes, over whole texts (column ``text``)."""
 
+    def sent(codes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        bucket = _bucket(mixed(codes), buckets)
+        out = [(int(bucket[m[0]]), _packed(codes[m]), _packed(counts[m].astype(np.uint64))) for m in _split(bucket)]
+        return pd.DataFrame(out, columns=["bucket", "codes", "counts"])
+
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, counts, held = [], [], 0
         for batch in batches:
@@ -66,14 +101,19 @@ def byte_counts(texts: DataFrame, depth: int) -> DataFrame:
                     codes, counts = _merged(codes, counts)
                     held = len(codes[0])
                     if held > 1 << 20:
-                        yield pd.DataFrame({"code": codes[0].astype(np.int64), "n": counts[0]})
+                        yield sent(codes[0], counts[0])
                         codes, counts, held = [], [], 0
         if codes:
             codes, counts = _merged(codes, counts)
-            yield pd.DataFrame({"code": codes[0].astype(np.int64), "n": counts[0]})
+            yield sent(codes[0], counts[0])
+
+    def summed(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        counts = [_unpacked(x).astype(np.int64) for x in group["counts"]]
+        codes, counts = _merged([_unpacked(x) for x in group["codes"]], counts)
+        return pd.DataFrame({"code": codes[0].astype(np.int64), "n": counts[0]})
 
-    counted = texts.select("text").mapInPandas(grams, "code long, n long")
-    return counted.groupBy("code").agg(F.sum("n").alias("n"))
+    counted = texts.select("text").mapInPandas(grams, "bucket int, codes binary, counts binary")
+    return counted.groupBy("bucket").applyInPandas(summed, "code long, n long")
 
 
 def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -81,52 +121,88 @@ def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.
     return [seen], [np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)]
 
 
-def states(counts: DataFrame, depth: int, min_share: float = MIN_SHARE) -> DataFrame:
-    """(k, gram, n, total, kinds): the entries of the retained contexts of k bytes; gram is context and next byte."""
-    places = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
-    least = max(8.0, min_share * places)
-    by_depth = F.array(
-        *[
-            F.struct(F.lit(k).alias("k"), F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"))
-            for k in range(depth + 1)
+def _rolled(codes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Sorted grams of ``k`` context bytes and, for each, its count, its context's occurrences and distinct next bytes."""
+    grams, at = np.unique(codes & low_bytes(k + 1), return_inverse=True)
+    n = np.bincount(at, weights=counts, minlength=len(grams)).astype(np.int64)
+    context = grams >> np.uint64(8)
+    first = np.flatnonzero(np.diff(context, prepend=~context[:1]))
+    kinds = np.diff(np.append(first, len(grams)))
+    return grams, n, np.repeat(np.add.reduceat(n, first), kinds), np.repeat(kinds, kinds)
+
+
+def long_states(counts: DataFrame, depth: int, least: float, buckets: int) -> DataFrame:
+    """The entries of the retained contexts of more than ``STEM`` bytes, and of all contexts of ``STEM`` bytes.
+
+    All that end in the same ``STEM`` bytes are in one bucket, so every context meets the one a byte shorter there.
+    """
+
+    def entries(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        longer = _rolled(group["code"].to_numpy(np.int64).astype(np.uint64), group["n"].to_numpy(), depth)
+        out = []
+        for k in range(depth - 1, STEM - 1, -1):
+            level = _rolled(*longer[:2], k)
+            frequent = longer[2] >= least
+            grams, n, total, kinds = (x[frequent] for x in longer)
+            if len(grams):
+                at = np.searchsorted(level[0], grams & low_bytes(k + 1))
+                gains = n * np.log(n / total / (level[1][at] / level[2][at]))
+                first = np.flatnonzero(np.diff(grams >> np.uint64(8), prepend=~(grams[:1] >> np.uint64(8))))
+                gain = np.repeat(np.add.reduceat(gains, first), kinds[first])
+                kept = gain >= 0.5 * kinds * np.log(total) - TIE
+                out.append((k + 1, *(x[kept] for x in (grams, n, total, kinds))))
+            longer = level
+        out.append((STEM, *longer))
+        frames = [
+            pd.DataFrame({"k": k, "gram": g.astype(np.int64), "n": n, "total": t, "kinds": d}) for k, g, n, t, d in out
         ]
-    )
-    grams = counts.select(F.explode(by_depth).alias("g"), "n").groupBy("g.k", "g.gram").agg(F.sum("n").alias("n"))
-    grams = written(grams.withColumn("context", F.shiftright("gram", 8)), "lm-grams")
-    contexts = grams.groupBy("k", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    # The root (k = 0) always stays; rare contexts go before any pair of contexts is compared.
-    frequent = contexts.where((F.col("k") == 0) | (F.col("total") >= least))
-    own = grams.join(frequent, ["k", "context"])
+        return pd.concat(frames)
+
+    tail = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << 8 * STEM) - 1))
+    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(tail), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInPandas(entries, "k int, gram long, n long, total long, kinds long")
+
+
+def states(counts: DataFrame, depth: int, least: float = LEAST, buckets: int = 1) -> DataFrame:
+    """(k, gram, n, total, kinds): all next bytes of the retained contexts of k bytes; gram is context and next byte."""
+    if depth > STEM:
+        long = written(long_states(counts, depth, least, buckets), "lm-long")
+        stems = long.where(F.col("k") == STEM).select(F.col("gram").alias("code"), "n")
+        return states(stems, STEM, least).union(long.where(F.col("k") > STEM))
+    level = written(counts.withColumnRenamed("code", "gram"), "lm-grams")
+    context = Window.partitionBy("k", "context")  # at most 256 rows each
+    levels = []
+    for k in range(depth, -1, -1):
+        if k < depth:
+            level = level.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"))
+            level = level.agg(F.sum("n").alias("n"))
+        keyed = level.select(F.lit(k).alias("k"), F.shiftrightunsigned("gram", 8).alias("context"), "gram", "n")
+        seen = keyed.withColumn("total", F.sum("n").over(context)).withColumn("kinds", F.count("*").over(context))
+        # The root (k = 0) always stays; rare contexts go before any pair of contexts is compared.
+        levels.append(seen.where(F.col("total") >= least) if k else seen)
+    own = written(functools.reduce(DataFrame.unionByName, levels), "lm-frequent")
     # mask of the last k bytes, so that (k - 1, gram & mask) is the same next byte one context byte shorter
     mask = F.expr("shiftleft(1L, 8 * k) - 1")
     keyed = own.withColumn("up_k", F.col("k") - 1).withColumn("up_gram", F.col("gram").bitwiseAND(mask))
-    shorter = own.select(
-        F.col("k").alias("up_k"), F.col("gram").alias("up_gram"), (F.col("n") / F.col("total")).alias("up_share")
-    )
     share = F.col("n") / F.col("total")
+    shorter = own.select(F.col("k").alias("up_k"), F.col("gram").alias("up_gram"), share.alias("up_share"))
     compared = keyed.where("k > 0").join(shorter, ["up_k", "up_gram"])
-    gain = F.sum(F.col("n") * F.log(share / F.col("up_share")))
-    kept = (
-        compared.groupBy("k", "context")
-        .agg(gain.alias("gain"), F.max("total").alias("total"), F.max("kinds").alias("kinds"))
-        .where(F.col("gain") >= 0.5 * F.col("kinds") * F.log(F.col("total")))
-        .select("k", "context")
-    )
-    root = own.where("k = 0").select("k", "gram", "n", "total", "kinds")
-    rest = own.join(kept, ["k", "context"], "left_semi").where(F.col("n") >= min_share * places / 16)
-    return root.union(rest.select("k", "gram", "n", "total", "kinds"))
+    gain = F.sum(F.col("n") * F.log(share / F.col("up_share"))).over(context)
+    kept = compared.withColumn("gain", gain).where(F.col("gain") >= 0.5 * F.col("kinds") * F.log(F.col("total")) - TIE)
+    columns = ["k", "gram", "n", "total", "kinds"]
+    return own.where("k = 0").select(columns).union(kept.select(columns))
 
 
 class SuffixTree:
-    """Log10 probabilities of next bytes by state; a code's top byte is its context's length."""
+    """Log10 probabilities of next bytes by state; a context's top byte is its length."""
 
     def __init__(self, table: pd.DataFrame, depth: int) -> None:
         self.depth = depth
         k = table["k"].to_numpy(np.uint64)
         gram = table["gram"].to_numpy(np.int64).astype(np.uint64)
         n = table["n"].to_numpy(float)
-        self.grams = gram | (k << _DEPTH_SHIFT)
         self.contexts, of = np.unique((gram >> np.uint64(8)) | (k << _DEPTH_SHIFT), return_inverse=True)
+        self.grams = (of.astype(np.uint64) << np.uint64(8)) | (gram & np.uint64(255))
         self.kinds = np.bincount(of, minlength=len(self.contexts)).astype(float)
         self.tops = np.bincount(of, weights=n, minlength=len(self.contexts)) + self.kinds
         self.n = n
@@ -136,15 +212,6 @@ class SuffixTree:
             self._gram_at, self._context_at = Lookup(self.grams), Lookup(self.contexts)
         return self
 
-    def tokens(self, raw: list[bytes]) -> np.ndarray:
-        """Log10 probability of every token of the streams, in order: its bytes and its closing space, or the end."""
-        if not raw:
-            return np.zeros(0)
-        logs = np.concatenate([self._places(codes) for codes, _, _ in segments(raw, self.depth)])
-        buffer = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        closing = np.flatnonzero((buffer == 0x20) | (buffer == END))
-        return np.add.reduceat(logs, np.concatenate([[0], closing[:-1] + 1]))
-
     def _places(self, codes: np.ndarray) -> np.ndarray:
         chance = np.full(len(codes), 1 / 256)  # without any training place
         for k in range(self.depth + 1):
@@ -152,13 +219,25 @@ class SuffixTree:
             context = self._context_at(((codes & low_bytes(k + 1)) >> np.uint64(8)) | tag)
             state = np.flatnonzero(context >= 0)
             context = context[state]
-            at = self._gram_at((codes[state] & low_bytes(k + 1)) | tag)
+            at = self._gram_at((context.astype(np.uint64) << np.uint64(8)) | (codes[state] & np.uint64(255)))
             n = np.zeros(len(state))
             n[at >= 0] = self.n[at[at >= 0]]
             chance[state] = (n + self.kinds[context] * chance[state]) / self.tops[context]
         return np.log10(chance)
 
 
+def _places(raw: list[bytes], depth: int) -> np.ndarray:
+    """The codes of all places of the streams, in order."""
+    return np.concatenate([codes for codes, _, _ in segments(raw, depth)])
+
+
+def _by_token(raw: list[bytes], logs: np.ndarray) -> np.ndarray:
+    """Sums of every token of the streams, in order: its bytes and its closing space, or the end."""
+    buffer = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    closing = np.flatnonzero((buffer == 0x20) | (buffer == END))
+    return np.add.reduceat(logs, np.concatenate([[0], closing[:-1] + 1]))
+
+
 def _word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens (words, then the end) of the texts, and the number of tokens of each."""
     raw = [b"" if t is None else t.encode("utf-8", "ignore") for t in texts]
@@ -227,6 +306,41 @@ def word_counts(rows: DataFrame, batches: int) -> DataFrame:
     )
 
 
+def _tail_bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    tails = (codes >> np.uint64(8)) & low_bytes(TAIL)
+    return (((tails * np.uint64(_SPREAD)) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+
+
+def place_logs(rows: DataFrame, batches: int, table: DataFrame, buckets: int, depth: int) -> DataFrame:
+    """(batch, bucket, logs): log10 probabilities of the sorted distinct places of each batch that fall in a bucket."""
+    low = rows.sparkSession.sparkContext.broadcast(table.where(F.col("k") < TAIL).select("k", "gram", "n").toPandas())
+    long = table.where(F.col("k") >= TAIL).select("k", "gram", "n")
+    span = 4 * buckets  # batches answered together, so that a bucket's share of their places is bounded
+    tail = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << 8 * TAIL) - 1))
+    own = F.pmod(F.shiftright(tail * F.lit(_SPREAD), 16), F.lit(buckets)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit((batches - 1) // span)))
+    dealt = long.withColumn("bucket", own).withColumn("part", parts)
+
+    def distinct(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        seen = np.sort(_places([_stream(t) for t in group["text"]], depth))
+        seen = seen[np.diff(seen, prepend=~seen[:1]) != 0]  # several times as fast as np.unique, which hashes first
+        bucket = _tail_bucket(seen, buckets)
+        out = [(key[0], int(bucket[m[0]]), key[0] // span, _packed(seen[m])) for m in _split(bucket)]
+        return pd.DataFrame(out, columns=["batch", "bucket", "part", "codes"])
+
+    def answered(_: tuple, asked: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        logs = []
+        if len(asked):
+            tree = SuffixTree(pd.concat([low.value, entries[["k", "gram", "n"]]]), depth).ready()
+            for packed in asked["codes"]:
+                logs.append(tree._places(_unpacked(packed)).astype(np.float32).tobytes())
+        return pd.DataFrame({"batch": asked["batch"], "bucket": asked["bucket"], "logs": logs})
+
+    asked = rows.groupBy("batch").applyInPandas(distinct, "batch int, bucket int, part int, codes binary")
+    both = asked.groupBy("bucket", "part").cogroup(dealt.groupBy("bucket", "part"))
+    return both.applyInPandas(answered, "batch int, bucket int, logs binary")
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
@@ -238,18 +352,19 @@ def score(
     folds: int = 7,
     fold: int = 2,
     depth: int = DEPTH,
-    min_share: float = MIN_SHARE,
+    least: float = LEAST,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and text_score of every row.
 
     Rows whose crc32 modulo ``folds`` is ``fold`` are held out; all others train both models.
     """
-    if not 0 < depth <= 6:
-        raise ValueError("depth must be 1 to 6: a code holds a context, its next byte and the context's length")
+    if not 0 < depth <= 7:
+        raise ValueError("depth must be 1 to 7: a code holds a context and its next byte in 64 bits")
     rows, batches = _batched(df, id_col, text_col, folds, fold)
-    table = states(byte_counts(rows.where(~F.col("held_out")), depth), depth, min_share)
-    # At most MAX_ENTRIES rows per depth, whatever the corpus.
-    tree = df.sparkSession.sparkContext.broadcast(SuffixTree(table.toPandas(), depth))
+    grams = byte_counts(rows.where(~F.col("held_out")), depth, batches)
+    table = written(states(grams, depth, least, batches), "lm-states")
+    buckets = max(1, -(-table.count() // BUCKET_ENTRIES))
+    logs = place_logs(rows, batches, table, buckets, depth)
 
     counts = written(word_counts(rows, batches), "lm-words")
     each = counts.groupBy("bucket").agg(*[F.max(c).alias(c) for c in ("vocabulary", "tokens", "singles")])
@@ -262,13 +377,17 @@ def score(
         seen, at = np.unique(hashes, return_inverse=True)
         bucket = _bucket(seen, batches)
         c = np.zeros(len(seen), dtype=np.int64)
-        for b, packed in zip(known["bucket"], known["counts"], strict=True):
-            c[bucket == b] = np.frombuffer(packed, dtype=np.int64)
+        places, place = np.unique(_places(raw := [_stream(t) for t in docs["text"]], depth), return_inverse=True)
+        tails = _tail_bucket(places, buckets)
+        chances = np.zeros(len(places))
+        for b, packed, answers in zip(known["bucket"], known["counts"], known["logs"], strict=True):
+            if packed is not None:
+                c[bucket == b] = np.frombuffer(packed, dtype=np.int64)
+            else:
+                chances[tails == b] = np.frombuffer(answers, dtype=np.float32)
         logs = np.log10((c + 1) / (tokens + vocabulary + 1))[at]
         first = np.cumsum(lengths) - lengths
-        raw = [_stream(t) for t in docs["text"]]
-        model = tree.value.ready()
-        spelled = np.concatenate([model.tokens(raw[a:b]) for a, b in slices([len(r) for r in raw], 1 << 20)])
+        spelled = _by_token(raw, chances[place])
         if tokens:
             classed = np.where((c > 0)[at], spelled + np.log10(1 - novel), np.log10(novel))
         else:
@@ -291,4 +410,8 @@ def score(
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long,"
         " base_score double, score double, text_score double"
     )
-    return rows.groupBy("batch").cogroup(counts.groupBy("batch")).applyInPandas(judged, schema)
+    nothing = F.lit(None).cast("binary")
+    answers = counts.select("batch", "bucket", "counts", nothing.alias("logs")).union(
+        logs.select("batch", "bucket", nothing, "logs")
+    )
+    return rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(judged, schema)
