@@ -506,6 +506,21 @@ def test_main_text(body, want):
     assert extraction.main_text(PAGE.replace("{body}", body)) == want
 
 
+def test_ratios_decide_inside_and_outside_landmarks():
+    story = "".join(f"<p>Paragraph {k} of the story, with marks. And more text in it, too.</p>" for k in range(5))
+    lines = [f"Paragraph {k} of the story, with marks. And more text in it, too." for k in range(5)]
+    cards = "<article><h3><a href=x>One</a></h3></article>" * 4
+    tags = "<ul>" + "<li>tag</li>" * 12 + "</ul>"
+    assert extraction.main_text(f"<body><div>{story}</div>{cards}</body>") == "\n".join(lines)
+    assert extraction.main_text(f"<body><article>{story}{tags}</article></body>") == "\n".join(lines)
+
+
+def test_ratios_alone_give_the_texts_of_the_driver(spark, sf_dir):
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        bare = re.sub(r"(</?)(article|main)\b", r"\1div", r.html)
+        assert bare != r.html and extraction.main_text(bare) == extraction.main_text(r.html)
+
+
 def test_pages_of_the_driver_hold_their_documents(spark, sf_dir):
     pages = extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
