@@ -515,6 +515,36 @@ def test_ratios_decide_inside_and_outside_landmarks():
     assert extraction.main_text(f"<body><article>{story}{tags}</article></body>") == "\n".join(lines)
 
 
+@pytest.mark.parametrize(
+    "attrs",
+    [
+        "style='overflow:hidden'",
+        "data-id=related title='class=ad hidden'",
+        "class='layout has-sidebar'",
+        "class=no-comments",
+        "id=post-header",
+        "class='share-price form-guide'",
+        "class=widget",
+        "id='menu'",
+    ],
+)
+@pytest.mark.parametrize("inside", ["<article>{}</article>", "<section>{}</section>"])
+def test_containers_of_the_main_text_stay(attrs, inside):
+    story = "<p>A long first paragraph, with marks. And more text in it.</p><p>Second one, of much the same length. Also here.</p>"
+    want = "A long first paragraph, with marks. And more text in it.\nSecond one, of much the same length. Also here."
+    assert extraction.main_text(PAGE.replace("{body}", f"<div {attrs}>{inside.format(story)}</div>")) == want
+
+
+def test_named_noise_beside_the_main_text_goes():
+    story = "<p>A long first paragraph, with marks. And more text in it.</p>"
+    long = "<p>Reader, says. Things! And many more, of greater length than the text.</p>" * 9
+    for attrs in ("class='x comments'", "id=comment-list", "class=ad-300", "hidden", "aria-hidden=true", "role='dialog'"):
+        body = f"<article>{story}<div {attrs}>{long}</div></article><div {attrs}><article>{long}</article></div>"
+        assert extraction.main_text(PAGE.replace("{body}", body)) == "A long first paragraph, with marks. And more text in it."
+    asp = f"<form action=x><main>{story}</main><div class=menu><p>Men, us.</p></div></form>"
+    assert extraction.main_text(f"<body>{asp}</body>") == "A long first paragraph, with marks. And more text in it."
+
+
 def test_ratios_alone_give_the_texts_of_the_driver(spark, sf_dir):
     for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
         bare = re.sub(r"(</?)(article|main)\b", r"\1div", r.html)

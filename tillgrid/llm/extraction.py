@@ -1,7 +1,10 @@
 """Main text of web pages by tag-path ratios.
 
-A page is cut into blocks, each with the path of the elements that hold it. Blocks that markup itself names as menus,
-headers, footers, sidebars, notices, adverts, forms, comments or code are left out. For every remaining path, two ratios
+A page is cut into blocks, each with the path of the elements that hold it. Menus, footers, sidebars, code and hidden
+elements are left out. So are headers, forms and elements whose class, id or role names a menu, notice, advert, comments
+or the like, by a whole word or a listed pair; but where the page has its landmarks (``article``, ``main``) inside such an
+element only, or has none and holds most of its text there, the ratios decide on it as well (the latter not for adverts,
+menus, comments and others whose name leaves no doubt). For every remaining path, two ratios
 are taken over the page: text per block and punctuation per block. Both are smoothed along the page, so that a short
 heading shares the weight of the paragraphs after it, scaled and fused by multiplication, twice as much for paths inside an ``article``
 or ``main`` element; paths whose fused ratio reaches a share of the page's spread are content. All blocks on content paths are returned, whatever their length.
@@ -34,7 +37,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>]++)))?|[\"'][^\"']*+[\"']?")
 _SPACE = re.compile(r"\s+")
 
 #: Elements that run along with the text of their block.
@@ -45,7 +48,9 @@ _INLINE = frozenset(
 #: Elements without content.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are never content.
-_NOISE_TAGS = frozenset("nav footer aside form button input menu dialog head fieldset figure-menu search".split())
+_NOISE_TAGS = frozenset("nav footer aside button input menu head search".split())
+#: Elements that are content only where they hold the page's main part, as named containers do.
+_WEAK_TAGS = frozenset("form dialog fieldset header".split())
 #: Names in class, id or role that mark what is not content.
 _NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot banner promo promotion sponsor sponsored"
@@ -54,6 +59,18 @@ _NOISE_NAMES = frozenset(
     " notice notices cookie cookies consent gdpr popup modal overlay alert newsletter subscribe signup login share"
     " sharing social related recommended recommendations search complementary contentinfo dialog form feedback".split()
 )
+#: Those of them that leave no doubt: not even most of a page's text makes such an element its main part.
+_SURE_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored nav navbar navigation breadcrumb"
+    " breadcrumbs pagination pager footer comment comments commentlist disqus cookie cookies consent gdpr".split()
+)
+#: Compound names that mark it as well, besides those whose parts all do (numbers aside).
+_NOISE_PAIRS = frozenset(
+    "site-header site-footer site-nav page-header page-footer global-header global-footer main-nav main-menu top-nav"
+    " top-bar side-bar primary-nav primary-menu nav-links skip-link related-posts related-articles share-buttons"
+    " share-bar social-links social-icons comment-list comments-area ad-slot ad-box ad-container ad-banner ad-unit"
+    " ad-wrapper cookie-bar newsletter-box search-box search-results-nav login-form".split()
+)
 #: An opening of the key closes an open element of the value.
 _BLOCKS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3"
@@ -75,42 +92,61 @@ _LANDMARKS = frozenset(["article", "main"])
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？،؛؟।]")
 
 
-def _is_noise(name: str, attrs: str, landmark: bool) -> bool:
-    if name in _NOISE_TAGS or (name == "header" and not landmark):
-        return True
+#: What an element is: content as far as markup tells, content if it holds the page's landmarks or most of its text,
+#: content if it holds its landmarks, or never content.
+_PLAIN, _WEAK, _NAMED, _NOISE = range(4)
+
+
+def _named(word: str) -> int:
+    parts = [p for p in re.split(r"[-_]+", word) if p and not p.isdigit()]
+    if not parts or not ("-".join(parts) in _NOISE_PAIRS or _NOISE_NAMES.issuperset(parts)):
+        return _PLAIN
+    return _WEAK if _SURE_NAMES.isdisjoint(parts) else _NAMED
+
+
+def _kind(name: str, attrs: str, landmark: bool) -> int:
+    if name in _NOISE_TAGS:
+        return _NOISE
+    kind = _WEAK if name in _WEAK_TAGS and not (name == "header" and landmark) else _PLAIN
     if name in ("html", "body", "article", "main") or not attrs.strip(" />"):
-        return False
+        return kind
     for key, *values in _ATTRIBUTE.findall(attrs):
         value = "".join(values).lower()
         key = key.lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return _NOISE
         if key in ("class", "id", "role"):
-            for word in value.split():
-                if word in _NOISE_NAMES or not _NOISE_NAMES.isdisjoint(re.split(r"[-_]+", word)):
-                    return True
-    return False
+            kind = max(kind, *map(_named, value.split()), _PLAIN)
+    return kind
 
 
 def blocks(html: str) -> list[tuple[str, str, int]]:
     """Blocks of a page that markup does not rule out: (path, text, characters outside links), in page order."""
     out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, bool]] = []  # block elements: (name, noise)
+    stack: list[tuple[str, bool, int]] = []  # block elements: (name, noise, innermost weak element)
+    # weak and named elements: text, the one around, whether a landmark is inside, whether most of the text counts
+    weak, above, held, larger = [0], [0], [False], [False]
+    within: list[int] = []  # innermost weak element of each block
     noise = landmark = links = plain = 0
     parts: list[str] = []
 
+    def inner() -> int:
+        return stack[-1][2] if stack else 0
+
     def flush() -> None:
         nonlocal plain
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text and not noise:
-                out.append(("/".join(n for n, _ in stack), text, plain))
+                out.append(("/".join(n for n, _, _ in stack), text, plain))
+                within.append(inner())
+                weak[inner()] += plain
             parts.clear()
         plain = 0
 
     def pop() -> None:
         nonlocal noise, landmark
-        name, bad = stack.pop()
+        name, bad, _ = stack.pop()
         noise -= bad
         landmark -= name in ("article", "main")
 
@@ -136,8 +172,8 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
                 parts.append(" ")
             elif name == "a":
                 links = 0 if m["close"] else 1
-            elif not m["close"] and not noise and name not in _VOID and _is_noise(name, m["attrs"], bool(landmark)):
-                stack.append((name, True))  # an inline element that names itself an advert or the like
+            elif not m["close"] and not noise and name not in _VOID and _kind(name, m["attrs"], bool(landmark)):
+                stack.append((name, True, inner()))  # an inline element that names itself an advert or the like
                 noise += 1
                 continue
             if m["close"] and stack and stack[-1][0] == name:
@@ -145,7 +181,7 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             continue
         flush()
         if m["close"]:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, _, _ in stack):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -158,13 +194,31 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             ends = ends | {"p"}
         while ends and stack and (stack[-1][0] in ends or (stack[-1][1] and stack[-1][0] in _INLINE)):
             pop()
-        bad = _is_noise(name, m["attrs"], bool(landmark))
-        stack.append((name, bad))
-        noise += bad
-        landmark += name in ("article", "main")
+        kind = _kind(name, m["attrs"], bool(landmark))
+        around = inner()
+        if kind in (_WEAK, _NAMED) and not noise:
+            larger.append(kind == _WEAK)
+            weak.append(0)
+            above.append(around)
+            held.append(False)
+            around = len(weak) - 1
+        stack.append((name, kind == _NOISE, around))
+        noise += kind == _NOISE
+        if name in _LANDMARKS:
+            landmark += 1
+            held[around] |= not noise
     add(html[at:])
     flush()
-    return out
+    # Such elements stay in only where they hold what the rest of the page lacks: its landmarks, or else most of its text.
+    outside = held[0]
+    for k in range(len(weak) - 1, 0, -1):
+        weak[above[k]] += weak[k]
+        held[above[k]] |= held[k]
+    stays = [True]
+    for k in range(1, len(weak)):
+        main = held[k] if held[0] else larger[k] and 2 * weak[k] > weak[0]
+        stays.append(stays[above[k]] and main and not outside)
+    return [block for block, k in zip(out, within, strict=True) if stays[k]]
 
 
 def content_paths(found: list[tuple[str, str, int]], share: float = 0.25, radius: int = 2) -> set[str]:
