@@ -221,6 +221,13 @@ def test_fitted_lengths_beyond_the_table():
         assert int((got * lengths).sum()) == budget and (got <= counts).all()
 
 
+def test_fitted_lengths_of_documents_longer_than_the_table():
+    got = mixing.fit_lengths(np.array([150_000]), np.array([10]), 200_000)
+    assert got.tolist() == [1]
+    got = mixing.fit_lengths(np.array([90_000, 150_000, 170_001]), np.array([4, 4, 4]), 410_001)
+    assert int((got * [90_000, 150_000, 170_001]).sum()) == 410_001
+
+
 def test_sentencepiece_equals_the_library(spark, docs, texts):
     import sentencepiece
 

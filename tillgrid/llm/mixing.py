@@ -69,8 +69,8 @@ def source_targets(sources: DataFrame, cap: int = CAP, weights: tuple[int, ...]
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int = TABLE_WORDS) -> np.ndarray:
     """How many documents of each length to take so that the lengths sum to ``budget``, or as near below as found.
 
-    Every length first gives the same share of its documents. The budget that is left, at least ``table`` words if
-    there are as many, is filled by dynamic programming over the documents that remain.
+    Every length first gives the same share of its documents. The budget that is left, at least ``table`` words
+    (or twice the longest document) if there are as many, is filled by dynamic programming over the documents that remain.
     """
     order = np.argsort(lengths)
     lengths, counts = lengths[order].astype(np.int64), counts[order].astype(np.int64)
@@ -82,6 +82,7 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int
         out = np.zeros(len(lengths), dtype=np.int64)
         out[order] = counts
         return out
+    table = max(table, 2 * int(lengths[counts > 0].max()))  # room to choose among documents longer than the table
     share = max(0, budget - table) / total
     taken = np.floor(counts * share).astype(np.int64)
     rest = budget - int((lengths * taken).sum())
@@ -92,7 +93,8 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int
         more = min(int(counts[i] - taken[i]), max(0, (rest - table) // int(lengths[i])))
         taken[i] += more
         rest -= more * int(lengths[i])
-    taken += _knapsack(lengths, counts - taken, min(rest, 2 * table))
+    # What is left exceeds the table by less than the shortest document that remains.
+    taken += _knapsack(lengths, counts - taken, rest)
     out = np.empty(len(lengths), dtype=np.int64)
     out[order] = taken
     return out
