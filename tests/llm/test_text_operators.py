@@ -123,6 +123,14 @@ def test_near_duplicate_buckets_with_several_components(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == label
 
 
+def test_rows_of_one_id_join_their_groups(spark):
+    one, two, lone = ("alpha beta gamma delta", "red green blue white", "north east south west")
+    rows = [(5, one), (5, two), (3, one), (4, two), (7, lone), (5, None), (8, None)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (4, 3), (5, 3), (7, 7), (8, 8)}
+    assert len(got) == len(rows) and sorted(r.doc_id for r in got if r.kept) == [3, 7, 8]
+
+
 def test_one_of_each_group_stays(docs):
     kept = near_duplicates.keep_one_each(docs)
     assert kept.columns == docs.columns

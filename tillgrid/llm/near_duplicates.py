@@ -233,6 +233,15 @@ def _across(
     return met.distinct()
 
 
+def _shared(made: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, y): links between the classes that an id with several texts is in."""
+    rows = made.where("fp is not null and doc_id is not null").select("doc_id", "fp")
+    several = rows.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("doc_id")
+    reps = rows.join(several, "doc_id", "left_semi").join(classes.select("fp", F.col("doc_id").alias("x")), "fp")
+    low = reps.groupBy("doc_id").agg(F.min("x").alias("y"))
+    return reps.join(low, "doc_id").where("x > y").select("x", "y").distinct()
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, miss: float = MISS
 ) -> DataFrame:
@@ -259,7 +268,7 @@ def near_duplicates(
     texts = written(texts.dropDuplicates(["doc_id", "text"]), "dup-texts")
     likely = written(_likely(stars, classes, fewest), "dup-likely")
     links = written(_confirmed(likely, texts, width, percent), "dup-links")
-    labels = written(components(links), "dup-labels")
+    labels = written(components(links.union(_shared(made, classes))), "dup-labels")
 
     # What the stars left apart: buckets that hold more than one component.
     named = members.join(labels.toDF("doc_id", "label"), "doc_id", "left").select(
@@ -275,7 +284,12 @@ def near_duplicates(
 
     by_fp = classes.select("fp", F.col("doc_id").alias("rep")).join(labels.toDF("rep", "label"), "rep", "left")
     by_fp = by_fp.select("fp", F.coalesce("label", "rep").alias("label"))
-    placed = made.select("doc_id", "n_shingles", "fp").join(by_fp, "fp", "left")
+    # A row without shingles has the label of the other rows of its id.
+    bare = made.where("fp is null and doc_id is not null").select("doc_id").distinct()
+    twins = made.where("fp is not null").select("doc_id", "fp").join(bare, "doc_id", "left_semi").join(by_fp, "fp")
+    twins = twins.groupBy("doc_id").agg(F.min("label").alias("twin"))
+    placed = made.select("doc_id", "n_shingles", "fp").join(by_fp, "fp", "left").join(twins, "doc_id", "left")
+    placed = placed.withColumn("label", F.coalesce("label", "twin"))
     component = F.when(F.col("doc_id").isNotNull(), F.least(F.coalesce("label", "doc_id"), "doc_id"))
     return placed.select(
         "doc_id",
