@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.llm import (
+    conversation_trie,
     extraction,
     language_id,
     lm_scoring,
@@ -14,6 +15,8 @@ from tillgrid.llm import (
     quality,
     sentencepiece_codec,
     sharding,
+    spelling,
+    substrings,
     top_k,
     url_filter,
 )
@@ -82,6 +85,20 @@ def op10_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), width=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(read_table(spark, sf_dir, "documents"), min_chars=5, min_count=3)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = conversation_trie.conversation_trie(read_table(spark, sf_dir, "conversations"), family=5, heads=9)
+    return nodes.drop("key", "parent")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +112,9 @@ QUERIES = {
         op8_url_filter,
         op9_main_text,
         op10_jump_shards,
+        op11_substring_dedup,
+        op12_spelling_variants,
+        op13_conversation_trie,
     )
 }
 
@@ -207,9 +227,102 @@ SELECT page_id, host, path, rule,
 FROM h
 """
 
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes, bit by bit (3988292384 is the reversed polynomial)."""
+    digit = "instr('0123456789ABCDEF', substr({h}, {at}, 1)) - 1"
+    hexed = f"hex(encode({text}))"
+    high, low = (digit.format(h=hexed, at=at) for at in ("2 * i + 1", "2 * i + 2"))
+    steps = f"flatten(list_transform(range(strlen({text})), lambda i: [16 * ({high}) + {low}, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda a, x: {step}), 4294967295)"
+
+
+_OP11 = rf"""
+WITH w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents
+), win AS (
+  SELECT r, i, array_to_string(ws[i:i + 34], ' ') AS t FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)
+), again AS (SELECT t FROM win GROUP BY t HAVING count(*) > 1),
+cov AS (
+  SELECT DISTINCT r, i + k AS i FROM (SELECT r, i FROM win SEMI JOIN again USING (t)), (SELECT unnest(range(35)) AS k)
+), left_over AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w) ANTI JOIN cov USING (r, i) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN left_over USING (r)
+"""
+
+_RUN_CRC = _crc32("x")
+_OP12 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+), counted AS (SELECT id || ':' || run AS x, run, count(*) AS c FROM runs GROUP BY ALL),
+hashed AS (SELECT run, c, {_RUN_CRC} AS h FROM counted),
+spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+    ELSE run END AS word, c FROM hashed
+), v AS (
+  SELECT word, sum(c)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), d AS (
+  SELECT word, n, p, left(word, p) || substr(word, p + 2) AS rest
+  FROM (SELECT *, unnest(range(length(word))) AS p FROM v)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT v.word, d.word, d.n FROM v JOIN d ON d.rest = v.word
+  UNION SELECT d.word, v.word, v.n FROM v JOIN d ON d.rest = v.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chain(word, last_word) AS (
+  SELECT word, word FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.last_word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, chain.last_word AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain ON chain.word = f.word JOIN f stop ON stop.word = chain.last_word WHERE stop.form IS NULL
+"""
+
+_CONV_CRC = _crc32("x")
+_OP13 = f"""
+WITH t AS (
+  SELECT conv_id, conv_id::VARCHAR AS x,
+    list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), o AS (SELECT *, ({_CONV_CRC} % 9)::BIGINT AS h FROM t),
+s AS (
+  SELECT o.conv_id, list_concat(CASE WHEN o.h > 0 THEN coalesce(b.ts[1:o.h], []) ELSE [] END, o.ts[o.h + 1:]) AS ts
+  FROM o LEFT JOIN t b ON b.conv_id = o.conv_id - o.conv_id % 5
+), p AS (
+  SELECT conv_id, depth, len(ts) = depth AS ends, to_json(CASE WHEN depth > 0 THEN ts[1:depth] ELSE [] END)::VARCHAR AS k,
+    CASE WHEN depth > 0 THEN to_json(CASE WHEN depth > 1 THEN ts[1:depth - 1] ELSE [] END)::VARCHAR END AS up,
+    CASE WHEN depth > 0 THEN strlen(ts[depth].t) ELSE 0 END AS size
+  FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS depth FROM s)
+), n AS (
+  SELECT k, any_value(up) AS up, any_value(depth) AS depth, any_value(size) AS size, min(conv_id) AS conv_id,
+    count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY k
+), c AS (SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+sub AS (SELECT DISTINCT a.k, b.k AS under FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+total AS (
+  SELECT sub.k, count(*) FILTER (WHERE c.k IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved
+  FROM sub JOIN n ON n.k = sub.under LEFT JOIN c ON c.k = sub.under GROUP BY sub.k
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::BIGINT AS n_children,
+  total.n_leaves, total.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n up ON up.k = n.up LEFT JOIN c ON c.k = n.k JOIN total ON total.k = n.k
+"""
+
 ORACLE_SQL = {
     "op1_near_duplicates": _OP1,
     "op2_exact_top_k": _OP2,
     "op5_quality_rules": _OP5,
     "op8_url_filter": _OP8,
+    "op11_substring_dedup": _OP11,
+    "op12_spelling_variants": _OP12,
+    "op13_conversation_trie": _OP13,
 }
