@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 from decimal import Decimal
 from pathlib import Path
 
@@ -178,18 +179,43 @@ def test_conform_of_named_text_frame(spark):
     assert (r.customer_id, r.total_cost, r.price, r.additional_column) == (1, Decimal("5.00"), Decimal("2.50"), "UPI")
 
 
-def test_shuffle_join_path_gives_the_same_fact(spark, drop, intake, monkeypatch):
-    monkeypatch.setattr(conform, "MAX_BROADCAST_FILES", 0)
+def test_many_files_are_read_in_branches_without_moving_lines(spark, drop, intake, monkeypatch):
+    monkeypatch.setattr(conform, "BRANCH_FILES", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         again = run_intake(spark, drop).fact
         plan = again._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan.split("InMemoryRelation")[0]
+        assert plan.count("FileScan text") > 1
+        assert "SortMergeJoin [_file" not in plan and "SortMergeJoin [_head" not in plan
         assert sorted(map(tuple, again.collect())) == sorted(map(tuple, intake.fact.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_each_line_is_parsed_once_whatever_is_filtered(intake):
+    bad = intake.fact.where(F.size("_bad_columns") > 0).select("_bad_columns", "_bad_line")
+    assert bad._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
+@pytest.mark.parametrize(
+    ("content", "want"),
+    [
+        (b"", None), (b"\n \r\n  \n", None), (b"a,b", "a,b"), (b"\xef\xbb\xbfa,b\r\n1,2", "a,b"), (b"\r\rx\ry", "x"),
+        (b" " * 200_000 + b"\nafter a long blank line\n", "after a long blank line"), (b"h" * 300_000 + b"\nz", "h" * 300_000),
+    ],
+)
+def test_first_line_stops_at_the_first_line_with_text(content, want):
+    assert file_source.first_line(io.BytesIO(content)) == want
+
+
+def test_probe_by_opening_files_equals_the_scan(spark, drop, monkeypatch):
+    opened = sorted(map(tuple, file_source.file_headers(spark, drop).collect()))
+    plan = file_source.file_headers(spark, drop)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FileScan text" not in plan
+    monkeypatch.setattr(file_source, "OPENED_SCHEMES", ())
+    assert sorted(map(tuple, file_source.file_headers(spark, drop).collect())) == opened
+
+
 def test_windows_line_endings_and_no_final_newline(spark, tmp_path):
     d = tmp_path / "crlf"
     d.mkdir()

@@ -19,9 +19,9 @@ def test_month_key_of_date_and_text(spark):
 
 
 def test_full_name_is_null_when_a_part_is_null(spark):
-    df = spark.createDataFrame([("Rahul", "Verma"), ("Priya", None), (None, "Singh")], "f string, l string")
+    df = spark.createDataFrame([("Ines", "Marsh"), ("Otto", None), (None, "Holm")], "f string, l string")
     got = [r[0] for r in df.select(scalars.full_name("f", "l")).collect()]
-    assert got == ["Rahul Verma", None, None]
+    assert got == ["Ines Marsh", None, None]
 
 
 def test_pack_columns_skips_nulls_and_keeps_order(spark):

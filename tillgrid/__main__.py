@@ -42,14 +42,18 @@ def parse_args(argv: Sequence[str]) -> argparse.Namespace:
     p.add_argument("--jdbc-url", help="read the dimensions from this database instead")
     p.add_argument("--jdbc-properties", help="file of key=value JDBC properties (user, password, driver)")
     p.add_argument("--all-files", action="store_true", help="take files again that an earlier run finished")
+    p.add_argument("--run-id", help="name of this run; a run repeated under its name replaces its own rows (not with --stream)")
     p.add_argument("--stream", action="store_true", help="take only new files and archive them")
     p.add_argument("--checkpoint", help="stream checkpoint folder (with --stream)")
     p.add_argument("--archive", help="folder for processed files (with --stream)")
+    p.add_argument("--max-files", type=int, default=1000, help="most files of one micro-batch (with --stream)")
     args = p.parse_args(list(argv))
     if not args.jdbc_url and not (args.customer and args.store and args.team):
         p.error("give --customer, --store and --team, or --jdbc-url")
     if args.stream and not args.checkpoint:
         p.error("--stream needs --checkpoint")
+    if args.stream and args.run_id:
+        p.error("--run-id names a single run; a stream names its micro-batches by itself")
     return args
 
 
@@ -69,10 +73,24 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     spark = spark or SparkSession.builder.appName("tillgrid").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.stream:
-        run_stream(spark, args.incoming, lambda: dimensions(spark, args), args.out, args.checkpoint, args.archive)
+        run_stream(
+            spark,
+            args.incoming,
+            lambda: dimensions(spark, args),
+            args.out,
+            args.checkpoint,
+            args.archive,
+            max_files_per_trigger=args.max_files,
+        )
     else:
         result = pipeline.run(
-            spark, args.incoming, dimensions(spark, args), args.out, only_new=not args.all_files
+            spark,
+            args.incoming,
+            dimensions(spark, args),
+            args.out,
+            run_id=args.run_id,
+            # A run repeated under its name takes its own files again.
+            only_new=not args.all_files and not args.run_id,
         )
         print(f"run {result.run_id}: outputs under {args.out}")
     return 0

@@ -19,15 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillgrid.functions.scalars import pack_columns
-from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS, SALES_FACT
 
 REASON_NOT_CSV = "not a csv file"
 REASON_EMPTY = "empty file"
 REASON_MISSING = "missing mandatory columns"
 
-# Most accepted files whose per-file table is broadcast to the line scan; beyond it, a shuffle join on the file key.
-MAX_BROADCAST_FILES = 200_000
+# Most files, and bytes of their paths or of their distinct header lines, that one branch of the line scan broadcasts. A
+# drop with more is read in several branches, each file in exactly one of them, so lines are never shuffled to their header.
+BRANCH_FILES = 200_000
+BRANCH_BYTES = 64 << 20
 
 
 def _names(cols: Sequence[str]) -> Column:
@@ -112,39 +113,62 @@ def conform(raw: DataFrame, header: Sequence[str], keep_bad: bool = True) -> Dat
     return raw.select(*cols)
 
 
+def _branches(files: DataFrame) -> int:
+    """Into how many branches the line scan of these files falls (one aggregate over one row per file)."""
+    heads = files.groupBy("_head").agg(F.first("header_line").alias("h")).agg(F.sum(F.octet_length("h"))).first()[0]
+    n, paths = files.agg(F.count(F.lit(1)), F.sum(F.octet_length("path"))).first()
+    return max(1, -(-n // BRANCH_FILES), -(-(paths or 0) // BRANCH_BYTES), -(-(heads or 0) // BRANCH_BYTES))
+
+
+def _with_header(lines: DataFrame, files: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Lines of ``files`` with path, header line and the positions of columns in that header.
+
+    Two steps: the 8-byte hash of the file's key gives its path and the hash of its header line; that gives the header,
+    of which a drop has few however many files it has.
+    """
+    dictionary = files.groupBy("_head").agg(F.first("header_line").alias("header_line"), F.first("header").alias("header"))
+    dictionary = dictionary.select(
+        "_head",
+        "header_line",
+        *[F.array_position("header", F.lit(n)).cast("int").alias(f"_p{i}") for i, n in enumerate(names)],
+        F.filter(
+            F.sequence(F.lit(1), F.size("header")),
+            lambda i: ~F.coalesce(F.array_contains(_names(names), F.element_at("header", i)), F.lit(False)),
+        ).alias("_pe"),
+    )
+    return lines.join(F.broadcast(files.select("_file", "path", "_head")), "_file").join(F.broadcast(dictionary), "_head")
+
+
 def conform_lines(lines: DataFrame, gated: DataFrame, width: int, keep_bad: bool = True) -> DataFrame:
     """Typed fact of every accepted file, from its raw text lines, in one scan whatever the number of headers.
 
-    ``lines`` has ``value`` (one text line) and ``file_key``; ``gated`` is the gate's one row per file. Each line is
-    joined to its file's header (the accepted-files table is broadcast once a count proves it small, else a
-    shuffle join on the file key), parsed by the CSV parser into ``width`` positional text fields (quotes honoured),
-    and each mandatory column is taken from the position its name has in that file's header. So columns are
+    ``lines`` has ``value`` (one text line) and ``file_key``; ``gated`` is the gate's one row per file. Each line meets its
+    file's header (see ``_with_header``), is parsed once by the CSV parser into ``width`` positional text fields (quotes
+    honoured), and each mandatory column is taken from the position its name has in that file's header. So columns are
     matched by name, a reordered header reads correctly, and extras are packed in header order. The header line
     and blank lines are dropped, as the CSV reader does; a line equal to the header further down (files joined
     with their headers) is dropped too instead of becoming a row of failed casts. With ``keep_bad``, ``_bad_line`` is
     the raw line of a row in which a cast failed, else NULL.
     """
     names = [f.name for f in SALES_FACT.fields if f.name != EXTRA_COLUMN]
-    # Per file, once: the position of every mandatory column and of each extra column in that file's header.
+    file = F.xxhash64("file_key")
     files = gated.where(F.col("accepted")).select(
-        "file_key",
-        "path",
-        "header_line",
-        *[F.array_position("header", F.lit(n)).cast("int").alias(f"_p{i}") for i, n in enumerate(names)],
-        F.filter(
-            F.sequence(F.lit(1), F.size("header")),
-            lambda i: ~F.coalesce(F.array_contains(_names(names), F.element_at("header", i)), F.lit(False)),
-        ).alias("_pe"),
+        file.alias("_file"), "path", F.xxhash64("header_line").alias("_head"), "header_line", "header"
     )
-    # One row per accepted file, but wide (header text and positions): a lower bound than for dimensions.
-    joined = lines.join(broadcast_if_small(files, MAX_BROADCAST_FILES), "file_key")
+    keyed = lines.withColumn("_file", file)
+    n_branches = _branches(files)
+    branch = F.pmod(F.col("_file"), F.lit(n_branches))
+    joined = union_all([
+        _with_header(keyed.where(branch == k), files.where(branch == k), names) if n_branches > 1
+        else _with_header(keyed, files, names)
+        for k in range(n_branches)
+    ])
     data = joined.where((F.col("value") != F.col("header_line")) & (F.trim(F.col("value")) != ""))
     n = max(width, 1)
-    # Parse each line once; the array is its own projection so the parser is not re-run for every column read.
-    parsed = data.select("path", "value", "_pe", *[f"_p{i}" for i in range(len(names))],
-                         F.from_csv(F.col("value"), ", ".join(f"_c{i} string" for i in range(n))).alias("_r"))
-    fields = parsed.select("path", "value", "_pe", *[f"_p{i}" for i in range(len(names))],
-                           F.array(*[F.col(f"_r._c{i}") for i in range(n)]).alias("_f"))
+    # One parse per line: the parsed fields come out of a generator, below which no filter or projection is copied.
+    record = F.from_csv(F.col("value"), ", ".join(f"_c{i} string" for i in range(n)))
+    texts = F.transform(F.array(record), lambda r: F.array(*[r[f"_c{i}"] for i in range(n)]))
+    fields = data.select("path", "value", "_pe", *[f"_p{i}" for i in range(len(names))], F.explode(texts).alias("_f"))
 
     def at(pos: Column) -> Column:
         return F.when(pos > 0, F.try_element_at(F.col("_f"), pos))

@@ -19,6 +19,8 @@ from tillgrid.schemas import LEDGER
 # Ledger status codes of the reference (A = active / in progress, I = finished).
 ACTIVE = "A"
 FINISHED = "I"
+# Own code, written only when a run is repeated under its id without a file it took before: its copy is given up.
+WITHDRAWN = "W"
 
 
 def ledger_rows(
@@ -78,14 +80,27 @@ def lookup(
 
 
 def incomplete(on_hand: DataFrame, state: DataFrame, key: str, status_col: str = "status", final: str = FINISHED):
-    """Rows of ``on_hand`` whose key the ledger knows and whose latest status is not ``final``."""
-    open_keys = state.where(F.col(status_col) != F.lit(final)).select(key)
+    """Rows of ``on_hand`` whose key the ledger knows and whose latest status is neither ``final`` nor withdrawn."""
+    open_keys = state.where(~F.col(status_col).isin(final, WITHDRAWN)).select(key)
     return on_hand.join(open_keys, key, "left_semi")
 
 
 def finished_files(rows: DataFrame) -> DataFrame:
-    """``path`` of every file that some run finished."""
-    return rows.where(F.col("status") == FINISHED).select(F.col("file_location").alias("path")).distinct()
+    """``path`` of every file that some run finished and did not withdraw."""
+    return held_copies(rows).where(F.col("status") == FINISHED).select(F.col("file_location").alias("path")).distinct()
+
+
+def held_copies(rows: DataFrame) -> DataFrame:
+    """Ledger rows without those of (run, file) pairs whose latest row withdraws the file."""
+    pairs = current_state(rows, ["run_id", "file_location"], "status", ["event_ts", "seq"], status_alias="_now")
+    gone = pairs.where(F.col("_now") == WITHDRAWN).select("run_id", "file_location")
+    return rows.join(gone, ["run_id", "file_location"], "left_anti")
+
+
+def withdrawals(spark: SparkSession, rows: DataFrame, run_id: str, accepted: DataFrame, ts: datetime, seq: int) -> DataFrame:
+    """Ledger rows that withdraw the files which ``run_id`` took before and that are not among ``accepted`` now."""
+    taken = rows.where(F.col("run_id") == run_id).select(F.col("file_location").alias("path"), "file_name").distinct()
+    return ledger_rows(spark, run_id, taken.join(accepted.select("path"), "path", "left_anti"), WITHDRAWN, ts, seq)
 
 
 def superseded(rows: DataFrame, run_id: str) -> DataFrame:
@@ -93,7 +108,7 @@ def superseded(rows: DataFrame, run_id: str) -> DataFrame:
 
     The valid copy of a file is that of the current run ``run_id``, else of the last run that finished the file.
     """
-    valid = rows.where((F.col("run_id") == run_id) | (F.col("status") == FINISHED))
+    valid = held_copies(rows).where((F.col("run_id") == run_id) | (F.col("status") == FINISHED))
     order = F.struct(F.col("run_id") == run_id, F.col("event_ts"), F.col("seq"))
     winners = valid.groupBy("file_location").agg(F.max_by("run_id", order).alias("_winner"))
     pairs = rows.select("run_id", "file_location").distinct().join(winners, "file_location", "left")

@@ -291,7 +291,7 @@ SELECT customer_id, first_name || ' ' || last_name AS full_name, address, phone_
 FROM star GROUP BY ALL"""
 )
 
-_PERSON_MONTHLY = """
+PERSON_MONTHLY = """
 monthly AS (
   SELECT store_id, sales_person_id, sales_person_first_name || ' ' || sales_person_last_name AS full_name,
          strftime(sales_date, '%Y-%m') AS sales_month, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales
@@ -306,7 +306,7 @@ FROM monthly"""
 
 def incentive_sql(line_filter: str = "") -> str:
     """The sales-team mart with incentive over the (optionally filtered) sale lines."""
-    return star_sql(line_filter) + "," + _PERSON_MONTHLY + INCENTIVE_SELECT
+    return star_sql(line_filter) + "," + PERSON_MONTHLY + INCENTIVE_SELECT
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -325,8 +325,8 @@ SELECT DISTINCT customer_id, first_name || ' ' || last_name AS full_name, addres
        CAST(sum(total_cost) OVER (PARTITION BY customer_id, strftime(sales_date, '%Y-%m')) AS DECIMAL(18,2))
          AS total_sales
 FROM star""",
-    "sales_person_monthly_sales": _STAR + "," + _PERSON_MONTHLY + " SELECT * FROM monthly",
-    "sales_incentive": _STAR + "," + _PERSON_MONTHLY + INCENTIVE_SELECT,
+    "sales_person_monthly_sales": _STAR + "," + PERSON_MONTHLY + " SELECT * FROM monthly",
+    "sales_incentive": _STAR + "," + PERSON_MONTHLY + INCENTIVE_SELECT,
     "incentive_ties": _STAR
     + """
 , counts AS (

@@ -71,4 +71,4 @@ def store_rejected_lines(lines: DataFrame, path: str, run_id: str) -> None:
     """Write rejected raw lines (path, file_name, reason, value) as the partition ``run_id`` of the Parquet table at
     ``path``; the same run again replaces its lines."""
     rows = lines.select("path", "file_name", "reason", "value", F.lit(run_id).alias("run_id"))
-    sinks.overwrite_partitions(rows, path, ["run_id"])
+    sinks.replace_partitions(rows, path, ["run_id"], [(run_id,)])

@@ -12,16 +12,20 @@ Steps and the Spark work behind each:
    cuts lineage: the outputs read those files (only the columns each needs), which survive the loss of any executor.
    Of a file taken by several runs one copy counts: this run's, else that of the last run that finished it. The ledger
    says which, so no list of files is collected.
-5. Outputs: rows with values that did not cast (with the raw line), customer rows and sales rows (plain and
-   partitioned by ``sales_month``, ``store_id``) published under ``run_ts=<epoch ms>``; both monthly marts and the CSV
-   report recomputed from the whole history of every month this run touched, summed by key before attributes are
-   joined, and loaded by dynamic partition overwrite on the month, so files of one month arriving in several runs add
-   up and a rerun adds nothing.
-6. Ledger close: one ``I`` row per accepted file with the real end time, and the run's stamp in ``runs``. Readers of
-   row marts (``read_latest``) see closed runs only.
+5. Change set: the months to recompute. They are those of this run's sales, those of every earlier copy of its files
+   (a corrected file may have moved its sales to other months), and those the run held before it was repeated. They come
+   from a small table of (run, file, month), not from the history, and are written down before anything is replaced.
+6. Outputs: rows with values that did not cast (with the raw line), customer rows and sales rows (plain and
+   in folders by month, sorted by store) published under ``run_ts=<epoch ms>``; both monthly marts and the CSV
+   report recomputed from the whole history of every month of the change set, summed by key before attributes are
+   joined. A month of the change set that has no sales left is emptied.
+7. Close: the snapshot that names every output's folders (``sinks.snapshots``), then the plain folders of the monthly marts
+   and the report, one ``I`` row per accepted file with the real end time, and the run's stamp in ``runs``. Readers of
+   ``read_latest`` start from the snapshot, so they see closed runs only and all outputs of one state.
 
 ``run_id`` names one set of files. A run repeated under its id keeps its stamp and replaces its own rows in every
-output; the ledger, a log of events, keeps both openings and closings.
+output, also where it has fewer rows or none now; the ledger, a log of events, keeps both openings and closings, and
+a file that the repeated run no longer takes is withdrawn, so that the copy of an earlier run counts again.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,12 +46,20 @@ from tillgrid.operators.enrich import star_join
 from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.plans.intake import Intake, rejected_lines, run_intake, store_rejected_lines
 from tillgrid.functions.scalars import month_key
-from tillgrid.schemas import LEDGER, SALES_TEAM_MART
+from tillgrid.schemas import CUSTOMERS_DATA_MART, LEDGER, SALES_TEAM_MART
 from tillgrid.sinks import files as sinks
+from tillgrid.sinks import snapshots
 from tillgrid.sources import jdbc
 
 RUNS = "run_id string, run_ts long"
 LEFTOVERS = "path string, file_name string, run_id string"
+FILE_MONTHS = "source_file string, sales_month string, run_id string"
+CHANGE_SETS = "sales_month string, run_id string"
+# Outputs kept as versions by month: the schema and the month column.
+MONTHLY = {
+    "customers_data_mart": (CUSTOMERS_DATA_MART, "sales_date_month"),
+    "sales_team_data_mart": (SALES_TEAM_MART, "sales_month"),
+}
 
 
 @dataclass
@@ -97,6 +109,8 @@ def output_paths(out: str) -> dict[str, str]:
             "rejects",
             "rejected_lines",
             "sales_facts",
+            "file_months",
+            "change_sets",
             "bad_rows",
             "customer_mart",
             "sales_mart",
@@ -144,21 +158,38 @@ def run(
         intake.gated.unpersist()
 
 
+def _replace_own(df: DataFrame, path: str, run_id: str, *more: str) -> None:
+    """Load ``df`` as all that ``run_id`` holds in the table at ``path``, partitioned by run (and ``more``)."""
+    sinks.replace_partitions(df.withColumn("run_id", F.lit(run_id)), path, ["run_id", *more], [(run_id,)])
+
+
+def _months(rows: DataFrame) -> set[str | None]:
+    """Distinct months of ``rows``: a handful of values, as partition filters and keys of the monthly outputs."""
+    return {r[0] for r in rows.select("sales_month").distinct().collect()}
+
+
+def _in_months(months: set[str | None]) -> Column:
+    found = F.col("sales_month").isin(sorted(m for m in months if m is not None))
+    return found | F.col("sales_month").isNull() if None in months else found
+
+
 def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id: str) -> RunResult:
     paths = output_paths(out)
     mine = F.col("run_id") == run_id
     earlier = _table(spark, paths["runs"], RUNS).where(mine).first()
     run_ts = earlier["run_ts"] if earlier else time.time_ns() // 1_000_000
+    number = snapshots.next_number(spark, out)
+    if earlier:
+        # The run is about to replace its own folders: readers go back to the state before it until it is closed again.
+        snapshots.reopen(spark, out, run_id)
 
     accepted = intake.gated.where("accepted").select("path", "file_name")
     # Restart check, reported as data: files on hand that an earlier run opened and never finished. Written before
     # this run touches the ledger, so the answer is fixed.
-    sinks.overwrite_partitions(
-        unfinished_files(spark, out, intake.files).withColumn("run_id", F.lit(run_id)), paths["leftovers"], ["run_id"]
-    )
+    _replace_own(unfinished_files(spark, out, intake.files), paths["leftovers"], run_id)
     leftovers = _table(spark, paths["leftovers"], LEFTOVERS).where(mine).drop("run_id")
 
-    sinks.overwrite_partitions(intake.rejects.withColumn("run_id", F.lit(run_id)), paths["rejects"], ["run_id"])
+    _replace_own(intake.rejects, paths["rejects"], run_id)
     store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"], run_id)
     result = RunResult(
         run_id=run_id,
@@ -168,19 +199,35 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
         leftovers=leftovers,
         outputs=paths,
     )
-    if not intake.any_accepted:
+    opened = _table(spark, paths["ledger"], LEDGER)
+    repeated = not opened.where(mine).isEmpty()
+    # A run that takes nothing ends here, unless it took files before under its id: those it now gives back.
+    if not intake.any_accepted and not repeated:
         return result
 
-    ledger.ledger_rows(spark, run_id, accepted, ledger.ACTIVE, _now(), 0).write.mode("append").parquet(
+    # The change set so far: months of all copies of the files that this run takes or took before, and those it was
+    # changing before. Written before the ledger and the history change, so a run that breaks off and is repeated
+    # knows its old months.
+    held = _table(spark, paths["file_months"], FILE_MONTHS)
+    files = accepted.select(F.col("path").alias("source_file")).union(held.where(mine).select("source_file"))
+    pending = _table(spark, paths["change_sets"], CHANGE_SETS).where(mine)
+    months = _months(held.join(files, "source_file", "left_semi")) | _months(pending)
+    _replace_own(spark.createDataFrame([(m,) for m in months], "sales_month string"), paths["change_sets"], run_id)
+
+    if repeated:
+        ledger.withdrawals(spark, opened, run_id, accepted, _now(), 0).write.mode("append").parquet(paths["ledger"])
+    ledger.ledger_rows(spark, run_id, accepted, ledger.ACTIVE, _now(), 1).write.mode("append").parquet(
         paths["ledger"]
     )
 
     # The conformed sales of this run go into the sales history, one partition per (run, month); the run repeated
     # under its id replaces them. The write also cuts lineage: everything below reads these files, pruned to its columns.
     history_rows = intake.fact.withColumn("run_id", F.lit(run_id)).withColumn("sales_month", month_key("sales_date"))
-    sinks.overwrite_partitions(history_rows, paths["sales_facts"], ["run_id", "sales_month"])
-    history = spark.read.schema(history_rows.schema).parquet(paths["sales_facts"])
+    sinks.replace_partitions(history_rows, paths["sales_facts"], ["run_id", "sales_month"], [(run_id,)])
+    history = _table(spark, paths["sales_facts"], history_rows.schema)
     facts = history.where(mine)
+    _replace_own(facts.select("source_file", "sales_month").distinct(), paths["file_months"], run_id)
+    months |= _months(_table(spark, paths["file_months"], FILE_MONTHS).where(mine))
 
     # Rows in which a value did not cast: they keep their other values, and are reported here with the raw line.
     bad_rows = facts.where(F.size("_bad_columns") > 0).select(
@@ -200,36 +247,43 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
         paths["sales_mart_partitioned"],
         run_ts,
         mode="overwrite",
-        partition_cols=["sales_month", "store_id"],
+        partition_cols=["sales_month"],
+        sort_cols=["store_id"],
     )
 
-    # Monthly marts: every month this run touched is recomputed from the whole history of that month and its
-    # partition replaced, so files of one month arriving over several runs add up, and a rerun changes nothing.
-    # Totals are by key; names and addresses are joined afterwards, as the dimensions hold them now.
-    # The months are a handful of values; as a partition filter they keep every other month's files unread.
-    months = [r[0] for r in facts.select("sales_month").distinct().collect()]
-    in_months = F.col("sales_month").isin([m for m in months if m is not None])
-    if None in months:
-        in_months = in_months | F.col("sales_month").isNull()
+    # Monthly marts: every month of the change set is recomputed from the whole history of that month, so files of one
+    # month arriving over several runs add up, and a rerun changes nothing. Totals are by key; names and addresses are
+    # joined afterwards, as the dimensions hold them now. As a partition filter the months keep all others unread.
     # Copies that do not count: none unless a file came twice or a run broke off, so the pairs are few and the sales
     # pass them in a broadcast; beyond its bound they meet in a shuffle join.
     void = ledger.superseded(_table(spark, paths["ledger"], LEDGER), run_id)
     touched = (
-        history.where(in_months)
+        history.where(_in_months(months))
         .select("run_id", "source_file", "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
         .join(broadcast_if_small(void), ["run_id", "source_file"], "left_anti")
     )
     sides = (dims.customer, dims.store, dims.team)
-    sinks.overwrite_partitions(
-        marts.customer_monthly_by_key(touched, *sides), paths["customers_data_mart"], ["sales_date_month"]
-    )
-    sinks.overwrite_partitions(
-        marts.sales_incentive_by_key(touched, *sides), paths["sales_team_data_mart"], ["sales_month"]
-    )
-    team_mart = _table(spark, paths["sales_team_data_mart"], SALES_TEAM_MART).where(in_months)
-    sinks.write_csv_report(team_mart, paths["monthly_report"])
-
-    ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 1).write.mode("append").parquet(
+    recomputed = {
+        "customers_data_mart": marts.customer_monthly_by_key(touched, *sides),
+        "sales_team_data_mart": marts.sales_incentive_by_key(touched, *sides),
+    }
+    keys = sorted(months, key=lambda m: m or "")
+    entries = []
+    for name, rows in recomputed.items():
+        schema, key = MONTHLY[name]
+        entries += snapshots.stage(rows.select(*schema.fieldNames()), out, name, number, key, keys, run_id, run_ts)
+    for name in ("customer_mart", "sales_mart", "sales_mart_partitioned", "bad_rows"):
+        entries.append(snapshots.own_folder(name, f"{name}/{sinks.RUN_COLUMN}={run_ts}", run_id, run_ts))
+    snapshots.commit(spark, out, number, snapshots.successor(snapshots.state(spark, out), dict.fromkeys(MONTHLY, keys), entries))
+
+    # The plain folders of the monthly marts and the report, for readers that take a folder as it is.
+    for name, (schema, key) in MONTHLY.items():
+        version = spark.read.schema(schema).parquet(f"{out.rstrip('/')}/versions/{name}/seq={number}")
+        sinks.replace_partitions(version, paths[name], [key], [(m,) for m in keys])
+    version = spark.read.schema(SALES_TEAM_MART).parquet(f"{out.rstrip('/')}/versions/sales_team_data_mart/seq={number}")
+    sinks.replace_csv_report(version, paths["monthly_report"], keys)
+
+    ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 2).write.mode("append").parquet(
         paths["ledger"]
     )
     if earlier is None:
@@ -238,20 +292,18 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
 
 
 def read_latest(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """Rows of a row mart (or ``bad_rows``) of the latest closed run under ``out``.
+    """Rows of an output as of the latest closed state under ``out``: of a row mart (or ``bad_rows``) those of the last
+    closed run, of a monthly mart all months.
 
-    The stamp comes from the ``runs`` table, so a run that broke off, or that had nothing to do, is never the latest.
+    The folders come from the newest snapshot, so a run that broke off, that is at work, or that had nothing to do is
+    never seen, and reads of several outputs are of one state.
     """
-    paths = output_paths(out)
-    latest = _table(spark, paths["runs"], RUNS).agg(F.max("run_ts")).first()[0]
-    if latest is None:
-        raise FileNotFoundError(f"no closed run under {out}")
-    folder = f"{sinks.RUN_COLUMN}={latest}"
+    if name in MONTHLY:
+        return snapshots.read(spark, out, name, *MONTHLY[name])
     if name != "sales_mart_partitioned":
-        return spark.read.parquet(f"{paths[name]}/{folder}")
+        return snapshots.read(spark, out, name)
     # A run without known sales leaves no partition, so the columns are those of the plain form.
-    schema = spark.read.parquet(f"{paths['sales_mart']}/{folder}").schema
-    return spark.read.schema(schema).parquet(f"{paths[name]}/{folder}")
+    return snapshots.read(spark, out, name, snapshots.read(spark, out, "sales_mart").schema)
 
 
 def ledger_state(spark: SparkSession, out: str) -> DataFrame:

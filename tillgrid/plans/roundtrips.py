@@ -15,18 +15,19 @@ The sales drop used by the intake queries is written once per session and scale
 from __future__ import annotations
 
 import threading
-import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.operators import marts
 from tillgrid.plans import pipeline
-from tillgrid.plans.contract import INCENTIVE_SELECT, enriched, incentive_sql, star_sql
+from tillgrid.plans.contract import INCENTIVE_SELECT, PERSON_MONTHLY, enriched, incentive_sql, star_sql
 from tillgrid.plans.intake import rejected_lines, run_intake, store_rejected_lines
 from tillgrid.schemas import MANDATORY_COLUMNS, SALES_FACT, SALES_TEAM_MART
 from tillgrid.session import scratch_path
 from tillgrid.sinks import files as sinks
+from tillgrid.sinks import folders, snapshots
 from tillgrid.sources import files as file_source
 from tillgrid.sources import tables
 from tillgrid.streaming.intake import drain_to_parquet, drop_folder_stream
@@ -178,9 +179,10 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 
 def q_partition_pruned_read(spark, sf_dir):
+    """Months are folders; inside them rows stand by store, so files and row groups of other stores are passed over."""
     rows = marts.sales_mart_rows(enriched(spark, sf_dir))
     path = scratch_path(spark, "sales-mart-by-month")
-    sinks.write_partitioned(rows, path, ["sales_month", "store_id"])
+    sinks.write_clustered(rows, path, ["sales_month"], ["store_id"])
     back = spark.read.schema(rows.schema).parquet(path)
     return back.where(
         F.col("sales_month").between("1996-01", "1996-06") & F.col("store_id").isin(1, 2, 3)
@@ -197,12 +199,24 @@ def q_mart_rerun(spark, sf_dir):
 
 
 def q_latest_run_read(spark, sf_dir):
-    mart = marts.customer_monthly_sales(enriched(spark, sf_dir))
+    """The customers' monthly mart through snapshots: a first run publishes all months, with totals from before 1997 only,
+    a second one recomputes the later months, and a third one breaks off after it wrote its version."""
     base = scratch_path(spark, "customer-mart-runs")
-    first = int(time.time()) * 1000
-    sinks.publish_run(mart.where(F.col("sales_date_month") < "1997-01"), base, first)
-    sinks.publish_run(mart, base, first + 1000)
-    return sinks.read_latest_run(spark, base).select(*mart.columns)
+    mart = sinks.written(marts.customer_monthly_sales(enriched(spark, sf_dir)), f"{base}/mart")
+    name, (schema, key) = "customers_data_mart", pipeline.MONTHLY["customers_data_mart"]
+    late = F.col(key) >= "1997-01"
+    months = [r[0] for r in mart.select(key).distinct().collect()]
+    stale = mart.withColumn("total_sales", F.when(late, F.lit(0)).otherwise(F.col("total_sales")).cast(schema["total_sales"].dataType))
+
+    def staged(run: int, rows: DataFrame, keys: list) -> tuple[int, list[snapshots.Entry]]:
+        number = snapshots.next_number(spark, base)
+        return number, snapshots.stage(rows, base, name, number, key, keys, f"run-{run}", run)
+
+    for run, rows, keys in ((1, stale, months), (2, mart.where(late), [m for m in months if m >= "1997-01"])):
+        number, entries = staged(run, rows, keys)
+        snapshots.commit(spark, base, number, snapshots.successor(snapshots.state(spark, base), {name: keys}, entries))
+    staged(3, mart.limit(0), months)
+    return snapshots.read(spark, base, name, schema, key)
 
 
 def q_monthly_report_csv(spark, sf_dir):
@@ -244,6 +258,78 @@ def q_pipeline_incremental(spark, sf_dir):
     return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
 
 
+def _named_csv(spark: SparkSession, lines: DataFrame, folder: str, files: int) -> None:
+    """``files`` CSV files of sale lines whose names are the same whenever they are written: ``sales-<k>.csv``."""
+    scratch = scratch_path(spark, "named-csv")
+    dealt = lines.repartition(files, "o_orderkey").select(*[_text(c) for c in MANDATORY_COLUMNS])
+    dealt.write.option("header", "true").csv(scratch)
+    for name in folders.names(spark, scratch):
+        if name.startswith("part-"):
+            folders.move(spark, f"{scratch}/{name}", f"{folder}/sales-{int(name.split('-')[1])}.csv")
+
+
+def _dated_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:
+    lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumn("o_orderkey", F.col("l_orderkey"))
+    return lines, F.col("sales_date") >= F.lit("1998-01-01").cast("date")
+
+
+def q_corrected_file(spark, sf_dir):
+    """Files of 1998 are taken, found to be wrong by a year, and taken again under their names: the months of 1998 are
+    emptied, those of 1997 hold the corrected sales as well. Read through the snapshot and from the plain folder."""
+    base, dims = scratch_path(spark, "corrected-file"), _driver_dims(spark, sf_dir)
+    out, (lines, late) = f"{base}/out", _dated_lines(spark, sf_dir)
+    for part in ("early", "late"):
+        folders.make(spark, f"{base}/{part}")
+    _named_csv(spark, lines.where(~late), f"{base}/early", 2)
+    _named_csv(spark, lines.where(late), f"{base}/late", 2)
+    pipeline.run(spark, [f"{base}/early", f"{base}/late"], dims, out)
+    corrected = lines.where(late).withColumn("sales_date", F.add_months("sales_date", -12))
+    _named_csv(spark, corrected, f"{base}/late", 2)
+    result = pipeline.run(spark, f"{base}/late", dims, out)
+    plain = _read_team_mart(spark, result.outputs["sales_team_data_mart"])
+    both = pipeline.read_latest(spark, out, "sales_team_data_mart").withColumn("read", F.lit("snapshot"))
+    return both.unionByName(plain.withColumn("read", F.lit("folder")))
+
+
+def q_run_repeated(spark, sf_dir):
+    """A run with accepted and rejected files and rows that do not cast is repeated under its id with fewer months, and with
+    neither rejects nor bad rows: rows and totals of each output, by month."""
+    base, dims = scratch_path(spark, "run-repeated"), _driver_dims(spark, sf_dir)
+    out, (lines, late) = f"{base}/out", _dated_lines(spark, sf_dir)
+    for part in ("all", "again"):
+        folders.make(spark, f"{base}/{part}")
+    broken = F.when(F.col("l_linenumber") == 1, F.lit("none")).otherwise(F.col("quantity").cast("string"))
+    _named_csv(spark, lines.withColumn("quantity", broken), f"{base}/all", 3)
+    lines.select(_text("product_name")).write.option("header", "true").csv(f"{base}/all/rejected")
+    _named_csv(spark, lines.where(~late), f"{base}/again", 2)
+    pipeline.run(spark, f"{base}/all", dims, out, run_id="r1")
+    paths = pipeline.run(spark, f"{base}/again", dims, out, run_id="r1").outputs
+
+    def counted(name: str, rows: DataFrame, month: str | None, amount: str | None) -> DataFrame:
+        total = F.sum(amount) if amount else F.lit(None)
+        rows = rows.withColumn("_m", F.col(month) if month else F.lit(None).cast("string"))
+        by_month = rows.groupBy("_m").agg(F.count(F.lit(1)).alias("n_rows"), total.cast("decimal(18,2)").alias("total"))
+        return by_month.select(F.lit(name).alias("output"), F.col("_m").alias("sales_month"), "n_rows", "total")
+
+    def table(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(paths[name])
+
+    money = "decimal(18,2)"
+    parts = [
+        counted("sales_facts", table("sales_facts", f"sales_month string, total_cost {money}"), "sales_month", "total_cost"),
+        counted("sales_mart", table("sales_mart", f"sales_month string, total_cost {money}"), "sales_month", "total_cost"),
+        counted("customers_data_mart", table("customers_data_mart", f"sales_date_month string, total_sales {money}"),
+                "sales_date_month", "total_sales"),
+        counted("sales_team_data_mart", table("sales_team_data_mart", f"sales_month string, total_sales {money}"),
+                "sales_month", "total_sales"),
+        counted("monthly_report", sinks.read_csv_report(spark, paths["monthly_report"], SALES_TEAM_MART), "sales_month", "total_sales"),
+        counted("rejects", table("rejects", "file_name string"), None, None),
+        counted("rejected_lines", table("rejected_lines", "value string"), None, None),
+        counted("bad_rows", table("bad_rows", "line string"), None, None),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _read_team_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SALES_TEAM_MART).parquet(path).select(*SALES_TEAM_MART.fieldNames())
 
@@ -290,6 +376,10 @@ WITH lines AS (
 """
 
 
+_CORRECTED_DATE = """CAST(CASE WHEN CAST(o.o_orderdate AS DATE) >= DATE '1998-01-01'
+       THEN CAST(o.o_orderdate AS DATE) - INTERVAL 12 MONTH ELSE o.o_orderdate END AS DATE) AS sales_date"""
+
+
 def oracle_sql() -> dict[str, str]:
     from tillgrid.plans.contract import ORACLE_SQL
 
@@ -357,6 +447,24 @@ monthly AS (
   FROM totals LEFT JOIN touched ON m = sales_month)
 """
         + INCENTIVE_SELECT,
+        "corrected_file": star_sql().replace("CAST(o.o_orderdate AS DATE) AS sales_date", _CORRECTED_DATE)
+        + ","
+        + PERSON_MONTHLY
+        + ", mart AS ("
+        + INCENTIVE_SELECT
+        + """)
+SELECT mart.*, r.read FROM mart, (VALUES ('snapshot'), ('folder')) AS r(read)""",
+        "run_repeated": star_sql("CAST(o.o_orderdate AS DATE) < DATE '1998-01-01'")
+        + """,
+facts AS (SELECT strftime(sales_date, '%Y-%m') AS m, total_cost AS t FROM lines),
+rows_known AS (SELECT strftime(sales_date, '%Y-%m') AS m, total_cost AS t FROM star),
+by_customer AS (SELECT strftime(sales_date, '%Y-%m') AS m, sum(total_cost) AS t FROM star GROUP BY customer_id, 1),
+by_person AS (SELECT strftime(sales_date, '%Y-%m') AS m, sum(total_cost) AS t FROM star GROUP BY store_id, sales_person_id, 1),
+every AS (
+  SELECT 'sales_facts' AS output, * FROM facts UNION ALL SELECT 'sales_mart', * FROM rows_known
+  UNION ALL SELECT 'customers_data_mart', * FROM by_customer UNION ALL SELECT 'sales_team_data_mart', * FROM by_person
+  UNION ALL SELECT 'monthly_report', * FROM by_person)
+SELECT output, m AS sales_month, count(*) AS n_rows, CAST(sum(t) AS DECIMAL(18,2)) AS total FROM every GROUP BY output, m""",
         "stream_pipeline": incentive_sql("o.o_orderstatus IN ('F', 'O')"),
         "stream_intake": _PRODUCT_LINES
         + """
@@ -381,6 +489,8 @@ QUERIES = {
     "monthly_report_csv": q_monthly_report_csv,
     "pipeline_run": q_pipeline_run,
     "pipeline_incremental": q_pipeline_incremental,
+    "corrected_file": q_corrected_file,
+    "run_repeated": q_run_repeated,
     "stream_pipeline": q_stream_pipeline,
     "stream_intake": q_stream_intake,
 }

@@ -114,6 +114,18 @@ SALES_MART_COLUMNS = (
     "sales_month",
 )
 
+# The customers' data mart (monthly totals).
+CUSTOMERS_DATA_MART = T.StructType(
+    [
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("full_name", T.StringType()),
+        T.StructField("address", T.StringType()),
+        T.StructField("phone_number", T.StringType()),
+        T.StructField("sales_date_month", T.StringType()),
+        T.StructField("total_sales", MONEY),
+    ]
+)
+
 # The sales-team data mart (monthly totals with incentive).
 SALES_TEAM_MART = T.StructType(
     [

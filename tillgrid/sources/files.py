@@ -2,10 +2,11 @@
 
 * ``manifest`` lists files through Spark's own file index (``binaryFile`` with only path, length and modification
   time selected, so file contents are never read).
-* ``file_headers`` finds the first non-blank line of every file in one distributed pass (the CSV reader skips
-  blank lines too): each task reads the text of the splits that start a file and keeps, per file, the line with
-  the smallest row id (a map-side ``min_by``). One row
-  per file leaves the tasks; the number of jobs does not grow with the number of files.
+* ``file_headers`` finds the first non-blank line of every file (the CSV reader skips blank lines too). Tasks over the
+  manifest open each file and stop at that line, so the probe costs one short read per file whatever the files hold.
+  Only where tasks cannot open the files themselves (see ``OPENED_SCHEMES``) Spark's text scan finds the lines: each task reads
+  the splits that start a file and keeps, per file, the line with the smallest row id (a map-side ``min_by``). One
+  row per file leaves the tasks; the number of jobs does not grow with the number of files.
 * ``csv_lines`` gives every line of the CSV files with its file key; ``operators.conform.conform_lines`` parses them
   against each file's own header in the same single scan.
 """
@@ -13,13 +14,21 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the byte-order mark some tools put in front of a CSV header.
 _BOM = "\ufeff"
+# Schemes of file systems whose files tasks open by themselves; the setting names more (comma-separated) where the workers
+# have access to them: pyarrow opens hdfs, s3 and gs.
+OPENED_SCHEMES = ("file",)
+OPENED_SCHEMES_KEY = "tillgrid.headers.openedSchemes"
+_PROBE_BYTES = 1 << 16
+_LINE_END = re.compile(rb"\r\n|\r|\n")
 # A comma followed by an even number of quote characters up to the end of the line is outside any quoted name.
 _COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -63,6 +72,51 @@ def header_names(line: str | F.Column) -> F.Column:
     )
 
 
+def first_line(stream) -> str | None:
+    """The first line of an open file that holds more than blanks, without a byte-order mark; None if there is none.
+
+    Lines end as in Spark's text reader: at a line feed, a carriage return or both.
+    """
+    rest, at_start = b"", True
+    while True:
+        chunk = stream.read(_PROBE_BYTES)
+        if at_start and chunk.startswith(_BOM.encode()):
+            chunk = chunk[len(_BOM.encode()) :]
+        at_start = False
+        *lines, rest = _LINE_END.split(rest + chunk)
+        for line in lines if chunk else [*lines, rest]:
+            if line.strip(b" "):
+                return line.decode("utf-8", "replace")
+        if not chunk:
+            return None
+
+
+def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file_key, path) → (file_key, header_line) of files with a line."""
+    local = pafs.LocalFileSystem()
+    for batch in batches:
+        found = []
+        for key, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if path.startswith("file:"):
+                system, name = local, re.sub("^file:/+", "/", path)
+            else:
+                system, name = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", key))
+            with system.open_input_stream(name, buffer_size=0) as stream:
+                found.append((key, first_line(stream)))
+        lines = [(key, line) for key, line in found if line is not None]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[k] for x in lines], type=pa.string()) for k in (0, 1)], names=["file_key", "header_line"]
+        )
+
+
+def _opened_by_tasks(spark: SparkSession, paths: Sequence[str]) -> bool:
+    more = spark.conf.get(OPENED_SCHEMES_KEY, "")
+    allowed = {*OPENED_SCHEMES, *(x.strip() for x in more.split(",") if x.strip())}
+    default = spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).getScheme()
+    schemes = {m.group(1) if (m := re.match(r"([A-Za-z][\w+.-]*):/", p)) else default for p in paths}
+    return schemes <= allowed
+
+
 def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
     """One row per non-empty file under ``root`` whose name matches ``glob``: file_key, header_line, header."""
     paths = [root] if isinstance(root, str) else [plain_path(p) for p in root]
@@ -71,18 +125,24 @@ def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str | Non
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(paths).select(
+    if _opened_by_tasks(spark, paths):
+        files = reader.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file_key"), "path")
+        first = files.mapInArrow(_probe, "file_key string, header_line string")
+    else:
+        first = _scan_first_lines(reader.text(paths))
+    return first.withColumn("header", header_names("header_line"))
+
+
+def _scan_first_lines(text: DataFrame) -> DataFrame:
+    """(file_key, header_line) from a scan of all lines, for file systems that only Spark's readers reach."""
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("file_key"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_rid"),
     )
-    first = (
-        lines.where((F.col("_block") == 0) & (F.trim(F.col("value")) != ""))
-        .groupBy("file_key")
-        .agg(F.min_by("value", "_rid").alias("header_line"))
-    )
-    return first.withColumn("header", header_names("header_line"))
+    starts = lines.where((F.col("_block") == 0) & (F.trim(F.col("value")) != ""))
+    return starts.groupBy("file_key").agg(F.min_by("value", "_rid").alias("header_line"))
 
 
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
