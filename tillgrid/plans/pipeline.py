@@ -32,9 +32,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -168,6 +170,13 @@ def _months(rows: DataFrame) -> set[str | None]:
     return {r[0] for r in rows.select("sales_month").distinct().collect()}
 
 
+def _together(*steps: Callable[[], Any]) -> list[Any]:
+    """Results of steps that do not depend on each other, submitted at once: one's last tasks leave cores to the next one's
+    first. All have ended when this returns; the first error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def _in_months(months: set[str | None]) -> Column:
     found = F.col("sales_month").isin(sorted(m for m in months if m is not None))
     return found | F.col("sales_month").isNull() if None in months else found
@@ -186,24 +195,22 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     accepted = intake.gated.where("accepted").select("path", "file_name")
     # Restart check, reported as data: files on hand that an earlier run opened and never finished. Written before
     # this run touches the ledger, so the answer is fixed.
-    _replace_own(unfinished_files(spark, out, intake.files), paths["leftovers"], run_id)
-    leftovers = _table(spark, paths["leftovers"], LEFTOVERS).where(mine).drop("run_id")
-
-    _replace_own(intake.rejects, paths["rejects"], run_id)
-    store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"], run_id)
-    result = RunResult(
-        run_id=run_id,
-        run_ts=run_ts,
-        intake=intake,
-        enriched=star_join(intake.fact, dims.customer, dims.store, dims.team),
-        leftovers=leftovers,
-        outputs=paths,
+    _, _, _, repeated = _together(
+        lambda: _replace_own(unfinished_files(spark, out, intake.files), paths["leftovers"], run_id),
+        lambda: _replace_own(intake.rejects, paths["rejects"], run_id),
+        lambda: store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"], run_id),
+        lambda: not _table(spark, paths["ledger"], LEDGER).where(mine).isEmpty(),
     )
     opened = _table(spark, paths["ledger"], LEDGER)
-    repeated = not opened.where(mine).isEmpty()
+    leftovers = _table(spark, paths["leftovers"], LEFTOVERS).where(mine).drop("run_id")
+
+    def result(fact: DataFrame) -> RunResult:
+        enriched = star_join(fact, dims.customer, dims.store, dims.team)
+        return RunResult(run_id=run_id, run_ts=run_ts, intake=intake, enriched=enriched, leftovers=leftovers, outputs=paths)
+
     # A run that takes nothing ends here, unless it took files before under its id: those it now gives back.
     if not intake.any_accepted and not repeated:
-        return result
+        return result(intake.fact)
 
     # The change set so far: months of all copies of the files that this run takes or took before, and those it was
     # changing before. Written before the ledger and the history change, so a run that breaks off and is repeated
@@ -228,6 +235,7 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     facts = history.where(mine)
     _replace_own(facts.select("source_file", "sales_month").distinct(), paths["file_months"], run_id)
     months |= _months(_table(spark, paths["file_months"], FILE_MONTHS).where(mine))
+    keys = sorted(months, key=lambda m: m or "")
 
     # Rows in which a value did not cast: they keep their other values, and are reported here with the raw line.
     bad_rows = facts.where(F.size("_bad_columns") > 0).select(
@@ -236,20 +244,8 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
         F.col("_bad_columns").alias("bad_columns"),
         F.col("_bad_line").alias("line"),
     )
-    sinks.publish_run(bad_rows, paths["bad_rows"], run_ts, mode="overwrite")
-
-    result.enriched = star_join(facts, dims.customer, dims.store, dims.team)
-    sinks.publish_run(marts.customer_mart_rows(result.enriched), paths["customer_mart"], run_ts, mode="overwrite")
-    sales_rows = marts.sales_mart_rows(result.enriched)
-    published = sinks.publish_run(sales_rows, paths["sales_mart"], run_ts, mode="overwrite")
-    sinks.publish_run(
-        spark.read.schema(sales_rows.schema).parquet(published),
-        paths["sales_mart_partitioned"],
-        run_ts,
-        mode="overwrite",
-        partition_cols=["sales_month"],
-        sort_cols=["store_id"],
-    )
+    done = result(facts)
+    sales_rows = marts.sales_mart_rows(done.enriched)
 
     # Monthly marts: every month of the change set is recomputed from the whole history of that month, so files of one
     # month arriving over several runs add up, and a rerun changes nothing. Totals are by key; names and addresses are
@@ -264,31 +260,52 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     )
     sides = (dims.customer, dims.store, dims.team)
     recomputed = {
-        "customers_data_mart": marts.customer_monthly_by_key(touched, *sides),
-        "sales_team_data_mart": marts.sales_incentive_by_key(touched, *sides),
+        "customers_data_mart": lambda: marts.customer_monthly_by_key(touched, *sides),
+        "sales_team_data_mart": lambda: marts.sales_incentive_by_key(touched, *sides),
     }
-    keys = sorted(months, key=lambda m: m or "")
-    entries = []
-    for name, rows in recomputed.items():
+
+    def publish(name: str, rows: DataFrame, **layout) -> str:
+        return sinks.publish_run(rows, paths[name], run_ts, mode="overwrite", **layout)
+
+    def publish_sales() -> None:
+        plain = spark.read.schema(sales_rows.schema).parquet(publish("sales_mart", sales_rows))
+        publish("sales_mart_partitioned", plain, partition_cols=["sales_month"], sort_cols=["store_id"])
+
+    def stage(name: str) -> list[snapshots.Entry]:
         schema, key = MONTHLY[name]
-        entries += snapshots.stage(rows.select(*schema.fieldNames()), out, name, number, key, keys, run_id, run_ts)
+        rows = recomputed[name]().select(*schema.fieldNames())
+        return snapshots.stage(rows, out, name, number, key, keys, run_id, run_ts)
+
+    staged = _together(
+        lambda: stage("customers_data_mart"),
+        lambda: stage("sales_team_data_mart"),
+        publish_sales,
+        lambda: publish("customer_mart", marts.customer_mart_rows(done.enriched)),
+        lambda: publish("bad_rows", bad_rows),
+    )
+    entries = [*staged[0], *staged[1]]
     for name in ("customer_mart", "sales_mart", "sales_mart_partitioned", "bad_rows"):
         entries.append(snapshots.own_folder(name, f"{name}/{sinks.RUN_COLUMN}={run_ts}", run_id, run_ts))
     snapshots.commit(spark, out, number, snapshots.successor(snapshots.state(spark, out), dict.fromkeys(MONTHLY, keys), entries))
 
     # The plain folders of the monthly marts and the report, for readers that take a folder as it is.
-    for name, (schema, key) in MONTHLY.items():
-        version = spark.read.schema(schema).parquet(f"{out.rstrip('/')}/versions/{name}/seq={number}")
-        sinks.replace_partitions(version, paths[name], [key], [(m,) for m in keys])
-    version = spark.read.schema(SALES_TEAM_MART).parquet(f"{out.rstrip('/')}/versions/sales_team_data_mart/seq={number}")
-    sinks.replace_csv_report(version, paths["monthly_report"], keys)
+    def version(name: str) -> DataFrame:
+        return spark.read.schema(MONTHLY[name][0]).parquet(f"{out.rstrip('/')}/versions/{name}/seq={number}")
 
+    def refresh(name: str) -> None:
+        sinks.replace_partitions(version(name), paths[name], [MONTHLY[name][1]], [(m,) for m in keys])
+
+    _together(
+        lambda: refresh("customers_data_mart"),
+        lambda: refresh("sales_team_data_mart"),
+        lambda: sinks.replace_csv_report(version("sales_team_data_mart"), paths["monthly_report"], keys),
+    )
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 2).write.mode("append").parquet(
         paths["ledger"]
     )
     if earlier is None:
         spark.createDataFrame([(run_id, run_ts)], RUNS).write.mode("append").parquet(paths["runs"])
-    return result
+    return done
 
 
 def read_latest(spark: SparkSession, out: str, name: str) -> DataFrame:
