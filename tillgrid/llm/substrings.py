@@ -290,7 +290,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, hot_contexts: int = HOT_
     # Anchors that occur twice, and whether their contexts differ (which only some texts or edits cause).
     twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     twice = twice.where("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed"))
-    marked = written(anchors.join(twice, "h"), "substring-hits")
+    # Tables that are joined are written first: a join of plain exchanges has its hot keys split (a passage in a third of
+    # all documents makes hot anchors), one whose side is still being summed up in the same stage has not.
+    marked = written(anchors.join(written(twice, "substring-twice"), "h"), "substring-hits")
 
     # The distinct contexts of anchors whose contexts differ, with their number and one place where each stands.
     mixed = marked.where("mixed")
@@ -302,13 +304,14 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, hot_contexts: int = HOT_
     hot = broadcast_if_small(written(hot, "substring-hot"))
     wanted = kinds.join(hot, "h", "left").select("one.*", "h", "c", "m", F.coalesce("hot", F.lit(False)).alias("hot"))
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "h", "c", "m", "hot")).alias("wanted"))
-    cut = texts.join(lists, ["k1", "k2"]).mapInArrow(lambda it: _cut_contexts(it, width), _CONTEXTS)
+    cut = texts.join(written(lists, "substring-wanted"), ["k1", "k2"]).mapInArrow(lambda it: _cut_contexts(it, width), _CONTEXTS)
     cut = written(cut, "substring-words")
 
     shards = cut.where("words IS NOT NULL").repartition(tasks, "h").sortWithinPartitions("h", "c")
     matched = shards.mapInArrow(lambda it: _match_shards(it, width), _SPANS)
     windows = cut.where("words IS NULL")
     often = windows.groupBy("h", "c").agg(F.sum("m").alias("n")).where("n > 1").select("h", "c")
+    often = written(often, "substring-windows")
     counted = windows.where("m = 1").join(often, ["h", "c"], "left_semi").select("k1", "k2", "at", F.lit(1).cast("long").alias("n"))
     copies = mixed.join(kinds.where("m > 1").select("h", "c"), ["h", "c"], "left_semi")
     whole = marked.where("NOT mixed").select("k1", "k2", "place").unionByName(copies.select("k1", "k2", "place"))
@@ -359,6 +362,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, hot_contexts: int = HOT_
     spans = repeated_spans(keyed, width, hot_contexts)
     # A set: repeated rows bring equal spans. It is no longer than the text has words.
     lists = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    lists = written(lists, "substring-lists")
     joined = keyed.join(lists, ["k1", "k2"], "left").select("doc_id", "text", "spans")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     result = f"doc_id {id_type}, n_words long, n_removed long, kept string, removed array<struct<start: long, stop: long>>"
