@@ -46,6 +46,9 @@ def drop(tmp_path_factory):
     quoted = ",".join(f'"{c}"' for c in MANDATORY_COLUMNS)
     _write(root, "bom.csv", f"﻿{quoted}\n8,121,salt,2023-06-06,1,20,1,20\n")
     _write(root, "empty.csv", "")
+    _write(root, "a/none.csv", "")
+    _write(root, "_started", "")
+    _write(root, "a/.none.csv.crc", "")
     _write(root, "notes.txt", "not a sales file\nsecond line\n")
     _write(root, "blank_first.csv", f"\n  \n{HEADER}\n13,121,tea,2023-07-10,2,5,1,5\n")
     _write(root, "UPPER.CSV", f"{HEADER}\n12,121,tea,2023-07-09,2,5,1,5\n")
@@ -67,14 +70,24 @@ def _rel(path: str, root: str) -> str:
 def test_manifest_lists_files_only(spark, drop):
     files = file_source.split_by_suffix(file_source.manifest(spark, drop)).collect()
     names = sorted(_rel(r.path, drop) for r in files)
-    # A zero-byte file holds neither header nor rows; Spark's file scan skips it, so it is not in the manifest.
+    # Zero-byte files too, which Spark's file scan skips; names that Spark takes for hidden are left out.
     assert names == sorted(
-        ["plain.csv", "extra.csv", "two_extras.csv", "missing.csv", "reordered.csv", "bom.csv",
+        ["plain.csv", "extra.csv", "two_extras.csv", "missing.csv", "reordered.csv", "bom.csv", "empty.csv", "a/none.csv",
          "notes.txt", "UPPER.CSV", "blank_first.csv", "a/sales.csv", "b/sales.csv", "odd dir/50% off.csv"]
     )
     assert {_rel(r.path, drop): r.is_csv for r in files}["notes.txt"] is False
 
 
+def test_empty_files_of_a_list_of_paths(spark, drop):
+    listed = [f"{drop}/empty.csv", f"{drop}/plain.csv", f"{drop}/a"]
+    got = file_source.manifest(spark, listed).where("length = 0").collect()
+    assert sorted(_rel(r.path, drop) for r in got) == ["a/none.csv", "empty.csv"]
+    assert all(r.path.startswith("file:/") and r.modificationTime is not None for r in got)
+    it = run_intake(spark, [f"{drop}/empty.csv"])
+    assert [(r.file_name, r.reason) for r in it.rejects.collect()] == [("empty.csv", conform.REASON_EMPTY)]
+    assert rejected_lines(spark, it).count() == 0 and it.fact.count() == 0
+
+
 def test_header_probe_strips_bom_and_quotes(spark, drop):
     heads = {_rel(r.file_key, drop): list(r.header) for r in file_source.file_headers(spark, drop).collect()}
     assert heads["bom.csv"] == list(MANDATORY_COLUMNS)
@@ -92,7 +105,7 @@ def test_gate_verdicts(intake, drop):
     assert g["missing.csv"].reason == conform.REASON_MISSING
     assert g["notes.txt"].reason == conform.REASON_NOT_CSV
     assert g["UPPER.CSV"].reason == conform.REASON_NOT_CSV  # the suffix test is case-sensitive
-    assert "empty.csv" not in g
+    assert g["empty.csv"].reason == g["a/none.csv"].reason == conform.REASON_EMPTY
     assert g["reordered.csv"].accepted and g["bom.csv"].accepted
     assert g["a/sales.csv"].accepted and g["b/sales.csv"].accepted
     assert g["blank_first.csv"].accepted  # leading blank lines are skipped, as the CSV reader does
@@ -131,6 +144,8 @@ def test_extra_columns_packed_in_header_order(intake):
 def test_reject_table_and_lines(spark, intake, drop, tmp_path):
     rej = {_rel(r.path, drop): r.reason for r in intake.rejects.collect()}
     assert rej == {
+        "empty.csv": conform.REASON_EMPTY,
+        "a/none.csv": conform.REASON_EMPTY,
         "missing.csv": conform.REASON_MISSING,
         "notes.txt": conform.REASON_NOT_CSV,
         "UPPER.CSV": conform.REASON_NOT_CSV,

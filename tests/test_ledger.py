@@ -30,6 +30,27 @@ def test_ledger_rows_and_incomplete(spark):
     assert rows(ledger.incomplete(on_hand, state, "file_name")) == [("b.csv",)]
 
 
+def test_a_file_that_a_later_run_finished_is_not_left_over(spark):
+    def rows_of(run, path, status, hours, seq):
+        return (run, path, f"/{path}", status, T0 + dt.timedelta(hours=hours), seq)
+
+    log = spark.createDataFrame(
+        [
+            rows_of("r1", "a", "A", 0, 0), rows_of("r2", "a", "A", 1, 0), rows_of("r2", "a", "I", 1, 1),
+            rows_of("r1", "b", "A", 0, 0), rows_of("r1", "b", "I", 0, 1), rows_of("r2", "b", "A", 1, 0),
+            rows_of("r1", "c", "I", 0, 1), rows_of("r2", "c", "I", 1, 1), rows_of("r2", "c", "W", 2, 0),
+            rows_of("r1", "d", "I", 0, 1), rows_of("r1", "d", "W", 2, 0),
+        ],
+        ledger.empty_ledger(spark).schema,
+    )
+    assert rows(ledger.file_state(log)) == [("/a", "I"), ("/b", "A"), ("/c", "I")]
+    on_hand = spark.createDataFrame([(f"/{x}",) for x in "abcd"], "path string")
+    assert rows(ledger.incomplete(on_hand, ledger.file_state(log), "path")) == [("/b",)]
+    assert rows(ledger.finished_files(log)) == [("/a",), ("/b",), ("/c",)]
+    # The second run gave its copy of c back: the first run's counts again.
+    assert rows(ledger.superseded(log, "r3")) == [("r1", "/a"), ("r1", "/d"), ("r2", "/b"), ("r2", "/c")]
+
+
 def test_lookup_with_list_and_with_frame(spark):
     df = spark.createDataFrame(
         [("a.csv", "A"), ("a.csv", "A"), ("b.csv", "I"), ("c.csv", "A")], "file_name string, status string"

@@ -66,6 +66,10 @@ def test_run_writes_marts_rejects_and_ledger(spark, tmp_path):
     ledger.ledger_rows(spark, "run-0", files, ledger.ACTIVE, dt.datetime(2020, 1, 1), 0).write.mode("append").parquet(
         result.outputs["ledger"]
     )
+    # Opened before run-1 finished the file, so it is not left over; opened again after that, it is.
+    assert pipeline.unfinished_files(spark, out, result.intake.files).count() == 0
+    since = dt.datetime.now(dt.timezone.utc)
+    ledger.ledger_rows(spark, "run-0", files, ledger.ACTIVE, since, 1).write.mode("append").parquet(result.outputs["ledger"])
 
     # Second run over the same files: the monthly marts are replaced, not doubled.
     second = pipeline.run(spark, str(drop), _dims(spark), out, run_id="run-2")

@@ -85,6 +85,15 @@ def incomplete(on_hand: DataFrame, state: DataFrame, key: str, status_col: str =
     return on_hand.join(open_keys, key, "left_semi")
 
 
+def file_state(rows: DataFrame) -> DataFrame:
+    """(path, status): the latest status of every file over all runs, withdrawn copies left out.
+
+    A file that one run opened and left, and that a later run finished, is finished.
+    """
+    state = current_state(held_copies(rows), ["file_location"], "status", ["event_ts", "seq"])
+    return state.withColumnRenamed("file_location", "path")
+
+
 def finished_files(rows: DataFrame) -> DataFrame:
     """``path`` of every file that some run finished and did not withdraw."""
     return held_copies(rows).where(F.col("status") == FINISHED).select(F.col("file_location").alias("path")).distinct()

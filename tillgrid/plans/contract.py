@@ -207,11 +207,9 @@ def q_file_ledger_state(spark, sf_dir):
 
 
 def q_file_restart_check(spark, sf_dir):
-    """Files on hand that some run opened and never finished."""
-    rows = _file_ledger(spark, sf_dir)
-    state = ledger.current_state(rows, ["run_id", "file_location"], "status", ["event_ts", "seq"])
+    """Files on hand that some run opened and that neither it nor a later one finished."""
     on_hand = _order_files(spark, sf_dir).select("path", "file_name")
-    return ledger.incomplete(on_hand, state.withColumnRenamed("file_location", "path"), "path")
+    return ledger.incomplete(on_hand, ledger.file_state(_file_ledger(spark, sf_dir)), "path")
 
 
 def q_file_valid_copies(spark, sf_dir):
@@ -355,7 +353,7 @@ SELECT 'run-1' AS run_id, 'order-' || o_orderkey || '.csv' AS file_name,
 UNION ALL SELECT 'run-2', 'order-' || o_orderkey || '.csv', 'I' FROM orders WHERE o_orderstatus = 'P'""",
     "file_restart_check": """
 SELECT '/drop/order-' || o_orderkey || '.csv' AS path, 'order-' || o_orderkey || '.csv' AS file_name
-FROM orders WHERE o_orderstatus <> 'F'""",
+FROM orders WHERE o_orderstatus NOT IN ('F', 'P')""",
     "file_valid_copies": """
 SELECT 'run-1' AS run_id, '/drop/order-' || o_orderkey || '.csv' AS source_file
 FROM orders WHERE o_orderstatus <> 'F'""",

@@ -330,6 +330,6 @@ def ledger_state(spark: SparkSession, out: str) -> DataFrame:
 
 
 def unfinished_files(spark: SparkSession, out: str, on_hand: DataFrame) -> DataFrame:
-    """Files of ``on_hand`` (a manifest) whose latest ledger status under ``out`` is not finished (lazy)."""
-    state = ledger_state(spark, out).withColumnRenamed("file_location", "path")
-    return ledger.incomplete(on_hand.select("path", "file_name"), state, "path")
+    """Files of ``on_hand`` (a manifest) that a run under ``out`` opened and that no run has finished since (lazy)."""
+    rows = _table(spark, output_paths(out)["ledger"], LEDGER)
+    return ledger.incomplete(on_hand.select("path", "file_name"), ledger.file_state(rows), "path")

@@ -1,7 +1,7 @@
 """File sources: the manifest of a drop folder, the header probe and the header-by-name CSV read.
 
 * ``manifest`` lists files through Spark's own file index (``binaryFile`` with only path, length and modification
-  time selected, so file contents are never read).
+  time selected, so file contents are never read), and the zero-byte files that it skips.
 * ``file_headers`` finds the first non-blank line of every file (the CSV reader skips blank lines too). Tasks over the
   manifest open each file and stop at that line, so the probe costs one short read per file whatever the files hold.
   Only where tasks cannot open the files themselves (see ``OPENED_SCHEMES``) Spark's text scan finds the lines: each task reads
@@ -44,7 +44,8 @@ def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     ``path`` is the plain path (to read the file again); ``file_key`` is the same path as the file scans'
     ``_metadata.file_path`` spells it (URL-encoded), the key every per-file join uses.
 
-    Folders are not files and never appear; names starting with ``_`` or ``.`` are skipped by Spark's file index.
+    Folders are not files and never appear; names starting with ``_`` or ``.`` are skipped by Spark's file index. Zero-byte
+    files, which Spark's scans skip, come from ``empty_files`` where tasks can list the folders themselves.
     """
     paths = [root] if isinstance(root, str) else [plain_path(p) for p in root]
     files = (
@@ -53,9 +54,67 @@ def manifest(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
         .load(paths)
         .select("path", F.col("_metadata.file_path").alias("file_key"), "length", "modificationTime")
     )
+    if _opened_by_tasks(spark, paths):
+        files = files.unionByName(empty_files(spark, root))
     return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
+def _system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path and its name there."""
+    if re.match("(file:)?/", path):
+        return pafs.LocalFileSystem(), re.sub("^(file:)?/+", "/", path)
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+
+
+def _hidden(name: str) -> bool:
+    return any(part.startswith(".") or (part.startswith("_") and "=" not in part) for part in name.split("/"))
+
+
+def _list_empty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, deep) of files or folders → (path, modificationTime) of the zero-byte files there."""
+    for batch in batches:
+        for path, deep in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            system, name = _system(path)
+            info = system.get_file_info(name)
+            if info.type == pafs.FileType.Directory:
+                inside = system.get_file_info(pafs.FileSelector(name, recursive=deep))
+            else:
+                inside = [info]
+            found = [
+                i for i in inside
+                if i.type == pafs.FileType.File and i.size == 0 and not _hidden(i.path[len(name) :].lstrip("/"))
+            ]
+            prefix = "file:" if isinstance(system, pafs.LocalFileSystem) else re.match("[^:]+://[^/]*/", path).group(0)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([prefix + i.path for i in found], type=pa.string()),
+                    pa.array([i.mtime for i in found], type=pa.timestamp("us", tz="UTC")),
+                ],
+                names=["path", "modificationTime"],
+            )
+
+
+def empty_files(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """The zero-byte files under ``root`` (a folder, or a list of folders or files), in the manifest's columns.
+
+    Tasks list one sub-folder each, so the driver sees the first level of folders only. A file without a byte has no line, so
+    its ``file_key`` meets nothing.
+    """
+    if isinstance(root, str):
+        system, name = _system(root)
+        top = system.get_file_info(pafs.FileSelector(name, allow_not_found=True))
+        folders = [i.base_name for i in top if i.type == pafs.FileType.Directory and not _hidden(i.base_name)]
+        seeds = [(root, False), *((f"{root.rstrip('/')}/{f}", True) for f in folders)]
+    else:
+        seeds = [(p, True) for p in root]
+    found = (
+        spark.createDataFrame(seeds, "path string, deep boolean")
+        .repartition(max(1, min(len(seeds), 200)))
+        .mapInArrow(_list_empty, "path string, modificationTime timestamp")
+    )
+    return found.select("path", F.col("path").alias("file_key"), F.lit(0).cast("long").alias("length"), "modificationTime")
+
+
 def split_by_suffix(files: DataFrame, suffix: str = ".csv") -> DataFrame:
     """Add ``is_csv``: the file name ends with ``suffix`` (case-sensitive, like the ``*.csv`` glob of the header
     probe and the line scan) and the entry is not a folder."""
@@ -93,14 +152,10 @@ def first_line(stream) -> str | None:
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file_key, path) → (file_key, header_line) of files with a line."""
-    local = pafs.LocalFileSystem()
     for batch in batches:
         found = []
         for key, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if path.startswith("file:"):
-                system, name = local, re.sub("^file:/+", "/", path)
-            else:
-                system, name = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", key))
+            system, name = _system(path if path.startswith("file:") else key)
             with system.open_input_stream(name, buffer_size=0) as stream:
                 found.append((key, first_line(stream)))
         lines = [(key, line) for key, line in found if line is not None]
