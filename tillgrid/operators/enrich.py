@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.operators.sizing import broadcast_if_small
+from tillgrid.operators.sizing import broadcast_each
 
 ENRICHED_COLUMNS = (
     "customer_id",
@@ -78,9 +78,8 @@ def star_join(
     # Inner joins commute; the sales team goes first so that, when neither side is broadcast, a fact already
     # partitioned on the sales-person key (as the driver tables' fact is, by its supplier lookup) is not shuffled
     # again for it. Beyond the broadcast bound each join is a sort-merge join on its own key.
-    joined = (
-        facts.join(broadcast_if_small(team_side(team), max_broadcast_rows), "sales_person_id")
-        .join(broadcast_if_small(store_side(store), max_broadcast_rows), "store_id")
-        .join(broadcast_if_small(customer_side(customer), max_broadcast_rows), "customer_id")
+    people, stores, customers = broadcast_each(
+        [team_side(team), store_side(store), customer_side(customer)], max_broadcast_rows
     )
+    joined = facts.join(people, "sales_person_id").join(stores, "store_id").join(customers, "customer_id")
     return joined.select(*ENRICHED_COLUMNS, *carry)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tillgrid.functions.scalars import full_name, incentive_from_max, month_key, top_rank_incentive
 from tillgrid.operators.enrich import customer_side, team_side
 from tillgrid.operators.ranking import rank_desc
-from tillgrid.operators.sizing import broadcast_if_small
+from tillgrid.operators.sizing import broadcast_each
 from tillgrid.schemas import CUSTOMER_MART_COLUMNS, MONEY, SALES_MART_COLUMNS
 
 
@@ -114,9 +114,9 @@ def sales_incentive(enriched: DataFrame) -> DataFrame:
     return with_incentive(sales_person_monthly_sales(enriched))
 
 
-def _known(fact: DataFrame, key: str, dimension: DataFrame, id_col: str) -> DataFrame:
-    """Sales whose ``key`` is in the dimension. A semi join: it carries keys only and never multiplies a sale."""
-    return fact.join(broadcast_if_small(dimension.select(F.col(id_col).alias(key))), key, "left_semi")
+def _keys(dimension: DataFrame, id_col: str, key: str) -> DataFrame:
+    """The dimension's keys. A semi join on them keeps the sales with a known key and never multiplies a sale."""
+    return dimension.select(F.col(id_col).alias(key))
 
 
 def customer_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
@@ -125,11 +125,14 @@ def customer_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFra
     Sales pass slim semi joins on the keys, partial sums are shuffled, and the attributes meet one row per (customer,
     month). The total belongs to the customer id, so attributes that changed between loads never split it; an id
     with two dimension rows gives two rows with the whole total."""
-    keyed = _known(_known(fact, "store_id", store, "id"), "sales_person_id", team, "id")
+    stores, people, attributes = broadcast_each(
+        [_keys(store, "id", "store_id"), _keys(team, "id", "sales_person_id"), customer_side(customer)]
+    )
+    keyed = fact.join(stores, "store_id", "left_semi").join(people, "sales_person_id", "left_semi")
     totals = keyed.groupBy("customer_id", month_key("sales_date").alias("sales_date_month")).agg(
         F.sum("total_cost").cast(MONEY).alias("total_sales")
     )
-    return totals.join(broadcast_if_small(customer_side(customer)), "customer_id").select(
+    return totals.join(attributes, "customer_id").select(
         "customer_id",
         full_name("first_name", "last_name").alias("full_name"),
         "address",
@@ -142,11 +145,14 @@ def customer_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFra
 def sales_person_monthly_by_key(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
     """The columns of ``sales_person_monthly_sales``, summed by (store, sales person, month) before names are joined, so
     a renamed sales person keeps one total."""
-    keyed = _known(_known(fact, "store_id", store, "id"), "customer_id", customer, "customer_id")
+    stores, customers, attributes = broadcast_each(
+        [_keys(store, "id", "store_id"), _keys(customer, "customer_id", "customer_id"), team_side(team)]
+    )
+    keyed = fact.join(stores, "store_id", "left_semi").join(customers, "customer_id", "left_semi")
     totals = keyed.groupBy("store_id", "sales_person_id", month_key("sales_date").alias("sales_month")).agg(
         F.sum("total_cost").cast(MONEY).alias("total_sales")
     )
-    return totals.join(broadcast_if_small(team_side(team)), "sales_person_id").select(
+    return totals.join(attributes, "sales_person_id").select(
         "store_id",
         "sales_person_id",
         full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
@@ -162,8 +168,11 @@ def sales_incentive_by_key(fact: DataFrame, customer: DataFrame, store: DataFram
 
 def known_sales(fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame) -> DataFrame:
     """Sales whose customer, store and sales person are all known: the star's rows, without its attributes."""
-    keyed = _known(_known(fact, "store_id", store, "id"), "customer_id", customer, "customer_id")
-    return _known(keyed, "sales_person_id", team, "id")
+    stores, customers, people = broadcast_each(
+        [_keys(store, "id", "store_id"), _keys(customer, "customer_id", "customer_id"), _keys(team, "id", "sales_person_id")]
+    )
+    keyed = fact.join(stores, "store_id", "left_semi").join(customers, "customer_id", "left_semi")
+    return keyed.join(people, "sales_person_id", "left_semi")
 
 
 def rank_within(df: DataFrame, group: list[str], value: str, name: str = "rnk") -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 import hashlib
 import threading
 from collections import OrderedDict
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +93,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return df
 
 
+def broadcast_each(sides: Sequence[DataFrame], max_rows: int | None = None) -> list[DataFrame]:
+    """``broadcast_if_small`` of several sides of one plan, their checks submitted at once."""
+    with ThreadPoolExecutor(len(sides)) as pool:
+        return list(pool.map(lambda side: broadcast_if_small(side, max_rows), sides))
+
+
 def forget_verdicts() -> None:
     """Drop all remembered checks (a benchmark times each query with its own)."""
     with _LOCK:
