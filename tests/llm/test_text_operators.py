@@ -266,6 +266,59 @@ def test_scan_over_three_levels_and_without_spaces(spark, monkeypatch):
     assert got == {i: library.encode(t) for i, t in rows}
 
 
+def _best_score(pieces, text):
+    """Score of the best unigram path, by a table over all places."""
+    best = [0.0] + [-math.inf] * len(text)
+    for end in range(1, len(text) + 1):
+        for start in range(max(0, end - pieces.longest), end):
+            piece = text[start:end]
+            if piece in pieces.ids or len(piece) == 1:
+                best[end] = max(best[end], best[start] + pieces.scores.get(piece, pieces.unknown_score))
+    return best[-1]
+
+
+def test_unigram_paths_have_the_best_score(spark):
+    """The (max, +) scan with real values: scores as of a unigram model, over chunks of any size."""
+    with open(sentencepiece_codec.default_model(), "rb") as f:
+        pieces = sentencepiece_codec.Pieces(f.read(), 1)
+    score = {i: pieces.scores[p] for p, i in pieces.ids.items()}
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("the andi ngo") for _ in range(n)) for n in (1, 30, 400, 900)] + ["information retrieval " * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for chunk in (40, 101, 1 << 14):
+        for r in sentencepiece_codec.encode(df, chunk=chunk, kind=1).collect():
+            want = _best_score(pieces, pieces.normal(texts[r.doc_id]))
+            assert math.isclose(sum(score[i] for i in r.ids), want, abs_tol=1e-6), (chunk, r.doc_id)
+            assert pieces.decode(np.asarray(r.ids)) == texts[r.doc_id]
+
+
+def test_remembered_answers_are_bounded_and_change_nothing(monkeypatch):
+    recent = sentencepiece_codec.Recent(3)
+    for k in range(10):
+        assert recent[k] is None and recent.keep(k, -k) == -k
+        assert recent[k] == -k and len(recent) + len(recent.old) <= 6
+    assert recent[8] == -8
+    with open(sentencepiece_codec.default_model(), "rb") as f:
+        model = f.read()
+    monkeypatch.setattr(sentencepiece_codec, "WORDS", 2)
+    monkeypatch.setattr(sentencepiece_codec, "PAIRS", 2)
+    small = sentencepiece_codec.Pieces(model)
+    monkeypatch.undo()
+    text = small.normal("the same words come again and the same words come again")
+    assert small.encode(text) == sentencepiece_codec.Pieces(model).encode(text)
+
+
+def test_model_file_is_a_setting(spark, tmp_path):
+    path = tmp_path / "named.model"
+    with open(sentencepiece_codec.default_model(), "rb") as f:
+        path.write_bytes(f.read())
+    spark.conf.set(sentencepiece_codec.MODEL_KEY, str(path))
+    try:
+        assert sentencepiece_codec.default_model(spark) == str(path)
+    finally:
+        spark.conf.unset(sentencepiece_codec.MODEL_KEY)
+
+
 def _brute_quality(text):
     text = text or ""
     w = _words(text)
@@ -317,6 +370,39 @@ def test_language_of_held_out_rows(spark, sf_dir):
     assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95
 
 
+def test_a_language_with_long_texts_only_is_learned(spark):
+    rng = random.Random(6)
+    vocabulary = {k: ["".join(rng.choice(a) for _ in range(rng.randint(3, 8))) for _ in range(500)]
+                  for k, a in (("xx", "aeioubcdf"), ("yy", "ghjklmnopqy"))}
+
+    def text(lang, n):
+        return " ".join(rng.choice(vocabulary[lang]) for _ in range(n))
+
+    rows = [(k, text("xx", 50), "xx") for k in range(60)] + [(100 + k, text("yy", 7000), "yy") for k in range(12)]
+    assert all(len(t) > language_id.SAMPLE_BYTES for _, t, lang in rows if lang == "yy")
+    rows += [(200 + k, text("yy", 30), None) for k in range(20)] + [(300 + k, text("xx", 30), None) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(df).collect()}
+    assert all(got[k] == ("xx" if k < 100 or k >= 300 else "yy") for k in got)
+
+
+def test_texts_in_no_learned_language_go(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", F.lit(1).alias("score"))
+    rng = random.Random(8)
+    noise = [(10_000 + k, "".join(rng.choice("qwxzkvj bcdfg") for _ in range(300)), None, 1) for k in range(20)]
+    unlabelled = df.withColumn("lang", F.when(F.col("lang") != "de", F.col("lang")))
+    kept = language_id.keep_identified(unlabelled.union(spark.createDataFrame(noise, df.schema)))
+    assert kept.columns == df.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert not ids & {r[0] for r in noise}
+    by_lang = {True: [], False: []}
+    for r in df.where(F.length("text") >= 200).collect():
+        by_lang[r.lang == "de"].append(r.doc_id in ids)
+    assert not any(by_lang[True]) and all(by_lang[False])
+    everything = {r.doc_id for r in language_id.keep_identified(df).collect()}
+    assert everything == {r.doc_id for r in df.where(F.col("text").rlike(r"\p{L}")).collect()}
+
+
 def test_language_code_lengths_equal_brute_force():
     import pandas as pd
 

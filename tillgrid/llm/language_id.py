@@ -5,12 +5,17 @@ the language knows; where that context has not seen the byte, it pays the contex
 goes one order down, at last to a uniform byte. The statistics are frozen after training, so a text's exact code length
 in each language is a sum over its bytes. The shortest code wins; the score is its posterior probability.
 
-Training uses a bounded sample: about ``sample_rows`` labelled rows in all, the same number for each language, of
-texts up to ``sample_bytes`` each. So the model's size is bounded whatever the input (see ``SAMPLE_ROWS``). Prediction
+Training uses a bounded sample: about ``sample_rows`` labelled rows in all, the same number for each language, and of a
+text above ``sample_bytes`` one piece of a quarter as many characters, from a place that the row's hash names. So the model's
+size is bounded whatever the input (see ``SAMPLE_ROWS``), and a language with long texts only is learned too. Prediction
 covers every row and whole texts.
 
+The posterior only says which learned language fits best; ``excess`` says how well it fits: the text's code length over
+what the language's own training text takes for as many bytes. ``keep_identified`` rejects by it.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0; without any labelled training row every
-row is ``und``; equal code lengths go to the smaller language name; repeated rows are predicted alike.
+row is ``und``; equal code lengths go to the smaller language name; repeated rows are predicted alike; an
+empty table gives an empty result. Null ids count as the empty id for the folds; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,10 +31,13 @@ from tillgrid.llm.common import slices, text_id
 from tillgrid.llm.ngrams import Lookup, low_bytes, segments
 
 ORDER = 4
-#: Bound of the training sample: rows over all languages, and bytes of one row's text.
+#: Bound of the training sample: rows over all languages, and bytes above which only a piece of a row's text is taken.
 SAMPLE_ROWS = 12_000
 SAMPLE_BYTES = 32_768
 UNKNOWN = "und"
+#: A text is taken for none of the learned languages above this excess, with ``SHORT_BITS`` to spare for the first words.
+MAX_EXCESS = 2.25
+SHORT_BITS = 64.0
 
 
 def _texts(values) -> list[bytes]:
@@ -54,7 +62,7 @@ def train(
 
     A row is in the sample if its lot is under its language's threshold, set from an exact count.
     """
-    usable = rows.where(F.octet_length("text").between(1, sample_bytes))
+    usable = rows.where(F.octet_length("text") > 0)
     totals = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not totals:
         return None
@@ -63,6 +71,10 @@ def train(
     spread = 2**63 - 1
     limit = F.create_map(*[F.lit(x) for k, r in rates.items() for x in (k, spread if r >= 1 else int(spread * (2 * r - 1)))])
     sample = usable.where(F.col("lot") <= F.element_at(limit, F.col("lang")))
+    piece = sample_bytes // 4
+    at = F.pmod("lot", F.greatest(F.lit(1), F.length("text") - piece + 1)).cast("int") + 1
+    whole = F.octet_length("text") <= sample_bytes
+    sample = sample.withColumn("text", F.when(whole, F.col("text")).otherwise(F.substring(F.col("text"), at, F.lit(piece))))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,6 +123,8 @@ class PPM:
             self.contexts.append(contexts)
             self.escapes.append(escape.astype(np.float32))
             lower = self.logs[-1].astype(np.float64)
+        #: Nats a byte that each language's training text takes in its own model.
+        self.own = -(counts * lower).sum(axis=0) / counts.sum(axis=0)
 
     def ready(self) -> PPM:
         """Builds the lookups, once per worker."""
@@ -163,7 +177,7 @@ def predicted(rows, df, id_col, text_col, lang_col, order=ORDER, sample_rows=SAM
     """``rows`` with ``__lang``: the language and score of column ``on`` under a model trained on ``df``."""
     model = train(training_rows(df, id_col, text_col, lang_col), order, sample_rows)
     if model is None:
-        unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("excess"))
         return rows.withColumn("__lang", unknown)
     # Bounded by the training sample, not by the input: see SAMPLE_ROWS.
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -174,22 +188,31 @@ def predicted(rows, df, id_col, text_col, lang_col, order=ORDER, sample_rows=SAM
         for texts, letters in batches:
             best = np.zeros(len(texts), dtype=np.int64)
             score = np.zeros(len(texts))
+            excess = np.zeros(len(texts))
             for a, b in slices([0 if t is None else len(t) for t in texts], 1 << 19):
-                logs = ppm.code_lengths(_texts(texts.iloc[a:b]))
+                encoded = _texts(texts.iloc[a:b])
+                logs = ppm.code_lengths(encoded)
                 best[a:b] = logs.argmax(axis=1)
                 score[a:b] = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+                size = np.fromiter(map(len, encoded), dtype=np.float64, count=len(encoded))
+                taken = np.maximum(-logs.max(axis=1) - SHORT_BITS * np.log(2.0), 0.0)
+                excess[a:b] = taken / np.maximum(size * ppm.own[best[a:b]], 1e-9)
             named = letters.to_numpy(dtype=bool)
             pred = np.where(named, names[best], UNKNOWN)
-            yield pd.DataFrame({"lang_pred": pred, "score": np.where(named, score, 0.0)})
+            yield pd.DataFrame({"lang_pred": pred, "score": np.where(named, score, 0.0), "excess": excess})
 
-    udf = F.pandas_udf(judge, "lang_pred string, score double")
+    udf = F.pandas_udf(judge, "lang_pred string, score double, excess double")
     letters = F.coalesce(F.col(on).rlike(r"\p{L}"), F.lit(False))
     return rows.withColumn("__lang", udf(F.col(on), letters))
 
 
-def keep_identified(df: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """The rows whose language is known with at least ``min_score``, with the columns of ``df`` alone."""
+def keep_identified(df: DataFrame, min_score: float = 0.5, max_excess: float = MAX_EXCESS) -> DataFrame:
+    """The rows in one of the learned languages, with the columns of ``df`` alone.
+
+    A row goes if it has no letter, if no language has a posterior of ``min_score``, or if its text takes more than
+    ``max_excess`` times the code that the best language's own text takes (an unlearned language, random letters).
+    """
     names = [F.col(f"`{n}`") for n in df.columns]
     judged = predicted(df, df, "doc_id", "text", "lang", on="text")
-    good = (F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.score") >= min_score)
-    return judged.where(good).select(*names)
+    fits = (F.col("__lang.score") >= min_score) & (F.col("__lang.excess") <= max_excess)
+    return judged.where((F.col("__lang.lang_pred") != UNKNOWN) & fits).select(*names)
