@@ -85,12 +85,15 @@ def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST
     return verdict
 
 
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``broadcast_if_small`` broadcasts ``df``."""
+    bound = _row_limit(df, max_rows)
+    return bound > 0 and has_at_most(df, bound)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` when its rows and bytes prove small, else ``df`` unchanged."""
-    bound = _row_limit(df, max_rows)
-    if bound > 0 and has_at_most(df, bound):
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def broadcast_each(sides: Sequence[DataFrame], max_rows: int | None = None) -> list[DataFrame]:

@@ -15,6 +15,8 @@ The sales drop used by the intake queries is written once per session and scale
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +40,7 @@ _lock = threading.Lock()
 
 # Extra columns written into the open-order files, and the reordered header of those files.
 EXTRA_FILE_COLUMNS = ("payment_mode", "ship_status")
+_MERGE_KEPT = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 REORDERED_HEADER = ("total_cost", *[c for c in MANDATORY_COLUMNS if c != "total_cost"], *EXTRA_FILE_COLUMNS)
 
 
@@ -45,6 +48,37 @@ def _text(c: str) -> F.Column:
     return F.col(c).cast("string").alias(c)
 
 
+@contextmanager
+def _held(lines: DataFrame) -> Iterator[DataFrame]:
+    """``lines`` computed once for all writes inside: kept by the executors (on their disks beyond memory) until the end.
+
+    The setting holds while the plan is made: AQE merges small partitions as it does for a write, so files stay as few."""
+    conf = lines.sparkSession.conf
+    before = conf.get(_MERGE_KEPT, None)
+    conf.set(_MERGE_KEPT, "true")
+    try:
+        lines = lines.persist()
+    finally:
+        conf.unset(_MERGE_KEPT) if before is None else conf.set(_MERGE_KEPT, before)
+    try:
+        yield lines
+    finally:
+        lines.unpersist()
+
+
+def _drop_lines(spark: SparkSession, sf_dir: str, by_date: bool = True) -> DataFrame:
+    """The lines of a sales drop, dealt to its files. With ``by_date`` each file covers one stretch of sale dates, else every
+    file has sales of any date."""
+
+    def deal(lines: DataFrame) -> DataFrame:
+        return lines.repartitionByRange("sales_date") if by_date else lines.repartition("l_orderkey")
+
+    lines = tables.sales_lines(spark, sf_dir, with_product=True, deal=deal).withColumns(
+        {"payment_mode": F.col("l_returnflag"), "ship_status": F.col("l_linestatus")}
+    )
+    return lines.select(*MANDATORY_COLUMNS, *EXTRA_FILE_COLUMNS, "o_orderstatus")
+
+
 def write_sales_drop(
     spark: SparkSession,
     sf_dir: str,
@@ -52,13 +86,12 @@ def write_sales_drop(
     parts: tuple[str, ...] = ("F", "O", "P", "notes"),
     by_date: bool = True,
 ) -> None:
-    """Write the sales drop described in the module docstring (the folders named in ``parts``).
+    """Write the sales drop described in the module docstring (the folders named in ``parts``)."""
+    with _held(_drop_lines(spark, sf_dir, by_date)) as lines:
+        _write_parts(spark, sf_dir, lines, root, parts)
 
-    With ``by_date`` each file covers one stretch of sale dates, else every file has sales of any date."""
-    lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumns(
-        {"payment_mode": F.col("l_returnflag"), "ship_status": F.col("l_linestatus")}
-    )
-    lines = lines.repartitionByRange("sales_date") if by_date else lines.repartition("l_orderkey")
+
+def _write_parts(spark: SparkSession, sf_dir: str, lines: DataFrame, root: str, parts: tuple[str, ...]) -> None:
     status = F.col("o_orderstatus")
     csv = {"header": "true"}
     if "F" in parts:

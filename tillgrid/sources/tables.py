@@ -14,11 +14,12 @@ Everything here is a lazy projection or join over Parquet scans, so filters and
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.operators.sizing import broadcast_if_small
+from tillgrid.operators.sizing import broadcast_if_small, is_small
 from tillgrid.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS, MONEY
 
 TABLES = (
@@ -112,7 +113,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
+def sales_lines(
+    spark: SparkSession, sf_dir: str, with_product: bool = False, deal: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Sales lines in the conformed fact's columns plus the source keys used to build test files.
 
     ``lineitem ⋈ orders`` is the one large-large join, left to Spark: a sort-merge join on the order key, or a broadcast
@@ -120,46 +123,58 @@ def sales_lines(spark: SparkSession, sf_dir: str, with_product: bool = False) ->
     size-checked broadcast; beyond the bound it is a shuffle join on the supplier key, and the star's sales-team
     join on the same key reuses that partitioning. ``product_name`` needs a join with ``part``; it is only added
     when asked for (a left join, so it never drops a sale).
+
+    ``deal`` repartitions the lines by ``sales_date`` or ``l_orderkey``. Where the lookups are broadcasts it comes before them,
+    so that their columns are not shuffled; where one is a shuffle join it comes last, as that join deals the lines anew.
     """
+    # Cast before the join: whole numbers take fewer bytes of a compressed shuffle than doubles.
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus",
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").cast(MONEY).alias("total_cost"),
+        "l_returnflag",
+        "l_linestatus",
     )
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    sup = broadcast_if_small(
-        table(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("long").alias("store_id")
-        )
+    od = od.withColumn("sales_date", F.col("o_orderdate").cast("date")).drop("o_orderdate")
+    sup = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("long").alias("store_id")
+    )
+    prod = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").cast(MONEY).alias("price"),
     )
-    lines = li.join(od, li.l_orderkey == od.o_orderkey).join(sup, "l_suppkey")
+    lines = li.join(od, li.l_orderkey == od.o_orderkey)
+    dealt_first = deal is not None and all(is_small(side) for side in ((sup, prod) if with_product else (sup,)))
+    if dealt_first:
+        lines = deal(lines)
+    lines = lines.join(broadcast_if_small(sup), "l_suppkey")
     if with_product:
-        prod = broadcast_if_small(
-            table(spark, sf_dir, "part").select(
-                F.col("p_partkey").alias("l_partkey"),
-                F.col("p_name").alias("product_name"),
-                F.col("p_retailprice").cast(MONEY).alias("price"),
-            )
-        )
-        lines = lines.join(prod, "l_partkey", "left")
+        lines = lines.join(broadcast_if_small(prod), "l_partkey", "left")
     else:
         lines = lines.withColumn("product_name", F.lit(None).cast("string")).withColumn(
             "price", F.lit(None).cast(MONEY)
         )
-    return lines.select(
+    lines = lines.select(
         F.col("o_custkey").alias("customer_id"),
         "store_id",
         "product_name",
-        F.col("o_orderdate").cast("date").alias("sales_date"),
+        "sales_date",
         F.col("l_suppkey").alias("sales_person_id"),
         "price",
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("total_cost"),
+        "quantity",
+        "total_cost",
         "l_orderkey",
         "l_linenumber",
         "o_orderstatus",
         "l_returnflag",
         "l_linestatus",
     )
+    return lines if deal is None or dealt_first else deal(lines)
 
 
 def sales_fact(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
