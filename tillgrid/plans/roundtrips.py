@@ -373,9 +373,12 @@ def q_stream_pipeline(spark, sf_dir):
     base = scratch_path(spark, "stream-pipeline")
     drop, out, ckpt, archive = (f"{base}/{p}" for p in ("drop", "out", "checkpoint", "archive"))
     dims = _driver_dims(spark, sf_dir)
-    write_sales_drop(spark, sf_dir, drop, parts=("F", "P"))
+    with _held(_drop_lines(spark, sf_dir)) as lines:
+        _write_parts(spark, sf_dir, lines, drop, ("F", "P"))
+        _write_parts(spark, sf_dir, lines, f"{base}/later", ("O", "notes"))
     run_stream(spark, drop, dims, out, ckpt, archive)
-    write_sales_drop(spark, sf_dir, drop, parts=("O", "notes"))
+    for part in ("O", "notes"):
+        folders.move(spark, f"{base}/later/{part}", f"{drop}/{part}")
     run_stream(spark, drop, dims, out, ckpt, archive)
     return _read_team_mart(spark, pipeline.output_paths(out)["sales_team_data_mart"])
 
