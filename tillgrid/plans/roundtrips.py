@@ -279,14 +279,15 @@ def q_pipeline_incremental(spark, sf_dir):
     move. A person keeps one total and one place in the ranking; months that the second run touches show the new name."""
     base = scratch_path(spark, "pipeline-incremental")
     out, dims = f"{base}/out", _driver_dims(spark, sf_dir)
-    write_sales_drop(spark, sf_dir, f"{base}/first", parts=("F",), by_date=False)
+    with _held(_drop_lines(spark, sf_dir, by_date=False)) as lines:
+        _write_parts(spark, sf_dir, lines, f"{base}/first", ("F",))
+        _write_parts(spark, sf_dir, lines, f"{base}/second", ("O", "P"))
     pipeline.run(spark, f"{base}/first", dims, out)
     renamed = F.when(F.col("id") % 7 == 0, F.concat("last_name", F.lit(" new"))).otherwise(F.col("last_name"))
     moved = F.when(F.col("customer_id") % 7 == 0, F.lit("moved")).otherwise(F.col("address"))
     dims = pipeline.Dimensions(
         dims.customer.withColumn("address", moved), dims.store, dims.team.withColumn("last_name", renamed)
     )
-    write_sales_drop(spark, sf_dir, f"{base}/second", parts=("O", "P"), by_date=False)
     result = pipeline.run(spark, f"{base}/second", dims, out)
     return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
 
