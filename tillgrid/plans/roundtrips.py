@@ -304,6 +304,7 @@ def _named_csv(spark: SparkSession, lines: DataFrame, folder: str, files: int) -
 
 def _dated_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:
     lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumn("o_orderkey", F.col("l_orderkey"))
+    lines = lines.select(*MANDATORY_COLUMNS, "o_orderkey", "l_linenumber")
     return lines, F.col("sales_date") >= F.lit("1998-01-01").cast("date")
 
 
@@ -312,13 +313,16 @@ def q_corrected_file(spark, sf_dir):
     emptied, those of 1997 hold the corrected sales as well. Read through the snapshot and from the plain folder."""
     base, dims = scratch_path(spark, "corrected-file"), _driver_dims(spark, sf_dir)
     out, (lines, late) = f"{base}/out", _dated_lines(spark, sf_dir)
-    for part in ("early", "late"):
+    for part in ("early", "late", "corrected"):
         folders.make(spark, f"{base}/{part}")
-    _named_csv(spark, lines.where(~late), f"{base}/early", 2)
-    _named_csv(spark, lines.where(late), f"{base}/late", 2)
+    with _held(lines) as lines:
+        _named_csv(spark, lines.where(~late), f"{base}/early", 2)
+        _named_csv(spark, lines.where(late), f"{base}/late", 2)
+        corrected = lines.where(late).withColumn("sales_date", F.add_months("sales_date", -12))
+        _named_csv(spark, corrected, f"{base}/corrected", 2)
     pipeline.run(spark, [f"{base}/early", f"{base}/late"], dims, out)
-    corrected = lines.where(late).withColumn("sales_date", F.add_months("sales_date", -12))
-    _named_csv(spark, corrected, f"{base}/late", 2)
+    for name in folders.names(spark, f"{base}/corrected"):
+        folders.move(spark, f"{base}/corrected/{name}", f"{base}/late/{name}")
     result = pipeline.run(spark, f"{base}/late", dims, out)
     plain = _read_team_mart(spark, result.outputs["sales_team_data_mart"])
     both = pipeline.read_latest(spark, out, "sales_team_data_mart").withColumn("read", F.lit("snapshot"))
