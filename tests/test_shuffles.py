@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tillgrid.plans import roundtrips
+from tillgrid.plans.intake import store_rejected_lines
+from tillgrid.sinks import files as sinks
 from tillgrid.sources import tables
 
 
@@ -45,3 +47,26 @@ def test_lines_are_dealt_before_broadcast_lookups_only(spark, sf_dir):
         assert rows(after) == rows(before) == rows(plain)
     finally:
         spark.conf.unset("tillgrid.broadcast.maxRows")
+
+
+def test_rejected_lines_are_written_by_the_tasks_that_read_them(spark, tmp_path):
+    lines = spark.range(30).repartition(3).selectExpr("'f' as path", "'f' as file_name", "'no' as reason", "string(id) as value")
+    for _ in range(2):
+        store_rejected_lines(lines, str(tmp_path / "store"), "r")
+    assert len(list((tmp_path / "store" / "run_id=r").glob("*.parquet"))) == 3
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 30
+
+
+def test_together_keeps_partitions_and_order(spark, tmp_path):
+    months = F.format_string("2024-%02d", (F.col("id") / 100).cast("int") + 1)
+    df = spark.range(0, 1200, 1, 4).select((F.col("id") % 7).alias("store_id"), "id", months.alias("m"))
+    stands = sinks.written(df, str(tmp_path / "stands"))
+    mixed = sinks.written(df.repartition(40), str(tmp_path / "mixed"))
+    assert sinks.stand_together(stands, "m") and not sinks.stand_together(mixed, "m")
+    assert sinks.stand_together(stands.limit(0), "m")
+    target = str(tmp_path / "by_month")
+    sinks.write_clustered(stands, target, ["m"], ["store_id"], together=True)
+    assert rows(spark.read.parquet(target).select("store_id", "id", "m")) == rows(df)
+    sinks.replace_partitions(stands.where("m >= '2024-11'"), target, ["m"], [("2024-10",), ("2024-11",)], together=True)
+    left = {r[0] for r in spark.read.parquet(target).select("m").distinct().collect()}
+    assert left == {f"2024-{k:02d}" for k in range(1, 13) if k != 10}

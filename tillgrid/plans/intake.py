@@ -69,6 +69,6 @@ def rejected_lines(spark: SparkSession, intake: Intake) -> DataFrame:
 
 def store_rejected_lines(lines: DataFrame, path: str, run_id: str) -> None:
     """Write rejected raw lines (path, file_name, reason, value) as the partition ``run_id`` of the Parquet table at
-    ``path``; the same run again replaces its lines."""
+    ``path``; the same run again replaces its lines. All lines are of one partition, so the tasks that read them write it."""
     rows = lines.select("path", "file_name", "reason", "value", F.lit(run_id).alias("run_id"))
-    sinks.replace_partitions(rows, path, ["run_id"], [(run_id,)])
+    sinks.replace_partitions(rows, path, ["run_id"], [(run_id,)], together=True)

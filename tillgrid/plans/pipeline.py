@@ -269,7 +269,9 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
 
     def publish_sales() -> None:
         plain = spark.read.schema(sales_rows.schema).parquet(publish("sales_mart", sales_rows))
-        publish("sales_mart_partitioned", plain, partition_cols=["sales_month"], sort_cols=["store_id"])
+        # The history stands by month, and so do rows that met broadcast dimensions only: then no shuffle deals them again.
+        together = sinks.stand_together(plain, "sales_month")
+        publish("sales_mart_partitioned", plain, partition_cols=["sales_month"], sort_cols=["store_id"], together=together)
 
     def stage(name: str) -> list[snapshots.Entry]:
         schema, key = MONTHLY[name]
@@ -292,13 +294,14 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     def version(name: str) -> DataFrame:
         return spark.read.schema(MONTHLY[name][0]).parquet(f"{out.rstrip('/')}/versions/{name}/seq={number}")
 
+    # The files of a version are sorted by month, so the tasks that read them write the folders.
     def refresh(name: str) -> None:
-        sinks.replace_partitions(version(name), paths[name], [MONTHLY[name][1]], [(m,) for m in keys])
+        sinks.replace_partitions(version(name), paths[name], [MONTHLY[name][1]], [(m,) for m in keys], together=True)
 
     _together(
         lambda: refresh("customers_data_mart"),
         lambda: refresh("sales_team_data_mart"),
-        lambda: sinks.replace_csv_report(version("sales_team_data_mart"), paths["monthly_report"], keys),
+        lambda: sinks.replace_csv_report(version("sales_team_data_mart"), paths["monthly_report"], keys, together=True),
     )
     ledger.ledger_rows(spark, run_id, accepted, ledger.FINISHED, _now(), 2).write.mode("append").parquet(
         paths["ledger"]

@@ -3,7 +3,8 @@
 All writes go through the DataFrame writer, whose commit protocol makes a lost executor's half-written task
 invisible (the retried task commits instead). Partitioned writes use the ``rebalance`` hint on the partition
 columns: AQE then splits a hot partition value over several tasks and merges small ones, so one busy (month, store)
-does not end up in a single task or a single huge file.
+does not end up in a single task or a single huge file. Rows that already stand together by partition (files sorted by
+it, or all of one partition) are written by the tasks that read them (``together``), without that shuffle.
 """
 
 from __future__ import annotations
@@ -40,15 +41,12 @@ def write_partitioned(
     mode: str = "overwrite",
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
+    together: bool = False,
     **options: str,
 ) -> None:
-    """Hive-partitioned write (``<path>/col=value/...``) with skew-aware task layout."""
-    writer = (
-        df.hint("rebalance", *partition_cols)
-        .write.mode(mode)
-        .format(fmt)
-        .partitionBy(*partition_cols)
-    )
+    """Hive-partitioned write (``<path>/col=value/...``) with skew-aware task layout, or as the rows stand (``together``)."""
+    layout = df if together else df.hint("rebalance", *partition_cols)
+    writer = layout.write.mode(mode).format(fmt).partitionBy(*partition_cols)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     for k, v in options.items():
@@ -57,14 +55,21 @@ def write_partitioned(
 
 
 def write_clustered(
-    df: DataFrame, path: str, partition_cols: Sequence[str], sort_cols: Sequence[str], mode: str = "overwrite", **options: str
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    sort_cols: Sequence[str],
+    mode: str = "overwrite",
+    together: bool = False,
+    **options: str,
 ) -> None:
     """Folders for ``partition_cols`` only; inside them rows are sorted by ``sort_cols``.
 
     A folder per combination of two columns costs a file each (2,000 for 80 months of 25 stores, however few rows). Sorted
     rows give the same pruning from the row-group statistics of far fewer files, and a busy store has no folder of its own.
     """
-    layout = df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *sort_cols)
+    dealt = df if together else df.hint("rebalance", *partition_cols)
+    layout = dealt.sortWithinPartitions(*partition_cols, *sort_cols)
     layout.write.mode(mode).options(**options).partitionBy(*partition_cols).parquet(path)
 
 
@@ -77,7 +82,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_cols: Sequence[str], owned: Sequence[Sequence[str | None]], fmt: str = "parquet", **options: str
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    owned: Sequence[Sequence[str | None]],
+    fmt: str = "parquet",
+    together: bool = False,
+    **options: str,
 ) -> None:
     """Load ``df`` as the whole content of the ``owned`` partitions: those that it does not fill are emptied.
 
@@ -90,7 +101,9 @@ def replace_partitions(
     base = path.rstrip("/")
     roots = ["/".join([base, *(folders.partition_name(spark, c, v) for c, v in zip(partition_cols, values))]) for values in owned]
     before = _file_of_each_folder(spark, [r for r in roots if folders.exists(spark, r)])
-    write_partitioned(df, path, partition_cols, mode="overwrite", fmt=fmt, partitionOverwriteMode="dynamic", **options)
+    write_partitioned(
+        df, path, partition_cols, mode="overwrite", fmt=fmt, together=together, partitionOverwriteMode="dynamic", **options
+    )
     for folder, file in before:
         if folders.exists(spark, file):
             folders.remove(spark, folder)
@@ -114,9 +127,19 @@ def write_csv_report(df: DataFrame, path: str, partition_cols: Sequence[str] = (
     )
 
 
-def replace_csv_report(df: DataFrame, path: str, months: Sequence[str | None], column: str = "sales_month") -> None:
+def replace_csv_report(
+    df: DataFrame, path: str, months: Sequence[str | None], column: str = "sales_month", together: bool = False
+) -> None:
     """The CSV report of exactly ``months``: a month without rows loses its folder, other months keep theirs."""
-    replace_partitions(df, path, [column], [(m,) for m in months], fmt="csv", header="true")
+    replace_partitions(df, path, [column], [(m,) for m in months], fmt="csv", together=together, header="true")
+
+
+def stand_together(written: DataFrame, column: str) -> bool:
+    """True if the files of ``written`` hold few values of ``column`` each, or each value in few files: tasks that read
+    them then write about as many files as a shuffle by that column would. Counts (file, value) pairs of one column."""
+    pairs = written.select(F.input_file_name().alias("_file"), column).distinct()
+    found = pairs.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.count(F.lit(1))).first()
+    return (found[0] or 0) <= 2 * (found[1] + len(written.inputFiles()))
 
 
 def read_csv_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -131,14 +154,15 @@ def publish_run(
     mode: str = "errorifexists",
     partition_cols: Sequence[str] = (),
     sort_cols: Sequence[str] = (),
+    together: bool = False,
 ) -> str:
     """Write one run of a mart under ``<base>/run_ts=<epoch ms>/`` (optionally hive-partitioned below that, and sorted
     inside the partitions); earlier runs stay readable. With mode ``overwrite`` a repeated run replaces its own folder as a whole."""
     target = f"{base.rstrip('/')}/{RUN_COLUMN}={int(run_ts)}"
     if sort_cols:
-        write_clustered(df, target, partition_cols, sort_cols, mode=mode, partitionOverwriteMode="static")
+        write_clustered(df, target, partition_cols, sort_cols, mode=mode, together=together, partitionOverwriteMode="static")
     elif partition_cols:
-        write_partitioned(df, target, partition_cols, mode=mode, partitionOverwriteMode="static")
+        write_partitioned(df, target, partition_cols, mode=mode, together=together, partitionOverwriteMode="static")
     else:
         df.write.mode(mode).parquet(target)
     return target
