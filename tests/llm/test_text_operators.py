@@ -236,6 +236,23 @@ def test_fitted_lengths_of_documents_longer_than_the_table():
     assert int((got * [90_000, 150_000, 170_001]).sum()) == 410_001
 
 
+def test_long_texts_are_shuffled_once_as_texts(spark):
+    df = spark.createDataFrame([(1, "a long text of many words " * 40), (2, "short")], "doc_id long, text string")
+    encoded = sentencepiece_codec.encode(df, chunk=100)
+    # Chunks do not meet their states as texts: only ids, the ends of chunks and states are left to be put together.
+    assert "Join" not in encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: r.decoded for r in sentencepiece_codec.decode(encoded).collect()} == {r.doc_id: r.text for r in df.collect()}
+
+
+def test_neighbouring_runs_of_ids_decode_alike(spark):
+    with open(sentencepiece_codec.default_model(), "rb") as f:
+        pieces = sentencepiece_codec.Pieces(f.read())
+    texts = ["", "one two", " \u2603 \U0001f600", "", "x"]
+    ids = [np.frombuffer(pieces.encode(pieces.normal(t)), np.int32) for t in texts]
+    ends = np.cumsum([0] + [len(i) for i in ids])
+    assert pieces.decoded(np.concatenate(ids), ends) == texts
+
+
 def test_sentencepiece_equals_the_library(spark, docs, texts):
     import sentencepiece
 

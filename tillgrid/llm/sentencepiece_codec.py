@@ -21,13 +21,16 @@ library does; repeated rows are encoded alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
+import operator
 import re
-from collections.abc import Iterator, Sequence
+import zlib
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +42,9 @@ from tillgrid.llm.common import parts, written
 SPACE = "▁"
 CHUNK = 1 << 14
 FAN = 64
-#: Words and pairs of pieces that a worker remembers, at most twice as many (see ``Recent``): some 30 and 70 MB. Half as
+#: Words and pairs of pieces that a worker remembers, at most twice as many (see ``Recent``): some 60 and 70 MB. Half as
 #: many words or pairs take 1.2 to 1.7 times the time on texts with 1,000,000 distinct words.
-WORDS = 1 << 16
+WORDS = 1 << 17
 PAIRS = 3 << 16
 #: Chunks that a worker holds as Python objects at a time.
 SOME = 16
@@ -112,6 +115,8 @@ class Pieces:
                 value = int(p.piece[3:5], 16)
                 self.bytes[value], self.raw[i] = i, bytes([value])
         self.raw[self.unknown] = " ⁇ ".encode()
+        self._raw_array = pa.array(self.raw, pa.large_binary())
+        self._raw_sizes = np.fromiter(map(len, self.raw), dtype=np.int64, count=len(self.raw))
         self.longest = max(map(len, self.ids))
         self._by_length = sorted({len(p) for p in self.ids} | {1}, reverse=True)
         self._tails = {p[i:] for p in self.ids for i in range(len(p))}
@@ -136,19 +141,19 @@ class Pieces:
         """BPE of a short text: the adjacent pair whose piece scores best is merged first, the leftmost of ties."""
         parts = list(text)
         get, none = self.scores.get, -math.inf
-        worth = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        worth = list(map(get, map(operator.add, parts, text[1:]), itertools.repeat(none)))
         while worth:
             best = max(worth)
             if best == none:
                 break
             at = worth.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at] = piece = parts[at] + parts.pop(at + 1)
             del worth[at]
             # Only the pairs on either side of the merged piece change.
             if at:
-                worth[at - 1] = get(parts[at - 1] + parts[at], none)
+                worth[at - 1] = get(parts[at - 1] + piece, none)
             if at < len(worth):
-                worth[at] = get(parts[at] + parts[at + 1], none)
+                worth[at] = get(piece + parts[at + 1], none)
         return parts
 
     def step(self, last: str, piece: str) -> float | None:
@@ -202,16 +207,14 @@ class Pieces:
         return out[::-1]
 
     def pack(self, pieces: list[str]) -> bytes:
-        out = []
-        for p in pieces:
-            i = self.ids.get(p)
-            if i is not None:
-                out.append(i)
-            elif None in self.bytes:
-                out.append(self.unknown)
-            else:
-                out += [self.bytes[b] for b in p.encode()]
-        return np.asarray(out, dtype=np.int32).tobytes()
+        out = list(map(self.ids.get, pieces))
+        if None in out:
+            spelled = None not in self.bytes
+            found = zip(out, pieces)
+            out = []
+            for i, p in found:
+                out += [i] if i is not None else [self.bytes[b] for b in p.encode()] if spelled else [self.unknown]
+        return array("i", out).tobytes()
 
     def word(self, word: str) -> bytes:
         """Packed ids of a text between two places that no piece crosses."""
@@ -242,9 +245,17 @@ class Pieces:
         return b"".join([kept.get(w) or word(w) for w in self.split(text)])
 
     def decode(self, ids: Sequence[int]) -> str:
-        raw = self.raw
-        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if self.prefix and text[:1] == " " else text
+        return self.decoded(np.asarray(ids, dtype=np.int32), [0, len(ids)])[0]
+
+    def decoded(self, flat: np.ndarray, ends: Sequence[int]) -> list[str]:
+        """The texts of neighbouring runs of ids: run i is ``flat[ends[i] : ends[i + 1]]``."""
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.raw)):
+            raise IndexError("ids beyond the model's pieces")
+        stops = np.append(0, np.cumsum(self._raw_sizes[flat]))[np.asarray(ends)].tolist()
+        joined = self._raw_array.take(pa.array(flat)).buffers()[2]  # the bytes of all ids, one after the other
+        view = memoryview(joined or b"")
+        texts = [str(view[a:b], "utf-8", "replace") for a, b in zip(stops, stops[1:])]
+        return [t[1:] if t[:1] == " " else t for t in texts] if self.prefix else texts
 
     # Chunks: ``text`` is the chunk with the characters around it, [start, end) the chunk inside.
 
@@ -313,17 +324,26 @@ class Pieces:
         out = self._exits(text, self.paths(text, last, "", end), end, final)
         return [(s, t, a[0] + between + v) for s, a in into if a is not None for t, v in out]
 
-    def trace(self, text: str, start: int, end: int, before: State, after: State) -> bytes:
-        """Packed ids of the pieces after the one of ``before`` up to that of ``after``."""
-        stop = end + after[0] - len(after[1])  # where the last piece starts
-        at = start + before[0]
-        cut = self.cuts(text, at, stop) if stop > at else None
+    def inside(self, text: str, start: int, end: int) -> tuple[str, bytes | None, str | None]:
+        """The chunk's text before the places that no piece crosses, the packed ids between the first and the last of
+        them, and the text after the last: what ``trace`` needs. Without such places, the chunk's text alone."""
+        reach = start + (max(o for o, _ in self.entries(text, start)) if start else 0)
+        cut = self.cuts(text, reach, end - 1)
         if cut is None:
-            return self.pack([*self.traced(self.paths(text, at, before[1], stop), at, stop), after[1]])
+            return text[start:end], None, None
         first, last = cut
-        head = self.traced(self.paths(text, at, before[1], first), at, first)
-        tail = self.traced(self.paths(text, last, "", stop), last, stop)
-        return self.pack(head) + self.encode(text[first:last]) + self.pack([*tail, after[1]])
+        return text[start:first], self.encode(text[first:last]), text[last:end]
+
+    def trace(self, head: str, inside: bytes | None, tail: str | None, before: State, after: State) -> bytes:
+        """Packed ids of the pieces after the one of ``before`` up to that of ``after``, from what ``inside`` gave."""
+        at, back = before[0], after[0] - len(after[1])  # where the first piece starts, and the last one, from the end
+        if inside is None:
+            stop = len(head) + back
+            return self.pack([*self.traced(self.paths(head, at, before[1], stop), at, stop), after[1]])
+        stop = len(tail) + back
+        first = self.traced(self.paths(head, at, before[1], len(head)), at, len(head))
+        last = self.traced(self.paths(tail, 0, "", stop), 0, stop)
+        return self.pack(first) + inside + self.pack([*last, after[1]])
 
 
 def combined(left: list[tuple], right: list[tuple]) -> list[tuple]:
@@ -390,6 +410,26 @@ class _Shared:
 _PARSED: dict[tuple, Pieces] = {}
 
 
+def _shrunk(packed: bytes | None) -> bytes | None:
+    """Packed ids as compressed byte planes: most vocabularies leave two of the four empty."""
+    return None if packed is None else zlib.compress(np.frombuffer(packed, np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unshrunk(shrunk: bytes | None) -> bytes | None:
+    return None if shrunk is None else np.frombuffer(zlib.decompress(shrunk), np.uint8).reshape(4, -1).T.tobytes()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict]]:
+    """Neighbouring rows that agree in ``keys``, across batches."""
+    rows = (r for part in parts(batches, FAN) for r in part.to_pylist())
+    return (list(group) for _, group in itertools.groupby(rows, key=operator.itemgetter(*keys)))
+
+
+def _in_batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for some in itertools.batched(rows, FAN):
+        yield pa.RecordBatch.from_pylist(list(some), schema)
+
+
 def _id_lists(packed: list[bytes]) -> pa.Array:
     ends = np.cumsum([0] + [len(p) // 4 for p in packed])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
@@ -445,71 +485,99 @@ def _scanned(rows: DataFrame, shared: _Shared, chunk: int, kind_of_id: str) -> D
                     [part["row"].take(same), part["doc_id"].take(same), *ints, pa.array(final), pa.array(inside)], names
                 )
 
-    chunks = written(
-        keyed.select("row", "doc_id", "text").mapInArrow(
-            cut, f"row long, doc_id {kind_of_id}, chunk int, first int, last int, final boolean, text string"
-        ).repartition("row", "chunk"),
-        "sp-chunks",
-    )
-
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.pieces()
         for part in parts(batches, SOME):
-            each = zip(*(part[c].to_pylist() for c in ("text", "first", "last", "final")))
+            each = list(zip(*(part[c].to_pylist() for c in ("text", "first", "last", "final"))))
             made = pa.array([_nested(pieces.transfer(*r)) for r in each], _MATRIX_TYPE)
-            yield pa.RecordBatch.from_arrays([part["row"], part["chunk"], made], ["row", "place", "matrix"])
-
-    def product(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("place")
-        out = _plain(group["matrix"].iloc[0])
-        for m in group["matrix"].iloc[1:]:
-            out = combined(out, _plain(m))
-        return pd.DataFrame({"row": group["row"].iloc[:1], "place": group["place"].iloc[:1] // FAN, "matrix": [_nested(out)]})
-
-    def passed_down(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("place")
-        known = [_plain(m) for m in group["matrix"]]
-        a, b = group["before"].iloc[0], group["after"].iloc[0]
-        states = best_states(known, (int(a["over"]), a["piece"]), (int(b["over"]), b["piece"]))
-        named = [{"over": o, "piece": p} for o, p in states]
-        return pd.DataFrame({"row": group["row"], "place": group["place"], "before": named[:-1], "after": named[1:]})
-
+            head, inside, tail = zip(*(pieces.inside(*r[:3]) for r in each))
+            texts = [pa.array(head, pa.string()), pa.array(map(_shrunk, inside), pa.binary()), pa.array(tail, pa.string())]
+            names = ["row", "doc_id", "place", "matrix", "head", "inside", "tail"]
+            yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], part["chunk"], made, *texts], names)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def product(group: list[dict]) -> dict:
+            out = _plain(group[0]["matrix"])
+            for r in group[1:]:
+                out = combined(out, _plain(r["matrix"]))
+            return {"row": group[0]["row"], "place": group[0]["up"], "matrix": _nested(out)}
+
+        return _in_batches(map(product, _groups(batches, "row", "up")), matrix_schema)
+
+    def passed_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[dict]:
+            for above, *below in _groups(batches, "row", "up"):
+                ends = ((x["over"], x["piece"]) for x in (above["before"], above["after"]))
+                states = [{"over": o, "piece": p} for o, p in best_states([_plain(r["matrix"]) for r in below], *ends)]
+                for r, before, after in zip(below, states, states[1:]):
+                    yield {"row": r["row"], "place": r["place"], "before": before, "after": after}
+
+        return _in_batches(each(), states_schema)
+
+    # Only here texts are shuffled: a chunk's ids between its outermost places that no piece crosses do not depend on
+    # its states, so they are found with its matrix, and what is left of its text at both ends is short.
+    chunks = keyed.select("row", "doc_id", "text").mapInArrow(
+        cut, f"row long, doc_id {kind_of_id}, chunk int, first int, last int, final boolean, text string"
+    )
+    traces = written(
+        chunks.repartition("row", "chunk").mapInArrow(
+            matrices,
+            f"row long, doc_id {kind_of_id}, place int, matrix {_MATRIX}, head string, inside binary, tail string",
+        ),
+        "sp-chunks",
+    )
     # A fixed number of partitions: the groups hold few bytes, which would be merged into one task, but take time.
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    form = f"row long, place int, matrix {_MATRIX}"
-    ends = f"row long, place int, before {_STATE}, after {_STATE}"
-    levels = [written(chunks.select("row", "chunk", "first", "last", "final", "text").mapInArrow(matrices, form), "sp-matrix")]
-    count = (chunks.agg(F.max("chunk")).first()[0] or 0) + 1
+    matrix_schema = pa.schema([("row", pa.int64()), ("place", pa.int32()), ("matrix", _MATRIX_TYPE)])
+    states_schema = pa.schema([("row", pa.int64()), ("place", pa.int32()), ("before", _STATE_TYPE), ("after", _STATE_TYPE)])
+    none = F.lit(None)
+    up = F.floor(F.col("place") / FAN).cast("int").alias("up")
+
+    def dealt(level: DataFrame) -> DataFrame:
+        return level.repartition(tasks, "row", "up").sortWithinPartitions("row", "up", "place")
+
+    levels = [traces.select("row", "place", "matrix")]
+    count = (traces.agg(F.max("place")).first()[0] or 0) + 1
     while count > 1:
-        group = levels[-1].withColumn("up", F.floor(F.col("place") / FAN).cast("int")).repartition(tasks, "row", "up").groupBy("row", "up")
-        levels.append(written(group.applyInPandas(product, form), "sp-matrix"))
+        grouped = dealt(levels[-1].select("row", "place", "matrix", up))
+        levels.append(written(grouped.mapInArrow(products, f"row long, place int, matrix {_MATRIX}"), "sp-matrix"))
         count = -(-count // FAN)
     # The top holds one matrix per text, from the start to its last pieces.
     best = F.array_max(F.transform("matrix", lambda e: F.struct(e["v"].alias("v"), e["t"].alias("t"))))["t"]
     start = F.struct(F.lit(0).alias("over"), F.lit("").alias("piece"))
-    found = levels[-1].select("row", "place", start.alias("before"), best.alias("after"))
+    found = levels[-1].select("row", "place", start.cast(_STATE).alias("before"), best.alias("after"))
     for level in reversed(levels[:-1]):
-        below = level.withColumn("up", F.floor(F.col("place") / FAN).cast("int"))
-        above = found.select("row", F.col("place").alias("up"), "before", "after")
-        # Dealt alike, once, for the join and the groups.
-        both = below.repartition(tasks, "row", "up").join(above.repartition(tasks, "row", "up"), ["row", "up"])
-        found = written(both.groupBy("row", "up").applyInPandas(passed_down, ends), "sp-states")
+        below = level.select(
+            "row", up, "place", "matrix", none.cast(_STATE).alias("before"), none.cast(_STATE).alias("after")
+        )
+        # A group's own states come first in it.
+        above = found.select(
+            "row", F.col("place").alias("up"), F.lit(-1).alias("place"), none.cast(_MATRIX).alias("matrix"), "before", "after"
+        )
+        grouped = dealt(below.union(above))
+        ends = f"row long, place int, before {_STATE}, after {_STATE}"
+        found = written(grouped.mapInArrow(passed_down, ends), "sp-states")
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.pieces()
-        for part in parts(batches, SOME):
+        for part in parts(batches, 1):
+            by_place: dict[int, dict] = {}
+            for p in part["parts"][0].as_py():
+                by_place.setdefault(p["place"], {}).update({k: v for k, v in p.items() if v is not None})
             packed = []
-            for text, first, last, *states in zip(*(part[c].to_pylist() for c in ("text", "first", "last", "before", "after"))):
-                before, after = ((x["over"], x["piece"]) for x in states)
-                packed.append(pieces.trace(text, first, last, before, after))
-            columns = [part["row"], part["doc_id"], part["chunk"], _id_lists(packed)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "chunk", "ids"])
-
-    named = chunks.join(found.select("row", F.col("place").alias("chunk"), "before", "after"), ["row", "chunk"])
-    coded = named.mapInArrow(traced, f"row long, doc_id {kind_of_id}, chunk int, ids array<int>")
-    # A text's parts are as many as its own chunks.
-    whole = coded.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    return whole.select("doc_id", F.flatten(F.col("parts.ids")).alias("ids"))
+            for _, p in sorted(by_place.items()):
+                before, after = ((x["over"], x["piece"]) for x in (p["before"], p["after"]))
+                packed.append(pieces.trace(p["head"], _unshrunk(p.get("inside")), p.get("tail"), before, after))
+            yield pa.RecordBatch.from_arrays([part["doc_id"], _id_lists([b"".join(packed)])], ["doc_id", "ids"])
+
+    own = ["place", "head", "inside", "tail", none.cast(_STATE).alias("before"), none.cast(_STATE).alias("after")]
+    named = ["place", *(none.cast(t).alias(c) for c, t in (("head", "string"), ("inside", "binary"), ("tail", "string")))]
+    # The chunks and their states meet where the text's ids are put together.
+    together = traces.select("row", "doc_id", F.struct(*own).alias("part")).union(
+        found.select("row", none.cast(kind_of_id).alias("doc_id"), F.struct(*named, "before", "after").alias("part"))
+    )
+    whole = together.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.collect_list("part").alias("parts"))
+    return whole.select("doc_id", "parts").mapInArrow(traced, f"doc_id {kind_of_id}, ids array<int>")
 
 
 def decode(df: DataFrame, ids_col: str = "ids", model_file: str | None = None, out: str = "decoded") -> DataFrame:
@@ -522,7 +590,8 @@ def decode(df: DataFrame, ids_col: str = "ids", model_file: str | None = None, o
             lists = part.column(part.schema.get_field_index(ids_col))
             ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             known = lists.is_valid().to_pylist()
-            decoded = [pieces.decode(flat[a:b].tolist()) if k else "" for a, b, k in zip(ends, ends[1:], known)]
+            texts = pieces.decoded(flat[ends[0] : ends[-1]], ends - ends[0])
+            decoded = [t if k else "" for t, k in zip(texts, known)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.string())], [*part.schema.names, out])
 
     return df.mapInArrow(texts, StructType([*df.schema.fields, StructField(out, StringType())]))
