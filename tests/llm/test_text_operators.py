@@ -7,7 +7,9 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -25,6 +27,7 @@ from tillgrid.llm import (
     top_k,
     url_filter,
 )
+from tillgrid.llm.common import written_lean
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, shard int"
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -721,3 +724,39 @@ def test_empty_tables(spark, no_docs):
     assert sharding.shard_rows(no_docs).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_filter.judge(pages).count() == 0 and extraction.extract(pages).count() == 0
+
+
+@pytest.mark.parametrize("last", [3, 4])
+def test_place_keys_give_back_their_codes_and_sort_by_bucket(last):
+    codes = np.random.default_rng(3).integers(0, 2**64, size=5000, dtype=np.uint64)
+    keys = lm_scoring._keys(codes, last)
+    assert (lm_scoring._codes(keys, last) == codes).all()
+    keys = np.sort(keys)
+    shares = list(lm_scoring._shares(keys, 7))
+    assert [lo for _, lo, _ in shares] == [0, *(hi for _, _, hi in shares[:-1])] and shares[-1][2] == len(keys)
+    for bucket, lo, hi in shares:
+        assert set(((keys[lo:hi] >> np.uint64(40)) * np.uint64(7) >> np.uint64(24)).tolist()) == {bucket}
+
+
+def test_scores_leave_no_exchange_to_be_done(spark):
+    df = spark.createDataFrame([(i, f"word {i} and word {i % 5}") for i in range(30)], "doc_id long, text string")
+    scored = lm_scoring.score(df)
+    # The places and answers of all runs were exchanged one run after another.
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert scored.count() == 30
+
+
+def test_shuffle_files_behind_a_written_table_go(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files() -> set[str]:
+        return {str(f) for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+    before = files()
+    made = written_lean(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "test-lean")
+    written_lean(spark.range(1), "test-lean")  # the last table's plan may still be held
+    until = time.time() + 30
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert made.count() == 10

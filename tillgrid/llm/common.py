@@ -28,6 +28,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_lean(df: DataFrame, name: str) -> DataFrame:
+    """``written``, after which the shuffle files behind it, or at least those behind the tables before, leave the disk.
+
+    Spark removes the files of a shuffle once the driver's JVM has collected the plan that made it; with a roomy heap
+    that may be long after the table is written. The last plan may be held until another one has run.
+    """
+    out = written(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1), "")

@@ -19,7 +19,8 @@ batches of bounded bytes. Each batch sends its distinct words and its distinct p
 it) to buckets, and gets corpus counts and log probabilities back. A place's bucket follows from the last ``TAIL`` bytes
 before it, so all longer states it may use are in that bucket; the shorter ones (at most 256^TAIL entries, whatever the
 corpus) are broadcast. There are as many buckets as states need, and a bucket's places are answered for a bounded number
-of batches at a time.
+of batches at a time. Codes are sent as keys that sort by bucket (``_keys``). The batches are scored in ``ROUNDS`` runs,
+each over its own share of the texts, so that the exchanged places and answers of one run are on disk at a time.
 
 Defined results: a null or empty text has the end symbol alone; repeated rows are scored alike (and all train);
 without training rows every count is 0; an empty table gives no rows.
@@ -33,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import SpanHasher, mixed, text_id, word_spans, written
+from tillgrid.llm.common import SpanHasher, parts, slices, text_id, written_lean
 from tillgrid.llm.ngrams import END, Lookup, low_bytes, segments
 
 DEPTH = 7
@@ -51,6 +53,14 @@ TAIL = 3
 #: States' entries per bucket, on average.
 BUCKET_ENTRIES = 100_000
 BATCH_BYTES = 4 << 20
+#: Places that a task sorts and counts at once.
+SORTED = 8 << 20
+#: Bytes of text whose codes are made at once, so that they stay in the processor's cache.
+PIECE = 1 << 18
+#: Batches whose words share a bucket, on average.
+WORD_BATCHES = 8
+#: Runs that score the batches one after another.
+ROUNDS = 3
 #: Hash that stands for the end token in word counts.
 _END_WORD = np.uint64(0)
 _DEPTH_SHIFT = np.uint64(56)
@@ -63,113 +73,174 @@ def _stream(text: str | None) -> bytes:
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    """64-bit numbers as compressed byte planes: sorted codes share their first bytes."""
-    planes = numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Unsigned numbers as compressed byte planes: sorted codes share their first bytes."""
+    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
     run = zlib.compressobj(1, strategy=zlib.Z_RLE)
     return run.compress(planes) + run.flush()
 
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+def _unpacked(packed: bytes, kind: type = np.uint64) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _split(bucket: np.ndarray) -> Iterator[np.ndarray]:
-    """Places of each distinct number of ``bucket``, in their order."""
-    order = np.argsort(bucket, kind="stable")
-    return iter(np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else [])
+def _keys(codes: np.ndarray, last: int) -> np.ndarray:
+    """Codes with the ``last`` bytes before the place, hashed one to one, in front: they sort by bucket."""
+    width = np.uint64(8 * last)
+    spread = (((codes >> np.uint64(8)) & low_bytes(last)) * np.uint64(_SPREAD)) & low_bytes(last)
+    older = codes >> (width + np.uint64(8))
+    return (spread << (np.uint64(64) - width)) | (older << np.uint64(8)) | (codes & np.uint64(255))
 
 
-def byte_counts(texts: DataFrame, depth: int, buckets: int = 1) -> DataFrame:
-    """(code, n): how often each byte follows each ``depth`` bytes, over whole texts (column ``text``)."""
+def _codes(keys: np.ndarray, last: int) -> np.ndarray:
+    """The codes that ``_keys`` was given."""
+    width = np.uint64(8 * last)
+    tail = ((keys >> (np.uint64(64) - width)) * np.uint64(pow(_SPREAD, -1, 1 << 8 * last))) & low_bytes(last)
+    rest = keys & ((np.uint64(1) << (np.uint64(64) - width)) - np.uint64(1))
+    older = rest >> np.uint64(8)
+    return (older << (width + np.uint64(8))) | (tail << np.uint64(8)) | (keys & np.uint64(255))
 
-    def sent(codes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        bucket = _bucket(mixed(codes), buckets)
-        out = [(int(bucket[m[0]]), _packed(codes[m]), _packed(counts[m].astype(np.uint64))) for m in _split(bucket)]
-        return pd.DataFrame(out, columns=["bucket", "codes", "counts"])
-
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, counts, held = [], [], 0
-        for batch in batches:
-            raw = [_stream(t) for t in batch["text"]]
-            for piece, _, _ in segments(raw, depth):
-                seen, n = np.unique(piece, return_counts=True)
-                codes.append(seen)
-                counts.append(n)
-                held += len(seen)
-                if held > 1 << 21:
-                    codes, counts = _merged(codes, counts)
-                    held = len(codes[0])
-                    if held > 1 << 20:
-                        yield sent(codes[0], counts[0])
-                        codes, counts, held = [], [], 0
-        if codes:
-            codes, counts = _merged(codes, counts)
-            yield sent(codes[0], counts[0])
 
-    def summed(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        counts = [_unpacked(x).astype(np.int64) for x in group["counts"]]
-        codes, counts = _merged([_unpacked(x) for x in group["codes"]], counts)
-        return pd.DataFrame({"code": codes[0].astype(np.int64), "n": counts[0]})
+def _shares(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, start, end) of the sorted keys' parts in each of ``buckets`` equal ranges of their first 24 bits."""
+    firsts = np.asarray([-(-(b << 24) // buckets) << 40 for b in range(1, buckets)], dtype=np.uint64)
+    edges = [0, *np.searchsorted(keys, firsts).tolist(), len(keys)]
+    return ((b, lo, hi) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi)
+
+
+def _distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct numbers and how often each occurs."""
+    numbers = np.sort(numbers)  # several times as fast as np.unique, which hashes first
+    first = np.flatnonzero(np.diff(numbers, prepend=~numbers[:1]))
+    return numbers[first], np.diff(np.append(first, len(numbers)))
+
+
+def _ranked(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct numbers and each number's place among them."""
+    order = np.argsort(numbers)
+    numbers = numbers[order]
+    fresh = np.diff(numbers, prepend=~numbers[:1]) != 0
+    at = np.empty(len(order), dtype=np.int32)
+    at[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    return numbers[fresh], at
+
+
+_GRAMS = pa.schema([("bucket", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary())])
 
-    counted = texts.select("text").mapInPandas(grams, "bucket int, codes binary, counts binary")
-    return counted.groupBy("bucket").applyInPandas(summed, "code long, n long")
 
+def _sent_grams(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(bucket, codes, counts): the texts' grams, counted per task and dealt by the last bytes of their context."""
+    last = min(STEM, depth)
 
-def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    seen, at = np.unique(np.concatenate(codes), return_inverse=True)
-    return [seen], [np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)]
+    def sent(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = _distinct(np.concatenate(held))
+        n = n.astype(np.uint32)
+        out = [(b, _packed(keys[lo:hi]), _packed(n[lo:hi])) for b, lo, hi in _shares(keys, buckets)]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), _GRAMS)], schema=_GRAMS)
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in parts(batches):
+            for piece, _, _ in segments([_stream(t) for t in part["text"].to_pylist()], depth, PIECE):
+                held.append(_keys(piece, last) if last else piece)
+                size += len(piece)
+                if size >= SORTED:
+                    yield sent(held)
+                    held, size = [], 0
+        if held:
+            yield sent(held)
+
+    return texts.select("text").mapInArrow(grams, "bucket int, codes binary, counts binary")
+
+
+def _summed(group: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """A bucket's distinct codes and their counts."""
+    keys = np.concatenate([_unpacked(x) for x in group["codes"]])
+    counts = np.concatenate([_unpacked(x, np.uint32) for x in group["counts"]]).astype(np.int64)
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    last = min(STEM, depth)
+    return _codes(keys[first], last) if last else keys[first], np.add.reduceat(counts, first)
+
+
+def byte_counts(texts: DataFrame, depth: int, buckets: int = 1) -> DataFrame:
+    """(code, n): how often each byte follows each ``depth`` bytes, over whole texts (column ``text``)."""
+
+    def summed(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        codes, n = _summed(group, depth)
+        return pd.DataFrame({"code": codes.astype(np.int64), "n": n})
+
+    return _sent_grams(texts, depth, buckets).groupBy("bucket").applyInPandas(summed, "code long, n long")
 
 
 def _rolled(codes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """Sorted grams of ``k`` context bytes and, for each, its count, its context's occurrences and distinct next bytes."""
-    grams, at = np.unique(codes & low_bytes(k + 1), return_inverse=True)
-    n = np.bincount(at, weights=counts, minlength=len(grams)).astype(np.int64)
+    codes = codes & low_bytes(k + 1)
+    order = np.argsort(codes)
+    codes = codes[order]
+    start = np.flatnonzero(np.diff(codes, prepend=~codes[:1]))
+    grams, n = codes[start], np.add.reduceat(counts[order], start)
     context = grams >> np.uint64(8)
     first = np.flatnonzero(np.diff(context, prepend=~context[:1]))
     kinds = np.diff(np.append(first, len(grams)))
     return grams, n, np.repeat(np.add.reduceat(n, first), kinds), np.repeat(kinds, kinds)
 
 
-def long_states(counts: DataFrame, depth: int, least: float, buckets: int) -> DataFrame:
+def _entries(codes: np.ndarray, counts: np.ndarray, depth: int, least: float) -> pd.DataFrame:
     """The entries of the retained contexts of more than ``STEM`` bytes, and of all contexts of ``STEM`` bytes.
 
-    All that end in the same ``STEM`` bytes are in one bucket, so every context meets the one a byte shorter there.
+    All grams that end in the same ``STEM`` bytes and a next byte are given together, so every context meets the one a
+    byte shorter here.
     """
+    longer = _rolled(codes, counts, depth)
+    out = []
+    for k in range(depth - 1, STEM - 1, -1):
+        level = _rolled(*longer[:2], k)
+        frequent = longer[2] >= least
+        grams, n, total, kinds = (x[frequent] for x in longer)
+        if len(grams):
+            at = np.searchsorted(level[0], grams & low_bytes(k + 1))
+            gains = n * np.log(n / total / (level[1][at] / level[2][at]))
+            first = np.flatnonzero(np.diff(grams >> np.uint64(8), prepend=~(grams[:1] >> np.uint64(8))))
+            gain = np.repeat(np.add.reduceat(gains, first), kinds[first])
+            kept = gain >= 0.5 * kinds * np.log(total) - TIE
+            out.append((k + 1, *(x[kept] for x in (grams, n, total, kinds))))
+        longer = level
+    out.append((STEM, *longer))
+    return pd.concat(
+        [pd.DataFrame({"k": k, "gram": g.astype(np.int64), "n": n, "total": t, "kinds": d}) for k, g, n, t, d in out]
+    )
+
+
+_ENTRIES = "k int, gram long, n long, total long, kinds long"
 
-    def entries(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        longer = _rolled(group["code"].to_numpy(np.int64).astype(np.uint64), group["n"].to_numpy(), depth)
-        out = []
-        for k in range(depth - 1, STEM - 1, -1):
-            level = _rolled(*longer[:2], k)
-            frequent = longer[2] >= least
-            grams, n, total, kinds = (x[frequent] for x in longer)
-            if len(grams):
-                at = np.searchsorted(level[0], grams & low_bytes(k + 1))
-                gains = n * np.log(n / total / (level[1][at] / level[2][at]))
-                first = np.flatnonzero(np.diff(grams >> np.uint64(8), prepend=~(grams[:1] >> np.uint64(8))))
-                gain = np.repeat(np.add.reduceat(gains, first), kinds[first])
-                kept = gain >= 0.5 * kinds * np.log(total) - TIE
-                out.append((k + 1, *(x[kept] for x in (grams, n, total, kinds))))
-            longer = level
-        out.append((STEM, *longer))
-        frames = [
-            pd.DataFrame({"k": k, "gram": g.astype(np.int64), "n": n, "total": t, "kinds": d}) for k, g, n, t, d in out
-        ]
-        return pd.concat(frames)
-
-    tail = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << 8 * STEM) - 1))
-    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(tail), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInPandas(entries, "k int, gram long, n long, total long, kinds long")
+
+def text_states(texts: DataFrame, depth: int, least: float, buckets: int) -> DataFrame:
+    """``states`` of the texts' counts; grams are counted where the contexts meet that share their last bytes."""
+    if depth <= STEM:
+        return states(byte_counts(texts, depth, buckets), depth, least, buckets)
+    dealt = _sent_grams(texts, depth, buckets).groupBy("bucket")
+    return _joined(dealt.applyInPandas(lambda _, g: _entries(*_summed(g, depth), depth, least), _ENTRIES), least)
+
+
+def _joined(entries: DataFrame, least: float) -> DataFrame:
+    long = written_lean(entries, "lm-long")
+    stems = long.where(F.col("k") == STEM).select(F.col("gram").alias("code"), "n")
+    return states(stems, STEM, least).union(long.where(F.col("k") > STEM))
 
 
 def states(counts: DataFrame, depth: int, least: float = LEAST, buckets: int = 1) -> DataFrame:
     """(k, gram, n, total, kinds): all next bytes of the retained contexts of k bytes; gram is context and next byte."""
     if depth > STEM:
-        long = written(long_states(counts, depth, least, buckets), "lm-long")
-        stems = long.where(F.col("k") == STEM).select(F.col("gram").alias("code"), "n")
-        return states(stems, STEM, least).union(long.where(F.col("k") > STEM))
-    level = written(counts.withColumnRenamed("code", "gram"), "lm-grams")
+
+        def entries(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
+            return _entries(group["code"].to_numpy(np.int64).astype(np.uint64), group["n"].to_numpy(), depth, least)
+
+        tail = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << 8 * STEM) - 1))
+        dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(tail), F.lit(buckets)))
+        return _joined(dealt.groupBy("bucket").applyInPandas(entries, _ENTRIES), least)
+    level = written_lean(counts.withColumnRenamed("code", "gram"), "lm-grams")
     context = Window.partitionBy("k", "context")  # at most 256 rows each
     levels = []
     for k in range(depth, -1, -1):
@@ -180,7 +251,7 @@ def states(counts: DataFrame, depth: int, least: float = LEAST, buckets: int = 1
         seen = keyed.withColumn("total", F.sum("n").over(context)).withColumn("kinds", F.count("*").over(context))
         # The root (k = 0) always stays; rare contexts go before any pair of contexts is compared.
         levels.append(seen.where(F.col("total") >= least) if k else seen)
-    own = written(functools.reduce(DataFrame.unionByName, levels), "lm-frequent")
+    own = written_lean(functools.reduce(DataFrame.unionByName, levels), "lm-frequent")
     # mask of the last k bytes, so that (k - 1, gram & mask) is the same next byte one context byte shorter
     mask = F.expr("shiftleft(1L, 8 * k) - 1")
     keyed = own.withColumn("up_k", F.col("k") - 1).withColumn("up_gram", F.col("gram").bitwiseAND(mask))
@@ -238,17 +309,23 @@ def _by_token(raw: list[bytes], logs: np.ndarray) -> np.ndarray:
     return np.add.reduceat(logs, np.concatenate([[0], closing[:-1] + 1]))
 
 
-def _word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens (words, then the end) of the texts, and the number of tokens of each."""
-    raw = [b"" if t is None else t.encode("utf-8", "ignore") for t in texts]
-    buffer, starts, ends, counts = word_spans(raw)
-    words = SpanHasher()(buffer, starts, ends) | np.uint64(1)  # never the end's hash
-    out = np.full(len(words) + len(counts), _END_WORD, dtype=np.uint64)
-    tokens = counts + 1
-    inside = np.ones(len(out), dtype=bool)
-    inside[np.cumsum(tokens) - 1] = False
-    out[inside] = words
-    return out, tokens
+def _place_keys(raw: list[bytes], depth: int) -> np.ndarray:
+    """The keys of all places of the streams, in order."""
+    return np.concatenate([_keys(codes, TAIL) for codes, _, _ in segments(raw, depth, PIECE)])
+
+
+def _word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens (words, then the end) of the streams, and the number of tokens of each."""
+    hasher, hashes, tokens = SpanHasher(), [], []
+    for lo, hi in slices([len(x) for x in raw], 1 << 20):
+        buffer = np.frombuffer(b"".join(raw[lo:hi]), dtype=np.uint8)
+        closing = np.flatnonzero((buffer == 0x20) | (buffer == END))
+        words = hasher(buffer, np.append(0, closing[:-1] + 1), closing) | np.uint64(1)  # never the end's hash
+        last = buffer[closing] == END
+        words[last] = _END_WORD
+        hashes.append(words)
+        tokens.append(np.diff(np.flatnonzero(last), prepend=-1))
+    return np.concatenate(hashes), np.concatenate(tokens)
 
 
 def _batched(df: DataFrame, id_col: str, text_col: str, folds: int, fold: int) -> tuple[DataFrame, int]:
@@ -270,30 +347,27 @@ def word_counts(rows: DataFrame, batches: int) -> DataFrame:
     rows. Vocabulary, tokens and singles (words seen once) are the bucket's own, repeated on each of its rows.
     """
 
+    buckets = max(1, -(-batches // WORD_BATCHES))
+
     def distinct(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        hashes, tokens = _word_hashes(group["text"])
+        hashes, tokens = _word_hashes([_stream(t) for t in group["text"]])
         trains = np.repeat(~group["held_out"].to_numpy(bool), tokens)
-        seen, at = np.unique(hashes, return_inverse=True)
+        seen, at = _ranked(hashes)
         n = np.bincount(at, weights=trains, minlength=len(seen)).astype(np.int64)
-        bucket = _bucket(seen, batches)
-        out = []
-        for b in np.unique(bucket):
-            mine = bucket == b
-            out.append((key[0], int(b), seen[mine].tobytes(), n[mine].tobytes()))
+        out = [(key[0], b, seen[lo:hi].tobytes(), n[lo:hi].tobytes()) for b, lo, hi in _shares(seen, buckets)]
         return pd.DataFrame(out, columns=["batch", "bucket", "hashes", "counts"])
 
     def summed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(x, dtype=np.uint64) for x in group["hashes"]]
+        hashes = [np.frombuffer(x, dtype=np.uint64) for x in group["hashes"]]
         counts = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in group["counts"]])
-        seen, at = np.unique(np.concatenate(parts), return_inverse=True)
-        total = np.zeros(len(seen), dtype=np.int64)
-        np.add.at(total, at, counts)
-        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        seen, at = _ranked(np.concatenate(hashes))
+        total = np.bincount(at, weights=counts, minlength=len(seen)).astype(np.int64)
+        cuts = np.cumsum([len(x) for x in hashes])[:-1]
         return pd.DataFrame(
             {
                 "batch": group["batch"],
                 "bucket": key[0],
-                "counts": [x.tobytes() for x in np.split(total[at], cuts)],
+                "counts": [_packed(x.view(np.uint64)) for x in np.split(total[at], cuts)],
                 "vocabulary": int((total > 0).sum()),
                 "tokens": int(total.sum()),
                 "singles": int((total == 1).sum()),
@@ -306,34 +380,35 @@ def word_counts(rows: DataFrame, batches: int) -> DataFrame:
     )
 
 
-def _tail_bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
-    tails = (codes >> np.uint64(8)) & low_bytes(TAIL)
-    return (((tails * np.uint64(_SPREAD)) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+def short_states(table: DataFrame):
+    """The entries of contexts of fewer than ``TAIL`` bytes, for all tasks."""
+    return table.sparkSession.sparkContext.broadcast(table.where(F.col("k") < TAIL).select("k", "gram", "n").toPandas())
 
 
-def place_logs(rows: DataFrame, batches: int, table: DataFrame, buckets: int, depth: int) -> DataFrame:
-    """(batch, bucket, logs): log10 probabilities of the sorted distinct places of each batch that fall in a bucket."""
-    low = rows.sparkSession.sparkContext.broadcast(table.where(F.col("k") < TAIL).select("k", "gram", "n").toPandas())
+def place_logs(rows: DataFrame, batches: int, table: DataFrame, low, buckets: int, depth: int) -> DataFrame:
+    """(batch, bucket, logs): log10 probabilities of the distinct places of each batch that fall in a bucket, by key."""
     long = table.where(F.col("k") >= TAIL).select("k", "gram", "n")
     span = 4 * buckets  # batches answered together, so that a bucket's share of their places is bounded
     tail = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << 8 * TAIL) - 1))
-    own = F.pmod(F.shiftright(tail * F.lit(_SPREAD), 16), F.lit(buckets)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit((batches - 1) // span)))
-    dealt = long.withColumn("bucket", own).withColumn("part", parts)
+    spread = (tail * F.lit(_SPREAD)).bitwiseAND(F.lit((1 << 8 * TAIL) - 1))
+    own = F.shiftright(spread * F.lit(buckets), 8 * TAIL).cast("int")
+    spans = F.explode(F.sequence(F.lit(0), F.lit((batches - 1) // span)))
+    dealt = long.withColumn("bucket", own).withColumn("part", spans)
 
     def distinct(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        seen = np.sort(_places([_stream(t) for t in group["text"]], depth))
-        seen = seen[np.diff(seen, prepend=~seen[:1]) != 0]  # several times as fast as np.unique, which hashes first
-        bucket = _tail_bucket(seen, buckets)
-        out = [(key[0], int(bucket[m[0]]), key[0] // span, _packed(seen[m])) for m in _split(bucket)]
+        seen, _ = _distinct(_place_keys([_stream(t) for t in group["text"]], depth))
+        out = [(key[0], b, key[0] // span, _packed(seen[lo:hi])) for b, lo, hi in _shares(seen, buckets)]
         return pd.DataFrame(out, columns=["batch", "bucket", "part", "codes"])
 
     def answered(_: tuple, asked: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         logs = []
         if len(asked):
             tree = SuffixTree(pd.concat([low.value, entries[["k", "gram", "n"]]]), depth).ready()
-            for packed in asked["codes"]:
-                logs.append(tree._places(_unpacked(packed)).astype(np.float32).tobytes())
+            # Most places are asked for by many batches and looked up once.
+            keys = [_unpacked(x) for x in asked["codes"]]
+            seen, _ = _distinct(np.concatenate(keys))
+            found = tree._places(_codes(seen, TAIL)).astype(np.float32)
+            logs = [found[np.searchsorted(seen, x)].tobytes() for x in keys]
         return pd.DataFrame({"batch": asked["batch"], "bucket": asked["bucket"], "logs": logs})
 
     asked = rows.groupBy("batch").applyInPandas(distinct, "batch int, bucket int, part int, codes binary")
@@ -341,10 +416,6 @@ def place_logs(rows: DataFrame, batches: int, table: DataFrame, buckets: int, de
     return both.applyInPandas(answered, "batch int, bucket int, logs binary")
 
 
-def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
-
-
 def score(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -361,30 +432,28 @@ def score(
     if not 0 < depth <= 7:
         raise ValueError("depth must be 1 to 7: a code holds a context and its next byte in 64 bits")
     rows, batches = _batched(df, id_col, text_col, folds, fold)
-    grams = byte_counts(rows.where(~F.col("held_out")), depth, batches)
-    table = written(states(grams, depth, least, batches), "lm-states")
+    trained = rows.where(~F.col("held_out"))
+    table = written_lean(text_states(trained, depth, least, batches), "lm-states")
     buckets = max(1, -(-table.count() // BUCKET_ENTRIES))
-    logs = place_logs(rows, batches, table, buckets, depth)
+    low = short_states(table)
 
-    counts = written(word_counts(rows, batches), "lm-words")
+    counts = written_lean(word_counts(rows, batches), "lm-words")
     each = counts.groupBy("bucket").agg(*[F.max(c).alias(c) for c in ("vocabulary", "tokens", "singles")])
     row = each.agg(F.sum("vocabulary"), F.sum("tokens"), F.sum("singles")).first()
     vocabulary, tokens, singles = (x or 0 for x in row)
     novel = min(0.5, max(singles, 1) / (tokens + 1))
 
     def judged(_: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        hashes, lengths = _word_hashes(docs["text"])
-        seen, at = np.unique(hashes, return_inverse=True)
-        bucket = _bucket(seen, batches)
-        c = np.zeros(len(seen), dtype=np.int64)
-        places, place = np.unique(_places(raw := [_stream(t) for t in docs["text"]], depth), return_inverse=True)
-        tails = _tail_bucket(places, buckets)
-        chances = np.zeros(len(places))
-        for b, packed, answers in zip(known["bucket"], known["counts"], known["logs"], strict=True):
-            if packed is not None:
-                c[bucket == b] = np.frombuffer(packed, dtype=np.int64)
-            else:
-                chances[tails == b] = np.frombuffer(answers, dtype=np.float32)
+        raw = [_stream(t) for t in docs["text"]]
+        hashes, lengths = _word_hashes(raw)
+        _, at = _ranked(hashes)
+        places, place = _ranked(_place_keys(raw, depth))
+        known = known.sort_values("bucket")
+        mine = known["counts"].notna()
+        # Buckets are ranges of the sorted hashes and places.
+        c = np.concatenate([_unpacked(x).view(np.int64) for x in known["counts"][mine]])
+        chances = np.concatenate([np.frombuffer(x, dtype=np.float32) for x in known["logs"][~mine]]).astype(float)
+        assert len(c) == at.max() + 1 and len(chances) == len(places)
         logs = np.log10((c + 1) / (tokens + vocabulary + 1))[at]
         first = np.cumsum(lengths) - lengths
         spelled = _by_token(raw, chances[place])
@@ -411,7 +480,14 @@ def score(
         " base_score double, score double, text_score double"
     )
     nothing = F.lit(None).cast("binary")
-    answers = counts.select("batch", "bucket", "counts", nothing.alias("logs")).union(
-        logs.select("batch", "bucket", nothing, "logs")
-    )
-    return rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(judged, schema)
+    scored = []
+    for lot in range(min(ROUNDS, batches)):
+        mine = F.pmod(F.col("batch"), F.lit(ROUNDS)) == lot
+        some = rows.where(mine)
+        logs = place_logs(some, batches, table, low, buckets, depth)
+        answers = counts.where(mine).select("batch", "bucket", "counts", nothing.alias("logs")).union(
+            logs.select("batch", "bucket", nothing, "logs")
+        )
+        both = some.groupBy("batch").cogroup(answers.groupBy("batch"))
+        scored.append(written_lean(both.applyInPandas(judged, schema), "lm-scores"))
+    return functools.reduce(DataFrame.union, scored)

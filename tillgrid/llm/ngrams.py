@@ -36,12 +36,13 @@ def segments(texts: list[bytes], depth: int, limit: int = 1 << 20) -> Iterator[t
 
 
 def _codes(parts: list[bytes], owners: list[int], sizes: list[int], depth: int):
-    buffer = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    # The eight bytes up to each place are read as one number; those beyond ``depth`` are masked.
+    buffer = bytes(7 - depth) + b"".join(parts)
     n = np.asarray(sizes, dtype=np.int64)
     starts = np.cumsum(n) - n
-    codes = np.zeros(len(buffer) - depth, dtype=np.uint64)
-    for k in range(depth + 1):
-        codes = (codes << np.uint64(8)) | buffer[k : len(buffer) - depth + k]
+    codes = np.ndarray((len(buffer) - 7,), ">u8", buffer, 0, (1,)).astype(np.uint64)
+    if depth < 7:
+        codes &= low_bytes(depth + 1)
     # Codes that end in a text's padding are left out: after each text, the next one's depth bytes of padding.
     keep = np.ones(len(codes), dtype=bool)
     for k in range(depth):
