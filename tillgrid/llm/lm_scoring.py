@@ -29,7 +29,6 @@ without training rows every count is 0; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,16 +71,19 @@ def _stream(text: str | None) -> bytes:
     return b" ".join([*words, bytes([END])])
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
 def _packed(numbers: np.ndarray) -> bytes:
-    """Unsigned numbers as compressed byte planes: sorted codes share their first bytes."""
-    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
-    run = zlib.compressobj(1, strategy=zlib.Z_RLE)
-    return run.compress(planes) + run.flush()
+    """Unsigned numbers as compressed byte planes, after their count: sorted codes share their first bytes."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T)
+    return len(numbers).to_bytes(8, "little") + _ZSTD.compress(planes, asbytes=True)
 
 
 def _unpacked(packed: bytes, kind: type = np.uint64) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    size = np.dtype(kind).itemsize
+    planes = _ZSTD.decompress(packed[8:], int.from_bytes(packed[:8], "little") * size, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _keys(codes: np.ndarray, last: int) -> np.ndarray:
@@ -108,21 +110,34 @@ def _shares(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
     return ((b, lo, hi) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi)
 
 
+def _fresh(numbers: np.ndarray) -> np.ndarray:
+    """Whether each of the sorted numbers differs from the one before."""
+    fresh = np.ones(len(numbers), dtype=bool)
+    np.not_equal(numbers[1:], numbers[:-1], out=fresh[1:])
+    return fresh
+
+
 def _distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct numbers and how often each occurs."""
     numbers = np.sort(numbers)  # several times as fast as np.unique, which hashes first
-    first = np.flatnonzero(np.diff(numbers, prepend=~numbers[:1]))
+    first = np.flatnonzero(_fresh(numbers))
     return numbers[first], np.diff(np.append(first, len(numbers)))
 
 
-def _ranked(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct numbers and each number's place among them."""
+def _sorted(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct numbers, the order that sorts all, and in that order each one's place among the distinct."""
     order = np.argsort(numbers)
     numbers = numbers[order]
-    fresh = np.diff(numbers, prepend=~numbers[:1]) != 0
+    fresh = _fresh(numbers)
+    return numbers[fresh], order, np.cumsum(fresh, dtype=np.int32) - 1
+
+
+def _ranked(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct numbers and each number's place among them."""
+    seen, order, ranks = _sorted(numbers)
     at = np.empty(len(order), dtype=np.int32)
-    at[order] = np.cumsum(fresh, dtype=np.int32) - 1
-    return numbers[fresh], at
+    at[order] = ranks
+    return seen, at
 
 
 _GRAMS = pa.schema([("bucket", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary())])
@@ -159,7 +174,7 @@ def _summed(group: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.concatenate([_unpacked(x, np.uint32) for x in group["counts"]]).astype(np.int64)
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    first = np.flatnonzero(_fresh(keys))
     last = min(STEM, depth)
     return _codes(keys[first], last) if last else keys[first], np.add.reduceat(counts, first)
 
@@ -447,7 +462,7 @@ def score(
         raw = [_stream(t) for t in docs["text"]]
         hashes, lengths = _word_hashes(raw)
         _, at = _ranked(hashes)
-        places, place = _ranked(_place_keys(raw, depth))
+        places, order, ranks = _sorted(_place_keys(raw, depth))
         known = known.sort_values("bucket")
         mine = known["counts"].notna()
         # Buckets are ranges of the sorted hashes and places.
@@ -456,7 +471,9 @@ def score(
         assert len(c) == at.max() + 1 and len(chances) == len(places)
         logs = np.log10((c + 1) / (tokens + vocabulary + 1))[at]
         first = np.cumsum(lengths) - lengths
-        spelled = _by_token(raw, chances[place])
+        spots = np.empty(len(order))
+        spots[order] = chances[ranks]
+        spelled = _by_token(raw, spots)
         if tokens:
             classed = np.where((c > 0)[at], spelled + np.log10(1 - novel), np.log10(novel))
         else:
