@@ -49,6 +49,7 @@ from tillgrid.operators.sizing import broadcast_if_small
 from tillgrid.plans.intake import Intake, rejected_lines, run_intake, store_rejected_lines
 from tillgrid.functions.scalars import month_key
 from tillgrid.schemas import CUSTOMERS_DATA_MART, LEDGER, SALES_TEAM_MART
+from tillgrid.session import shuffles_freed
 from tillgrid.sinks import files as sinks
 from tillgrid.sinks import snapshots
 from tillgrid.sources import jdbc
@@ -57,6 +58,8 @@ RUNS = "run_id string, run_ts long"
 LEFTOVERS = "path string, file_name string, run_id string"
 FILE_MONTHS = "source_file string, sales_month string, run_id string"
 CHANGE_SETS = "sales_month string, run_id string"
+# The history and the row marts are as long as the sales, and one of each run stays: smaller files than by the default codec.
+COMPACT = {"compression": "zstd"}
 # Outputs kept as versions by month: the schema and the month column.
 MONTHLY = {
     "customers_data_mart": (CUSTOMERS_DATA_MART, "sales_date_month"),
@@ -154,7 +157,8 @@ def run(
     done = ledger.finished_files(_table(spark, paths["ledger"], LEDGER)) if only_new else None
     intake = run_intake(spark, incoming, skip=done)
     try:
-        return _run(spark, intake, dims, out, run_id)
+        with shuffles_freed(spark):
+            return _run(spark, intake, dims, out, run_id)
     finally:
         # Release the cached per-file table: a long-running stream comes here once per micro-batch.
         intake.gated.unpersist()
@@ -170,7 +174,7 @@ def _months(rows: DataFrame) -> set[str | None]:
     return {r[0] for r in rows.select("sales_month").distinct().collect()}
 
 
-def _together(*steps: Callable[[], Any]) -> list[Any]:
+def together(*steps: Callable[[], Any]) -> list[Any]:
     """Results of steps that do not depend on each other, submitted at once: one's last tasks leave cores to the next one's
     first. All have ended when this returns; the first error is raised."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -195,7 +199,7 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     accepted = intake.gated.where("accepted").select("path", "file_name")
     # Restart check, reported as data: files on hand that an earlier run opened and never finished. Written before
     # this run touches the ledger, so the answer is fixed.
-    _, _, _, repeated = _together(
+    _, _, _, repeated = together(
         lambda: _replace_own(unfinished_files(spark, out, intake.files), paths["leftovers"], run_id),
         lambda: _replace_own(intake.rejects, paths["rejects"], run_id),
         lambda: store_rejected_lines(rejected_lines(spark, intake), paths["rejected_lines"], run_id),
@@ -229,8 +233,12 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
 
     # The conformed sales of this run go into the sales history, one partition per (run, month); the run repeated
     # under its id replaces them. The write also cuts lineage: everything below reads these files, pruned to its columns.
-    history_rows = intake.fact.withColumn("run_id", F.lit(run_id)).withColumn("sales_month", month_key("sales_date"))
-    sinks.replace_partitions(history_rows, paths["sales_facts"], ["run_id", "sales_month"], [(run_id,)])
+    # They are dealt by month alone; the run, which all rows share, is added after the shuffle.
+    dealt = intake.fact.withColumn("sales_month", month_key("sales_date")).hint("rebalance", "sales_month")
+    history_rows = dealt.withColumn("run_id", F.lit(run_id))
+    sinks.replace_partitions(
+        history_rows, paths["sales_facts"], ["run_id", "sales_month"], [(run_id,)], together=True, **COMPACT
+    )
     history = _table(spark, paths["sales_facts"], history_rows.schema)
     facts = history.where(mine)
     _replace_own(facts.select("source_file", "sales_month").distinct(), paths["file_months"], run_id)
@@ -265,7 +273,7 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     }
 
     def publish(name: str, rows: DataFrame, **layout) -> str:
-        return sinks.publish_run(rows, paths[name], run_ts, mode="overwrite", **layout)
+        return sinks.publish_run(rows, paths[name], run_ts, mode="overwrite", **layout, **COMPACT)
 
     def publish_sales() -> None:
         plain = spark.read.schema(sales_rows.schema).parquet(publish("sales_mart", sales_rows))
@@ -278,7 +286,7 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
         rows = recomputed[name]().select(*schema.fieldNames())
         return snapshots.stage(rows, out, name, number, key, keys, run_id, run_ts)
 
-    staged = _together(
+    staged = together(
         lambda: stage("customers_data_mart"),
         lambda: stage("sales_team_data_mart"),
         publish_sales,
@@ -298,7 +306,7 @@ def _run(spark: SparkSession, intake: Intake, dims: Dimensions, out: str, run_id
     def refresh(name: str) -> None:
         sinks.replace_partitions(version(name), paths[name], [MONTHLY[name][1]], [(m,) for m in keys], together=True)
 
-    _together(
+    together(
         lambda: refresh("customers_data_mart"),
         lambda: refresh("sales_team_data_mart"),
         lambda: sinks.replace_csv_report(version("sales_team_data_mart"), paths["monthly_report"], keys, together=True),

@@ -17,7 +17,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from tillgrid.plans import pipeline
 from tillgrid.plans.contract import INCENTIVE_SELECT, PERSON_MONTHLY, enriched, incentive_sql, star_sql
 from tillgrid.plans.intake import rejected_lines, run_intake, store_rejected_lines
 from tillgrid.schemas import MANDATORY_COLUMNS, SALES_FACT, SALES_TEAM_MART
-from tillgrid.session import scratch_path
+from tillgrid.session import scratch_path, shuffles_freed
 from tillgrid.sinks import files as sinks
 from tillgrid.sinks import folders, snapshots
 from tillgrid.sources import files as file_source
@@ -292,37 +292,46 @@ def q_pipeline_incremental(spark, sf_dir):
     return _read_team_mart(spark, result.outputs["sales_team_data_mart"])
 
 
+def _lines_aside(spark: SparkSession, sf_dir: str, path: str, lanes: int) -> DataFrame:
+    """The sale lines, computed once and written at ``path`` as compact folders by ``part`` (``early``, or ``late`` from 1998 on;
+    null without a date) and ``lane`` (of the order): a set of files is written from its folders, without a shuffle."""
+    late = F.col("sales_date") >= F.lit("1998-01-01").cast("date")
+    part = F.when(late, "late").when(~late, "early").alias("part")
+    lane = F.pmod(F.hash("l_orderkey"), F.lit(lanes)).alias("lane")
+    with shuffles_freed(spark):
+        lines = tables.sales_lines(spark, sf_dir, with_product=True).select(*MANDATORY_COLUMNS, "l_linenumber", part, lane)
+        lines.write.partitionBy("part", "lane").option("compression", "zstd").parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
 def _named_csv(spark: SparkSession, lines: DataFrame, folder: str, files: int) -> None:
-    """``files`` CSV files of sale lines whose names are the same whenever they are written: ``sales-<k>.csv``."""
-    scratch = scratch_path(spark, "named-csv")
-    dealt = lines.repartition(files, "o_orderkey").select(*[_text(c) for c in MANDATORY_COLUMNS])
-    dealt.write.option("header", "true").csv(scratch)
-    for name in folders.names(spark, scratch):
-        if name.startswith("part-"):
-            folders.move(spark, f"{scratch}/{name}", f"{folder}/sales-{int(name.split('-')[1])}.csv")
+    """``files`` CSV files of sale lines whose names are the same whenever they are written: ``sales-<k>.csv``. File k has the
+    lanes k, k + ``files``, ... of ``_lines_aside``; one task reads their folders and writes it."""
 
+    def write(k: int) -> None:
+        scratch = scratch_path(spark, "named-csv")
+        share = lines.where(F.col("lane") % files == k).coalesce(1).select(*[_text(c) for c in MANDATORY_COLUMNS])
+        share.write.option("header", "true").csv(scratch)
+        (name,) = [n for n in folders.names(spark, scratch) if n.startswith("part-")]
+        folders.move(spark, f"{scratch}/{name}", f"{folder}/sales-{k}.csv")
 
-def _dated_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:
-    lines = tables.sales_lines(spark, sf_dir, with_product=True).withColumn("o_orderkey", F.col("l_orderkey"))
-    lines = lines.select(*MANDATORY_COLUMNS, "o_orderkey", "l_linenumber")
-    return lines, F.col("sales_date") >= F.lit("1998-01-01").cast("date")
+    folders.make(spark, folder)
+    pipeline.together(*[partial(write, k) for k in range(files)])
 
 
 def q_corrected_file(spark, sf_dir):
     """Files of 1998 are taken, found to be wrong by a year, and taken again under their names: the months of 1998 are
     emptied, those of 1997 hold the corrected sales as well. Read through the snapshot and from the plain folder."""
     base, dims = scratch_path(spark, "corrected-file"), _driver_dims(spark, sf_dir)
-    out, (lines, late) = f"{base}/out", _dated_lines(spark, sf_dir)
-    for part in ("early", "late", "corrected"):
-        folders.make(spark, f"{base}/{part}")
-    with _held(lines) as lines:
-        _named_csv(spark, lines.where(~late), f"{base}/early", 2)
-        _named_csv(spark, lines.where(late), f"{base}/late", 2)
-        corrected = lines.where(late).withColumn("sales_date", F.add_months("sales_date", -12))
-        _named_csv(spark, corrected, f"{base}/corrected", 2)
+    out, aside = f"{base}/out", f"{base}/aside"
+    lines = _lines_aside(spark, sf_dir, aside, lanes=2)
+    early, late = (lines.where(F.col("part") == part) for part in ("early", "late"))
+    pipeline.together(lambda: _named_csv(spark, early, f"{base}/early", 2), lambda: _named_csv(spark, late, f"{base}/late", 2))
+    folders.remove(spark, f"{aside}/part=early")
     pipeline.run(spark, [f"{base}/early", f"{base}/late"], dims, out)
-    for name in folders.names(spark, f"{base}/corrected"):
-        folders.move(spark, f"{base}/corrected/{name}", f"{base}/late/{name}")
+    # Only now are the corrected files written, from the lines laid aside: the wrong ones are on disk until they are replaced.
+    _named_csv(spark, late.withColumn("sales_date", F.add_months("sales_date", -12)), f"{base}/late", 2)
+    folders.remove(spark, aside)
     result = pipeline.run(spark, f"{base}/late", dims, out)
     plain = _read_team_mart(spark, result.outputs["sales_team_data_mart"])
     both = pipeline.read_latest(spark, out, "sales_team_data_mart").withColumn("read", F.lit("snapshot"))
@@ -333,14 +342,15 @@ def q_run_repeated(spark, sf_dir):
     """A run with accepted and rejected files and rows that do not cast is repeated under its id with fewer months, and with
     neither rejects nor bad rows: rows and totals of each output, by month."""
     base, dims = scratch_path(spark, "run-repeated"), _driver_dims(spark, sf_dir)
-    out, (lines, late) = f"{base}/out", _dated_lines(spark, sf_dir)
-    for part in ("all", "again"):
-        folders.make(spark, f"{base}/{part}")
+    out, aside = f"{base}/out", f"{base}/aside"
     broken = F.when(F.col("l_linenumber") == 1, F.lit("none")).otherwise(F.col("quantity").cast("string"))
-    with _held(lines) as lines:
-        _named_csv(spark, lines.withColumn("quantity", broken), f"{base}/all", 3)
-        lines.select(_text("product_name")).write.option("header", "true").csv(f"{base}/all/rejected")
-        _named_csv(spark, lines.where(~late), f"{base}/again", 2)
+    lines = _lines_aside(spark, sf_dir, aside, lanes=6)
+    pipeline.together(
+        lambda: _named_csv(spark, lines.withColumn("quantity", broken), f"{base}/all", 3),
+        lambda: _named_csv(spark, lines.where(F.col("part") == "early"), f"{base}/again", 2),
+        lambda: lines.select(_text("product_name")).write.option("header", "true").csv(f"{base}/all/rejected"),
+    )
+    folders.remove(spark, aside)
     pipeline.run(spark, f"{base}/all", dims, out, run_id="r1")
     paths = pipeline.run(spark, f"{base}/again", dims, out, run_id="r1").outputs
 

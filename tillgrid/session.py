@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_FREED_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillgrid") -> SparkSession:
@@ -56,3 +59,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder for one write (under the shared checkpoint folder)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tillgrid/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of every write and action inside go when it has ended, not when the driver happens to collect garbage.
+
+    For steps that each start from files, so that none needs an earlier one's shuffle. Spark before 4.1 does not know the
+    setting and keeps the files longer."""
+    before = spark.conf.get(_FREED_KEY, None)
+    spark.conf.set(_FREED_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREED_KEY) if before is None else spark.conf.set(_FREED_KEY, before)

@@ -155,16 +155,19 @@ def publish_run(
     partition_cols: Sequence[str] = (),
     sort_cols: Sequence[str] = (),
     together: bool = False,
+    **options: str,
 ) -> str:
     """Write one run of a mart under ``<base>/run_ts=<epoch ms>/`` (optionally hive-partitioned below that, and sorted
     inside the partitions); earlier runs stay readable. With mode ``overwrite`` a repeated run replaces its own folder as a whole."""
     target = f"{base.rstrip('/')}/{RUN_COLUMN}={int(run_ts)}"
     if sort_cols:
-        write_clustered(df, target, partition_cols, sort_cols, mode=mode, together=together, partitionOverwriteMode="static")
+        write_clustered(
+            df, target, partition_cols, sort_cols, mode=mode, together=together, partitionOverwriteMode="static", **options
+        )
     elif partition_cols:
-        write_partitioned(df, target, partition_cols, mode=mode, together=together, partitionOverwriteMode="static")
+        write_partitioned(df, target, partition_cols, mode=mode, together=together, partitionOverwriteMode="static", **options)
     else:
-        df.write.mode(mode).parquet(target)
+        df.write.mode(mode).options(**options).parquet(target)
     return target
 
 
